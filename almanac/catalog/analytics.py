@@ -56,12 +56,12 @@ def tfidf_pca2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sentiment_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = sentiment.text_chunks(table(spark, sf_dir, "documents"), "doc_id", "text")
     scored = sentiment.lexicon_scorer(lexicon(spark))(chunks, ["doc_id"])
-    return rounded(sentiment.sentiment_statistics(scored, ["doc_id"]), *SENTIMENT_COLUMNS)
+    return rounded(sentiment.sentiment_statistics(scored, ["doc_id"]), *SENTIMENT_COLUMNS, digits=9)
 
 
 def daily_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = features.day_sentiment(priced_news(spark, sf_dir), sentiment.lexicon_scorer(lexicon(spark)), ["doc_id"])
-    return rounded(scores, *SENTIMENT_COLUMNS)
+    return rounded(scores, *SENTIMENT_COLUMNS, digits=9)
 
 
 def sentiment_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +86,8 @@ def sentiment_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     scorer = sentiment.lexicon_scorer(lexicon(spark))
     table_ = features.features(priced_news(spark, sf_dir), scorer, lemmas(spark), ["doc_id"]).drop("PCA1", "PCA2")
-    return rounded(table_, *[c for c in table_.columns if c not in ("time_published", "day_of_week")])
+    numbers = [c for c in table_.columns if c not in ("time_published", "day_of_week", *SENTIMENT_COLUMNS)]
+    return rounded(rounded(table_, *numbers), *SENTIMENT_COLUMNS, digits=9)
 
 
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +104,7 @@ def summary_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentiment of the summaries instead of the whole texts."""
     done = summary.summaries(table(spark, sf_dir, "documents"), "doc_id", "text")
     scored = sentiment.lexicon_scorer(lexicon(spark))(sentiment.text_chunks(done, "doc_id", "summary"), ["doc_id"])
-    return rounded(sentiment.sentiment_statistics(scored, ["doc_id"]), *SENTIMENT_COLUMNS)
+    return rounded(sentiment.sentiment_statistics(scored, ["doc_id"]), *SENTIMENT_COLUMNS, digits=9)
 
 
 def knn_same_class(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,8 +14,8 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
 
 
-def _r(*columns: str) -> str:
-    return ", ".join(f'round("{c}", 6) AS "{c}"' for c in columns)
+def _r(*columns: str, digits: int = 6) -> str:
+    return ", ".join(f'round("{c}", {digits}) AS "{c}"' for c in columns)
 
 
 def _news(days: int = 30, start: str = "2024-01-01") -> str:
@@ -118,7 +118,7 @@ INGEST = f"""WITH {_news()}, {EVENT_PRICES}, {RAW},
     stamped AS (SELECT *, strftime(time_published, '%Y%m%d') || 'T' || {CLOCK} AS published_at FROM raw),
     firsts AS (
         SELECT *, row_number() OVER (PARTITION BY titles ORDER BY published_at, url) AS place FROM stamped)
-    SELECT titles, f.url, time_published, round_even(price, 2) AS price, md5({_html()}) AS content, published_at
+    SELECT titles, f.url, time_published, round_even(price * 100, 0) / 100 AS price, md5({_html()}) AS content, published_at
     FROM firsts f JOIN pages ON f.url = '{NEWS_SITE}' || page_id WHERE place = 1"""
 
 SENTENCES = r"""pieces AS (
@@ -192,7 +192,7 @@ def queries() -> dict[str, str]:
     sql["compact_date_parse"] = """SELECT event_id, CAST(ts AS DATE) AS from_seconds, CAST(ts AS DATE) AS from_minutes,
         CAST(ts AS DATE) AS from_day, CAST(NULL AS DATE) AS from_junk, CAST(ts AS DATE) AS from_iso,
         CAST(ts AS DATE) AS from_timestamp FROM events"""
-    sql["round_price"] = """SELECT l_orderkey, l_linenumber, round_even(l_extendedprice / l_quantity, 2) AS price
+    sql["round_price"] = """SELECT l_orderkey, l_linenumber, round_even(l_extendedprice / l_quantity * 100, 0) / 100 AS price
         FROM lineitem"""
     sql["dedupe_keep_first"] = """SELECT doc_id, md5(text) AS titles FROM (
             SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS place FROM documents) WHERE place = 1"""
@@ -300,14 +300,14 @@ def queries() -> dict[str, str]:
         SELECT time_published, coalesce(lemma, token) AS token, count(*) AS tf
         FROM found LEFT JOIN lemmas USING (token) WHERE length(coalesce(lemma, token)) >= 2 GROUP BY 1, 2"""
     sql["sentiment_stats"] = f"""WITH {DOC_WORDS}, {_statistics('doc_id')}
-        SELECT doc_id, n_chunks, n_failed, {_r(*SENTIMENT_COLUMNS)} FROM stats"""
+        SELECT doc_id, n_chunks, n_failed, {_r(*SENTIMENT_COLUMNS, digits=9)} FROM stats"""
     sql["daily_sentiment"] = f"""WITH {_news()}, {EVENT_PRICES}, {RAW}, {DAY_WORDS}, {_statistics('time_published')}
-        SELECT time_published, n_chunks, n_failed, {_r(*SENTIMENT_COLUMNS)} FROM stats"""
+        SELECT time_published, n_chunks, n_failed, {_r(*SENTIMENT_COLUMNS, digits=9)} FROM stats"""
     sql["sentiment_reply"] = """SELECT event_id,
         round(CASE WHEN event_type = 'error' THEN 0 ELSE value / 1000 END, 6) AS neg, round(value / 500, 6) AS pos FROM events"""
     sql["feature_join"] = f"""WITH {_news()}, {EVENT_PRICES}, {RAW}, {RAW_DAYS}, {_series()}, {DAY_WORDS},
         {_statistics('time_published')}
-        SELECT time_published, day_of_week, {_r(*SERIES_FIELDS, *SENTIMENT_COLUMNS)}
+        SELECT time_published, day_of_week, {_r(*SERIES_FIELDS)}, {_r(*SENTIMENT_COLUMNS, digits=9)}
         FROM series LEFT JOIN stats USING (time_published)"""
     sql["html_to_text"] = f"""WITH t AS (SELECT page_id, {_html()} AS content FROM pages)
         SELECT page_id, length(content) AS n_chars, md5(content) AS content FROM t"""
@@ -316,7 +316,7 @@ def queries() -> dict[str, str]:
             SELECT doc_id, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos
             FROM (SELECT doc_id, {_tokens('summary')} AS toks FROM summaries)),
         words AS (SELECT doc_id, token, (pos - 1) // {CHUNK_TOKENS} AS chunk FROM spread), {_statistics('doc_id')}
-        SELECT doc_id, n_chunks, n_failed, {_r(*SENTIMENT_COLUMNS)} FROM stats"""
+        SELECT doc_id, n_chunks, n_failed, {_r(*SENTIMENT_COLUMNS, digits=9)} FROM stats"""
     sql["knn_same_class"] = """WITH points AS (
             SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
         near AS (

@@ -84,5 +84,5 @@ def order_news(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
     return join_prices(news(spark, sf_dir, days, "1995-01-01"), prices)
 
 
-def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(f"`{c}`"), 6) for c in columns})
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in columns})

@@ -21,8 +21,8 @@ def to_double(value: Column) -> Column:
 
 
 def round_price(value: Column) -> Column:
-    """Two decimals, half to even."""
-    return F.bround(to_double(value), 2)
+    """Two decimals, half to even on the scaled double."""
+    return F.rint(to_double(value) * 100) / 100
 
 
 def greed_band(value: Column) -> Column:

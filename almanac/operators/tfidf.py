@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,6 +17,7 @@ from almanac.session import settle
 
 LEMMA_BROADCAST_ROWS = 1_000_000
 COMPONENTS = 2
+SMALL_DOCS = 2048
 EXTRA_DIRECTIONS = 6
 MAX_ROUNDS = 40
 TOLERANCE = 1e-10
@@ -90,6 +94,61 @@ def tfidf(counts: DataFrame, n_docs, doc: str) -> DataFrame:
     return normed.withColumn("weight", F.col("weight") / F.col("norm")).drop("norm")
 
 
+def principal_components(weights: DataFrame, docs: DataFrame, doc: str, k: int = COMPONENTS) -> DataFrame:
+    """(doc, PCA1 … PCAk): scores of the mean-centred weight matrix on its leading components.
+
+    Works on the sparse (doc, token, weight) rows over the whole vocabulary; the dense matrix never
+    exists. Each component's sign makes its largest absolute score positive. Up to SMALL_DOCS documents
+    (years of days) the product of the matrix with its transpose is small and gives the exact answer in
+    one pass; beyond that a block power iteration is used.
+    """
+    docs = settle(docs.select(doc).distinct())
+    if docs.limit(SMALL_DOCS + 1).count() <= SMALL_DOCS:
+        return _components_by_products(weights, docs, doc, k)
+    return _components_by_iteration(weights, docs, doc, k)
+
+
+def _components_by_products(weights: DataFrame, docs: DataFrame, doc: str, k: int) -> DataFrame:
+    spark = docs.sparkSession
+    names = sorted(row[0] for row in docs.collect())
+    n = len(names)
+    index = spark.createDataFrame(list(enumerate(names)), f"i int, {doc} {docs.schema[doc].dataType.simpleString()}")
+    cells = weights.join(F.broadcast(index), doc).select("token", "i", F.col("weight").alias("w"))
+    # A column has at most one cell per document.
+    columns = cells.groupBy("token").agg(F.collect_list("i").alias("at"), F.collect_list("w").alias("w"))
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((n, n))
+        for batch in batches:
+            dense = np.zeros((len(batch), n))
+            for row, (at, w) in enumerate(zip(batch["at"], batch["w"])):
+                dense[row, at] = w
+            total += dense.T @ dense
+        if total.any():
+            yield pd.DataFrame({"i": np.arange(n), "v": list(total)})
+
+    def added(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"i": rows["i"].iloc[:1], "v": [np.sum(np.stack(rows["v"].to_list()), axis=0)]})
+
+    schema = "i int, v array<double>"
+    parts = columns.mapInPandas(products, schema).groupBy("i").applyInPandas(added, schema)
+    gram = np.zeros((n, n))
+    for row in parts.collect():
+        gram[row["i"]] = row["v"]
+    centred = gram - gram.mean(axis=0) - gram.mean(axis=1)[:, None] + gram.mean() if n else gram
+    values, vectors = np.linalg.eigh(centred)
+    scores = np.zeros((n, k))
+    found = vectors[:, ::-1][:, :k] * np.sqrt(np.maximum(values[::-1][:k], 0.0))
+    scores[:, : found.shape[1]] = found
+    if n:
+        largest = scores[np.abs(scores).argmax(axis=0), np.arange(k)]
+        scores *= np.where(largest < 0, -1.0, 1.0)
+    rows = [(i, *map(float, scores[i])) for i in range(n)]
+    fields = ", ".join(f"PCA{j + 1} double" for j in range(k))
+    placed = spark.createDataFrame(rows, f"i int, {fields}")
+    return index.join(F.broadcast(placed), "i").select(doc, *[f"PCA{j + 1}" for j in range(k)])
+
+
 def _per_doc(df: DataFrame, doc: str) -> DataFrame:
     return broadcast_days(df, doc) if isinstance(df.schema[doc].dataType, DateType) else df
 
@@ -114,17 +173,11 @@ def _moments(block: DataFrame, names: list[str], others: list[str]) -> tuple[np.
     return means, np.array(row[len(names):], dtype=float).reshape(len(names), len(others))
 
 
-def principal_components(weights: DataFrame, docs: DataFrame, doc: str, k: int = COMPONENTS) -> DataFrame:
-    """(doc, PCA1 … PCAk): scores of the mean-centred weight matrix on its leading components.
-
-    Block power iteration on the sparse (doc, token, weight) rows over the whole vocabulary; the dense
-    matrix never exists. Each round multiplies a block of document columns by X'X through two joins and
-    two aggregations; the driver only sees the small moment matrices of the block. Centring is done on
-    the document columns, which is the same as centring X. Each component's sign makes its largest
-    absolute score positive.
-    """
+def _components_by_iteration(weights: DataFrame, docs: DataFrame, doc: str, k: int) -> DataFrame:
+    """Each round multiplies a block of document columns by the matrix and its transpose through two
+    joins and two aggregations; the driver only sees the small moment matrices of the block. Centring
+    the document columns is the same as centring the matrix."""
     names = [f"u{j}" for j in range(k + EXTRA_DIRECTIONS)]
-    docs = settle(docs.select(doc).distinct())
     n = docs.count()
     weights = settle(weights.select(doc, "token", "weight"))
     frequent = settle(frequent_tokens(weights.groupBy("token").agg(F.count(F.lit(1)).alias("df")), n))

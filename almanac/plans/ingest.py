@@ -17,13 +17,16 @@ def new_items(news: DataFrame, prices: DataFrame, stored: DataFrame | None = Non
     """(titles, url, time_published, published_at, price): first item per title that is not stored yet.
 
     `news` has (titles, url, time_published as a compact stamp), `prices` has (date, price) as text.
-    With a stored table, only items from the start of its last day on are looked at.
+    With a stored table, only items from the start of its last day on are new. Copies are settled over
+    all landed items first, so a later copy does not come in on a rerun because the first is older
+    than the cursor.
     """
-    if stored is not None:
-        news = feeds.items_since(news, feeds.poll_cursor(stored))
     priced = items.join_prices(items.with_day(news), items.price_days(prices))
     first = items.keep_first(priced, "titles", FIRST_ORDER)
-    return first if stored is None else items.not_stored(first, stored)
+    if stored is None:
+        return first
+    recent = feeds.items_since(first, feeds.poll_cursor(stored), "published_at")
+    return items.not_stored(recent, stored)
 
 
 def ingest(news: DataFrame, prices: DataFrame, pages: DataFrame, stored: DataFrame | None = None) -> DataFrame:
