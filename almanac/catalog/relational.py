@@ -12,7 +12,7 @@ from almanac.functions import dates, scalars, text
 from almanac.operators import items, labels, metrics, rollup, sentiment, series
 from almanac.plans import daily, ingest, reports
 from almanac.schemas import RAW_NEWS_PRICE
-from almanac.session import scratch_path
+from almanac.session import scratch_path, settle
 from almanac.sources import feeds, tables
 from almanac.streaming import ingest as streams
 
@@ -22,7 +22,7 @@ SERIES_COLUMNS = [
 
 
 def daily_series_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = items.keep_first(priced_news(spark, sf_dir), "titles", ["doc_id"])
+    raw = settle(items.keep_first(priced_news(spark, sf_dir), "titles", ["doc_id"]))
     days = daily.daily_table(raw, order=["doc_id"])
     hashed = days.withColumns({"titles": F.md5("titles"), "content": F.md5("content")})
     return rounded(hashed, *SERIES_COLUMNS)
@@ -241,7 +241,7 @@ def expanding_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _class_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = series.with_target(_order_series(spark, sf_dir)).where(F.col("returns").isNotNull())
+    days = settle(series.with_target(_order_series(spark, sf_dir)).where(F.col("returns").isNotNull()))
     truth = labels.label_returns(days).withColumnRenamed("return_class", "actual").drop("return_class_encoded")
     return labels.label_returns(truth, "returns").withColumnRenamed("return_class", "guess")
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almanac.operators.items import join_prices
+from almanac.sources.tables import read_table, spread
+
 # Invented word lists for the invented languages of the test documents.
 LEMMAS = [
     ("des", "de"), ("les", "le"), ("is", "be"), ("are", "be"), ("die", "der"), ("das", "der"),
@@ -15,11 +18,13 @@ LEXICON = [
     ("is", 1.0, 0.0), ("in", 0.25, 0.0), ("der", 0.0, 1.0), ("und", 0.5, 0.0), ("la", 0.0, 0.5),
     ("le", 0.75, 0.0), ("un", 0.0, 0.25), ("que", 0.5, 0.25), ("el", 0.0, 1.0), ("de", 0.25, 0.0),
 ]
+TEXT_TABLES = ("documents", "pages")
 NEWS_SITE = "https://news.example.org/"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = read_table(spark, f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def lemmas(spark: SparkSession) -> DataFrame:
@@ -71,15 +76,11 @@ def order_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def priced_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """News of the 30 event days with their prices."""
-    from almanac.operators.items import join_prices
-
     return join_prices(news(spark, sf_dir), event_prices(spark, sf_dir))
 
 
 def order_news(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
     """News spread over the first `days` calendar days of the order series, with prices."""
-    from almanac.operators.items import join_prices
-
     prices = order_prices(spark, sf_dir).withColumnRenamed("time_published", "date")
     return join_prices(news(spark, sf_dir, days, "1995-01-01"), prices)
 

@@ -121,6 +121,7 @@ def nearest_in_class(
         return out
 
     celled = base.withColumn("p", to_pivots("cls", "x")).select("*", "p.*").drop("p").withColumn("one", F.lit(1))
+    celled = settle(celled)
     ringed = running_offset(celled, ["cls", "pivot"], ["gap", "id"], "one")
     block = ["cls", "pivot", "block"]
     members = settle(ringed.withColumn("block", F.floor(F.col("offset") / block_rows)).drop("offset", "one"))

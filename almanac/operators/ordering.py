@@ -18,8 +18,8 @@ def running_offset(df: DataFrame, group: list[str], order: list[str], size: str,
     A plain window would sort a whole group in one task. Here the rows are cut into ranges of
     (*group, *order), so a big group spans many ranges; totals per range are tiny, and the offset is
     the total of the earlier ranges plus the running sum inside the own range. `order` must be unique
-    within a group and groups not NULL. Pass narrow rows: they are materialised so that the range
-    bounds hold for both uses.
+    within a group and groups not NULL. Pass narrow, settled rows: the range bounds come from a sample
+    of them, and they are materialised once more so that the bounds hold for both uses.
     """
     ranged = settle(df.repartitionByRange(*group, *order).withColumn("slice", F.spark_partition_id()))
     totals = ranged.groupBy(*group, "slice").agg(F.sum(size).alias("total"))

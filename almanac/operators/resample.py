@@ -39,7 +39,7 @@ def smote(
 
     size = F.create_map(*[F.lit(v) for c, m in small.items() for v in (c, m)])
     pool = rows.where(F.col(cls).isin(list(small)))
-    keyed = pool.select(id, cls, F.xxhash64(F.lit(seed), id).alias("draw_order"), F.lit(1).alias("one"))
+    keyed = settle(pool.select(id, cls, F.xxhash64(F.lit(seed), id).alias("draw_order"), F.lit(1).alias("one")))
     placed = running_offset(keyed, [cls], ["draw_order", id], "one", out="turn")
     m, needed = size[F.col(cls)], F.lit(target) - size[F.col(cls)]
     # Turns 0, m, 2m, … below the number of rows needed go to the same row.

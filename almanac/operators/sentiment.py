@@ -16,8 +16,10 @@ from almanac.functions import text
 from almanac.functions.scalars import text_or_empty
 from almanac.operators.keyed import broadcast_below
 from almanac.operators.ordering import running_offset
+from almanac.session import settle
 
 LEXICON_BROADCAST_ROWS = 1_000_000
+OFFSETS_BROADCAST_ROWS = 500_000
 ITEM_ORDER = ["published_at", "url", "titles"]
 
 # A scorer takes (…keys, chunk, words) rows and returns (…keys, chunk, neg, pos, failed) rows.
@@ -26,7 +28,8 @@ Scorer = Callable[[DataFrame, list[str]], DataFrame]
 
 def text_chunks(df: DataFrame, doc: str, content: str, size: int = text.CHUNK_TOKENS) -> DataFrame:
     """(doc, chunk, words) of whole texts; no shuffle. Texts without words give no rows."""
-    return df.select(doc, F.posexplode(text.token_chunks(text.tokens(F.col(content)), size)).alias("chunk", "words"))
+    words = df.select(doc, text.tokens(F.col(content)).alias("words"))
+    return words.select(doc, F.posexplode(text.token_chunks(F.col("words"), size)).alias("chunk", "words"))
 
 
 def day_chunks(
@@ -47,16 +50,19 @@ def day_chunks(
         day,
         *[F.col(source).alias(rank) for source, rank in zip(order, ranks)],
         text.tokens(text_or_empty(F.col(content))).alias("words"),
-    ).where(F.size("words") > 0)
-    sized = items.select(day, *ranks, F.size("words").cast("long").alias("n"))
+    )
     keys = [day, *ranks]
-    offsets = running_offset(sized, [day], ranks, "n").select(*[F.col(c).alias(f"to_{c}") for c in keys], "offset")
-    placed = items.join(offsets, [F.col(c).eqNullSafe(F.col(f"to_{c}")) for c in keys])
-    first = F.floor(F.col("offset") / size)
-    last = F.floor((F.col("offset") + F.size("words") - 1) / size)
-    spread = placed.select("*", F.explode(F.sequence(first, last)).alias("chunk"))
+    sized = settle(items.select(*keys, F.size("words").cast("long").alias("n")))
+    placed = running_offset(sized, [day], ranks, "n").where(F.col("n") > 0)
+    # The chunks an item reaches into are worked out on narrow rows.
+    chunks = F.sequence(F.floor(F.col("offset") / size), F.floor((F.col("offset") + F.col("n") - 1) / size))
+    offsets = settle(placed.select(*[F.col(c).alias(f"to_{c}") for c in keys], "n", "offset", chunks.alias("chunks")))
+    offsets = broadcast_below(offsets, OFFSETS_BROADCAST_ROWS)
+    spread = items.join(offsets, [F.col(c).eqNullSafe(F.col(f"to_{c}")) for c in keys]).select(
+        day, "words", "n", "offset", F.explode("chunks").alias("chunk")
+    )
     start = F.greatest(F.col("chunk") * size - F.col("offset"), F.lit(0)).cast("int")
-    end = F.least((F.col("chunk") + 1) * size - F.col("offset"), F.size("words").cast("long")).cast("int")
+    end = F.least((F.col("chunk") + 1) * size - F.col("offset"), F.col("n")).cast("int")
     cuts = spread.select(
         day, "chunk", F.struct("offset", F.slice("words", start + 1, end - start).alias("part")).alias("cut")
     )

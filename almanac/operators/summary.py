@@ -7,8 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from almanac.functions import text
-from almanac.operators.tfidf import frequent_tokens
-from almanac.operators.keyed import split_join
+from almanac.operators.tfidf import with_idf
+from almanac.session import settle
 
 SUMMARY_SENTENCES = 3
 
@@ -23,15 +23,14 @@ def sentence_scores(df: DataFrame, doc: str, content: str) -> DataFrame:
     words = sentence_rows(df, doc, content).select(
         doc, "pos", F.explode(text.tokens(F.col("sentence"))).alias("token")
     )
-    counts = (
+    counts = settle(
         words.where(F.length("token") >= text.MIN_TERM_LENGTH)
         .groupBy(doc, "pos", "token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     n_docs = df.agg(F.count(F.lit(1))).scalar()
-    frequencies = counts.groupBy("token", doc).agg(F.lit(1).alias("one")).groupBy("token").agg(F.count("one").alias("df"))
-    idf = frequencies.withColumn("idf", F.log((n_docs + 1.0) / (F.col("df") + 1.0)) + 1.0)
-    met = split_join(counts, idf, "token", frequent_tokens(frequencies, n_docs))
+    frequencies = settle(counts.groupBy("token").agg(F.count_distinct(doc).alias("df")))
+    met = with_idf(counts, frequencies, n_docs)
     # From here on everything is per document: one shuffle serves both windows and the sentence sums.
     tf = F.sum("n").over(W.partitionBy(doc, "token"))
     weighed = met.repartition(doc).withColumn("weight", tf * F.col("idf")).withColumn("tf", tf)
@@ -50,5 +49,6 @@ def summaries(df: DataFrame, doc: str, content: str, k: int = SUMMARY_SENTENCES)
         "place", F.row_number().over(W.partitionBy(doc).orderBy(F.desc(F.round("score", 9)), "pos"))
     )
     best = ranked.where(F.col("place") <= k).groupBy(doc).agg(F.array_sort(F.collect_list("pos")).alias("picked"))
-    chosen = F.transform("picked", lambda p: F.get(text.sentences(F.col(content)), p))
-    return df.select(doc, content).join(best, doc).select(doc, F.array_join(chosen, " ").alias("summary"))
+    whole = df.select(doc, text.sentences(F.col(content)).alias("sentences")).join(best, doc)
+    chosen = F.transform("picked", lambda p: F.get("sentences", p))
+    return whole.select(doc, F.array_join(chosen, " ").alias("summary"))

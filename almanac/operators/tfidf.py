@@ -6,18 +6,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from almanac.functions import text
 from almanac.operators.keyed import HOT_SHARE, broadcast_below, broadcast_days, split_join
-from almanac.session import settle
+from almanac.session import settle, settle_partitioned
 
 LEMMA_BROADCAST_ROWS = 1_000_000
+VOCABULARY_BROADCAST_ROWS = 2_000_000
 COMPONENTS = 2
 SMALL_DOCS = 2048
+SPARSE_COLUMN = 24
 EXTRA_DIRECTIONS = 6
 MAX_ROUNDS = 40
 TOLERANCE = 1e-10
@@ -59,30 +61,35 @@ def lemmatised_text(df: DataFrame, doc: str, content: str, lemmas: DataFrame) ->
     return ordered.select(doc, text.token_text(F.col("ws")["word"]).alias("processed_text"))
 
 
-def inverse_frequencies(counts: DataFrame, n_docs) -> DataFrame:
-    """(token, df, idf) with idf = ln((1 + n) / (1 + df)) + 1."""
-    frequencies = counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    return frequencies.withColumn("idf", F.log((n_docs + 1.0) / (F.col("df") + 1.0)) + 1.0)
+def idf(df: Column, n_docs: Column | int) -> Column:
+    return F.log((n_docs + F.lit(1.0)) / (df + 1.0)) + 1.0
 
 
-def frequent_tokens(frequencies: DataFrame, n_docs, share: float = HOT_SHARE) -> DataFrame:
+def frequent_tokens(frequencies: DataFrame, n_docs: Column | int, share: float = HOT_SHARE) -> DataFrame:
     """Tokens of more than `share` of the documents: at most 1/share times the mean document vocabulary."""
     return frequencies.where(F.col("df") > n_docs * F.lit(share)).select("token")
 
 
-def weigh(counts: DataFrame, n_docs) -> DataFrame:
-    """Unnormalised weights tf * idf; frequent words meet a broadcast, rare ones a shuffle join."""
-    idf = inverse_frequencies(counts, n_docs)
-    joined = split_join(counts, idf, "token", frequent_tokens(idf, n_docs))
-    return joined.withColumn("weight", F.col("tf") * F.col("idf"))
+def with_idf(counts: DataFrame, frequencies: DataFrame, n_docs: Column | int) -> DataFrame:
+    """Adds df and idf to count rows; `frequencies` is (token, df), materialised.
+
+    A vocabulary that is counted to be small is broadcast. A large one meets the rows of rare words in
+    a shuffle join and those of frequent words, which could swamp a task, in a broadcast.
+    """
+    lookup = frequencies.withColumn("idf", idf(F.col("df"), n_docs))
+    if frequencies.limit(VOCABULARY_BROADCAST_ROWS + 1).count() <= VOCABULARY_BROADCAST_ROWS:
+        return counts.join(F.broadcast(lookup), "token")
+    return split_join(counts, lookup, "token", frequent_tokens(frequencies, n_docs))
 
 
-def tfidf(counts: DataFrame, n_docs, doc: str) -> DataFrame:
-    """(doc, token, tf, df, idf, weight) with rows of unit length.
+def tfidf(counts: DataFrame, n_docs: Column | int, doc: str) -> DataFrame:
+    """(doc, token, tf, df, idf, weight) with rows of unit length, from (doc, token, tf).
 
     `n_docs` is the number of documents, those without words included: a number or a scalar column.
+    `counts` is read several times, so pass a settled frame.
     """
-    weighed = weigh(counts, n_docs)
+    frequencies = settle(counts.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
+    weighed = with_idf(counts, frequencies, n_docs).withColumn("weight", F.col("tf") * F.col("idf"))
     if isinstance(counts.schema[doc].dataType, DateType):
         # A day may hold a third of all words: sum per day with a map-side combine, then broadcast.
         norms = weighed.groupBy(doc).agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
@@ -119,11 +126,18 @@ def _components_by_products(weights: DataFrame, docs: DataFrame, doc: str, k: in
 
     def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((n, n))
+        flat = total.reshape(-1)
         for batch in batches:
-            dense = np.zeros((len(batch), n))
-            for row, (at, w) in enumerate(zip(batch["at"], batch["w"])):
-                dense[row, at] = w
-            total += dense.T @ dense
+            sizes = batch["at"].map(len)
+            for size, group in batch.groupby(sizes):
+                at, w = np.stack(group["at"].to_list()), np.stack(group["w"].to_list())
+                if size <= SPARSE_COLUMN:
+                    cells = at[:, :, None].astype(np.int64) * n + at[:, None, :]
+                    np.add.at(flat, cells.ravel(), (w[:, :, None] * w[:, None, :]).ravel())
+                else:
+                    dense = np.zeros((len(group), n))
+                    np.put_along_axis(dense, at, w, axis=1)
+                    total += dense.T @ dense
         if total.any():
             yield pd.DataFrame({"i": np.arange(n), "v": list(total)})
 
@@ -183,7 +197,7 @@ def _components_by_iteration(weights: DataFrame, docs: DataFrame, doc: str, k: i
     frequent = settle(frequent_tokens(weights.groupBy("token").agg(F.count(F.lit(1)).alias("df")), n))
     # Frequent words always meet a broadcast; the rest is laid out by word once, for all rounds.
     common = settle(weights.join(F.broadcast(frequent), "token", "left_semi"))
-    rare = settle(weights.join(F.broadcast(frequent), "token", "left_anti").repartition("token"))
+    rare = settle_partitioned(weights.join(F.broadcast(frequent), "token", "left_anti").repartition("token"))
 
     unit = [(F.xxhash64(F.lit(j), F.col(doc)) / F.lit(float(2**63))).alias(f"u{j}") for j in range(len(names))]
     block = docs.select(doc, *unit)

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -38,6 +40,7 @@ FULL_REGRESSOR_GRID = {
 SMALL_CLASSIFIER_GRID = {"maxIter": [5], "maxDepth": [3], "stepSize": [0.05, 0.1]}
 SMALL_REGRESSOR_GRID = {"maxIter": [10], "maxDepth": [3], "stepSize": [0.04, 0.1]}
 SEED = 42
+PARALLEL_FITS = 4
 
 
 @dataclass
@@ -52,6 +55,12 @@ class Search:
     extra: dict = field(default_factory=dict)
 
 
+def in_threads(work: Callable, tasks: list) -> list:
+    """Runs independent Spark jobs side by side from the driver."""
+    with ThreadPool(min(PARALLEL_FITS, len(tasks))) as pool:
+        return pool.map(inheritable_thread_target(SparkSession.active())(work), tasks)
+
+
 def candidates(grid: dict[str, list]) -> list[dict]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
@@ -59,7 +68,7 @@ def candidates(grid: dict[str, list]) -> list[dict]:
 def classifier(settings: dict, label: str = "label") -> Estimator:
     return OneVsRest(
         classifier=GBTClassifier(seed=SEED, **settings), featuresCol="features", labelCol=label,
-        predictionCol="clf_predictions",
+        predictionCol="clf_predictions", parallelism=3,
     )
 
 
@@ -81,16 +90,19 @@ def grid_search(
 ) -> tuple[list[dict], dict]:
     """Mean score over the folds for every candidate, and the best candidate.
 
-    The loop is over settings and folds only; every fit and every score is a distributed job. `score`
-    is any function from scored rows to a one-row frame.
+    The loop is over settings and folds only, a few at a time; every fit and every score is a
+    distributed job. `score` is any function from scored rows to a one-row frame.
     """
+    def run(task: tuple[dict, tuple[DataFrame, DataFrame]]) -> dict:
+        settings, (train, test) = task
+        return score(build(settings).fit(train).transform(test)).first().asDict()
+
+    tried = candidates(grid)
+    results = in_threads(run, [(settings, fold) for settings in tried for fold in folds])
     rows = []
-    for settings in candidates(grid):
-        results = [score(build(settings).fit(train).transform(test)).first().asDict() for train, test in folds]
-        means = {
-            name: _mean([r[name] for r in results]) for name in results[0]
-        }
-        rows.append({"settings": settings, **means})
+    for i, settings in enumerate(tried):
+        found = results[i * len(folds):(i + 1) * len(folds)]
+        rows.append({"settings": settings, **{name: _mean([r[name] for r in found]) for name in found[0]}})
     ranked = [r for r in rows if r[rank_by] is not None]
     if not ranked:
         raise ValueError(f"no candidate could be scored by {rank_by}")
@@ -142,7 +154,8 @@ def train_classifier(
     train, held = labelled.where("is_train"), labelled.where(~F.col("is_train"))
     balanced = resampled(train)
     if strict:
-        folds = [(resampled(a), b) for a, b in time_folds(train, day)]
+        cut = time_folds(train, day)
+        folds = list(zip(in_threads(resampled, [a for a, _ in cut]), [b for _, b in cut]))
     else:
         placed = balanced.withColumn(
             "row_order", F.row_number().over(W.orderBy("is_synthetic", "row_id", F.xxhash64("values")))
@@ -170,9 +183,10 @@ def with_classifier(features: DataFrame, model: PipelineModel, day: str = "time_
 
 def out_of_fold(labelled: DataFrame, settings: dict, day: str = "time_published") -> DataFrame:
     """Adds clf_predictions by models that saw only earlier days; the head of the series has none and is left out."""
-    parts = []
-    for train, test in time_folds(labelled, day):
-        parts.append(classifier(settings).fit(resampled(train)).transform(test))
+    def predicted(fold: tuple[DataFrame, DataFrame]) -> DataFrame:
+        return classifier(settings).fit(resampled(fold[0])).transform(fold[1])
+
+    parts = in_threads(predicted, time_folds(labelled, day))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

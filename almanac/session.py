@@ -39,6 +39,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Materialise a frame that several later steps read, cutting its lineage."""
+    """Write a frame that several later steps read to the shared folder and read it back.
+
+    The copy survives lost executors, cuts the lineage, and is columnar: later steps read only what
+    they use, and the planner knows its size.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "settled")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def settle_partitioned(df: DataFrame) -> DataFrame:
+    """Like `settle`, but keeps the partitioning of the frame for later joins."""
     shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -13,6 +13,16 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores when it has too few splits to use them.
+
+    A large table has many splits and comes back unchanged; only a table in one or two small files is
+    shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def high_water(df: DataFrame, column: str = "time_published") -> DataFrame:
     """One row: the latest value stored."""
     return df.agg(F.max(column).alias("latest"))
