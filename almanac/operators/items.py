@@ -51,7 +51,8 @@ def not_stored(batch: DataFrame, stored: DataFrame, key: str = "titles") -> Data
 def with_content(items: DataFrame, pages: DataFrame) -> DataFrame:
     """Adds the readable text of each item's page, taken from (url, html); items without one are dropped.
 
-    Pages must be unique by url. A url that many items share does not become one task's work.
+    Pages must be unique by url. A url that many items share does not become one task's work. The items
+    are read several times, so pass a settled frame.
     """
     readable = pages.select("url", text.html_to_text(F.col("html")).alias("content"))
     met = split_join(items, readable, "url", hot_keys(items, "url"))

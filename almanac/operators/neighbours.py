@@ -159,14 +159,16 @@ def nearest_in_class(
     )
     asked_rows = members.where("asks").count()
     shares = asked_rows // VISITORS_PER_TASK + 1
-    visits = visits.withColumn("share", F.pmod(F.xxhash64("id"), F.lit(shares)).cast("int"))
-    hosts = members.select("id", "x", *block).join(visits.select(*block, "share").distinct(), block)
+    visits = settle(visits.withColumn("share", F.pmod(F.xxhash64("id"), F.lit(shares)).cast("int")))
+    keys, host_keys = [*block, "share"], [f"host_{c}" for c in (*block, "share")]
+    tasks = visits.select(*[F.col(c).alias(h) for c, h in zip(keys, host_keys)]).distinct()
+    hosts = members.select("id", "x", *block).join(tasks, [F.col(c) == F.col(f"host_{c}") for c in block])
+    hosts = hosts.select("id", "x", *host_keys)
 
     def elsewhere(key, visitors: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         return _closest(visitors, rows, k)
 
-    keys = [*block, "share"]
-    away = visits.groupBy(*keys).cogroup(hosts.groupBy(*keys)).applyInPandas(elsewhere, found_schema)
+    away = visits.groupBy(*keys).cogroup(hosts.groupBy(*host_keys)).applyInPandas(elsewhere, found_schema)
     return _ranked(home.unionByName(away), k)
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.functions import scalars
 from almanac.operators import items
 from almanac.schemas import RAW_NEWS_PRICE
+from almanac.session import settle
 from almanac.sources import feeds, tables
 
 FIRST_ORDER = ["published_at", "url"]
@@ -31,7 +33,7 @@ def new_items(news: DataFrame, prices: DataFrame, stored: DataFrame | None = Non
 
 def ingest(news: DataFrame, prices: DataFrame, pages: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Rows to append to the raw table; `pages` is (url, html), unique by url."""
-    found = items.with_content(new_items(news, prices, stored), pages)
+    found = items.with_content(settle(new_items(news, prices, stored)), pages)
     rounded = found.withColumn("price", scalars.round_price(F.col("price")))
     return rounded.select(*RAW_NEWS_PRICE.names)
 
@@ -46,8 +48,8 @@ def run_ingest(spark: SparkSession, news: DataFrame, prices: DataFrame, pages: D
 
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
-        return not spark.read.parquet(path).isEmpty()
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+        return not spark.read.schema(RAW_NEWS_PRICE).parquet(path).isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
