@@ -25,10 +25,17 @@ def _news(days: int = 30, start: str = "2024-01-01") -> str:
         FROM documents)"""
 
 
-EVENT_PRICES = "prices AS (SELECT CAST(ts AS DATE) AS date, avg(value) AS price FROM events GROUP BY 1)"
-ORDER_PRICES = """prices AS (
-    SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS price FROM orders GROUP BY 1)"""
-RAW = "raw AS (SELECT news.*, price FROM news JOIN prices ON time_published = date)"
+def _prices(stamp: str, amount: str, source: str) -> str:
+    return f"""prices AS (
+    SELECT CAST({stamp} AS DATE) AS date, CAST(sum(CAST({amount} AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS price
+    FROM {source} GROUP BY 1)"""
+
+
+EVENT_PRICES = _prices("ts", "value", "events")
+ORDER_PRICES = f"""{_prices("o_orderdate", "o_totalprice", "orders").replace("prices AS", "means AS")},
+prices AS (SELECT date, round_even(price * 100, 0) / 100 AS price FROM means)"""
+RAW = """raw AS (
+    SELECT news.*, round_even(price * 100, 0) / 100 AS price FROM news JOIN prices ON time_published = date)"""
 ORDER_DAYS = "days AS (SELECT date AS time_published, price FROM prices)"
 RAW_DAYS = "days AS (SELECT time_published, avg(price) AS price FROM raw GROUP BY 1)"
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almanac.functions.scalars import round_price
 from almanac.operators.items import join_prices
 from almanac.sources.tables import read_table, spread
 
@@ -62,27 +63,38 @@ def stamped_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.withColumn("time_published", stamp)
 
 
+def _mean(column: str) -> Column:
+    """Mean of two-decimal amounts, summed exactly so that the order of rows does not show."""
+    return F.sum(F.col(column).cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))
+
+
 def event_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(date, price): mean event value per day, 30 days."""
     events = table(spark, sf_dir, "events")
-    return events.groupBy(F.to_date("ts").alias("date")).agg(F.avg("value").alias("price"))
+    return events.groupBy(F.to_date("ts").alias("date")).agg(_mean("value").alias("price"))
 
 
 def order_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(time_published, price): mean order total per day, the long series."""
     orders = table(spark, sf_dir, "orders")
-    return orders.groupBy(F.to_date("o_orderdate").alias("time_published")).agg(F.avg("o_totalprice").alias("price"))
+    return orders.groupBy(F.to_date("o_orderdate").alias("time_published")).agg(
+        round_price(_mean("o_totalprice")).alias("price")
+    )
+
+
+def _with_closes(items: DataFrame, prices: DataFrame) -> DataFrame:
+    return join_prices(items, prices).withColumn("price", round_price(F.col("price")))
 
 
 def priced_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """News of the 30 event days with their prices."""
-    return join_prices(news(spark, sf_dir), event_prices(spark, sf_dir))
+    return _with_closes(news(spark, sf_dir), event_prices(spark, sf_dir))
 
 
 def order_news(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
     """News spread over the first `days` calendar days of the order series, with prices."""
     prices = order_prices(spark, sf_dir).withColumnRenamed("time_published", "date")
-    return join_prices(news(spark, sf_dir, days, "1995-01-01"), prices)
+    return _with_closes(news(spark, sf_dir, days, "1995-01-01"), prices)
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:

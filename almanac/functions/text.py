@@ -52,7 +52,7 @@ def chunk_texts(words: Column, size: int = CHUNK_TOKENS) -> Column:
 def sentences(text: Column) -> Column:
     """Sentences in order: a break follows . ! or ? and white space, or a line end."""
     broken = F.regexp_replace(text, r"([.!?])[ \t\n\f\r]+", "$1\n")
-    return F.filter(F.transform(F.split(broken, "\n"), F.trim), lambda s: F.length(s) > 0)
+    return F.filter(F.transform(F.split(broken, "\n"), lambda s: F.trim(s)), lambda s: F.length(s) > 0)
 
 
 def html_to_text(html: Column) -> Column:

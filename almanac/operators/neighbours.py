@@ -3,7 +3,9 @@
 Each class is cut into cells around a few pivot rows, and each cell into blocks of rows at a similar
 distance from the pivot. A row first finds its neighbours in its own block; that gives a distance no
 other block can beat unless the triangle inequality allows it, and only those blocks are visited.
-Blocks are small, so a class holding a third of all rows spreads over many tasks.
+Blocks have a fixed size, so a class holding a third of all rows spreads over many tasks. Where distances
+tell rows apart little (many dimensions, no clusters), few blocks can be ruled out and the work grows with the
+square of the class, as it must for an exact answer; only the k best per block and row are ever emitted.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from almanac.operators.keyed import broadcast_below
 from almanac.operators.ordering import running_offset
 from almanac.session import settle
 
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 8192
 MAX_PIVOTS = 64
 MAX_CLASSES = 1000
 VISITORS_PER_TASK = 32768
@@ -103,8 +105,20 @@ def nearest_in_class(
         base = base.join(asked, "id", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
     base = settle(base)
     sizes = class_sizes(base, "cls")
+    id_type = base.schema["id"].dataType.simpleString()
+
+    def at_home(rows: pd.DataFrame) -> pd.DataFrame:
+        asking = rows[rows["asks"]]
+        if asking.empty:
+            return pd.DataFrame({"id": [], "neighbour": [], "d2": []})
+        return _closest(asking, rows, k)
+
+    found_schema = f"id {id_type}, neighbour {id_type}, d2 double"
+    if all(m <= block_rows for m in sizes.values()):
+        # Every class is one block: nothing else to visit.
+        return _ranked(base.groupBy("cls").applyInPandas(at_home, found_schema), k)
+
     pivots = _pivots(base, sizes, block_rows)
-    id_type, cls_type = base.schema["id"].dataType.simpleString(), base.schema["cls"].dataType.simpleString()
 
     @F.pandas_udf("pivot int, gap double, gaps array<double>")
     def to_pivots(classes: pd.Series, vectors: pd.Series) -> pd.DataFrame:
@@ -126,19 +140,7 @@ def nearest_in_class(
     block = ["cls", "pivot", "block"]
     members = settle(ringed.withColumn("block", F.floor(F.col("offset") / block_rows)).drop("offset", "one"))
 
-    def at_home(rows: pd.DataFrame) -> pd.DataFrame:
-        asking = rows[rows["asks"]]
-        if asking.empty:
-            return pd.DataFrame({"id": [], "neighbour": [], "d2": []})
-        return _closest(asking, rows, k)
-
-    found_schema = f"id {id_type}, neighbour {id_type}, d2 double"
-    home = members.groupBy(*block).applyInPandas(at_home, found_schema)
-    if all(m <= block_rows for m in sizes.values()):
-        # One block per cell and one cell per class: everything has been compared.
-        return _ranked(home, k)
-
-    home = settle(home)
+    home = settle(members.groupBy(*block).applyInPandas(at_home, found_schema))
     reach = home.groupBy("id").agg(F.max("d2").alias("far"), F.count(F.lit(1)).alias("seen")).select(
         "id", F.when(F.col("seen") >= k, F.sqrt("far")).alias("reach")
     )
@@ -157,16 +159,16 @@ def nearest_in_class(
         )
         .select("id", "x", "cls", F.col("at").alias("pivot"), F.col("to").alias("block"))
     )
-    asked_rows = members.where("asks").count()
-    shares = asked_rows // VISITORS_PER_TASK + 1
-    visits = settle(visits.withColumn("share", F.pmod(F.xxhash64("id"), F.lit(shares)).cast("int")))
+    # A block that very many rows visit is visited in shares, each by a task of its own.
+    shares = members.where("asks").count() // VISITORS_PER_TASK + 1
+    visits = visits.withColumn("share", F.pmod(F.xxhash64("id"), F.lit(shares)).cast("int"))
     keys, host_keys = [*block, "share"], [f"host_{c}" for c in (*block, "share")]
     tasks = visits.select(*[F.col(c).alias(h) for c, h in zip(keys, host_keys)]).distinct()
-    hosts = members.select("id", "x", *block).join(tasks, [F.col(c) == F.col(f"host_{c}") for c in block])
-    hosts = hosts.select("id", "x", *host_keys)
+    hosts = members.select(F.col("id").alias("member"), F.col("x").alias("member_x"), *block)
+    hosts = hosts.join(tasks, [F.col(c) == F.col(f"host_{c}") for c in block]).select("member", "member_x", *host_keys)
 
-    def elsewhere(key, visitors: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        return _closest(visitors, rows, k)
+    def elsewhere(visitors: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        return _closest(visitors, rows.rename(columns={"member": "id", "member_x": "x"}), k)
 
     away = visits.groupBy(*keys).cogroup(hosts.groupBy(*host_keys)).applyInPandas(elsewhere, found_schema)
     return _ranked(home.unionByName(away), k)

@@ -40,7 +40,7 @@ FULL_REGRESSOR_GRID = {
 SMALL_CLASSIFIER_GRID = {"maxIter": [5], "maxDepth": [3], "stepSize": [0.05, 0.1]}
 SMALL_REGRESSOR_GRID = {"maxIter": [10], "maxDepth": [3], "stepSize": [0.04, 0.1]}
 SEED = 42
-PARALLEL_FITS = 4
+PARALLEL_FITS = 6
 
 
 @dataclass

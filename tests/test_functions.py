@@ -57,6 +57,7 @@ def test_chunk_bounds(spark):
 
 def test_sentences_break_on_stops_and_lines(spark):
     assert column(spark, ["One. Two!  3.14 is pi\n\nLast"], text.sentences) == [["One.", "Two!", "3.14 is pi", "Last"]]
+    assert column(spark, ["0 a 0\n1 b 1\n2 c 2"], text.sentences) == [["0 a 0", "1 b 1", "2 c 2"]]
 
 
 def test_html_to_text(spark):
