@@ -238,8 +238,7 @@ def queries() -> dict[str, str]:
     sql["return_classes"] = f"""WITH {ORDER_SERIES}, classed AS (
             SELECT time_published, {_class('future_returns', 'avg(future_returns) OVER ()',
                                            'stddev_samp(future_returns) OVER ()')} AS return_class FROM series)
-        SELECT *, CASE return_class WHEN 'mod_return' THEN 0 WHEN 'neg_return' THEN 1 ELSE 2 END
-            AS return_class_encoded FROM classed"""
+        SELECT *, CAST(dense_rank() OVER (ORDER BY return_class) - 1 AS INTEGER) AS return_class_encoded FROM classed"""
     sql["edge_trim_and_split"] = f"""WITH {ORDER_SERIES}, placed AS (
             SELECT *, row_number() OVER (ORDER BY time_published) AS place, count(*) OVER () AS total FROM series),
         inner_rows AS (SELECT * FROM placed WHERE place > 1 AND place < total AND future_returns IS NOT NULL),

@@ -54,9 +54,10 @@ def with_content(items: DataFrame, pages: DataFrame) -> DataFrame:
     Pages must be unique by url. A url that many items share does not become one task's work. The items
     are read several times, so pass a settled frame.
     """
-    readable = pages.select("url", text.html_to_text(F.col("html")).alias("content"))
-    met = split_join(items, readable, "url", hot_keys(items, "url"))
-    return met.na.drop(subset=["content"])
+    # Only a missing page gives missing content, so the check is made before the page is read.
+    fetched = pages.where(F.col("html").isNotNull())
+    readable = fetched.select("url", text.html_to_text(F.col("html")).alias("content"))
+    return split_join(items, readable, "url", hot_keys(items, "url"))
 
 
 def latest_pages(pages: DataFrame, order: str) -> DataFrame:

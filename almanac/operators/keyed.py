@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
+from almanac.session import settle
+
 HOT_SHARE = 0.01
 
 
@@ -29,16 +31,26 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     """Keys that hold more than `share` of the rows; there are fewer than 1/share of them."""
     counts = df.groupBy(key).count()
     total = df.agg(F.count(F.lit(1))).scalar()
-    return counts.where(F.col(key).isNotNull() & (F.col("count") > total * F.lit(share))).select(key)
+    return settle(counts.where(F.col(key).isNotNull() & (F.col("count") > total * F.lit(share))).select(key))
 
 
 def split_join(facts: DataFrame, lookup: DataFrame, key: str, hot: DataFrame, how: str = "inner") -> DataFrame:
     """Join `facts` to a table unique by `key` without sending a hot key to one task.
 
-    `hot` lists the hot keys and must be small by construction (see `hot_keys`). Rows with those keys
-    meet a broadcast of their lookup rows and are not shuffled; all other rows take the normal join.
+    `hot` lists the hot keys, is cheap to read, and must be small by construction (see `hot_keys`). Rows
+    with those keys meet a broadcast of their lookup rows and are not shuffled; all other rows take the
+    normal join.
     """
+    if hot.isEmpty():
+        return facts.join(lookup, key, how)
     hot = F.broadcast(hot)
     few = F.broadcast(lookup.join(hot, key, "left_semi"))
     hot_side = facts.join(hot, key, "left_semi").join(few, key, how)
     return hot_side.unionByName(facts.join(hot, key, "left_anti").join(lookup, key, how))
+
+
+def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, rows: int, how: str = "left") -> DataFrame:
+    """Join to a table unique by `key`: a broadcast when it is counted to be small, else split by hot keys."""
+    if lookup.limit(rows + 1).count() <= rows:
+        return facts.join(F.broadcast(lookup), key, how)
+    return split_join(facts, lookup, key, hot_keys(facts, key), how)

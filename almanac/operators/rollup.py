@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from almanac.functions.scalars import text_or_empty
 from almanac.operators.keyed import broadcast_days
+from almanac.session import settle
 
 # A cell holds at most 2 GB; days with more text than this are returned in several pieces.
 PIECE_CHARS = 64 * 1024 * 1024
@@ -48,7 +49,8 @@ def daily_text(
     order = ranks
 
     chars = sum((F.length(c) for c in columns), F.lit(0)).cast("long")
-    big = items.groupBy(day).agg(F.sum(chars).alias("chars")).where(F.col("chars") > piece_chars)
+    sizes = items.groupBy(day).agg(F.sum(chars).alias("chars"))
+    big = settle(sizes.where(F.col("chars") > piece_chars))
     total = big.agg(F.sum("chars")).first()[0]
     if total is None:
         return _joined(items, [day], order, list(columns)).select(day, F.lit(0).alias("piece"), *columns)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from almanac.functions import text
 from almanac.functions.scalars import text_or_empty
-from almanac.operators.keyed import broadcast_below
+from almanac.operators.keyed import broadcast_below, lookup_join
 from almanac.operators.ordering import running_offset
 from almanac.session import settle
 
@@ -74,9 +74,8 @@ def lexicon_scorer(lexicon: DataFrame) -> Scorer:
     """Share of a chunk's words that a (token, neg, pos) word list weighs as negative and positive."""
 
     def score(chunks: DataFrame, keys: list[str]) -> DataFrame:
-        lookup = broadcast_below(lexicon.select("token", "neg", "pos"), LEXICON_BROADCAST_ROWS)
         words = chunks.select(*keys, "chunk", F.explode("words").alias("token"))
-        met = words.join(lookup, "token", "left")
+        met = lookup_join(words, lexicon.select("token", "neg", "pos"), "token", LEXICON_BROADCAST_ROWS)
 
         def share(name: str):
             return F.coalesce(F.sum(name), F.lit(0.0)) / F.count(F.lit(1))

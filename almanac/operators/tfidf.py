@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from almanac.functions import text
-from almanac.operators.keyed import HOT_SHARE, broadcast_below, broadcast_days, split_join
+from almanac.operators.keyed import HOT_SHARE, broadcast_days, lookup_join, split_join
 from almanac.session import settle, settle_partitioned
 
 LEMMA_BROADCAST_ROWS = 1_000_000
@@ -32,8 +32,7 @@ def token_rows(df: DataFrame, doc: str, content: str) -> DataFrame:
 
 def lemma_counts(counts: DataFrame, lemmas: DataFrame, doc: str) -> DataFrame:
     """Counts per lemma from counts per token: the lookup runs on already aggregated rows."""
-    lookup = broadcast_below(lemmas.select("token", "lemma"), LEMMA_BROADCAST_ROWS)
-    merged = counts.join(lookup, "token", "left")
+    merged = lookup_join(counts, lemmas.select("token", "lemma"), "token", LEMMA_BROADCAST_ROWS)
     return merged.groupBy(doc, F.coalesce("lemma", "token").alias("token")).agg(F.sum("tf").alias("tf"))
 
 
@@ -52,8 +51,8 @@ def term_counts(df: DataFrame, doc: str, content: str, lemmas: DataFrame | None
 def lemmatised_text(df: DataFrame, doc: str, content: str, lemmas: DataFrame) -> DataFrame:
     """(doc, processed_text): the words of a document replaced by their lemmas, in order."""
     words = df.select(doc, F.posexplode(text.tokens(F.col(content))).alias("pos", "token"))
-    lookup = broadcast_below(lemmas.select("token", "lemma"), LEMMA_BROADCAST_ROWS)
-    named = words.join(lookup, "token", "left").select(
+    met = lookup_join(words, lemmas.select("token", "lemma"), "token", LEMMA_BROADCAST_ROWS)
+    named = met.select(
         doc, F.struct("pos", F.coalesce("lemma", "token").alias("word")).alias("w")
     )
     # A group is one document, which was a single cell before.

@@ -21,7 +21,8 @@ def item_stream(spark: SparkSession, path: str, schema: StructType | str, files_
 def first_within(stream: DataFrame, stamp: str, key: str = "titles", delay: str = "2 days") -> DataFrame:
     """First item per key while its state is kept; items later than the delay may pass again.
 
-    For bounded state. `stamp` must be a timestamp. The table-backed ingest below has no late rule.
+    For bounded state. `stamp` must be a timestamp. All copies of a key reach one state task; the
+    table-backed ingest below has neither that limit nor a late rule.
     """
     return stream.withWatermark(stamp, delay).dropDuplicatesWithinWatermark([key])
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from almanac.operators import sentiment, summary, tfidf
-from almanac.operators.keyed import broadcast_days, hot_keys, split_join
+from almanac.operators.keyed import broadcast_days, hot_keys, lookup_join, split_join
 from almanac.operators.ordering import running_offset
 from almanac.plans import features
 from almanac.schemas import FEATURES
@@ -93,6 +93,13 @@ def test_split_join_equals_join_with_a_hot_key(spark):
         assert sorted(found, key=str) == sorted(facts.join(lookup, "k", how).select("i", "k", "v").collect(), key=str)
 
 
+def test_lookup_join_gives_the_same_rows_either_way(spark):
+    facts = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(90)], "i int, k string")
+    lookup = spark.createDataFrame([("hot", 1.0), ("k3", 3.0), ("k6", 6.0)], "k string, v double")
+    small, large = (sorted(lookup_join(facts, lookup, "k", rows).collect(), key=str) for rows in (10, 2))
+    assert small == large and len(small) == 90
+
+
 def test_split_join_keeps_rows_without_a_key(spark):
     facts = spark.createDataFrame([(1, None), (2, "a")], "i int, k string")
     lookup = spark.createDataFrame([("a", 1.0)], "k string, v double")
