@@ -54,9 +54,8 @@ def tfidf_pca2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentiment_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = sentiment.text_chunks(table(spark, sf_dir, "documents"), "doc_id", "text")
-    scored = sentiment.lexicon_scorer(lexicon(spark))(chunks, ["doc_id"])
-    return rounded(sentiment.sentiment_statistics(scored, ["doc_id"]), *SENTIMENT_COLUMNS, digits=9)
+    documents, scorer = table(spark, sf_dir, "documents"), sentiment.lexicon_scorer(lexicon(spark))
+    return rounded(sentiment.text_sentiment(documents, "doc_id", "text", scorer), *SENTIMENT_COLUMNS, digits=9)
 
 
 def daily_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,8 +78,7 @@ def sentiment_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     judged = documents.join(table(spark, sf_dir, "labels"), "doc_id")
     scorer = sentiment.model_scorer(sentiment.train_scorer(judged, "text", "quality"))
-    scored = scorer(sentiment.text_chunks(documents, "doc_id", "text"), ["doc_id"])
-    return sentiment.sentiment_statistics(scored, ["doc_id"])
+    return sentiment.text_sentiment(documents, "doc_id", "text", scorer)
 
 
 def feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,9 +100,9 @@ def extractive_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def summary_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentiment of the summaries instead of the whole texts."""
-    done = summary.summaries(table(spark, sf_dir, "documents"), "doc_id", "text")
-    scored = sentiment.lexicon_scorer(lexicon(spark))(sentiment.text_chunks(done, "doc_id", "summary"), ["doc_id"])
-    return rounded(sentiment.sentiment_statistics(scored, ["doc_id"]), *SENTIMENT_COLUMNS, digits=9)
+    done = settle(summary.summaries(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    scores = sentiment.text_sentiment(done, "doc_id", "summary", sentiment.lexicon_scorer(lexicon(spark)))
+    return rounded(scores, *SENTIMENT_COLUMNS, digits=9)
 
 
 def knn_same_class(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -289,8 +289,8 @@ def queries() -> dict[str, str]:
     sql["tokenise"] = f"""WITH t AS (SELECT doc_id, {_tokens('text')} AS words FROM documents)
         SELECT doc_id, len(words) AS n_tokens, md5(array_to_string(words, ' ')) AS tokens FROM t"""
     sql["lemma_join"] = f"""WITH {DOC_WORDS}, {LEMMA_CTE}
-        SELECT doc_id, md5(string_agg(coalesce(lemma, token), ' ' ORDER BY pos)) AS processed_text
-        FROM spread LEFT JOIN lemmas USING (token) GROUP BY doc_id"""
+        SELECT doc_id, md5(coalesce(string_agg(coalesce(lemma, token), ' ' ORDER BY pos), '')) AS processed_text
+        FROM documents LEFT JOIN spread USING (doc_id) LEFT JOIN lemmas USING (token) GROUP BY doc_id"""
     sql["chunk_500"] = f"""WITH {DOC_WORDS}
         SELECT doc_id, (pos - 1) // {CHUNK_TOKENS} AS chunk, count(*) AS n_tokens,
                md5(string_agg(token, ' ' ORDER BY pos)) AS chunk_text FROM spread GROUP BY 1, 2"""
@@ -306,7 +306,8 @@ def queries() -> dict[str, str]:
         SELECT time_published, coalesce(lemma, token) AS token, count(*) AS tf
         FROM found LEFT JOIN lemmas USING (token) WHERE length(coalesce(lemma, token)) >= 2 GROUP BY 1, 2"""
     sql["sentiment_stats"] = f"""WITH {DOC_WORDS}, {_statistics('doc_id')}
-        SELECT doc_id, n_chunks, n_failed, {_r(*SENTIMENT_COLUMNS, digits=9)} FROM stats"""
+        SELECT doc_id, coalesce(n_chunks, 0) AS n_chunks, coalesce(n_failed, 0) AS n_failed,
+            {_r(*SENTIMENT_COLUMNS, digits=9)} FROM documents LEFT JOIN stats USING (doc_id)"""
     sql["daily_sentiment"] = f"""WITH {_news()}, {EVENT_PRICES}, {RAW}, {DAY_WORDS}, {_statistics('time_published')}
         SELECT time_published, n_chunks, n_failed, {_r(*SENTIMENT_COLUMNS, digits=9)} FROM stats"""
     sql["sentiment_reply"] = """SELECT event_id,
@@ -317,12 +318,13 @@ def queries() -> dict[str, str]:
         FROM series LEFT JOIN stats USING (time_published)"""
     sql["html_to_text"] = f"""WITH t AS (SELECT page_id, {_html()} AS content FROM pages)
         SELECT page_id, length(content) AS n_chars, md5(content) AS content FROM t"""
-    sql["extractive_summary"] = f"WITH {SUMMARY} SELECT doc_id, md5(summary) AS summary FROM summaries"
+    sql["extractive_summary"] = f"WITH {SUMMARY} SELECT doc_id, md5(summary) AS summary FROM documents LEFT JOIN summaries USING (doc_id)"
     sql["summary_sentiment"] = f"""WITH {SUMMARY}, spread AS (
             SELECT doc_id, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos
             FROM (SELECT doc_id, {_tokens('summary')} AS toks FROM summaries)),
         words AS (SELECT doc_id, token, (pos - 1) // {CHUNK_TOKENS} AS chunk FROM spread), {_statistics('doc_id')}
-        SELECT doc_id, n_chunks, n_failed, {_r(*SENTIMENT_COLUMNS, digits=9)} FROM stats"""
+        SELECT doc_id, coalesce(n_chunks, 0) AS n_chunks, coalesce(n_failed, 0) AS n_failed,
+            {_r(*SENTIMENT_COLUMNS, digits=9)} FROM documents LEFT JOIN stats USING (doc_id)"""
     sql["knn_same_class"] = """WITH points AS (
             SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
         near AS (

@@ -150,3 +150,9 @@ def sentiment_statistics(scored: DataFrame, keys: list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("n_chunks"),
         F.count(F.when(F.col("failed"), 1)).alias("n_failed"),
     )
+
+
+def text_sentiment(df: DataFrame, doc: str, content: str, scorer: Scorer) -> DataFrame:
+    """(doc, statistics, n_chunks, n_failed) for every text; one without words has NULL statistics and no chunks."""
+    statistics = sentiment_statistics(scorer(text_chunks(df, doc, content), [doc]), [doc])
+    return df.select(doc).join(statistics, doc, "left").na.fill(0, ["n_chunks", "n_failed"])

@@ -44,11 +44,11 @@ def sentence_scores(df: DataFrame, doc: str, content: str) -> DataFrame:
 
 
 def summaries(df: DataFrame, doc: str, content: str, k: int = SUMMARY_SENTENCES) -> DataFrame:
-    """(doc, summary) of the k best sentences, ties to the earlier one; texts without words have none."""
+    """(doc, summary) of the k best sentences, ties to the earlier one; NULL for a text without words."""
     ranked = sentence_scores(df, doc, content).withColumn(
         "place", F.row_number().over(W.partitionBy(doc).orderBy(F.desc(F.round("score", 9)), "pos"))
     )
     best = ranked.where(F.col("place") <= k).groupBy(doc).agg(F.array_sort(F.collect_list("pos")).alias("picked"))
-    whole = df.select(doc, text.sentences(F.col(content)).alias("sentences")).join(best, doc)
+    whole = df.select(doc, text.sentences(F.col(content)).alias("sentences")).join(best, doc, "left")
     chosen = F.transform("picked", lambda p: F.get("sentences", p))
     return whole.select(doc, F.array_join(chosen, " ").alias("summary"))

@@ -20,6 +20,7 @@ VOCABULARY_BROADCAST_ROWS = 2_000_000
 COMPONENTS = 2
 SMALL_DOCS = 2048
 SPARSE_COLUMN = 24
+PRODUCT_TASKS = 512
 EXTRA_DIRECTIONS = 6
 MAX_ROUNDS = 40
 TOLERANCE = 1e-10
@@ -49,8 +50,8 @@ def term_counts(df: DataFrame, doc: str, content: str, lemmas: DataFrame | None
 
 
 def lemmatised_text(df: DataFrame, doc: str, content: str, lemmas: DataFrame) -> DataFrame:
-    """(doc, processed_text): the words of a document replaced by their lemmas, in order."""
-    words = df.select(doc, F.posexplode(text.tokens(F.col(content))).alias("pos", "token"))
+    """(doc, processed_text): the words of a document replaced by their lemmas, in order; empty without words."""
+    words = df.select(doc, F.posexplode_outer(text.tokens(F.col(content))).alias("pos", "token"))
     met = lookup_join(words, lemmas.select("token", "lemma"), "token", LEMMA_BROADCAST_ROWS)
     named = met.select(
         doc, F.struct("pos", F.coalesce("lemma", "token").alias("word")).alias("w")
@@ -144,7 +145,8 @@ def _components_by_products(weights: DataFrame, docs: DataFrame, doc: str, k: in
         return pd.DataFrame({"i": rows["i"].iloc[:1], "v": [np.sum(np.stack(rows["v"].to_list()), axis=0)]})
 
     schema = "i int, v array<double>"
-    parts = columns.mapInPandas(products, schema).groupBy("i").applyInPandas(added, schema)
+    # Every task returns up to n x n numbers, so their number is limited; the words are spread over all of them.
+    parts = columns.coalesce(PRODUCT_TASKS).mapInPandas(products, schema).groupBy("i").applyInPandas(added, schema)
     gram = np.zeros((n, n))
     for row in parts.collect():
         gram[row["i"]] = row["v"]

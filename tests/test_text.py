@@ -80,7 +80,9 @@ def test_lemmas_in_counts_and_in_text(spark):
     df = spark.createDataFrame([(1, "Rises rise x fall"), (2, "")], "doc int, text string")
     counts = {(r["doc"], r["token"]): r["tf"] for r in tfidf.term_counts(df, "doc", "text", lemmas).collect()}
     assert counts == {(1, "rise"): 2, (1, "long"): 1, (1, "fall"): 1}
-    assert [tuple(r) for r in tfidf.lemmatised_text(df, "doc", "text", lemmas).collect()] == [(1, "rise rise long fall")]
+    assert [tuple(r) for r in tfidf.lemmatised_text(df, "doc", "text", lemmas).orderBy("doc").collect()] == [
+        (1, "rise rise long fall"), (2, ""),
+    ]
 
 
 def test_split_join_equals_join_with_a_hot_key(spark):
@@ -154,6 +156,13 @@ def test_lexicon_statistics(spark):
     assert row["std_neg_sentiment"] == pytest.approx(neg.std()) and row["n_chunks"] == 2
 
 
+def test_every_text_keeps_its_row(spark):
+    lexicon = spark.createDataFrame([("rise", 0.0, 1.0)], "token string, neg double, pos double")
+    df = spark.createDataFrame([(1, "rise"), (2, "..."), (3, None)], "doc int, text string")
+    out = sentiment.text_sentiment(df, "doc", "text", sentiment.lexicon_scorer(lexicon)).orderBy("doc").collect()
+    assert [(r["n_chunks"], r["mean_pos_sentiment"]) for r in out] == [(1, 1.0), (0, None), (0, None)]
+
+
 def test_pandas_scorer_flags_only_the_failing_chunk(spark):
     def model(texts: pd.Series) -> pd.DataFrame:
         if texts.str.contains("bad").any():
@@ -176,7 +185,7 @@ def test_summary_keeps_order_and_short_texts_whole(spark):
     texts = [(1, "Alpha beta gamma. The the the. Delta rates rise!"), (2, "One sentence only"), (3, "...")]
     df = spark.createDataFrame(texts, "doc int, text string")
     out = dict(tuple(r) for r in summary.summaries(df, "doc", "text", 2).collect())
-    assert out[2] == "One sentence only" and 3 not in out
+    assert out[2] == "One sentence only" and out[3] is None
     assert len(out[1].split(". ")) == 2 and texts[0][1].index(out[1][:5]) >= 0
 
 
