@@ -39,9 +39,9 @@ def chunk_500(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    counts = settle(tfidf.term_counts(documents, "doc_id", "text"))
+    counts = tfidf.term_counts(documents, "doc_id", "text")
     n_docs = documents.agg(F.count(F.lit(1))).scalar()
-    weights = tfidf.tfidf(counts, n_docs, "doc_id")
+    weights = tfidf.tfidf(counts, n_docs, "doc_id", tfidf.document_frequencies(documents, "text"))
     return rounded(weights.select("doc_id", "token", "tf", "df", "weight"), "weight")
 
 
@@ -50,7 +50,7 @@ def daily_lemma_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tfidf_pca2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.day_components(news(spark, sf_dir, 60, "1995-01-01"))
+    return features.day_components(settle(news(spark, sf_dir, 60, "1995-01-01")))
 
 
 def sentiment_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +59,8 @@ def sentiment_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = features.day_sentiment(priced_news(spark, sf_dir), sentiment.lexicon_scorer(lexicon(spark)), ["doc_id"])
+    raw = settle(priced_news(spark, sf_dir))
+    scores = features.day_sentiment(raw, sentiment.lexicon_scorer(lexicon(spark)), ["doc_id"])
     return rounded(scores, *SENTIMENT_COLUMNS, digits=9)
 
 
@@ -83,7 +84,8 @@ def sentiment_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     scorer = sentiment.lexicon_scorer(lexicon(spark))
-    table_ = features.features(priced_news(spark, sf_dir), scorer, lemmas(spark), ["doc_id"]).drop("PCA1", "PCA2")
+    raw = settle(priced_news(spark, sf_dir))
+    table_ = features.features(raw, scorer, lemmas(spark), ["doc_id"]).drop("PCA1", "PCA2")
     numbers = [c for c in table_.columns if c not in ("time_published", "day_of_week", *SENTIMENT_COLUMNS)]
     return rounded(rounded(table_, *numbers), *SENTIMENT_COLUMNS, digits=9)
 

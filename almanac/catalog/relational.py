@@ -212,7 +212,7 @@ def rolling_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_vs_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = order_news(spark, sf_dir, 60)
+    raw = settle(order_news(spark, sf_dir, 60))
     chunks = sentiment.day_chunks(raw, ["doc_id"])
     scored = sentiment.lexicon_scorer(lexicon(spark))(chunks, ["time_published"])
     scores = sentiment.sentiment_statistics(scored, ["time_published"])

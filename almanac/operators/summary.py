@@ -7,8 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from almanac.functions import text
-from almanac.operators.tfidf import with_idf
-from almanac.session import settle
+from almanac.operators.tfidf import document_frequencies, with_idf
 
 SUMMARY_SENTENCES = 3
 
@@ -20,20 +19,16 @@ def sentence_rows(df: DataFrame, doc: str, content: str) -> DataFrame:
 
 def sentence_scores(df: DataFrame, doc: str, content: str) -> DataFrame:
     """(doc, pos, score): mean TF-IDF weight of the sentence's words within their document."""
-    words = sentence_rows(df, doc, content).select(
+    frequencies = document_frequencies(df, content)
+    n_docs = df.agg(F.count(F.lit(1))).scalar()
+    # Whole texts are laid out by document; the word counts, both windows and the sentence sums then stay in place.
+    words = sentence_rows(df.select(doc, content).repartition(doc), doc, content).select(
         doc, "pos", F.explode(text.tokens(F.col("sentence"))).alias("token")
     )
-    counts = settle(
-        words.where(F.length("token") >= text.MIN_TERM_LENGTH)
-        .groupBy(doc, "pos", "token")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    n_docs = df.agg(F.count(F.lit(1))).scalar()
-    frequencies = settle(counts.groupBy("token").agg(F.count_distinct(doc).alias("df")))
-    met = with_idf(counts, frequencies, n_docs)
-    # From here on everything is per document: one shuffle serves both windows and the sentence sums.
+    met = with_idf(words.where(F.length("token") >= text.MIN_TERM_LENGTH), frequencies, n_docs)
+    counts = met.groupBy(doc, "pos", "token").agg(F.count(F.lit(1)).alias("n"), F.max("idf").alias("idf"))
     tf = F.sum("n").over(W.partitionBy(doc, "token"))
-    weighed = met.repartition(doc).withColumn("weight", tf * F.col("idf")).withColumn("tf", tf)
+    weighed = counts.withColumn("weight", tf * F.col("idf")).withColumn("tf", tf)
     # A word's squared weight counts once per document, so its rows share it by n / tf.
     norm = F.sqrt(F.sum(F.col("weight") ** 2 * F.col("n") / F.col("tf")).over(W.partitionBy(doc)))
     return (

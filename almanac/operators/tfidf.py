@@ -31,6 +31,22 @@ def token_rows(df: DataFrame, doc: str, content: str) -> DataFrame:
     return df.select(doc, F.explode(text.tokens(F.col(content))).alias("token"))
 
 
+def _by_document(df: DataFrame, doc: str) -> DataFrame:
+    """Lay whole texts out by document, so that nothing per document is shuffled once words are rows.
+
+    A text is the smallest form of its words. Days are left as they are: one may hold a third of all
+    texts, and the map-side combine of its words does the work instead.
+    """
+    return df if isinstance(df.schema[doc].dataType, DateType) else df.repartition(doc)
+
+
+def document_frequencies(df: DataFrame, content: str) -> DataFrame:
+    """(token, df), settled: each text counts its distinct words itself, so only words are shuffled."""
+    words = df.select(F.explode(F.array_distinct(text.tokens(F.col(content)))).alias("token"))
+    kept = words.where(F.length("token") >= text.MIN_TERM_LENGTH)
+    return settle(kept.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
+
+
 def lemma_counts(counts: DataFrame, lemmas: DataFrame, doc: str) -> DataFrame:
     """Counts per lemma from counts per token: the lookup runs on already aggregated rows."""
     merged = lookup_join(counts, lemmas.select("token", "lemma"), "token", LEMMA_BROADCAST_ROWS)
@@ -38,12 +54,8 @@ def lemma_counts(counts: DataFrame, lemmas: DataFrame, doc: str) -> DataFrame:
 
 
 def term_counts(df: DataFrame, doc: str, content: str, lemmas: DataFrame | None = None) -> DataFrame:
-    """(doc, token, tf) of words with two or more characters, as lemmas where a lemma table is given.
-
-    All words of a document sit in one task before the shuffle, so the map-side combine already gives
-    one row per document and word.
-    """
-    counts = token_rows(df, doc, content).groupBy(doc, "token").agg(F.count(F.lit(1)).alias("tf"))
+    """(doc, token, tf) of words with two or more characters, as lemmas where a lemma table is given."""
+    counts = token_rows(_by_document(df.select(doc, content), doc), doc, content).groupBy(doc, "token").agg(F.count(F.lit(1)).alias("tf"))
     if lemmas is not None:
         counts = lemma_counts(counts, lemmas, doc)
     return counts.where(F.length("token") >= text.MIN_TERM_LENGTH)
@@ -51,7 +63,7 @@ def term_counts(df: DataFrame, doc: str, content: str, lemmas: DataFrame | None
 
 def lemmatised_text(df: DataFrame, doc: str, content: str, lemmas: DataFrame) -> DataFrame:
     """(doc, processed_text): the words of a document replaced by their lemmas, in order; empty without words."""
-    words = df.select(doc, F.posexplode_outer(text.tokens(F.col(content))).alias("pos", "token"))
+    words = _by_document(df.select(doc, content), doc).select(doc, F.posexplode_outer(text.tokens(F.col(content))).alias("pos", "token"))
     met = lookup_join(words, lemmas.select("token", "lemma"), "token", LEMMA_BROADCAST_ROWS)
     named = met.select(
         doc, F.struct("pos", F.coalesce("lemma", "token").alias("word")).alias("w")
@@ -82,13 +94,15 @@ def with_idf(counts: DataFrame, frequencies: DataFrame, n_docs: Column | int) ->
     return split_join(counts, lookup, "token", frequent_tokens(frequencies, n_docs))
 
 
-def tfidf(counts: DataFrame, n_docs: Column | int, doc: str) -> DataFrame:
+def tfidf(counts: DataFrame, n_docs: Column | int, doc: str, frequencies: DataFrame | None = None) -> DataFrame:
     """(doc, token, tf, df, idf, weight) with rows of unit length, from (doc, token, tf).
 
     `n_docs` is the number of documents, those without words included: a number or a scalar column.
-    `counts` is read several times, so pass a settled frame.
+    Without `frequencies` (see `document_frequencies`) they are counted from `counts`, which should then
+    be a settled frame, as it is for days.
     """
-    frequencies = settle(counts.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
+    if frequencies is None:
+        frequencies = settle(counts.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
     weighed = with_idf(counts, frequencies, n_docs).withColumn("weight", F.col("tf") * F.col("idf"))
     if isinstance(counts.schema[doc].dataType, DateType):
         # A day may hold a third of all words: sum per day with a map-side combine, then broadcast.

@@ -45,8 +45,9 @@ def test_tfidf_matches_brute_force_with_broadcast_and_with_split_join(spark, mon
     monkeypatch.setattr(tfidf, "VOCABULARY_BROADCAST_ROWS", limit)
     texts = corpus(60)
     df = spark.createDataFrame(texts, "doc int, text string")
-    counts = settle(tfidf.term_counts(df, "doc", "text"))
-    found = {(r["doc"], r["token"]): r["weight"] for r in tfidf.tfidf(counts, 60, "doc").collect()}
+    counts = tfidf.term_counts(df, "doc", "text")
+    frequencies = tfidf.document_frequencies(df, "text")
+    found = {(r["doc"], r["token"]): r["weight"] for r in tfidf.tfidf(counts, 60, "doc", frequencies).collect()}
     vocabulary, x = tfidf_matrix([t for _, t in texts])
     wanted = {(i, w): x[i, j] for i in range(60) for j, w in enumerate(vocabulary) if x[i, j]}
     assert found.keys() == wanted.keys()
