@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from almanac.operators import neighbours, resample, series
+from almanac.operators import neighbours, resample
 from almanac.plans import predict, training
 from almanac.schemas import CLASSIFIER_FEATURES, REGRESSOR_FEATURES
 from almanac.session import scratch_path

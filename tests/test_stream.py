@@ -1,7 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
-
 from almanac.operators.items import keep_first
 from almanac.session import scratch_path
 from almanac.streaming import ingest
