@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import sharding, topk
+from almanac.llm import decontaminate, sharding, topk
 
 SHARD_BYTES = 1 << 20
 NEIGHBOURS = 10
@@ -31,6 +31,12 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(codes, codes.where(F.col("id") % 50 == 0), NEIGHBOURS)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: value for name, value in globals().items() if name.startswith("op") and callable(value)}
 
@@ -51,6 +57,33 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, n_bytes::BIGINT AS n_bytes, substr(lpad(bin(h), 60, '0'), 1, depth::INT) AS shard,
                    depth::INT AS depth
             FROM leaf""",
+        "op6_decontamination": """
+            WITH dw AS (
+                SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws
+                FROM documents),
+            iw AS (
+                SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws
+                FROM benchmark),
+            windows AS (
+                SELECT item_id, least(13, len(ws)) AS n, array_to_string(ws[s:s + least(13, len(ws)) - 1], ' ') AS w
+                FROM (SELECT *, unnest(range(1, greatest(1, len(ws) - 12) + 1)) AS s FROM iw WHERE len(ws) > 0)),
+            sizes AS (SELECT DISTINCT n FROM windows),
+            runs AS (
+                SELECT doc_id, s, n, array_to_string(ws[s:s + n - 1], ' ') AS w
+                FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS s FROM dw, sizes WHERE len(ws) >= n)),
+            hits AS (SELECT doc_id, s, r.n, item_id FROM runs r JOIN windows i ON r.n = i.n AND r.w = i.w),
+            hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+                    FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+            items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+                      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+            SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+                   coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+                   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+            FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
         "op5_exact_topk": f"""
             WITH bits AS (
                 SELECT vec_id, i, x >= 0 AS b

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000
 
 
 def text_of(name: str = "text") -> Column:
