@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import decontaminate, sharding, topk
+from almanac.llm import decontaminate, pieces, sharding, topk
 
 SHARD_BYTES = 1 << 20
 NEIGHBOURS = 10
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+SEED = 20
+DROPOUT = 0.1
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +40,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document under merge-dropout, and whether they decode to its text."""
+    documents = _table(spark, sf_dir, "documents")
+    return pieces.encode(documents, pieces.read_vocabulary(VOCABULARY), SEED, DROPOUT)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: value for name, value in globals().items() if name.startswith("op") and callable(value)}
 
