@@ -85,7 +85,8 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, segments: int | Non
         apart = F.col("q").bitwiseXOR(F.col("code"))
         nearest = F.array_min(F.array(*[F.bit_count(_segment(apart, F.lit(i), width)) * parts + i for i in range(parts)]))
         # A code is taken in the first bucket that leads to it, so no later step has to drop repeats.
-        met = probes.join(buckets, ["seg", "value"]).where(nearest == radius * parts + F.col("seg"))
+        # The probes' size is not in any statistic; the hint keeps them from being broadcast as if they were few.
+        met = probes.join(buckets.hint("merge"), ["seg", "value"]).where(nearest == radius * parts + F.col("seg"))
         seen = met.select("q", F.bit_count(apart).cast("int").alias("distance"), F.explode("ids").alias("id"))
         ranked = best.unionByName(seen).withColumn("r", F.row_number().over(by_distance))
         best = settle(ranked.where(F.col("r") <= k + 1).drop("r"))
