@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import decontaminate, pieces, sharding, topk
+from almanac.llm import decontaminate, pieces, sharding, topk, toxicity
 
 SHARD_BYTES = 1 << 20
 NEIGHBOURS = 10
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SEED = 20
 DROPOUT = 0.1
+TOXIC = 0.7
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +47,17 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(documents, pieces.read_vocabulary(VOCABULARY), SEED, DROPOUT)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from labels of two thirds of the ids."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = toxicity.learn(documents, _table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score(documents, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"), "hits",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: value for name, value in globals().items() if name.startswith("op") and callable(value)}
 
