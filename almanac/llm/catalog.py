@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import decontaminate, pieces, sharding, topk, toxicity
+from almanac.llm import decontaminate, linededup, pieces, sharding, topk, toxicity
 
 SHARD_BYTES = 1 << 20
 NEIGHBOURS = 10
@@ -21,6 +21,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier one holds."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(documents).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document: extendible hashing of doc_id, at most 1 MiB of text a shard."""
     found = sharding.assign_shards(_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", SHARD_BYTES)
@@ -64,6 +70,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_line_dedup": """
+            WITH lines AS (
+                SELECT doc_id, unnest(range(1, len(ls) + 1)) AS pos, unnest(ls) AS line
+                FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+            keyed AS (
+                SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+            held AS (
+                SELECT k, min(doc_id) AS first, count(DISTINCT doc_id) AS n
+                FROM keyed WHERE length(k) >= 10 GROUP BY k),
+            judged AS (
+                SELECT doc_id, pos, line, coalesce(n >= 2 AND doc_id > first, FALSE) AS gone
+                FROM keyed LEFT JOIN held USING (k))
+            SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+                   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+            FROM judged GROUP BY doc_id""",
         "op3_sharding": f"""
             WITH d AS (
                 SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
