@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import decontaminate, linededup, pieces, sharding, topk, toxicity
+from almanac.llm import decontaminate, linededup, pieces, sharding, topk, toxicity, urls
 
 SHARD_BYTES = 1 << 20
 NEIGHBOURS = 10
@@ -15,6 +15,11 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SEED = 20
 DROPOUT = 0.1
 TOXIC = 0.7
+# The url rules, as (verdict, host, path).
+RULES = [
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"), ("block", "net", "/fr/"),
+]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +38,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "shard", "depth")
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url: by rule, else by naive Bayes over its words."""
+    return urls.judge(_table(spark, sf_dir, "pages"), RULES)
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest sign codes of every embedding whose id 50 divides, against all embeddings."""
     codes = _table(spark, sf_dir, "embeddings").select(
