@@ -20,9 +20,9 @@ from almanac.llm.words import mix, span_hashes, text_blocks
 
 SPACE = "▁"
 NONE = np.int32(2**31 - 1)
-STORED_IDS = 3_000_000
+STORED_IDS = 6_000_000
 SIDE_BY_SIDE = 200
-CELLS = 1 << 20
+CELLS = 1 << 18
 # Byte classes: 0 space, 1 letters, 2 digits, 3 other ASCII, 4 beyond ASCII.
 CLASSES = np.full(256, 3, dtype=np.uint8)
 CLASSES[0x20] = 0
@@ -55,7 +55,6 @@ class Coder:
                 left, right = ids.get(piece[:at]), ids.get(piece[at:])
                 if left is not None and right is not None:
                     splits[left << 32 | right] = rank[i]
-        self.splits = splits
         self.pairs = np.array(sorted(splits), dtype=np.int64)
         self.ranks = np.array([splits[p] for p in sorted(splits)], dtype=np.int32)
         self.byte_ids, self.prefix = byte_ids, prefix
@@ -76,8 +75,9 @@ class Coder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.flat, self.bounds = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+        """Drop the stored stretches: their names in order, their numbers, and the ids of all end to end."""
+        self.names, self.numbers = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.flat, self.bounds = np.empty(0, np.int32), np.zeros(1, np.int32)
 
     # -- one stretch -------------------------------------------------------------------------------------
 
@@ -96,9 +96,10 @@ class Coder:
 
         def offer(left: int, right: int) -> None:
             if left >= 0 and right < last and symbols[left] >= 0 and symbols[right] >= 0:
-                rank = self.splits.get(symbols[left] << 32 | symbols[right])
-                if rank is not None:
-                    heapq.heappush(heap, (rank, left, right, symbols[left], symbols[right]))
+                pair = symbols[left] << 32 | symbols[right]
+                at = min(int(self.pairs.searchsorted(pair)), len(self.pairs) - 1)
+                if self.pairs[at] == pair:
+                    heapq.heappush(heap, (int(self.ranks[at]), left, right, symbols[left], symbols[right]))
 
         for i in range(last - 1):
             offer(i, i + 1)
@@ -164,14 +165,14 @@ class Coder:
                 ranks[r, a] = self._rank(symbols[r, a], symbols[r, b], own[r], place[r, a])
         return symbols
 
-    def _learn(self, stretches: list[bytes], owns: np.ndarray, names: list[int]) -> None:
-        """Segment new stretches and store their ids under their names."""
+    def _learn(self, stretches: list[bytes], owns: np.ndarray, names: np.ndarray) -> None:
+        """Segment new stretches and store their ids under their (sorted) names."""
         texts = [s.decode("utf-8", "surrogateescape") for s in stretches]
         sizes = np.array([len(t) for t in texts])
         points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         heads = np.cumsum(sizes) - sizes
         order = np.argsort(sizes, kind="stable")
-        done = len(self.bounds[0]) - 1
+        done = len(self.bounds) - 1
         lists: list[np.ndarray] = []
         counts: list[np.ndarray] = []
         numbers: list[int] = []
@@ -206,11 +207,13 @@ class Coder:
                 counts.append(np.array([len(ids)]))
                 numbers.append(int(i))
             at = to
-        for n, i in enumerate(numbers):
-            self.known[names[i]] = done + n
-        ends = self.bounds[0][-1] + np.cumsum(np.concatenate(counts))
-        self.flat = [np.concatenate([self.flat[0], *lists])]
-        self.bounds = [np.concatenate([self.bounds[0], ends])]
+        own = np.empty(len(names), dtype=np.int32)
+        own[numbers] = done + np.arange(len(names), dtype=np.int32)
+        spot = np.searchsorted(self.names, names)
+        self.names, self.numbers = np.insert(self.names, spot, names), np.insert(self.numbers, spot, own)
+        ends = self.bounds[-1] + np.cumsum(np.concatenate(counts))
+        self.flat = np.concatenate([self.flat, *lists])
+        self.bounds = np.concatenate([self.bounds, ends.astype(np.int32)])
 
     def encode_block(self, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds): ids of the texts that `offsets` bound in `data`; `keys` draw their variants."""
@@ -224,7 +227,9 @@ class Coder:
             return np.empty(0, np.int32), np.zeros(len(offsets), np.int64)
         heads = offsets[:-1][offsets[:-1] < len(data)]
         inner = np.empty(0, np.int64) if self.whole else _cuts(data, self.fine)
-        starts = np.unique(np.concatenate([heads, inner]))
+        begins = np.zeros(len(data), dtype=bool)
+        begins[heads] = begins[inner] = True
+        starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(data))
         first = np.searchsorted(starts, offsets)
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
@@ -233,20 +238,20 @@ class Coder:
             nth = np.arange(len(starts)) - first[text]
             drawn = mix(mix(keys[text].astype(np.uint64) ^ self.seed) + nth.astype(np.uint64)) % np.uint64(self.variants)
             names = mix(names + drawn)
-        if self.bounds[0][-1] > STORED_IDS:
+        if len(self.flat) > STORED_IDS:
             self.forget()
         distinct, where, back = np.unique(names, return_index=True, return_inverse=True)
-        listed = distinct.tolist()
-        new = [n for n, name in enumerate(listed) if name not in self.known]
-        if new:
-            spots = where[new]
+        at = np.searchsorted(self.names, distinct)
+        new = np.flatnonzero(np.searchsorted(self.names, distinct, "right") == at)
+        if len(new):
             raw = data.tobytes()
-            self._learn([raw[starts[s] : ends[s]] for s in spots], mix(distinct[new] ^ mix(np.array([self.seed]))), [listed[n] for n in new])
-        stored = np.fromiter(map(self.known.__getitem__, listed), dtype=np.int64, count=len(listed))[back]
-        low = self.bounds[0][stored]
-        sizes = self.bounds[0][stored + 1] - low
+            stretches = [raw[a:b] for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist())]
+            self._learn(stretches, mix(distinct[new] ^ mix(np.array([self.seed]))), distinct[new])
+        stored = self.numbers[np.searchsorted(self.names, distinct)][back]
+        low = self.bounds[stored].astype(np.int64)
+        sizes = self.bounds[stored + 1] - low
         total = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.flat[0][np.repeat(low - total[:-1], sizes) + np.arange(total[-1])]
+        ids = self.flat[np.repeat(low - total[:-1], sizes) + np.arange(total[-1])]
         return ids, total[first]
 
     def decode(self, ids) -> bytes:
