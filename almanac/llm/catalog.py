@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import decontaminate, linededup, pieces, sharding, topk, toxicity, urls
+from almanac.llm import decontaminate, jaccard, linededup, pieces, sharding, topk, toxicity, urls
 
 SHARD_BYTES = 1 << 20
 NEIGHBOURS = 10
@@ -57,6 +57,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose four-word shingles are 85 % alike."""
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document under merge-dropout, and whether they decode to its text."""
     documents = _table(spark, sf_dir, "documents")
@@ -96,6 +101,26 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
                    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
             FROM judged GROUP BY doc_id""",
+        "op8_jaccard_join": """
+            WITH RECURSIVE words AS (
+                SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+                FROM documents),
+            shingles AS (
+                SELECT DISTINCT doc_id, array_to_string(ws[s:s + least(4, len(ws)) - 1], ' ') AS g
+                FROM (SELECT *, unnest(range(1, greatest(1, len(ws) - 3) + 1)) AS s FROM words WHERE len(ws) > 0)),
+            sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+            shared AS (
+                SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+                FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+            links AS (
+                SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+                WHERE 100 * k >= 85 * (p.n + q.n - k)),
+            reached AS (
+                SELECT doc_id AS d, doc_id AS r FROM words
+                UNION SELECT l.y, reached.r FROM reached JOIN links l ON l.x = reached.d)
+            SELECT d AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(r) AS component_id
+            FROM reached LEFT JOIN sizes ON doc_id = d GROUP BY d""",
         "op3_sharding": f"""
             WITH d AS (
                 SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
