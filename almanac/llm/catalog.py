@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import decontaminate, jaccard, linededup, pieces, sharding, topk, toxicity, urls
+from almanac.llm import decontaminate, jaccard, linededup, pieces, sharding, substrings, topk, toxicity, urls
 
 SHARD_BYTES = 1 << 20
 NEIGHBOURS = 10
@@ -32,6 +32,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(documents).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that a 400-byte string covers which starts elsewhere too."""
+    found = substrings.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document: extendible hashing of doc_id, at most 1 MiB of text a shard."""
     found = sharding.assign_shards(_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", SHARD_BYTES)
