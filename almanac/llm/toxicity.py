@@ -1,6 +1,7 @@
 """Toxicity: a learned lexicon matched through a Levenshtein automaton, weighed by the words around each hit.
 
-The lexicon's terms are word beginnings: a whole insult, or a stem that takes many endings.
+The lexicon's terms are word beginnings: a whole insult, or, with a + behind it, a stem that is an insult only
+with an ending.
 """
 
 from __future__ import annotations
@@ -55,8 +56,9 @@ class Matcher:
         self.limit = [0]
         for term in sorted(terms):
             node = 0
+            stem = term.removesuffix("+")
             self.limit[0] = max(self.limit[0], self.allowed(term))
-            for letter in term:
+            for letter in stem:
                 if letter not in self.children[node]:
                     self.children[node][letter] = len(self.children)
                     self.children.append({})
@@ -65,13 +67,21 @@ class Matcher:
                 node = self.children[node][letter]
                 self.limit[node] = max(self.limit[node], self.allowed(term))
             self.term[node] = term
-        self.start = self._closed({0: 0})
-        self.steps: dict[tuple[tuple, str], tuple] = {}
-        self.begun: dict[tuple, str] = {}
-        self.accepted: dict[tuple, tuple[str, int] | None] = {}
+        self.letters = frozenset(c for node in self.children for c in node)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Drop the states reached so far; a lexicon's states are few, but nothing else bounds them."""
+        self.states: list[tuple] = []
+        self.numbers: dict[tuple, int] = {}
+        self.begun: list[str | None] = []
+        self.stems: list[str | None] = []
+        self.accepted: list[tuple[str, int] | None] = []
+        self.steps: dict[tuple[int, str], int] = {}
+        self._number(self._closed({0: 0}))
 
     def allowed(self, term: str) -> int:
-        return 0 if term in self.strict else allowed_errors(len(term))
+        return 0 if term in self.strict or term.endswith("+") else allowed_errors(len(term))
 
     def _closed(self, state: dict[int, int]) -> tuple:
         """With every node that skipping letters of a term reaches."""
@@ -85,43 +95,54 @@ class Matcher:
                     todo.append(child)
         return tuple(sorted(state.items()))
 
-    def _step(self, state: tuple, letter: str) -> tuple:
+    def _number(self, state: tuple) -> int:
+        """The number of a state, -1 for the empty one."""
+        if not state:
+            return -1
+        if state not in self.numbers:
+            self.numbers[state] = len(self.states)
+            self.states.append(state)
+            ends = [(e, t) for n, e in state if (t := self.term[n]) is not None and e <= self.allowed(t)]
+            self.stems.append(min((t for e, t in ends if t.endswith("+")), default=None))
+            ends = [x for x in ends if not x[1].endswith("+")]
+            self.begun.append(min((t for e, t in ends if not e), default=None))
+            self.accepted.append((min(ends)[1], min(ends)[0]) if ends else None)
+        return self.numbers[state]
+
+    def _step(self, state: int, letter: str) -> int:
         reached: dict[int, int] = {}
 
         def reach(node: int, edits: int) -> None:
             if edits <= self.limit[node] and edits < reached.get(node, 99):
                 reached[node] = edits
 
-        for node, edits in state:
+        for node, edits in self.states[state]:
             reach(node, edits + 1)
             for own, child in self.children[node].items():
                 reach(child, edits + (own != letter))
-        state = self._closed(reached)
-        for node, edits in state:
-            if not edits and self.term[node] is not None:
-                self.begun[state] = self.term[node]
-        return state
+        return self._number(self._closed(reached))
 
     def match(self, word: str) -> tuple[str, int] | None:
         """(term, 0) if the word begins with a term, else the nearest term that the whole word misspells.
 
         The number is that of the edits; the first term counts among equals.
         """
-        state, steps = self.start, self.steps
+        if len(self.states) > 20_000:
+            self._forget()
+        state, steps = 0, self.steps
         for letter in word:
+            if self.stems[state] is not None:
+                return self.stems[state], 0
+            if letter not in self.letters:
+                letter = ""
             after = steps.get((state, letter))
             if after is None:
-                if len(steps) > 200_000:
-                    steps.clear()
                 after = steps[state, letter] = self._step(state, letter)
-            state = after
-            if not state:
+            if after < 0:
                 return None
-            if state in self.begun:
+            state = after
+            if self.begun[state] is not None:
                 return self.begun[state], 0
-        if state not in self.accepted:
-            ends = [(e, t) for n, e in state if (t := self.term[n]) is not None and e <= self.allowed(t)]
-            self.accepted[state] = (min(ends)[1], min(ends)[0]) if ends else None
         return self.accepted[state]
 
 
@@ -245,7 +266,11 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", rows: int
     used = settle(words.groupBy("word").agg(*counts))
     stems = once.select("_toxic", F.explode(F.array_distinct(F.flatten(F.transform(
         F.filter(F.array_distinct("words"), lambda w: F.length(w) >= SHORTEST),
-        lambda w: F.transform(F.sequence(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.length(w))), lambda k: F.substring(w, F.lit(1), k)),
+        lambda w: F.flatten(F.transform(
+            F.sequence(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.length(w))),
+            lambda k: F.when(k < F.length(w), F.array(F.substring(w, F.lit(1), k), F.concat(F.substring(w, F.lit(1), k), F.lit("+"))))
+            .otherwise(F.array(F.substring(w, F.lit(1), k))),
+        )),
     )))).alias("stem"))
     stats = settle(stems.groupBy("stem").agg(*counts).where("t >= 3"))
     often = max(stats.count(), 1)
@@ -253,12 +278,15 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", rows: int
     apart = share * F.log(share / base) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0)
     listed = stats.where((share >= PRECISE) & (F.col("n") * apart > math.log(often / CHANCE)))
     terms: dict[str, float] = {}
-    shorter: set[str] = set()
-    for r in listed.orderBy(F.desc("t"), F.desc(F.length("stem")), "stem").limit(MOST_TERMS).collect():
-        stem = r["stem"]
-        if stem not in shorter and not any(stem[:k] in terms for k in range(SHORTEST, len(stem))):
-            terms[stem] = round(r["t"] / r["n"], 6)
-            shorter.update(stem[:k] for k in range(1, len(stem)))
+    begun: set[str] = set()
+    bases: set[str] = set()
+    longest_first = F.desc(F.length(F.rtrim(F.col("stem"), F.lit("+"))))
+    for r in listed.orderBy(F.desc("t"), longest_first, F.length("stem"), "stem").limit(MOST_TERMS).collect():
+        stem = r["stem"].removesuffix("+")
+        if stem not in begun and not any(stem[:k] in bases for k in range(SHORTEST, len(stem) + 1)):
+            terms[r["stem"]] = round(r["t"] / r["n"], 6)
+            bases.add(stem)
+            begun.update(stem[:k] for k in range(1, len(stem)))
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(list(terms))
