@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import decontaminate, jaccard, linededup, pieces, sharding, substrings, topk, toxicity, urls
+from almanac.llm import classlm, decontaminate, jaccard, linededup, pieces, sharding, substrings, topk, toxicity, urls
 
 SHARD_BYTES = 1 << 20
 NEIGHBOURS = 10
@@ -63,6 +63,17 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document under class bigrams learned from six of seven folds of the ids."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = classlm.held_out(F.col("doc_id"))
+    model = classlm.train(documents.where(~held_out).select("text"))
+    return classlm.score(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score",
+    )
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose four-word shingles are 85 % alike."""
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
