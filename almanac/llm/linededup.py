@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm.frames import few, folded, text_of
+from almanac.llm.frames import few, text_of
+from almanac.llm.words import FOLD, SPACES, mix, span_hashes, text_blocks
 from almanac.session import scratch_path, settle
 
 LEAST_LENGTH = 10
@@ -19,8 +20,9 @@ SHARD_KEYS = 1 << 17
 PROBED_FILTER_BYTES = 64 << 20
 SLOTS = 4
 LOAD = 0.85
-# Fixed value: the white space that a line's key loses at both ends.
-BLANK = " \t\n\u000b\u000c\r"
+SENT_PLACES = 4_000_000
+_LETTERS = mix(FOLD.astype(np.uint64) + np.uint64(1))
+_SECOND = mix(FOLD.astype(np.uint64) + np.uint64(5001))
 KEY = ["k1", "k2"]
 
 
@@ -28,12 +30,27 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def line_key(line: Column) -> Column:
-    """Two 64-bit hashes of a line's key: stripped, A-Z lower-cased; null for keys under ten code points."""
-    key = F.btrim(folded(line), F.lit(BLANK))
-    return F.when(
-        F.length(key) >= LEAST_LENGTH, F.struct(F.xxhash64(key).alias("k1"), F.xxhash64(F.lit(7), key).alias("k2"))
-    )
+def find_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, place, k1, k2) of every line of a block whose key has ten code points or more.
+
+    A key is the line without white space at both ends, A-Z lower-cased; k1 and k2 are 64-bit hashes of it.
+    """
+    breaks = np.flatnonzero(data == 0x0A)
+    text = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, breaks, "right") - 1])
+    starts = np.concatenate([offsets[:-1], breaks + 1])
+    order = np.lexsort((starts, text))
+    text, starts = text[order], starts[order]
+    same = np.append(text[1:] == text[:-1], False)
+    ends = np.where(same, np.append(starts[1:], 0) - 1, offsets[text + 1])
+    place = np.arange(len(starts)) - np.searchsorted(text, np.arange(len(offsets) - 1))[text]
+    solid = np.flatnonzero(~SPACES[data])
+    low, high = np.searchsorted(solid, starts), np.searchsorted(solid, ends)
+    held = np.flatnonzero(high > low)
+    a, b = solid[low[held]], solid[high[held] - 1] + 1
+    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    long = points[b] - points[a] >= LEAST_LENGTH
+    a, b, held = a[long], b[long], held[long]
+    return text[held], place[held], span_hashes(data, a, b, _LETTERS), span_hashes(data, a, b, _SECOND)
 
 
 class CuckooFilter:
@@ -124,14 +141,27 @@ def build_filter(keys: np.ndarray) -> CuckooFilter:
         size = int(len(found.table) * SLOTS * LOAD) + 1
 
 
+def row_of(doc_id: str) -> Column:
+    """Stands for a row: 64 bits of its id and text."""
+    return F.xxhash64(F.col(doc_id), text_of())
+
+
 def line_rows(docs: DataFrame, doc_id: str) -> DataFrame:
-    """(doc, tag, pos, k1, k2) for every line with a key of documents with an id; tag is the text's hash."""
-    keys = F.transform(lines_of(text_of()), lambda line, i: F.struct(i.alias("pos"), line_key(line).alias("key")))
-    rows = docs.where(F.col(doc_id).isNotNull()).select(
-        F.col(doc_id).alias("doc"), F.xxhash64(text_of()).alias("tag"),
-        F.explode(F.filter(keys, lambda k: k["key"].isNotNull())).alias("k"),
-    )
-    return rows.select("doc", "tag", "k.pos", "k.key.k1", "k.key.k2")
+    """(doc, row, pos, k1, k2) for every line with a key of documents with an id."""
+    read = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc"), row_of(doc_id).alias("row"), text_of().alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, to, data, offsets in text_blocks(batch.column(2)):
+                text, place, k1, k2 = find_keys(data, offsets)
+                source = pa.array(text + at)
+                columns = (place.astype(np.int32), k1.view(np.int64), k2.view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(source), batch.column(1).take(source), *(pa.array(x) for x in columns)],
+                    ["doc", "row", "pos", "k1", "k2"],
+                )
+
+    return read.mapInArrow(run, f"doc {read.schema['doc'].dataType.simpleString()}, row long, pos int, k1 long, k2 long")
 
 
 FILTER = "shard long, live binary, again binary"
@@ -145,7 +175,7 @@ def _summed(rows: DataFrame) -> DataFrame:
 class LineIndex:
     """References of lines to documents, and cuckoo filters over their keys.
 
-    `log` holds (k1, k2, doc, tag, pos, change): +1 for each line of an inserted document, -1 for each of a
+    `log` holds (doc, row, pos, k1, k2, change): +1 for each line of an inserted document, -1 for each of a
     deleted one. `counts` is the exact reference-count table of the live keys: (k1, k2, refs, first, last),
     with the smallest and largest document. `filters` has two filters a shard: of the live keys, which spares
     new keys the exact table on insertion, and of those that several documents hold, which spares all other
@@ -179,7 +209,7 @@ class LineIndex:
         """Take documents back out; `docs` holds them as they were inserted."""
         touched = settle(self._logged(docs, doc_id, -1).select(*KEY).distinct())
         log = self.spark.read.parquet(*self.log).join(touched, KEY, "left_semi")
-        live = log.groupBy(*KEY, "doc", "tag", "pos").agg(F.sum("change").alias("refs")).where("refs > 0")
+        live = log.groupBy(*KEY, "doc", "row", "pos").agg(F.sum("change").alias("refs")).where("refs > 0")
         counted = _summed(live.withColumn("first", F.col("doc")).withColumn("last", F.col("doc")))
         self._replace(self.counts.join(touched, KEY, "left_anti").unionByName(counted))
 
@@ -261,10 +291,10 @@ class LineIndex:
         return rows.mapInArrow(probe, rows.schema)
 
     def repeated(self, rows: DataFrame) -> DataFrame:
-        """(doc, tag, gone): places of the lines of `rows` that a document with a smaller id holds too."""
+        """(row, gone): places of the lines of `rows` that a document with a smaller id holds too."""
         shared = settle(self.counts.where("first < last").select(*KEY, "first"))
         met = self._probed(rows, "again").join(shared, KEY).where("doc > first")
-        return met.groupBy("doc", "tag").agg(F.collect_list("pos").alias("gone"))
+        return met.groupBy("row").agg(F.collect_list("pos").alias("gone"))
 
 
 def kept_lines(docs: DataFrame, index: LineIndex, doc_id: str = "doc_id", out: str = "kept") -> DataFrame:
@@ -274,12 +304,12 @@ def kept_lines(docs: DataFrame, index: LineIndex, doc_id: str = "doc_id", out: s
     holds. A null or empty text is one empty line. Rows with equal ids count as one document. A row with a
     null id holds nothing and loses nothing. All columns stay; the new ones replace columns of those names.
     """
-    gone = index.repeated(line_rows(docs, doc_id)).select(
-        F.col("doc").alias("_doc"), F.col("tag").alias("_tag"), F.col("gone").alias("_gone")
-    )
+    gone = settle(index.repeated(line_rows(docs, doc_id)).select(F.col("row").alias("_row"), F.col("gone").alias("_gone")))
+    places = gone.agg(F.coalesce(F.sum(F.size("_gone")), F.lit(0))).first()[0]
     plain = docs.drop("n_lines", "n_dropped", *({out} - {"text"}))
-    here = (F.col(doc_id) == F.col("_doc")) & (F.xxhash64(text_of()) == F.col("_tag"))
-    joined = plain.join(few(settle(gone), 50_000), here, "left").withColumn("_lines", lines_of(text_of()))
+    # The places of dropped lines go to the texts while they are few, else both meet by a shuffle.
+    joined = plain.join(few(gone) if places <= SENT_PLACES else gone, row_of(doc_id) == F.col("_row"), "left")
+    joined = joined.withColumn("_lines", lines_of(text_of()))
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     rest = F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(
         F.transform(stay, lambda i: F.get("_lines", i))
@@ -289,7 +319,7 @@ def kept_lines(docs: DataFrame, index: LineIndex, doc_id: str = "doc_id", out: s
         .withColumn("n_lines", F.size("_lines").cast("long"))
         .withColumn("n_dropped", (F.size("_lines") - F.size("_rest")).cast("long"))
         .withColumn(out, F.array_join("_rest", "\n"))
-        .drop("_doc", "_tag", "_gone", "_lines", "_rest")
+        .drop("_row", "_gone", "_lines", "_rest")
     )
 
 
