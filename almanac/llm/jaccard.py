@@ -232,7 +232,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", size: int = SIZE, p
 
 
 def first_of_each(docs: DataFrame, doc_id: str = "doc_id", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The rows of `docs` that are the first of their component, all columns kept; rows of one id stay together."""
+    """The rows of `docs` that are the first of their component, all columns kept.
+
+    Of several rows with one id one stays. Rows with a null id link with nothing and stay.
+    """
     found = near_duplicates(docs, doc_id, size, percent)
     gone = settle(found.where(F.col("component_id") != F.col(doc_id)).select(F.col(doc_id).alias("_gone")).distinct())
-    return docs.join(few(gone), docs[doc_id] == F.col("_gone"), "left_anti")
+    kept = docs.join(few(gone), docs[doc_id] == F.col("_gone"), "left_anti")
+    named = docs.where(F.col(doc_id).isNotNull())
+    if named.groupBy(doc_id).count().where("count > 1").isEmpty():
+        return kept
+    once = kept.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id])
+    return once.unionByName(kept.where(F.col(doc_id).isNull()))

@@ -216,13 +216,30 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id") -> DataFrame:
         matcher = Matcher(list(model.terms), model.strict)
         for batch in batches:
             weight, hits = _measure(batch.column(1), model, matcher)
-            # Rounded, so that sums in another order give the same digits.
-            score = np.round(1 / (1 + np.exp(-(model.base + model.slope * np.log1p(weight)))), 9)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hits), pa.array(weight), pa.array(score)], schema.names)
+            columns = (hits, weight, _score(weight, model))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x) for x in columns)], schema.names)
 
     return read.mapInArrow(run, schema).withColumnRenamed("_doc", doc_id)
 
 
+def below(docs: DataFrame, model: Model, limit: float) -> DataFrame:
+    """The rows of `docs` that score below `limit`, all columns kept."""
+    text = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(list(model.terms), model.strict)
+        for batch in batches:
+            weight, _ = _measure(batch.column(text).cast(pa.string()), model, matcher)
+            yield batch.filter(pa.array(_score(weight, model) < limit))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _score(weight: np.ndarray, model: Model) -> np.ndarray:
+    """Rounded, so that sums in another order give the same digits."""
+    return np.round(1 / (1 + np.exp(-(model.base + model.slope * np.log1p(weight)))), 9)
+
+
 def _fit(x: np.ndarray, y: np.ndarray, strength: float = 0.02) -> tuple[float, float]:
     """Logistic regression of y on one number, by Newton's method with a small penalty on the slope."""
     design, beta = np.stack([np.ones_like(x), x], 1), np.zeros(2)
