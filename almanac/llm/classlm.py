@@ -151,7 +151,8 @@ def exchange(left: np.ndarray, right: np.ndarray, own: np.ndarray, classes: np.n
         n[a, :] -= after
         n[:, a] -= before
         n[a, a] -= s
-        rows, columns = n.sum(1), n.sum(0)
+        # The bigrams around the item count in the totals of its neighbours' classes whatever its own class.
+        rows, columns = n.sum(1) + before, n.sum(0) + after
         grown_rows, grown_columns = n + after[None, :], n + before[:, None]
         gain = (_bits(grown_rows) - _bits(n)).sum(1) + (_bits(grown_columns) - _bits(n)).sum(0)
         here = np.diag(n)
@@ -261,7 +262,8 @@ class Model:
 
 
 def train(texts: DataFrame, classes: int = CLASSES) -> Model:
-    """A model of all rows of `texts` (text)."""
+    """A model of all rows of `texts`; only their text is read."""
+    texts = texts.select(text_of().alias("text"))
     counts = settle(token_counts(texts))
     total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     words = counts.where("shape >= 0")

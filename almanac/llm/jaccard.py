@@ -24,24 +24,10 @@ SIZE = 4
 GROUPINGS = 4
 FREQUENT = 64
 MOST_FREQUENT = 1_000_000
+ORDER_SHARE = 64
 _SEEDS = mix(np.arange(101, 101 + GROUPINGS, dtype=np.uint64))
 
 
-def token_set(words: np.ndarray, size: int) -> np.ndarray:
-    """Sorted distinct shingle hashes; fewer words than a shingle are one token, no words none."""
-    if not len(words):
-        return words
-    tokens = np.sort(runs_hash(words, min(size, len(words))))
-    return tokens[np.r_[True, tokens[1:] != tokens[:-1]]]
-
-
-def _signature(tokens: np.ndarray) -> tuple[int, int]:
-    """128 bits that stand for a set."""
-    with np.errstate(over="ignore"):
-        a, b = mix(tokens).sum(dtype=np.uint64), mix(tokens ^ _SEEDS[0]).sum(dtype=np.uint64)
-    return int(a.view(np.int64)), int(b.view(np.int64))
-
-
 def needed(n, percent: int = PERCENT):
     """Tokens that a set of n must share with another to reach the threshold."""
     return (percent * n + 99) // 100
@@ -53,16 +39,81 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
 
 
-def _token_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
-    for _, _, data, offsets in text_blocks(column):
-        found = find_words(data, offsets)
-        for i in range(len(offsets) - 1):
-            yield token_set(found.hashes[found.bounds[i] : found.bounds[i + 1]], size)
+def _block_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
+    """Per text its sorted distinct shingle hashes; fewer words than a shingle are one token, no words none."""
+    found = find_words(data, offsets)
+    runs = runs_hash(found.hashes, size)
+    out = []
+    for a, b in zip(found.bounds[:-1].tolist(), found.bounds[1:].tolist()):
+        tokens = np.sort(runs[a : b - size + 1]) if b - a >= size else runs_hash(found.hashes[a:b], b - a) if b > a else runs[:0]
+        out.append(tokens[np.r_[True, tokens[1:] != tokens[:-1]]] if len(tokens) > 1 else tokens)
+    return out
+
+
+def _reduced(how: np.ufunc, values: np.ndarray, starts: np.ndarray, full: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(full), dtype=np.uint64)
+    if full.any():
+        out[full] = how.reduceat(values, starts[full])
+    return out
+
+
+def _signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits that stand for each set."""
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+    starts, full = np.cumsum(sizes) - sizes, sizes > 0
+    pair = (_reduced(np.add, mix(v), starts, full) for v in (flat, flat ^ _SEEDS[0]))
+    return tuple(x.view(np.int64) for x in pair)
+
+
+def _is_frequent(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    if not len(frequent):
+        return np.zeros(len(tokens), dtype=bool)
+    return frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens
+
+
+def _first_tokens(sets: list[np.ndarray], frequent: np.ndarray, percent: int, longer: bool) -> list[np.ndarray]:
+    """The first tokens of every set, frequent tokens last."""
+    common = _is_frequent(np.concatenate(sets) if sets else np.empty(0, np.uint64), frequent)
+    out, at = [], 0
+    for tokens in sets:
+        n = len(tokens)
+        mine = common[at : at + n]
+        at += n
+        if mine.any():
+            tokens = np.concatenate([tokens[~mine], tokens[mine]])
+        spare = n - needed(n, percent)
+        out.append(tokens[: min(n, (2 * spare if longer else spare) + 1)])
+    return out
+
 
+def usual_tokens(docs: DataFrame, doc_id: str, size: int) -> np.ndarray:
+    """Tokens that occur twice in one of ORDER_SHARE documents: those to put last in the order of tokens.
 
-def describe(docs: DataFrame, doc_id: str, size: int, percent: int) -> DataFrame:
-    """(doc, n, s1, s2, mins, prefix): per row its set's size and signature, minima, and smallest tokens."""
+    Any order finds the same pairs; this one keeps tokens of widespread passages out of the candidates.
+    """
+    part = docs.where(F.pmod(F.xxhash64(F.col(doc_id)), F.lit(ORDER_SHARE)) == 0).select(text_of().alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offsets in text_blocks(batch.column(0)):
+                sets = _block_sets(data, offsets, size)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["token"])
+
+    counts = part.mapInArrow(run, "token long").groupBy("token").count().where("count > 1")
+    return _collected(counts)
+
+
+def _collected(counts: DataFrame) -> np.ndarray:
+    """At most MOST_FREQUENT tokens, the most frequent ones, sorted."""
+    found = counts.orderBy(F.desc("count"), "token").limit(MOST_FREQUENT).select("token").toPandas()["token"]
+    return np.sort(found.to_numpy(dtype=np.int64).view(np.uint64))
+
+
+def describe(docs: DataFrame, doc_id: str, size: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    """(doc, n, s1, s2, mins, prefix): per row its set's size and signature, minima, and first tokens."""
     read = docs.select(F.col(doc_id).alias("doc"), text_of().alias("text"))
+    sent = docs.sparkSession.sparkContext.broadcast(frequent)
     schema = T.StructType([
         T.StructField("doc", read.schema["doc"].dataType), T.StructField("n", T.LongType()),
         T.StructField("s1", T.LongType()), T.StructField("s2", T.LongType()),
@@ -71,16 +122,15 @@ def describe(docs: DataFrame, doc_id: str, size: int, percent: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, marks, mins, prefixes = [], [], [], []
-            for tokens in _token_sets(batch.column(1), size):
-                counts.append(len(tokens))
-                marks.append(_signature(tokens))
-                mins.append(np.array([mix(tokens ^ s).min() for s in _SEEDS], np.uint64) if len(tokens) else tokens)
-                prefixes.append(tokens[: len(tokens) - needed(len(tokens), percent) + 1])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), *(pa.array([m[i] for m in marks], pa.int64()) for i in (0, 1)),
-                 _lists(mins), _lists(prefixes)], schema.names,
-            )
+            for at, to, data, offsets in text_blocks(batch.column(1)):
+                sets = _block_sets(data, offsets, size)
+                sizes = np.array([len(s) for s in sets], dtype=np.int64)
+                flat, starts, full = np.concatenate(sets), np.cumsum(sizes) - sizes, sizes > 0
+                ways = np.stack([_reduced(np.minimum, mix(flat ^ s), starts, full) for s in _SEEDS], 1)
+                mins = pa.ListArray.from_arrays(pa.array(np.arange(to - at + 1, dtype=np.int32) * GROUPINGS), pa.array(ways.ravel().view(np.int64)))
+                marks = (pa.array(x) for x in _signatures(sets))
+                firsts = _lists(_first_tokens(sets, sent.value, percent, False))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(sizes), *marks, mins, firsts], schema.names)
 
     return read.mapInArrow(run, schema)
 
@@ -91,16 +141,14 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, doc_id: str, size: int) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            kept, sets = [], []
-            for i, (tokens, mark) in enumerate(zip(_token_sets(batch.column(1), size), marks)):
-                if _signature(tokens) == mark:  # rows of one id may differ in text
-                    kept.append(i)
-                    sets.append(tokens)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(kept, pa.int64())), pa.array([len(s) for s in sets], pa.int64()), _lists(sets)],
-                ["node", "n", "tokens"],
-            )
+            for at, to, data, offsets in text_blocks(batch.column(1)):
+                sets = _block_sets(data, offsets, size)
+                one, two = _signatures(sets)
+                given = (batch.column(i).slice(at, to - at).to_numpy(zero_copy_only=False) for i in (2, 3))
+                own = np.logical_and.reduce([a == b for a, b in zip((one, two), given)])  # rows of one id may differ in text
+                kept = [s for s, is_own in zip(sets, own) if is_own]
+                nodes = batch.column(0).slice(at, to - at).filter(pa.array(own))
+                yield pa.RecordBatch.from_arrays([nodes, pa.array([len(s) for s in kept], pa.int64()), _lists(kept)], ["node", "n", "tokens"])
 
     found = settle(read.select("node", "text", "s1", "s2").mapInArrow(run, "node long, n long, tokens array<long>"))
     if found.count() != found.select("node").distinct().count():  # equal rows of one id
@@ -113,27 +161,17 @@ def prefixes(sets: DataFrame, frequent: np.ndarray, percent: int, longer: bool)
 
     Two sets that reach the threshold share a token of these, and if `longer`, as many as half of them.
     """
-    sent = sets.sparkSession.sparkContext.broadcast(np.sort(frequent))
+    sent = sets.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, firsts = batch.column(0).to_numpy(zero_copy_only=False), []
+            names, sizes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             flat = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            ends = np.cumsum(batch.column(1).to_numpy(zero_copy_only=False))
-            known = sent.value
-            for a, b in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist()):
-                tokens, spare = flat[a:b], b - a - needed(b - a, percent)
-                length = min(b - a, 2 * spare + 1 if longer else spare + 1)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-                    common = known[at] == tokens
-                    tokens = np.concatenate([tokens[~common], tokens[common]])
-                firsts.append(tokens[:length])
-            sizes = [len(f) for f in firsts]
+            firsts = _first_tokens(np.split(flat, np.cumsum(sizes)[:-1]), sent.value, percent, longer) if len(names) else []
+            counts = [len(f) for f in firsts]
             rows = np.concatenate(firsts).view(np.int64) if firsts else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(names, sizes)), pa.array(np.repeat(batch.column(1).to_numpy(zero_copy_only=False), sizes)), pa.array(rows)],
-                ["node", "n", "token"],
+                [pa.array(np.repeat(names, counts)), pa.array(np.repeat(sizes, counts)), pa.array(rows)], ["node", "n", "token"]
             )
 
     return sets.mapInArrow(run, "node long, n long, token long")
@@ -146,12 +184,18 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sized = pairs.join(left.drop("ta"), "a").join(right.drop("tb"), "b").where(
         (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
     )
-    both = settle(sized.select("a", "b")).join(left, "a").join(right, "b")
+    near = settle(sized.select("a", "b"))
+    # Only the sets that a pair needs are moved.
+    left = left.join(few(near.select("a").distinct()), "a", "left_semi")
+    right = right.join(few(near.select("b").distinct()), "b", "left_semi")
+    both = near.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("ta", "tb"))
     return both.where(shared * 100 >= (F.col("na") + F.col("nb") - shared) * percent).select("a", "b")
 
 
-def links(docs: DataFrame, nodes: DataFrame, doc_id: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def links(
+    docs: DataFrame, nodes: DataFrame, doc_id: str, size: int, percent: int, frequent: np.ndarray
+) -> tuple[DataFrame, DataFrame]:
     """((node, root) of groups, links between nodes of different groups).
 
     Groups are found first: nodes that agree in one of a few minima are compared with the smallest of them,
@@ -167,11 +211,9 @@ def links(docs: DataFrame, nodes: DataFrame, doc_id: str, size: int, percent: in
     star = minima.join(pivots, ["way", "least"]).where("node != b").select(F.col("node").alias("a"), "b").distinct()
     groups = settle(components(verified(settle(star), sets, percent)))
 
-    frequent = np.empty(0, np.uint64)
-    while True:
+    while len(frequent) < MOST_FREQUENT:
         counts = prefixes(sets, frequent, percent, False).groupBy("token").count().where(F.col("count") > FREQUENT)
-        found = counts.orderBy(F.desc("count"), "token").limit(MOST_FREQUENT).select("token").toPandas()["token"]
-        more = np.union1d(frequent, found.to_numpy(dtype=np.int64).view(np.uint64))[:MOST_FREQUENT]
+        more = np.union1d(frequent, _collected(counts))[:MOST_FREQUENT]
         if len(more) == len(frequent):
             break
         frequent = more
@@ -212,12 +254,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", size: int = SIZE, p
     token, an empty or null text none, and links with nothing. A null id links with nothing and has a null
     component. Rows with equal ids and different texts are judged one by one. Tokens are 64-bit hashes.
     """
-    described = settle(describe(docs, doc_id, size, percent))
+    frequent = usual_tokens(docs, doc_id, size)
+    described = settle(describe(docs, doc_id, size, percent, frequent))
     full = described.where("n > 0 AND doc IS NOT NULL")
     classes = settle(full.groupBy("s1", "s2").agg(F.min("doc").alias("first")))
     first = full.join(classes, (full["s1"] == classes["s1"]) & (full["s2"] == classes["s2"]) & (full["doc"] == classes["first"]), "left_semi")
     nodes = settle(settle(first.dropDuplicates(["s1", "s2"])).withColumn("node", F.monotonically_increasing_id()))
-    groups, between = links(docs, nodes, doc_id, size, percent)
+    groups, between = links(docs, nodes, doc_id, size, percent, frequent)
     name = groups.select(F.col("node"), F.col("root"))
     ends = [F.col("a"), F.col("b")]
     joined = between.select(*ends).unionByName(name.select(F.col("node").alias("a"), F.col("root").alias("b")))
