@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almanac.llm.frames import text_of
+from almanac.llm.frames import most_frequent, text_of
 from almanac.llm.words import FOLD, Words, find_words, mix, text_blocks
 from almanac.session import settle
 
@@ -267,10 +267,12 @@ def train(texts: DataFrame, classes: int = CLASSES) -> Model:
     counts = settle(token_counts(texts))
     total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     words = counts.where("shape >= 0")
-    top = words.orderBy(F.desc("c"), "h").limit(LISTED).select("h", "c").toPandas()
-    frequent = np.sort(np.append(top["h"].to_numpy(np.int64).view(np.uint64)[:FREQUENT], np.uint64(0)))
-    order = np.argsort(top["h"].to_numpy(np.int64).view(np.uint64))
-    listed = top["h"].to_numpy(np.int64).view(np.uint64)[order], top["c"].to_numpy(np.int64)[order]
+    top = most_frequent(words, "c", LISTED).select("h", "c").toArrow()
+    names, sizes = top["h"].to_numpy().view(np.uint64), top["c"].to_numpy()
+    order = np.lexsort((names, -sizes))[:FREQUENT]
+    frequent = np.sort(np.append(names[order], np.uint64(0)))
+    order = np.argsort(names)
+    listed = names[order], sizes[order]
     items = len(frequent) + SHAPES + 1
     assigned, n = cluster(settle(item_bigrams(texts, frequent)), items, classes)
     sent = texts.sparkSession.sparkContext.broadcast((frequent, assigned))

@@ -27,3 +27,18 @@ def few(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def row_key(*columns: Column) -> list[Column]:
     """Two 64-bit hashes that stand for the values of a row, nulls included."""
     return [F.xxhash64(*columns).alias("_k1"), F.xxhash64(F.lit(7), *columns).alias("_k2")]
+
+
+def most_frequent(df: DataFrame, column: str, most: int) -> DataFrame:
+    """The rows whose count in `column` is so high that at most `most` rows have as high a one.
+
+    Found from how many rows have each count, so no task or driver sorts the rows themselves.
+    """
+    sizes = df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc(column)).toArrow()
+    kept, least = 0, None
+    for count, rows in zip(sizes[column].to_pylist(), sizes["n"].to_pylist()):
+        kept += rows
+        if kept > most:
+            break
+        least = count
+    return df.where(F.col(column) >= F.lit(least)) if least is not None else df.where(F.lit(False))

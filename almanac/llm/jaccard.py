@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.llm.components import components
-from almanac.llm.frames import few, text_of
+from almanac.llm.frames import few, most_frequent, text_of
 from almanac.llm.words import find_words, mix, runs_hash, text_blocks
 from almanac.session import settle
 
@@ -106,8 +106,8 @@ def usual_tokens(docs: DataFrame, doc_id: str, size: int) -> np.ndarray:
 
 def _collected(counts: DataFrame) -> np.ndarray:
     """At most MOST_FREQUENT tokens, the most frequent ones, sorted."""
-    found = counts.orderBy(F.desc("count"), "token").limit(MOST_FREQUENT).select("token").toPandas()["token"]
-    return np.sort(found.to_numpy(dtype=np.int64).view(np.uint64))
+    found = most_frequent(settle(counts), "count", MOST_FREQUENT).select("token").toArrow()["token"].to_numpy()
+    return np.sort(found.astype(np.int64).view(np.uint64))
 
 
 def describe(docs: DataFrame, doc_id: str, size: int, percent: int, frequent: np.ndarray) -> DataFrame:

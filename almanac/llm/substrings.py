@@ -139,7 +139,7 @@ def anchor_units(docs: DataFrame, doc_id: str, width: int) -> DataFrame:
     # Above the bound the units of all anchors go on; the result is the same.
     known = None
     if again.count() <= FILTERED_ANCHORS:
-        known = docs.sparkSession.sparkContext.broadcast(np.sort(again.toPandas()["anchor"].to_numpy(np.int64).view(np.uint64)))
+        known = docs.sparkSession.sparkContext.broadcast(np.sort(again.toArrow()["anchor"].to_numpy().astype(np.int64).view(np.uint64)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
