@@ -42,10 +42,10 @@ def near_copies(seed, groups=6, most=14):
     draw = random.Random(seed)
     out = []
     for g in range(groups):
-        base = cases.words(draw.randrange(20, 120), seed * 100 + g, 3000)
+        base = cases.words(draw.randrange(60, 200), seed * 100 + g, 3000)
         for _ in range(draw.randrange(1, most)):
             copy = base[:]
-            for _ in range(draw.randrange(4)):
+            for _ in range(draw.randrange(3)):
                 copy[draw.randrange(len(copy))] = f"e{draw.randrange(10**6)}"
             out.append(" ".join(copy[draw.randrange(2) :]))
     draw.shuffle(out)
