@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scopes: list[list[str]] = []
+
 
 def build_session(app: str = "almanac", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library expects; on a cluster pass no master."""
@@ -25,17 +29,45 @@ def build_session(app: str = "almanac", master: str | None = None, **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a local one only where that is unset."""
+    """The folder the cluster names in spark.checkpoint.dir.
+
+    Where that is unset, a local master gets a local folder, as tests do. Any other master raises: its
+    executors would each write to a disk of their own and later reads would miss the files.
+    """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        if not configured and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="almanac-"))
     return configured or context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; the innermost open scratch scope owns it."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside are deleted at the end; what must outlive it goes through `keep`.
+
+    A frame that reads them lazily must have been written before the end.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -50,6 +82,17 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Settle a frame so that it outlives the innermost scratch scope; the one around it owns the copy."""
+    if not _scopes:
+        return settle(df)
+    inner = _scopes.pop()
+    try:
+        return settle(df)
+    finally:
+        _scopes.append(inner)
+
+
 def settle_partitioned(df: DataFrame) -> DataFrame:
     """Like `settle`, but keeps the partitioning of the frame for later joins."""
     shared_folder(df.sparkSession)
