@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.llm.frames import few, folded, row_key, text_of
-from almanac.session import settle
+from almanac.session import keep, scratch, settle
 
 WINDOW = 13
 RAREST = 3
@@ -102,7 +102,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     and items without words hit nothing; a null text has no words. Rows with equal id and text share a key
     and get equal rows; a null id is an id like others. Further columns of either table are not read.
     """
-    texts = docs.select(F.col(doc_id).alias("_doc"), text_of().alias("_text")).select("_doc", "_text", *row_key("_doc", "_text"))
+    with scratch(docs.sparkSession):
+        hits = keep(_hits(docs, benchmark, doc_id, item_id))
+    texts = _keyed(docs, doc_id)
+    sizes = texts.select(F.col("_doc").alias(doc_id), *KEY, F.size(words_of(F.col("_text"))).cast("long").alias("n_words"))
+    judged = sizes.join(few(hits), KEY, "left").na.fill(0, ["n_hit", "n_items"])
+    return judged.select(
+        doc_id, *KEY, "n_words", "n_hit", "n_items", F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
+        ((F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))).alias("contaminated"),
+    )
+
+
+def _keyed(docs: DataFrame, doc_id: str) -> DataFrame:
+    texts = docs.select(F.col(doc_id).alias("_doc"), text_of().alias("_text"))
+    return texts.select("_doc", "_text", *row_key(F.col("_doc"), F.col("_text")))
+
+
+def _hits(docs: DataFrame, benchmark: DataFrame, doc_id: str, item_id: str) -> DataFrame:
+    """(_k1, _k2, n_hit, n_items, items_sha256) of the texts with hits."""
+    texts = _keyed(docs, doc_id)
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), words_of(text_of()).alias("words")).distinct()
     items = settle(items.where(F.size("words") > 0))
     words = texts.select(*KEY, words_of(F.col("_text")).alias("words"))
@@ -116,13 +134,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     listed = found.groupBy(*KEY).agg(
         F.size(names).cast("long").alias("n_items"), F.sha2(F.concat_ws(",", names), 256).alias("items_sha256")
     )
-    hits = settle(hit.join(listed, KEY))
-    sizes = texts.select(F.col("_doc").alias(doc_id), *KEY, F.size(words_of(F.col("_text"))).cast("long").alias("n_words"))
-    judged = sizes.join(few(hits), KEY, "left").na.fill(0, ["n_hit", "n_items"])
-    return judged.select(
-        doc_id, *KEY, "n_words", "n_hit", "n_items", F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))).alias("contaminated"),
-    )
+    return hit.join(listed, KEY)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id") -> DataFrame:

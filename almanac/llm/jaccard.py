@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from almanac.llm.components import components
 from almanac.llm.frames import few, most_frequent, text_of
 from almanac.llm.words import find_words, mix, runs_hash, text_blocks
-from almanac.session import settle
+from almanac.session import keep, scratch, settle
 
 PERCENT = 85
 SIZE = 4
@@ -164,7 +164,7 @@ def prefixes(sets: DataFrame, frequent: np.ndarray, percent: int, longer: bool)
     sent = sets.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             names, sizes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             flat = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             firsts = _first_tokens(np.split(flat, np.cumsum(sizes)[:-1]), sent.value, percent, longer) if len(names) else []
@@ -254,6 +254,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", size: int = SIZE, p
     token, an empty or null text none, and links with nothing. A null id links with nothing and has a null
     component. Rows with equal ids and different texts are judged one by one. Tokens are 64-bit hashes.
     """
+    with scratch(docs.sparkSession):
+        return keep(_components(docs, doc_id, size, percent))
+
+
+def _components(docs: DataFrame, doc_id: str, size: int, percent: int) -> DataFrame:
     frequent = usual_tokens(docs, doc_id, size)
     described = settle(describe(docs, doc_id, size, percent, frequent))
     full = described.where("n > 0 AND doc IS NOT NULL")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from almanac.llm.frames import few, text_of
 from almanac.llm.words import FOLD, SPACES, mix, span_hashes, text_blocks
-from almanac.session import scratch_path, settle
+from almanac.session import keep, scratch, scratch_path, settle
 
 LEAST_LENGTH = 10
 SHARD_KEYS = 1 << 17
@@ -304,7 +304,15 @@ def kept_lines(docs: DataFrame, index: LineIndex, doc_id: str = "doc_id", out: s
     holds. A null or empty text is one empty line. Rows with equal ids count as one document. A row with a
     null id holds nothing and loses nothing. All columns stay; the new ones replace columns of those names.
     """
-    gone = settle(index.repeated(line_rows(docs, doc_id)).select(F.col("row").alias("_row"), F.col("gone").alias("_gone")))
+    return _without(docs, settle(_gone(docs, index, doc_id)), doc_id, out)
+
+
+def _gone(docs: DataFrame, index: LineIndex, doc_id: str) -> DataFrame:
+    """(_row, _gone): places of the lines that go."""
+    return index.repeated(line_rows(docs, doc_id)).select(F.col("row").alias("_row"), F.col("gone").alias("_gone"))
+
+
+def _without(docs: DataFrame, gone: DataFrame, doc_id: str, out: str) -> DataFrame:
     places = gone.agg(F.coalesce(F.sum(F.size("_gone")), F.lit(0))).first()[0]
     plain = docs.drop("n_lines", "n_dropped", *({out} - {"text"}))
     # The places of dropped lines go to the texts while they are few, else both meet by a shuffle.
@@ -324,7 +332,9 @@ def kept_lines(docs: DataFrame, index: LineIndex, doc_id: str = "doc_id", out: s
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", out: str = "kept") -> DataFrame:
-    """`kept_lines` of a table against an index of itself."""
-    index = LineIndex(docs.sparkSession)
-    index.insert(docs, doc_id)
-    return kept_lines(docs, index, doc_id, out)
+    """`kept_lines` of a table against an index of itself; the index goes when the lines are judged."""
+    with scratch(docs.sparkSession):
+        index = LineIndex(docs.sparkSession)
+        index.insert(docs, doc_id)
+        gone = keep(_gone(docs, index, doc_id))
+    return _without(docs, gone, doc_id, out)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from almanac.llm.frames import few
 from almanac.llm.suffixes import common_prefixes, suffix_array
 from almanac.llm.words import mix, powers, text_blocks
-from almanac.session import settle
+from almanac.session import keep, scratch, settle
 
 SPAN = 400
 K = 32
@@ -304,7 +304,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     other; rows of one id with different texts, and null ids, are rows like others. Rows are told apart by 64
     bits, cores by 128.
     """
-    spans = settle(repeated_spans(docs, doc_id))
+    with scratch(docs.sparkSession):
+        spans = keep(repeated_spans(docs, doc_id))
     read = docs.select(F.col(doc_id).alias("doc"), F.col("text").cast("binary").alias("text"), _row(doc_id).alias("row"))
     kind = read.schema["doc"].dataType.simpleString()
 

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from almanac.session import settle
+from almanac.session import keep, scratch, settle
 
 BITS = 64
 
@@ -59,6 +59,11 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, segments: int | Non
     or every code has been seen. Rows without a code or id are neither found nor asked; an id that occurs
     twice with one code counts once; fewer than k other ids give fewer rows.
     """
+    with scratch(codes.sparkSession):
+        return keep(_found(codes, queries, k, segments))
+
+
+def _found(codes: DataFrame, queries: DataFrame, k: int, segments: int | None) -> DataFrame:
     spark = codes.sparkSession
     index = build_index(codes, k)
     rows = index.count()

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from almanac.llm.decontaminate import words_of
 from almanac.llm.frames import text_of
 from almanac.llm.words import MARKS, find_words, text_blocks
-from almanac.session import settle
+from almanac.session import scratch, settle
 
 TRAINING_ROWS = 20_000
 MOST_TERMS = 1_000
@@ -261,6 +261,11 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", rows: int
     id labelled twice counts as toxic if either says so. Without toxic and clean rows every score is the
     base rate.
     """
+    with scratch(docs.sparkSession):
+        return _learned(docs, labels, doc_id, rows)
+
+
+def _learned(docs: DataFrame, labels: DataFrame, doc_id: str, rows: int) -> Model:
     named = labels.where(F.col(doc_id).isNotNull() & F.col("toxic").isNotNull())
     chosen = named.groupBy(F.col(doc_id).alias("_doc")).agg(F.max("toxic").cast("int").alias("_toxic"))
     chosen = settle(chosen.orderBy(F.xxhash64("_doc"), "_doc").limit(rows))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanac.llm.frames import few, folded
-from almanac.session import settle
+from almanac.session import keep, scratch, settle
 
 LONGEST_WORD = 20
 LONGEST_LABEL = 63
@@ -117,6 +117,11 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], page_id: str = "p
     names come from unigram Viterbi over the word counts of all pages' texts. A null url, or one without
     `://`, has an empty host and path and no words: the classes' shares decide. Repeated rows are judged alike.
     """
+    with scratch(pages.sparkSession):
+        return keep(_judged(pages, rules, page_id))
+
+
+def _judged(pages: DataFrame, rules: list[tuple[str, str, str]], page_id: str) -> DataFrame:
     host, path = host_and_path(F.col("url"))
     rows = pages.select(F.col(page_id).alias("_page"), host.alias("host"), path.alias("path"))
     rows = settle(rows.withColumn("_rule", rule_for(F.col("host"), F.col("path"), rules)))
