@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,14 +25,30 @@ GROUPINGS = 4
 FREQUENT = 64
 MOST_FREQUENT = 1_000_000
 ORDER_SHARE = 64
+EXTRA = 12
 _SEEDS = mix(np.arange(101, 101 + GROUPINGS, dtype=np.uint64))
 
 
-def needed(n, percent: int = PERCENT):
+def needed(n: int, percent: int) -> int:
     """Tokens that a set of n must share with another to reach the threshold."""
     return (percent * n + 99) // 100
 
 
+def first_count(n: int, percent: int) -> int:
+    """How many first tokens of a set of n are compared: one that must be shared, and up to EXTRA more."""
+    spare = n - needed(n, percent)
+    return min(n, spare + 1 + min(spare, EXTRA))
+
+
+def agreeing(n: Column, percent: int) -> Column:
+    """First tokens that a set of n shares with any set it reaches the threshold with.
+
+    The other has at least needed(n) tokens, and the smaller of two sets says how many extra ones count.
+    """
+    least = F.floor((n * percent + 99) / 100)
+    return 1 + F.least(F.lit(EXTRA), least - F.floor((least * percent + 99) / 100))
+
+
 def _lists(values: list[np.ndarray]) -> pa.Array:
     bounds = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
     flat = np.concatenate(values).view(np.int64) if values else np.empty(0, np.int64)
@@ -72,7 +88,7 @@ def _is_frequent(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens
 
 
-def _first_tokens(sets: list[np.ndarray], frequent: np.ndarray, percent: int, longer: bool) -> list[np.ndarray]:
+def _first_tokens(sets: list[np.ndarray], frequent: np.ndarray, percent: int) -> list[np.ndarray]:
     """The first tokens of every set, frequent tokens last."""
     common = _is_frequent(np.concatenate(sets) if sets else np.empty(0, np.uint64), frequent)
     out, at = [], 0
@@ -82,8 +98,7 @@ def _first_tokens(sets: list[np.ndarray], frequent: np.ndarray, percent: int, lo
         at += n
         if mine.any():
             tokens = np.concatenate([tokens[~mine], tokens[mine]])
-        spare = n - needed(n, percent)
-        out.append(tokens[: min(n, (2 * spare if longer else spare) + 1)])
+        out.append(tokens[: first_count(n, percent)])
     return out
 
 
@@ -129,7 +144,7 @@ def describe(docs: DataFrame, doc_id: str, size: int, percent: int, frequent: np
                 ways = np.stack([_reduced(np.minimum, mix(flat ^ s), starts, full) for s in _SEEDS], 1)
                 mins = pa.ListArray.from_arrays(pa.array(np.arange(to - at + 1, dtype=np.int32) * GROUPINGS), pa.array(ways.ravel().view(np.int64)))
                 marks = (pa.array(x) for x in _signatures(sets))
-                firsts = _lists(_first_tokens(sets, sent.value, percent, False))
+                firsts = _lists(_first_tokens(sets, sent.value, percent))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(sizes), *marks, mins, firsts], schema.names)
 
     return read.mapInArrow(run, schema)
@@ -156,18 +171,15 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, doc_id: str, size: int) -> Dat
     return found
 
 
-def prefixes(sets: DataFrame, frequent: np.ndarray, percent: int, longer: bool) -> DataFrame:
-    """(node, n, token): the first tokens of every set, frequent tokens last.
-
-    Two sets that reach the threshold share a token of these, and if `longer`, as many as half of them.
-    """
+def prefixes(sets: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
+    """(node, n, token): the first tokens of every set, frequent tokens last."""
     sent = sets.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             names, sizes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             flat = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            firsts = _first_tokens(np.split(flat, np.cumsum(sizes)[:-1]), sent.value, percent, longer) if len(names) else []
+            firsts = _first_tokens(np.split(flat, np.cumsum(sizes)[:-1]), sent.value, percent) if len(names) else []
             counts = [len(f) for f in firsts]
             rows = np.concatenate(firsts).view(np.int64) if firsts else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -201,9 +213,9 @@ def links(
     Groups are found first: nodes that agree in one of a few minima are compared with the smallest of them,
     and verified links join them. All remaining links then run between groups.
     """
-    rows = nodes.select("node", F.explode("prefix").alias("token"))
+    rows = nodes.select("node", "n", F.explode("prefix").alias("token"))
     shared = settle(rows.groupBy("token").count().where("count > 1").select("token"))
-    chosen = settle(rows.join(shared, "token", "left_semi").select("node").distinct())
+    chosen = settle(_agreeing_nodes(settle(rows.join(shared, "token", "left_semi")), percent))
     sets = whole_sets(docs, settle(nodes.select("doc", "node", "s1", "s2").join(few(chosen), "node")), doc_id, size)
 
     minima = nodes.join(few(chosen), "node").select("node", F.posexplode("mins").alias("way", "least"))
@@ -212,12 +224,12 @@ def links(
     groups = settle(components(verified(settle(star), sets, percent)))
 
     while len(frequent) < MOST_FREQUENT:
-        counts = prefixes(sets, frequent, percent, False).groupBy("token").count().where(F.col("count") > FREQUENT)
+        counts = prefixes(sets, frequent, percent).groupBy("token").count().where(F.col("count") > FREQUENT)
         more = np.union1d(frequent, _collected(counts))[:MOST_FREQUENT]
         if len(more) == len(frequent):
             break
         frequent = more
-    firsts = settle(prefixes(sets, frequent, percent, True))
+    firsts = prefixes(sets, frequent, percent)
 
     sizes = groups.groupBy("root").agg((F.count(F.lit(1)) + 1).alias("members"))
     grouped = sets.select("node").join(groups, "node", "left").select("node", F.coalesce("root", "node").alias("group"))
@@ -228,24 +240,31 @@ def links(
     wide = settle(matrix.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token"))
     matrix = settle(matrix.join(wide, "token", "left_semi").select("token", F.col("group").alias("other"), F.col("members").alias("others")))
     asking = settle(placed.join(wide, "token", "left_semi"))
-    spare = F.col("n") - F.floor((F.col("n") * percent + 99) / 100)
-    # Of 2 * spare + 1 first tokens all but spare are shared.
-    least = F.least(F.col("n"), 2 * spare + 1) - spare
     from_smaller = (F.col("members") < F.col("others")) | ((F.col("members") == F.col("others")) & (F.col("group") < F.col("other")))
     met = asking.join(matrix, "token").where(from_smaller)
-    opened = settle(
-        met.groupBy("node", "other").agg(F.count(F.lit(1)).alias("k"), F.first(least).alias("least"))
-        .where("k >= least").select(F.col("node").alias("a"), "other")
-    )
+    enough = F.col("k") >= agreeing(F.col("n"), percent)
+    opened = settle(met.groupBy("node", "n", "other").agg(F.count(F.lit(1)).alias("k")).where(enough).select(F.col("node").alias("a"), "other"))
     members = asking.select("token", F.col("node").alias("b"), F.col("group").alias("other"), F.col("n").alias("nb"))
-    own = asking.select("token", F.col("node").alias("a"), F.col("n").alias("na"), least.alias("least")).join(few(opened), "a")
+    own = asking.select("token", F.col("node").alias("a"), "n").join(few(opened), "a")
     close = own.join(members, ["token", "other"]).where(
-        (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
+        (F.col("n") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("n") * percent)
     )
-    pairs = close.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"), F.first("least").alias("least")).where("k >= least")
+    pairs = close.groupBy("a", "b", "n").agg(F.count(F.lit(1)).alias("k")).where(enough)
     return groups, settle(verified(settle(pairs.select("a", "b")), sets, percent))
 
 
+def _agreeing_nodes(held: DataFrame, percent: int) -> DataFrame:
+    """The nodes of (node, n, token), tokens of several nodes, that hold enough of them to reach any other node.
+
+    Nodes that cannot are left out, and once more with what then remains.
+    """
+    full = held.groupBy("node", "n").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= agreeing(F.col("n"), percent))
+    left = held.join(few(settle(full.select("node"))), "node", "left_semi")
+    still = left.groupBy("token").count().where("count > 1").select("token")
+    again = left.join(settle(still), "token", "left_semi").groupBy("node", "n").agg(F.count(F.lit(1)).alias("k"))
+    return again.where(F.col("k") >= agreeing(F.col("n"), percent)).select("node")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """Per row of `docs`: its id, n_shingles and component_id, the smallest id that links reach.
 
