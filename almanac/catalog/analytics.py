@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.catalog.tables import lemmas, lexicon, news, order_news, priced_news, rounded, table
+from almanac.catalog.tables import NEWS_DAYS, lemmas, lexicon, news, order_news, priced_news, rounded, table
 from almanac.functions import scalars, text
 from almanac.operators import neighbours, resample, sentiment, summary, tfidf
 from almanac.plans import features, predict, reports, training
@@ -125,7 +125,7 @@ def smote_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _model_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = settle(order_news(spark, sf_dir, MODEL_DAYS))
+    raw = settle(order_news(spark, sf_dir, NEWS_DAYS))
     return settle(features.features(raw, sentiment.lexicon_scorer(lexicon(spark)), order=["doc_id"]))
 
 
@@ -145,7 +145,7 @@ def _search_table(spark: SparkSession, search: training.Search) -> DataFrame:
 
 
 def tuned_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    search = training.train_classifier(_model_features(spark, sf_dir))
+    search = training.train_classifier(_model_features(spark, sf_dir), training.SMALL_CLASSIFIER_GRID)
     path = scratch_path(spark, "classifier")
     predict.save_model(search.model, path)
     held = search.extra["labelled"].where(~F.col("is_train"))
@@ -155,12 +155,13 @@ def tuned_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tuned_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     table_ = _model_features(spark, sf_dir)
-    search = training.train_regressor(table_, training.train_classifier(table_))
+    clf = training.train_classifier(table_, training.SMALL_CLASSIFIER_GRID)
+    search = training.train_regressor(table_, clf, training.SMALL_REGRESSOR_GRID)
     return _search_table(spark, search)
 
 
 def predict_next_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     table_ = _model_features(spark, sf_dir)
-    clf = training.train_classifier(table_)
-    reg = training.train_regressor(table_, clf)
+    clf = training.train_classifier(table_, training.SMALL_CLASSIFIER_GRID)
+    reg = training.train_regressor(table_, clf, training.SMALL_REGRESSOR_GRID)
     return predict.predict_next(table_, clf.model, reg.model)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from almanac.catalog.tables import LEMMAS, LEXICON, NEWS_SITE
+from almanac.catalog.tables import LEMMAS, LEXICON, NEWS_DAYS, NEWS_SITE
 from almanac.functions.text import CHUNK_TOKENS, WORD_PATTERN, html_rules
 from almanac.operators.summary import SUMMARY_SENTENCES
 from almanac.schemas import SENTIMENT_COLUMNS
@@ -171,11 +171,23 @@ def queries() -> dict[str, str]:
         days AS (SELECT time_published, avg(price) AS price, md5(string_agg(titles, ' ' ORDER BY doc_id)) AS titles,
                         md5(string_agg(content, ' ' ORDER BY doc_id)) AS content FROM kept GROUP BY 1),
         {_series()}
-        SELECT time_published, CAST(0 AS INTEGER) AS piece, titles, content, day_of_week, {_r(*SERIES_FIELDS)}
+        SELECT time_published, titles, content, day_of_week, {_r(*SERIES_FIELDS)}
         FROM series JOIN (SELECT time_published, titles, content FROM days) USING (time_published)"""
     sql["scan_projection"] = "SELECT doc_id, lang AS language, n_chars FROM documents"
     sql["pipeline_ingest"] = INGEST
     sql["append_roundtrip"] = INGEST
+    sql["late_page_ingest"] = INGEST
+    sql["rejected_stamps"] = f"""WITH {_news()}
+        SELECT url, 'day ' || strftime(time_published, '%Y%m%d') || 'T' || strftime(
+                   TIMESTAMP '2024-01-01' + to_seconds(doc_id % 86400), '%H%M%S') AS time_published, md5(titles) AS titles
+        FROM news WHERE doc_id % 2 = 1"""
+    sql["price_revision"] = """SELECT CAST(o_orderdate AS DATE) AS date, arg_max(o_totalprice, o_orderkey) AS price
+        FROM orders GROUP BY 1"""
+    sql["repeated_items_sentiment"] = f"""WITH {_news()}, {EVENT_PRICES}, {RAW},
+        sizes AS (SELECT time_published, 2 * sum(len({_tokens('content')})) AS n FROM raw GROUP BY 1)
+        SELECT time_published, CAST(ceil(n / {CHUNK_TOKENS}.0) AS BIGINT) AS n_chunks, CAST(n AS BIGINT) AS n_words
+        FROM sizes WHERE n > 0"""
+    sql["stream_restart"] = "SELECT md5(text) AS titles, CAST(1 AS BIGINT) AS copies FROM documents GROUP BY text"
     sql["replace_roundtrip"] = f"""WITH {_news()}, {EVENT_PRICES}, {RAW}, {RAW_DAYS}, {_series()}
         SELECT time_published, day_of_week, {_r(*SERIES_FIELDS)} FROM series"""
     sql["high_water_mark"] = f"""SELECT max(CAST(ts AS DATE)) AS latest,
@@ -223,7 +235,7 @@ def queries() -> dict[str, str]:
             WINDOW w AS (ORDER BY time_published ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))
         SELECT time_published, {_r('rolling_mean')}, (SELECT round(avg(rolling_mean), 4) FROM rolled) AS overall_mean
         FROM rolled"""
-    sql["price_vs_spread"] = f"""WITH {_news(60, '1995-01-01')}, {ORDER_PRICES}, {RAW}, {RAW_DAYS}, {DAY_WORDS},
+    sql["price_vs_spread"] = f"""WITH {_news(NEWS_DAYS, '1995-01-01')}, {ORDER_PRICES}, {RAW}, {RAW_DAYS}, {DAY_WORDS},
         {_statistics('time_published')}, spreads AS (
             SELECT time_published, price, mean_pos_sentiment - mean_neg_sentiment AS d
             FROM days LEFT JOIN stats USING (time_published))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.catalog.tables import (
-    NEWS_SITE, event_prices, lexicon, news, order_news, order_prices, priced_news, rounded, stamped_news, table,
+    NEWS_SITE, NEWS_DAYS, event_prices, lexicon, news, order_news, order_prices, priced_news, rounded, stamped_news, table,
 )
 from almanac.functions import dates, scalars, text
 from almanac.operators import items, labels, metrics, rollup, sentiment, series
@@ -70,14 +70,55 @@ def append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replace_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The series table after two identical runs: days are replaced, not repeated."""
+    """The series table after a full run with other prices of three days, and a run of those days alone."""
     path = scratch_path(spark, "series")
-    days = daily.daily_series(priced_news(spark, sf_dir))
-    for _ in range(2):
-        tables.replace_days(days, path)
+    days = settle(daily.daily_series(priced_news(spark, sf_dir)))
+    some = F.dayofmonth("time_published").isin(3, 4, 20)
+    tables.replace_days(days.withColumn("price", F.when(~some, F.col("price"))), path)
+    tables.replace_days(days.where(some), path)
     return rounded(tables.read_table(spark, path).drop("month"), *SERIES_COLUMNS)
 
 
+def late_page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table after two runs: the pages of every third item land only for the second."""
+    path = scratch_path(spark, "raw")
+    found = settle(feeds.news_items(_news_documents(spark, sf_dir)))
+    prices = feeds.price_items(_price_documents(spark, sf_dir))
+    pages = _pages(spark, sf_dir)
+    late = F.pmod(F.substring_index("url", "/", -1).cast("long"), F.lit(3)) == 0
+    ingest.run_ingest(spark, found, prices, pages.where(~late), path)
+    ingest.run_ingest(spark, found, prices, pages, path)
+    return _raw_table(tables.read_table(spark, path, RAW_NEWS_PRICE))
+
+
+def rejected_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items that a run puts aside because their stamp cannot be read: those of odd documents here."""
+    path = scratch_path(spark, "raw")
+    found = settle(feeds.news_items(_news_documents(spark, sf_dir)))
+    odd = F.pmod(F.substring_index("url", "/", -1).cast("long"), F.lit(2)) == 1
+    broken = found.withColumn("time_published", F.when(odd, F.concat(F.lit("day "), "time_published")).otherwise(F.col("time_published")))
+    ingest.run_ingest(spark, broken, feeds.price_items(_price_documents(spark, sf_dir)), _pages(spark, sf_dir), path)
+    return spark.read.parquet(f"{path}-rejects").select("url", "time_published", F.md5("titles").alias("titles"))
+
+
+def price_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closes per day when every order of a day is a later revision of it: the last one stands."""
+    orders = table(spark, sf_dir, "orders")
+    quote = F.create_map(F.lit(feeds.CLOSE_KEY), F.col("o_totalprice").cast("string"))
+    entry = F.create_map(F.to_date("o_orderdate").cast("string"), quote).alias(feeds.PRICE_KEY)
+    documents = orders.select(F.timestamp_seconds("o_orderkey").alias("landed"), F.to_json(F.struct(entry)).alias("raw"))
+    return items.price_days(feeds.price_items(documents))
+
+
+def repeated_items_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks per day where every item is stored twice: each copy keeps its own words."""
+    raw = priced_news(spark, sf_dir)
+    chunks = sentiment.day_chunks(raw.unionAll(raw), ["doc_id"])
+    return chunks.groupBy("time_published").agg(
+        F.count(F.lit(1)).alias("n_chunks"), F.sum(F.size("words")).cast("long").alias("n_words")
+    )
+
+
 def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(F.to_date("ts").alias("time_published"), "ts")
     stamp = F.date_format(F.max("ts"), "yyyyMMdd'T'HHmmss")
@@ -185,7 +226,7 @@ def news_price_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_text_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = rollup.daily_rollup(priced_news(spark, sf_dir), ["doc_id"]).orderBy("time_published", "piece")
+    days = rollup.daily_rollup(priced_news(spark, sf_dir), ["doc_id"]).orderBy("time_published")
     hashed = days.select(
         "time_published", F.length("content").cast("long").alias("n_chars"),
         F.md5("titles").alias("titles"), F.md5("content").alias("content"), "price",
@@ -212,7 +253,7 @@ def rolling_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_vs_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = settle(order_news(spark, sf_dir, 60))
+    raw = settle(order_news(spark, sf_dir, NEWS_DAYS))
     chunks = sentiment.day_chunks(raw, ["doc_id"])
     scored = sentiment.lexicon_scorer(lexicon(spark))(chunks, ["time_published"])
     scores = sentiment.sentiment_statistics(scored, ["time_published"])
@@ -298,6 +339,17 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("doc_id", F.md5("titles").alias("titles"))
 
 
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops stored in batches of one file, then again by a query that has lost its progress."""
+    landing, out = scratch_path(spark, "drops"), scratch_path(spark, "streamed")
+    for drop in _two_drops(spark, sf_dir):
+        drop.coalesce(1).write.mode("append").parquet(landing)
+    for _ in range(2):
+        stream = streams.item_stream(spark, landing, DROP_SCHEMA, files_per_batch=1)
+        streams.append_new(stream, out, scratch_path(spark, "progress"), order=("doc_id",)).awaitTermination()
+    return spark.read.parquet(out).groupBy(F.md5("titles").alias("titles")).agg(F.count(F.lit(1)).alias("copies"))
+
+
 def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles that pass the watermark-bounded dedupe."""
     landing, out, progress = (scratch_path(spark, name) for name in ("drops", "first", "progress"))

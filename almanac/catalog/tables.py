@@ -20,6 +20,8 @@ LEXICON = [
     ("le", 0.75, 0.0), ("un", 0.0, 0.25), ("que", 0.5, 0.25), ("el", 0.0, 1.0), ("de", 0.25, 0.0),
 ]
 TEXT_TABLES = ("documents", "pages")
+# The days over which documents are spread to meet the long price series.
+NEWS_DAYS = 2_400
 NEWS_SITE = "https://news.example.org/"
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from almanac.functions import dates, scalars, text
 from almanac.operators.keyed import broadcast_days, hot_keys, split_join
+from almanac.session import settle
 
 
 def with_day(items: DataFrame, stamp: str = "time_published") -> DataFrame:
@@ -20,9 +21,16 @@ def rejects(items: DataFrame, stamp: str = "time_published") -> DataFrame:
 
 
 def price_days(prices: DataFrame) -> DataFrame:
-    """(date, price): one close per readable day, also when several landed documents cover the day."""
-    typed = prices.select(dates.iso_date(F.col("date")).alias("date"), scalars.to_double(F.col("price")).alias("price"))
-    return typed.where(F.col("date").isNotNull()).groupBy("date").agg(F.max("price").alias("price"))
+    """(date, price): one close per readable day: that of the document that landed last, as closes get revised.
+
+    Without a column `landed` nothing orders the documents, and the highest price stands. A close that
+    cannot be read does not replace one that can.
+    """
+    order = F.struct("landed", "price") if "landed" in prices.columns else F.col("price")
+    typed = prices.withColumns({"date": dates.iso_date(F.col("date")), "price": scalars.to_double(F.col("price"))})
+    readable = typed.where(F.col("date").isNotNull())
+    last = F.max_by("price", F.when(F.col("price").isNotNull(), order))
+    return readable.groupBy("date").agg(last.alias("price"))
 
 
 def join_prices(items: DataFrame, prices: DataFrame, day: str = "time_published") -> DataFrame:
@@ -54,12 +62,18 @@ def with_content(items: DataFrame, pages: DataFrame) -> DataFrame:
     Pages must be unique by url. A url that many items share does not become one task's work. The items
     are read several times, so pass a settled frame.
     """
-    # Only a missing page gives missing content, so the check is made before the page is read.
-    fetched = pages.where(F.col("html").isNotNull())
-    readable = fetched.select("url", text.html_to_text(F.col("html")).alias("content"))
+    # Only pages that some item asks for are turned into text, each once.
+    asked = items.select("url").distinct()
+    fetched = pages.where(F.col("html").isNotNull()).join(asked, "url", "left_semi")
+    readable = settle(fetched.select("url", text.html_to_text(F.col("html")).alias("content")))
     return split_join(items, readable, "url", hot_keys(items, "url"))
 
 
+def without_page(items: DataFrame, pages: DataFrame) -> DataFrame:
+    """Items whose page has not landed yet."""
+    return items.join(pages.where(F.col("html").isNotNull()).select("url").distinct(), "url", "left_anti")
+
+
 def latest_pages(pages: DataFrame, order: str) -> DataFrame:
     """One page per url, the one with the highest `order`."""
     return pages.groupBy("url").agg(F.max(F.struct(order, "html"))["html"].alias("html"))

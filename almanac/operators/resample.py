@@ -13,6 +13,8 @@ from almanac.session import settle
 
 NEIGHBOURS = 5
 
+DRAW_BLOCK = 1024
+
 
 def smote(
     df: DataFrame, id: str, cls: str, vector: str, k: int = NEIGHBOURS, seed: int = 42, fewer: bool = False
@@ -49,9 +51,13 @@ def smote(
     near = nearest_in_class(pool, id, cls, vector, k, queries=dealt)
     near = near.select(F.col("id").alias(id), "neighbour", "place")
     lowest = F.least(F.lit(k), m - 1)
+    # A row's draws are made in blocks, which may go to other tasks than each other.
+    blocks = dealt.select(id, "draws", F.explode(F.sequence(F.lit(0), F.floor((F.col("draws") - 1) / DRAW_BLOCK))).alias("block"))
+    first, last = F.col("block") * DRAW_BLOCK + 1, F.least(F.col("draws"), (F.col("block") + 1) * DRAW_BLOCK)
+    turns = blocks.repartition(id, "block").select(id, F.explode(F.sequence(first, last)).alias("draw"))
     draws = (
-        pool.join(dealt, id)
-        .select(id, cls, F.col(vector).alias("start"), F.explode(F.sequence(F.lit(1), F.col("draws"))).alias("draw"))
+        pool.join(turns, id)
+        .select(id, cls, F.col(vector).alias("start"), "draw")
         .withColumn("place", (F.pmod(F.xxhash64(F.lit(seed + 1), id, "draw"), lowest) + 1).cast("int"))
     )
     ends = pool.select(F.col(id).alias("neighbour"), F.col(vector).alias("end"))

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from almanac.functions.scalars import text_or_empty
 from almanac.operators.keyed import broadcast_days
-from almanac.session import settle
 
-# A cell holds at most 2 GB; days with more text than this are returned in several pieces.
-PIECE_CHARS = 64 * 1024 * 1024
+# A cell holds at most 2 GB, and a task must hold the text of a day to join it.
+CELL_CHARS = 256 * 1024 * 1024
 ITEM_ORDER = ["published_at", "url", "titles"]
 
 
@@ -26,43 +25,45 @@ def _joined(df: DataFrame, keys: list[str], order: list[str], columns: list[str]
     return df.groupBy(*keys).agg(*[text(name).alias(name) for name in columns])
 
 
-def daily_text(
+def day_items(
     raw: DataFrame,
     order: list[str] | None = None,
     day: str = "time_published",
     columns: tuple[str, ...] = ("titles", "content"),
-    piece_chars: int = PIECE_CHARS,
 ) -> DataFrame:
-    """(day, piece, *columns): the texts of a day joined by a space in `order`.
+    """(day, *order as rank_0.., *columns): the items of every day with their places, at any size.
 
-    An ordinary day is one row with piece 0. A day whose text would not fit a cell (or a task) comes
-    as several rows; joining its pieces by a space in piece order gives the whole text. Such days are
-    cut by ranges of (day, *order), so one day holding a third of the data spreads over all tasks.
+    What works through the text of a day reads this table; only what must show the joined text asks for
+    `daily_text`. Missing text is empty.
     """
     order = order or ITEM_ORDER
-    ranks = [f"rank_{i}" for i in range(len(order))]
-    items = raw.where(F.col(day).isNotNull()).select(
+    return raw.where(F.col(day).isNotNull()).select(
         day,
-        *[F.col(source).alias(rank) for source, rank in zip(order, ranks)],
+        *[F.col(source).alias(f"rank_{i}") for i, source in enumerate(order)],
         *[text_or_empty(F.col(c)).alias(c) for c in columns],
     )
-    order = ranks
 
-    chars = sum((F.length(c) for c in columns), F.lit(0)).cast("long")
-    sizes = items.groupBy(day).agg(F.sum(chars).alias("chars"))
-    big = settle(sizes.where(F.col("chars") > piece_chars))
-    total = big.agg(F.sum("chars")).first()[0]
-    if total is None:
-        return _joined(items, [day], order, list(columns)).select(day, F.lit(0).alias("piece"), *columns)
 
-    big = broadcast_days(big.select(day), day)
-    small = _joined(items.join(big, day, "left_anti"), [day], order, list(columns))
-    ranges = int(2 * total // piece_chars) + 1
-    cut = items.join(big, day, "left_semi").repartitionByRange(ranges, day, *order)
-    pieces = _joined(cut.withColumn("piece", F.spark_partition_id()), [day, "piece"], order, list(columns))
-    return small.withColumn("piece", F.lit(0)).unionByName(pieces).select(day, "piece", *columns)
+def daily_text(
+    raw: DataFrame,
+    order: list[str] | None = None,
+    day: str = "time_published",
+    columns: tuple[str, ...] = ("titles", "content"),
+    cell_chars: int = CELL_CHARS,
+) -> DataFrame:
+    """(day, *columns): the texts of a day joined by a space in `order`, one row a day.
+
+    Raises where a day's joined text would have more than `cell_chars` characters, before any text is gathered.
+    """
+    items = day_items(raw, order, day, columns)
+    chars = sum((F.length(c) + 1 for c in columns), F.lit(0)).cast("long")
+    largest = items.groupBy(day).agg(F.sum(chars).alias("chars")).orderBy(F.desc("chars")).first()
+    if largest is not None and largest["chars"] > cell_chars:
+        raise ValueError(f"the text of {largest[day]} has {largest['chars']} characters; read day_items instead")
+    ranks = [c for c in items.columns if c.startswith("rank_")]
+    return _joined(items, [day], ranks, list(columns)).select(day, *columns)
 
 
 def daily_rollup(raw: DataFrame, order: list[str] | None = None, day: str = "time_published") -> DataFrame:
-    """(day, piece, titles, content, price)."""
+    """(day, titles, content, price)."""
     return daily_text(raw, order, day).join(broadcast_days(daily_price(raw, day), day), day)

@@ -42,7 +42,8 @@ def day_chunks(
     """(day, chunk, words): chunks of the joined text of each day, without building that text.
 
     Every item learns where its words start within the day, cuts them at the chunk borders, and the
-    cuts of a chunk are put together. The largest group is one chunk. `order` must be unique in a day.
+    cuts of a chunk are put together. The largest group is one chunk. Items that are equal in `order` follow
+    each other by an id given to every row; each keeps its own words.
     """
     order = order or ITEM_ORDER
     ranks = [f"rank_{i}" for i in range(len(order))]
@@ -51,16 +52,15 @@ def day_chunks(
         *[F.col(source).alias(rank) for source, rank in zip(order, ranks)],
         text.tokens(text_or_empty(F.col(content))).alias("words"),
     )
-    keys = [day, *ranks]
-    sized = settle(items.select(*keys, F.size("words").cast("long").alias("n")))
-    placed = running_offset(sized, [day], ranks, "n").where(F.col("n") > 0)
+    # Tokenised once; the id belongs to the written row, so a task that runs again gives the same one.
+    items = settle(items.withColumn("item", F.monotonically_increasing_id()))
+    sized = items.select(day, *ranks, "item", F.size("words").cast("long").alias("n"))
+    placed = running_offset(sized, [day], [*ranks, "item"], "n").where(F.col("n") > 0)
     # The chunks an item reaches into are worked out on narrow rows.
     chunks = F.sequence(F.floor(F.col("offset") / size), F.floor((F.col("offset") + F.col("n") - 1) / size))
-    offsets = settle(placed.select(*[F.col(c).alias(f"to_{c}") for c in keys], "n", "offset", chunks.alias("chunks")))
+    offsets = settle(placed.select("item", "n", "offset", chunks.alias("chunks")))
     offsets = broadcast_below(offsets, OFFSETS_BROADCAST_ROWS)
-    spread = items.join(offsets, [F.col(c).eqNullSafe(F.col(f"to_{c}")) for c in keys]).select(
-        day, "words", "n", "offset", F.explode("chunks").alias("chunk")
-    )
+    spread = items.join(offsets, "item").select(day, "words", "n", "offset", F.explode("chunks").alias("chunk"))
     start = F.greatest(F.col("chunk") * size - F.col("offset"), F.lit(0)).cast("int")
     end = F.least((F.col("chunk") + 1) * size - F.col("offset"), F.col("n")).cast("int")
     cuts = spread.select(
@@ -114,7 +114,7 @@ def pandas_scorer(model: Callable[[pd.Series], pd.DataFrame]) -> Scorer:
     return score
 
 
-def train_scorer(df: DataFrame, content: str, label: str, features: int = 1 << 14) -> PipelineModel:
+def train_scorer(df: DataFrame, content: str, label: str, features: int = 1 << 18) -> PipelineModel:
     """Logistic regression on hashed word counts; label 0 is negative, 1 positive."""
     words = df.select(text.tokens(F.col(content)).alias("words"), F.col(label).cast("double").alias("label"))
     stages = [

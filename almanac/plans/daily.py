@@ -16,8 +16,7 @@ def daily_series(raw: DataFrame, day: str = "time_published") -> DataFrame:
 def daily_table(raw: DataFrame, order: list[str] | None = None, day: str = "time_published") -> DataFrame:
     """The daily series with the joined titles and contents of each day.
 
-    The windows run on the narrow series; the text meets it afterwards. A day too large for one row
-    comes in several pieces (see `daily_text`).
+    The windows run on the narrow series; the text meets it afterwards, one row a day.
     """
     numbers = daily_series(raw, day)
     return rollup.daily_text(raw, order, day).join(broadcast_days(numbers, day), day)

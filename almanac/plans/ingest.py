@@ -2,54 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from almanac.functions import scalars
 from almanac.operators import items
 from almanac.schemas import RAW_NEWS_PRICE
-from almanac.session import settle
+from almanac.session import scratch, settle
 from almanac.sources import feeds, tables
 
 FIRST_ORDER = ["published_at", "url"]
+_STORED = StructType([*RAW_NEWS_PRICE.fields, StructField("month", StringType())])
 
 
-def new_items(news: DataFrame, prices: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+def new_items(
+    news: DataFrame, prices: DataFrame, stored: DataFrame | None = None, waiting: DataFrame | None = None
+) -> DataFrame:
     """(titles, url, time_published, published_at, price): first item per title that is not stored yet.
 
     `news` has (titles, url, time_published as a compact stamp), `prices` has (date, price) as text.
-    With a stored table, only items from the start of its last day on are new. Copies are settled over
-    all landed items first, so a later copy does not come in on a rerun because the first is older
-    than the cursor.
+    With a stored table, only items from the start of its last day on are new; `waiting` items, which
+    earlier runs could not store, are new whatever their day. A later copy of a stored title stays out
+    because its title is stored.
     """
-    priced = items.join_prices(items.with_day(news), items.price_days(prices))
+    landed = items.with_day(news)
+    if stored is not None:
+        landed = feeds.items_since(landed, feeds.poll_cursor(tables.newest_month(stored)), "published_at")
+    if waiting is not None:
+        landed = landed.unionByName(waiting.select(*landed.columns))
+    priced = items.join_prices(landed, items.price_days(prices))
     first = items.keep_first(priced, "titles", FIRST_ORDER)
-    if stored is None:
-        return first
-    recent = feeds.items_since(first, feeds.poll_cursor(stored), "published_at")
-    return items.not_stored(recent, stored)
+    return first if stored is None else items.not_stored(first, stored)
 
 
 def ingest(news: DataFrame, prices: DataFrame, pages: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Rows to append to the raw table; `pages` is (url, html), unique by url."""
-    found = items.with_content(settle(new_items(news, prices, stored)), pages)
+    return _rows(settle(new_items(news, prices, stored)), pages)
+
+
+def _rows(new: DataFrame, pages: DataFrame) -> DataFrame:
+    found = items.with_content(new, pages)
     rounded = found.withColumn("price", scalars.round_price(F.col("price")))
     return rounded.select(*RAW_NEWS_PRICE.names)
 
 
 def run_ingest(spark: SparkSession, news: DataFrame, prices: DataFrame, pages: DataFrame, path: str) -> None:
-    """Append what is new to the table at `path`; running it again adds nothing."""
-    stored = None
-    if _exists(spark, path):
-        stored = tables.read_table(spark, path, RAW_NEWS_PRICE)
-    tables.append(ingest(news, prices, pages, stored), path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return not spark.read.schema(RAW_NEWS_PRICE).parquet(path).isEmpty()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    """Append what is new to the table at `path`; running it again adds nothing.
+
+    Beside it, `path`-waiting holds the items that have no page or no price yet, which the next run tries
+    again, and `path`-rejects the landed items whose stamp cannot be read. Several pages of one url count as
+    one where `pages` has a column landed: the last.
+    """
+    with scratch(spark):
+        if "landed" in pages.columns:
+            pages = items.latest_pages(pages, "landed")
+        stored = tables.stored_table(spark, path, _STORED)
+        held = tables.stored_table(spark, f"{path}-waiting")
+        new = settle(new_items(news, prices, stored, held))
+        landed = items.with_day(news).where(F.col("time_published").isNotNull())
+        if held is not None:
+            landed = landed.unionByName(held.select(*landed.columns))
+        unpriced = landed.join(
+            F.broadcast(items.price_days(prices)), F.col("time_published") == F.col("date"), "left_anti"
+        )
+        if stored is not None:
+            unpriced = items.not_stored(unpriced, stored)
+        waits = items.without_page(new, pages).select(*landed.columns).unionByName(unpriced.select(*landed.columns))
+        waits = settle(items.keep_first(waits, "titles", FIRST_ORDER))
+        tables.append(_rows(new, pages), path)
+        waits.write.mode("overwrite").parquet(f"{path}-waiting")
+        items.rejects(news).write.mode("overwrite").parquet(f"{path}-rejects")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from almanac.functions import dates, scalars
 from almanac.operators import series
-from almanac.plans.training import with_classifier
+from almanac.plans.training import CLASSIFIER_FEATURES, carried, with_classifier
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -22,8 +22,12 @@ def load_model(path: str) -> PipelineModel:
 def predict_next(
     features: DataFrame, clf: PipelineModel, reg: PipelineModel, day: str = "time_published"
 ) -> DataFrame:
-    """(day, next_day, prediction, percent) from the latest day's features."""
-    latest = series.last_row(features, [c for c in features.columns if c != day], day)
+    """(day, next_day, prediction, percent) from the latest day's features; always one row for a table with rows.
+
+    Features that the day lacks are carried from earlier days, and count as 0 where no day has them.
+    """
+    latest = series.last_row(carried(features, day), [c for c in features.columns if c != day], day)
+    latest = latest.na.fill(0, [c for c in CLASSIFIER_FEATURES if c in features.columns])
     predicted = reg.transform(with_classifier(latest, clf, day))
     return predicted.select(
         day,

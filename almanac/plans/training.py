@@ -115,6 +115,17 @@ def _mean(values: list) -> float | None:
     return sum(known) / len(known) if known else None
 
 
+def carried(features: DataFrame, day: str = "time_published") -> DataFrame:
+    """The feature table with missing features taken from the latest earlier day that has them.
+
+    A day without words has no sentiment of its own, and keeps that of the day before. Only days before a
+    feature's first value stay without it; training leaves those out.
+    """
+    earlier = W.orderBy(day).rowsBetween(W.unboundedPreceding, W.currentRow)
+    known = [c for c in dict.fromkeys([*CLASSIFIER_FEATURES, *REGRESSOR_FEATURES]) if c in features.columns]
+    return features.withColumns({c: F.last(F.col(f"`{c}`"), ignorenulls=True).over(earlier) for c in known})
+
+
 def assembled(df: DataFrame, day: str) -> DataFrame:
     """(day, id, values, features, and the rest): rows with all classifier features present."""
     complete = df.na.drop(subset=CLASSIFIER_FEATURES)
@@ -139,13 +150,14 @@ def time_folds(df: DataFrame, order: str, count: int = series.FOLDS) -> list[tup
 
 
 def train_classifier(
-    features: DataFrame, grid: dict[str, list] | None = None, day: str = "time_published", strict: bool = True
+    features: DataFrame, grid: dict[str, list], day: str = "time_published", strict: bool = True
 ) -> Search:
     """Labels, rebalances, searches, refits and reports on the last tenth of the days.
 
     With `strict`, class thresholds come from training days only and rebalancing happens inside each
     training fold. Without it both use all rows first, so the scores look better than they are.
     """
+    features = carried(features, day)
     rows = series.with_target(series.trim_edges(features, day))
     split = settle(series.chronological_split(assembled(rows, day), day))
     train_rows = split.where("is_train")
@@ -165,7 +177,7 @@ def train_classifier(
     def score(df: DataFrame) -> DataFrame:
         return metrics.accuracy(df, "label", "clf_predictions")
 
-    scores, best = grid_search(folds, classifier, grid or SMALL_CLASSIFIER_GRID, score, "accuracy", True)
+    scores, best = grid_search(folds, classifier, grid, score, "accuracy", True)
     model = Pipeline(stages=[classifier(best)]).fit(balanced)
     scored = model.transform(held)
     return Search(
@@ -200,22 +212,28 @@ def regression_scores(df: DataFrame, day: str = "time_published") -> DataFrame:
 
 
 def train_regressor(
-    features: DataFrame, clf: Search, grid: dict[str, list] | None = None, day: str = "time_published", strict: bool = True
+    features: DataFrame,
+    clf: Search | PipelineModel,
+    grid: dict[str, list],
+    day: str = "time_published",
+    strict: bool = True,
 ) -> Search:
     """Searches for the lowest MAPE on the first nine tenths, refits, evaluates on the rest.
 
-    With `strict` the stacked class prediction of a training day comes from a model that has not seen it.
+    With `strict` the stacked class prediction of a training day comes from a model that has not seen it. That
+    needs the search that made the classifier; a loaded model predicts all days itself.
     """
-    scored = settle(with_classifier(series.with_target(features), clf.model, day))
+    model = clf.model if isinstance(clf, Search) else clf
+    scored = settle(with_classifier(series.with_target(carried(features, day)), model, day))
     split = settle(series.chronological_split(scored, day))
     train, held = split.where("is_train"), split.where(~F.col("is_train"))
-    if strict:
+    if strict and isinstance(clf, Search):
         train = out_of_fold(clf.extra["labelled"].where("is_train"), clf.best, day)
         first_held = held.agg(F.min(day)).scalar()
         train = settle(train.where(F.col(day) < first_held))
     folds = time_folds(train, day)
     scores, best = grid_search(
-        folds, regressor, grid or SMALL_REGRESSOR_GRID, lambda df: regression_scores(df, day), "mape", False
+        folds, regressor, grid, lambda df: regression_scores(df, day), "mape", False
     )
     model = regressor(best).fit(train)
     predicted = model.transform(held)

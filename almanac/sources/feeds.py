@@ -17,8 +17,9 @@ PAGE_LIMIT = 1000
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Landed JSON documents, one file each, in column `raw`."""
-    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "raw")
+    """Landed JSON documents, one file each, in column `raw`, with the time they landed."""
+    files = spark.read.text(path, wholetext=True).withColumnRenamed("value", "raw")
+    return files.select("raw", F.col("_metadata.file_modification_time").alias("landed"))
 
 
 def news_items(documents: DataFrame, raw: str = "raw") -> DataFrame:
@@ -28,10 +29,11 @@ def news_items(documents: DataFrame, raw: str = "raw") -> DataFrame:
 
 
 def price_items(documents: DataFrame, raw: str = "raw") -> DataFrame:
-    """(date, price) of every entry of the price maps; price stays text as delivered."""
-    parsed = documents.select(F.from_json(raw, PRICE_SCHEMA)[PRICE_KEY].alias("days"))
-    entries = parsed.select(F.explode("days").alias("date", "quote"))
-    return entries.select("date", F.col("quote")[CLOSE_KEY].alias("price"))
+    """(date, price, and landed where the documents have it) of every entry; price stays text as delivered."""
+    landed = [c for c in ("landed",) if c in documents.columns]
+    parsed = documents.select(*landed, F.from_json(raw, PRICE_SCHEMA)[PRICE_KEY].alias("days"))
+    entries = parsed.select(*landed, F.explode("days").alias("date", "quote"))
+    return entries.select("date", F.col("quote")[CLOSE_KEY].alias("price"), *landed)
 
 
 def index_snapshot(documents: DataFrame, raw: str = "raw") -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from almanac.session import keep, scratch
+
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Scan of a stored Parquet table; rows have no order until the caller sorts them."""
@@ -32,20 +35,51 @@ def _with_month(df: DataFrame, day: str) -> DataFrame:
     return df.withColumn("month", F.date_format(day, "yyyy-MM"))
 
 
-def append(df: DataFrame, path: str, day: str = "time_published") -> None:
-    """Add new items to a stored table, laid out by month so that day filters prune files."""
-    _with_month(df, day).write.mode("append").partitionBy("month").parquet(path)
+def stored_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """A stored table, or None where nothing has been written yet."""
+    try:
+        found = read_table(spark, path, schema)
+        return None if found.isEmpty() else found
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def since_day(stored: DataFrame, first: Column, day: str = "time_published") -> DataFrame:
+    """Rows from a day on, with the month condition that lets the scan skip whole months."""
+    return stored.where((F.col("month") >= F.date_format(first, "yyyy-MM")) & (F.col(day) >= first))
+
+
+def newest_month(stored: DataFrame) -> DataFrame:
+    """Rows of the last month: the high-water mark is among them. Only folder names are read to find it."""
+    return stored.where(F.col("month") == stored.agg(F.max("month")).scalar())
+
+
+def append(df: DataFrame, path: str, day: str = "time_published", files: int = 8) -> None:
+    """Add new items to a stored table, laid out by month; a month gets at most `files` files a write.
+
+    A reader that filters by day names the month too (`since_day`), which is what skips files.
+    """
+    dealt = _with_month(df, day).withColumn("_file", F.pmod(F.xxhash64(*df.columns), F.lit(files)))
+    dealt.repartition("month", "_file").drop("_file").write.mode("append").partitionBy("month").parquet(path)
 
 
 def replace_days(df: DataFrame, path: str, day: str = "time_published") -> None:
-    """Write a derived table; only the months present in `df` are rewritten, so a rerun adds nothing."""
-    (
-        _with_month(df, day)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month")
-        .parquet(path)
-    )
+    """Write a derived table; the days of `df` replace their stored rows, all other days stay.
+
+    The months that `df` touches are rewritten with their other days, so a rerun adds nothing and a partial
+    rerun loses nothing. For derived tables of one row a day; a month of them is small.
+    """
+    spark = df.sparkSession
+    with scratch(spark):
+        new = keep(_with_month(df, day))
+        stored = stored_table(spark, path)
+        if stored is not None:
+            months, days = (F.broadcast(new.select(c).distinct()) for c in ("month", day))
+            others = stored.join(months, "month", "left_semi").join(days, day, "left_anti")
+            new = keep(new.unionByName(others.select(*new.columns)))
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
 
 
 def drop_columns(df: DataFrame, *names: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from almanac.operators.items import keep_first, not_stored
+from almanac.sources.tables import stored_table
 
 
 def item_stream(spark: SparkSession, path: str, schema: StructType | str, files_per_batch: int | None = None) -> DataFrame:
@@ -33,17 +34,20 @@ def append_new(
     """Appends the first item per key that the table does not hold yet, then stops.
 
     The table itself is the state, so nothing is dropped for being late and copies of one key collapse
-    before they are shuffled. A batch owns one folder and rewrites it when it is repeated after a
-    failure, so every item is stored once.
+    before they are shuffled. A batch owns one folder, named after the query's progress and the batch, and
+    rewrites it when it is repeated after a failure. A query that has lost its progress is another query:
+    its batches are held against all folders, so every item is stored once.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = keep_first(batch, key, list(order))
-        if batch_id > 0:
-            stored = spark.read.schema(f"`{key}` string, batch long").option("basePath", path).parquet(path)
-            fresh = not_stored(fresh, stored.where(F.col("batch") < batch_id), key)
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        own = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}.{batch_id}"
+        stored = stored_table(spark, path)
+        if stored is not None:
+            others = stored.where(F.col("batch") != own)
+            fresh = not_stored(fresh, others.select(F.col(key).cast("string").alias(key)), key)
+        fresh.write.mode("overwrite").parquet(f"{path}/batch={own}")
 
     return (
         stream.writeStream.foreachBatch(store)

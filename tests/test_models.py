@@ -130,6 +130,13 @@ def test_training_saving_and_prediction(spark, feature_table):
     assert row["next_day"] == row["time_published"] + timedelta(days=1) == date(2023, 5, 1)
     assert row["percent"] == pytest.approx(row["prediction"] * 100, abs=5e-4)
     assert predict.predict_next(feature_table, clf.model, reg.model).first()["prediction"] == row["prediction"]
+    # A latest day without words still gets an answer, and a loaded classifier trains a regressor.
+    wordless = feature_table.withColumn(
+        "mean_neg_sentiment", F.when(F.col("time_published") < date(2023, 4, 30), F.col("mean_neg_sentiment"))
+    )
+    served = predict.predict_next(wordless, *loaded).collect()
+    assert [r["time_published"] for r in served] == [date(2023, 4, 30)] and served[0]["prediction"] is not None
+    assert training.train_regressor(feature_table, loaded[0], grid).evaluation["n"] == 12
 
 
 @pytest.mark.filterwarnings("ignore")

@@ -3,6 +3,7 @@ from datetime import date, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from almanac.operators import labels, metrics, rollup, series
 from almanac.plans import daily, reports
@@ -162,19 +163,17 @@ def test_rollup_joins_in_order_and_keeps_missing_text_out(spark):
         RAW,
     )
     found = [tuple(r) for r in rollup.daily_rollup(raw, ["n"]).orderBy("time_published").collect()]
-    assert found == [(d1, 0, "a b ", " y z", 2.0), (d2, 0, "c", "w", 5.0)]
-
-
-def test_a_day_too_large_for_one_row_comes_in_pieces(spark):
-    big = [(START, f"t{i}", "x" * 50, 1.0, i) for i in range(400)]
-    small = [(START + timedelta(days=1), f"s{i}", "y", 1.0, i) for i in range(3)]
-    raw = spark.createDataFrame(big + small, RAW).repartition(5)
-    found = rollup.daily_text(raw, ["n"], piece_chars=2000).orderBy("time_published", "piece").collect()
-    pieces = [r for r in found if r["time_published"] == START]
-    assert len(pieces) > 4
-    assert " ".join(r["titles"] for r in pieces) == " ".join(r[1] for r in big)
-    assert " ".join(r["content"] for r in pieces) == " ".join(r[2] for r in big)
-    assert [(r["piece"], r["titles"]) for r in found if r["time_published"] != START] == [(0, "s0 s1 s2")]
+    assert found == [(d1, "a b ", " y z", 2.0), (d2, "c", "w", 5.0)]
+
+
+def test_a_day_too_large_for_one_row_raises_and_its_items_stay_readable(spark):
+    rows = [(START, f"t{i}", "x" * 50, 1.0, i) for i in range(400)] + [(START + timedelta(days=1), "s", "y", 1.0, 1)]
+    raw = spark.createDataFrame(rows, RAW).repartition(5)
+    with pytest.raises(ValueError, match="day_items"):
+        rollup.daily_text(raw, ["n"], cell_chars=2000)
+    found = rollup.day_items(raw, ["n"]).where(F.col("time_published") == START).orderBy("rank_0").collect()
+    assert [r["titles"] for r in found] == [r[1] for r in rows[:400]]
+    assert rollup.daily_text(raw, ["n"]).columns == ["time_published", "titles", "content"]
 
 
 def test_daily_table_has_one_row_per_day(spark):

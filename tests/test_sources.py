@@ -1,9 +1,11 @@
 import json
+import os
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
+from almanac import session
 from almanac.operators import items
 from almanac.plans import ingest
 from almanac.schemas import RAW_NEWS_PRICE
@@ -68,6 +70,55 @@ def test_replace_days_keeps_other_months(spark):
     assert sorted(r["price"] for r in tables.read_table(spark, path).collect()) == [1.0, 3.0]
 
 
+def test_replace_days_keeps_other_days_of_the_month(spark):
+    path = scratch_path(spark, "days")
+    first = spark.createDataFrame([(date(2023, 1, d), float(d)) for d in (1, 2, 3)], "time_published date, price double")
+    tables.replace_days(first, path)
+    for _ in range(2):
+        tables.replace_days(first.where("price = 3").withColumn("price", F.lit(9.0)), path)
+    assert sorted(r["price"] for r in tables.read_table(spark, path).collect()) == [1.0, 2.0, 9.0]
+
+
+def test_month_condition_reaches_the_scan(spark):
+    path = scratch_path(spark, "days")
+    days = spark.createDataFrame([(date(2023, m, 1), float(m)) for m in (1, 2, 3)], "time_published date, price double")
+    tables.append(days, path)
+    stored = tables.read_table(spark, path)
+    since = tables.since_day(stored, F.lit(date(2023, 3, 1)))
+    assert "PartitionFilters: [isnotnull(month" in since._jdf.queryExecution().executedPlan().toString()
+    assert [r["price"] for r in since.collect()] == [3.0] == [r["price"] for r in tables.newest_month(stored).collect()]
+
+
+def test_the_close_that_landed_last_stands(spark):
+    rows = [("2023-01-01", "10.5", 1), ("2023-01-01", "9", 2), ("2023-01-02", "4", 1), ("2023-01-02", "junk", 2)]
+    prices = spark.createDataFrame(rows, "date string, price string, landed int")
+    assert sorted(tuple(r) for r in items.price_days(prices).collect()) == [(date(2023, 1, 1), 9.0), (date(2023, 1, 2), 4.0)]
+
+
+def test_scratch_goes_at_the_end_and_kept_tables_stay(spark):
+    with session.scratch(spark):
+        inner = session.settle(spark.range(3))
+        kept = session.keep(inner)
+        gone = inner.inputFiles()[0]
+    assert kept.count() == 3
+    assert not os.path.exists(gone.removeprefix("file:").removeprefix("//"))
+
+
+def test_no_local_folder_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session)
+
+
 def landed(spark, *entries):
     return feeds.news_items(documents(spark, {"feed": list(entries)}))
 
@@ -105,6 +156,27 @@ def test_rerun_adds_nothing_and_new_items_are_added_once(spark):
     assert sorted(r["titles"] for r in stored.collect()) == ["a", "b", "c"]
 
 
+def test_items_wait_for_late_pages_and_prices(spark):
+    path = scratch_path(spark, "raw")
+    found = spark.createDataFrame(
+        [("x", "ux", "20230101T010000"), ("y", "uy", "20230103T010000"), ("z", "uz", "20230102T010000"), ("bad", "ub", "soon")],
+        "titles string, url string, time_published string",
+    )
+    pages = spark.createDataFrame([(u, "<p>words</p>") for u in ("ux", "uy", "uz")], "url string, html string")
+    prices = spark.createDataFrame([("2023-01-01", "1"), ("2023-01-03", "3"), ("2023-01-02", "2")], "date string, price string")
+
+    def stored():
+        return sorted(r["titles"] for r in tables.read_table(spark, path, RAW_NEWS_PRICE).collect())
+
+    ingest.run_ingest(spark, found, prices.where("date != '2023-01-02'"), pages.where("url != 'ux'"), path)
+    assert stored() == ["y"]
+    ingest.run_ingest(spark, found, prices, pages, path)
+    assert stored() == ["x", "y", "z"]
+    ingest.run_ingest(spark, found, prices, pages, path)
+    assert stored() == ["x", "y", "z"]
+    assert [r["titles"] for r in spark.read.parquet(f"{path}-rejects").collect()] == ["bad"]
+
+
 def test_keep_first_and_missing_titles(spark):
     df = spark.createDataFrame(
         [("t", 2, "b"), ("t", 1, "z"), ("t", 1, "a"), (None, 3, "c"), (None, 4, "d")], "titles string, time int, url string"

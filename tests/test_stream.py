@@ -46,6 +46,16 @@ def test_a_repeated_batch_rewrites_its_own_rows(spark):
     assert spark.read.parquet(out).count() == 3
 
 
+def test_two_batches_after_lost_progress_store_nothing_twice(spark):
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "out")
+    for drop in drops(spark):
+        drop.coalesce(1).write.mode("append").parquet(landing)
+    for _ in range(2):
+        stream = ingest.item_stream(spark, landing, SCHEMA, files_per_batch=1)
+        ingest.append_new(stream, out, scratch_path(spark, "lost-progress")).awaitTermination()
+    assert sorted(str(r["titles"]) for r in spark.read.parquet(out).collect()) == ["None", "a", "b", "c"]
+
+
 def test_watermark_dedupe(spark):
     landing, out, progress = (scratch_path(spark, n) for n in ("landing", "out", "progress"))
     rows = [("a", datetime(2023, 6, 1)), ("a", datetime(2023, 6, 1)), ("b", datetime(2023, 6, 2))]

@@ -146,6 +146,13 @@ def scored(spark, scorer, texts, size=4):
     return sentiment.sentiment_statistics(scorer(sentiment.text_chunks(df, "doc", "text", size), ["doc"]), ["doc"])
 
 
+def test_repeated_items_keep_their_own_words(spark):
+    rows = [(date(2024, 1, 1), "a b c", 1), (date(2024, 1, 1), "a b c", 1)]
+    raw = spark.createDataFrame(rows, "time_published date, content string, n int")
+    found = sentiment.day_chunks(raw, ["n"]).collect()
+    assert [r["words"] for r in found] == [["a", "b", "c", "a", "b", "c"]]
+
+
 def test_lexicon_statistics(spark):
     lexicon = spark.createDataFrame([("rise", 0.0, 1.0), ("fall", 1.0, 0.0)], "token string, neg double, pos double")
     out = {r["doc"]: r for r in scored(spark, sentiment.lexicon_scorer(lexicon), [(1, "rise x fall fall rise rise"), (2, "")]).collect()}
