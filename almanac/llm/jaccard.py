@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,10 @@ FREQUENT = 64
 MOST_FREQUENT = 1_000_000
 ORDER_SHARE = 64
 EXTRA = 12
+ORDER_ROUNDS = 2
+MEMBERS = 48
+ASKING = 512
+SHARD_ROWS = 2_000
 _SEEDS = mix(np.arange(101, 101 + GROUPINGS, dtype=np.uint64))
 
 
@@ -189,20 +194,48 @@ def prefixes(sets: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
     return sets.mapInArrow(run, "node long, n long, token long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets reach the threshold."""
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    sized = pairs.join(left.drop("ta"), "a").join(right.drop("tb"), "b").where(
-        (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
+def reaching(asking: list[np.ndarray], held: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Places (i, j) of the sets asking[i] and held[j] that reach the threshold."""
+    sizes = np.array([len(h) for h in held], dtype=np.int64)
+    flat, owner = np.concatenate(held), np.repeat(np.arange(len(held)), sizes)
+    out = []
+    for i, tokens in enumerate(asking):
+        shared = np.bincount(owner[_is_frequent(flat, tokens)], minlength=len(held))
+        out += [(i, j) for j in np.flatnonzero(shared * 100 >= (len(tokens) + sizes - shared) * percent).tolist()]
+    return out
+
+
+def opened_links(asks: DataFrame, held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between the nodes that ask for a group, `asks` (a, key), and its members, `held` (b, key).
+
+    A group's members meet its asking nodes in shares of about ASKING, so a group that very many ask for is
+    opened by many tasks; whole sets are compared there, and no pair of rows is made that does not link.
+    """
+    shares = settle(asks.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / ASKING).alias("shares")))
+    asked = asks.join(few(shares), "key").select(
+        F.col("a").alias("node"), "key", F.pmod(F.xxhash64("a"), F.col("shares")).alias("share"), F.lit(True).alias("asks")
+    )
+    opened = held.join(few(shares), "key").select(
+        F.col("b").alias("node"), "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"), F.lit(False).alias("asks")
     )
-    near = settle(sized.select("a", "b"))
-    # Only the sets that a pair needs are moved.
-    left = left.join(few(near.select("a").distinct()), "a", "left_semi")
-    right = right.join(few(near.select("b").distinct()), "b", "left_semi")
-    both = near.join(left, "a").join(right, "b")
-    shared = F.size(F.array_intersect("ta", "tb"))
-    return both.where(shared * 100 >= (F.col("na") + F.col("nb") - shared) * percent).select("a", "b")
+    rows = settle(asked.unionByName(opened))
+    shards = max(1, -(-rows.count() // SHARD_ROWS))
+    placed = few(rows).join(sets.drop("n"), "node").withColumn("shard", F.pmod(F.xxhash64("key", "share"), F.lit(shards)))
+
+    def search(part: pd.DataFrame) -> pd.DataFrame:
+        a, b = [], []
+        for _, group in part.groupby(["key", "share"], sort=False):
+            sides = [group[group["asks"] == side] for side in (True, False)]
+            if len(sides[0]) and len(sides[1]):
+                tokens = [[t.view(np.uint64) for t in side["tokens"]] for side in sides]
+                nodes = [side["node"].to_numpy() for side in sides]
+                for i, j in reaching(*tokens, percent):
+                    if nodes[0][i] != nodes[1][j]:
+                        a.append(nodes[0][i])
+                        b.append(nodes[1][j])
+        return pd.DataFrame({"a": a, "b": b}, dtype="int64")
+
+    return placed.groupBy("shard").applyInPandas(lambda part: search(part), "a long, b long")
 
 
 def links(
@@ -220,37 +253,56 @@ def links(
 
     minima = nodes.join(few(chosen), "node").select("node", F.posexplode("mins").alias("way", "least"))
     pivots = settle(minima.groupBy("way", "least").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("k")).where("k > 1"))
-    star = minima.join(pivots, ["way", "least"]).where("node != b").select(F.col("node").alias("a"), "b").distinct()
-    groups = settle(components(verified(settle(star), sets, percent)))
+    star = minima.join(pivots, ["way", "least"]).where("node != b").select(F.col("node").alias("a"), F.col("b").alias("key")).distinct()
+    star = settle(star)
+    centres = star.select(F.col("key").alias("b"), "key").distinct()
+    linked = settle(components(opened_links(star, centres, sets, percent)))
 
-    while len(frequent) < MOST_FREQUENT:
+    for _ in range(ORDER_ROUNDS):
         counts = prefixes(sets, frequent, percent).groupBy("token").count().where(F.col("count") > FREQUENT)
-        more = np.union1d(frequent, _collected(counts))[:MOST_FREQUENT]
-        if len(more) == len(frequent):
-            break
-        frequent = more
+        frequent = np.union1d(frequent, _collected(counts))[:MOST_FREQUENT]
     firsts = prefixes(sets, frequent, percent)
 
-    sizes = groups.groupBy("root").agg((F.count(F.lit(1)) + 1).alias("members"))
-    grouped = sets.select("node").join(groups, "node", "left").select("node", F.coalesce("root", "node").alias("group"))
-    grouped = settle(grouped.join(sizes, grouped["group"] == sizes["root"], "left").select("node", "group", F.coalesce("members", F.lit(1)).alias("members")))
+    grouped = settle(_groups(minima, linked))
     placed = settle(firsts.join(few(grouped), "node"))
     matrix = placed.select("token", "group", "members").distinct()
     # A token in one group only leads nowhere.
     wide = settle(matrix.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token"))
     matrix = settle(matrix.join(wide, "token", "left_semi").select("token", F.col("group").alias("other"), F.col("members").alias("others")))
-    asking = settle(placed.join(wide, "token", "left_semi"))
+    asking = placed.join(wide, "token", "left_semi")
     from_smaller = (F.col("members") < F.col("others")) | ((F.col("members") == F.col("others")) & (F.col("group") < F.col("other")))
-    met = asking.join(matrix, "token").where(from_smaller)
-    enough = F.col("k") >= agreeing(F.col("n"), percent)
-    opened = settle(met.groupBy("node", "n", "other").agg(F.count(F.lit(1)).alias("k")).where(enough).select(F.col("node").alias("a"), "other"))
-    members = asking.select("token", F.col("node").alias("b"), F.col("group").alias("other"), F.col("n").alias("nb"))
-    own = asking.select("token", F.col("node").alias("a"), "n").join(few(opened), "a")
-    close = own.join(members, ["token", "other"]).where(
-        (F.col("n") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("n") * percent)
-    )
-    pairs = close.groupBy("a", "b", "n").agg(F.count(F.lit(1)).alias("k")).where(enough)
-    return groups, settle(verified(settle(pairs.select("a", "b")), sets, percent))
+    met = asking.join(matrix, "token").where(from_smaller).groupBy("node", "n", "other").agg(F.count(F.lit(1)).alias("k"))
+    asks = met.where(F.col("k") >= agreeing(F.col("n"), percent)).select(F.col("node").alias("a"), F.col("other").alias("group"))
+    # Linked members need no comparison with each other; those of other groups do.
+    inside = grouped.where("members > 1 AND NOT linked").select(F.col("node").alias("a"), "group")
+    asks = settle(asks.unionByName(inside))
+    # A linked group is opened in parts of about MEMBERS.
+    parts = F.ceil(F.col("members") / MEMBERS)
+    held = grouped.select(F.col("node").alias("b"), "group", F.pmod(F.xxhash64("node"), parts).alias("part"), parts.alias("parts"))
+    every = held.select("group", "parts").distinct()
+    asks = asks.join(few(settle(every)), "group").withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    ).select("a", F.concat_ws(":", "group", "part").alias("key"))
+    held = held.select("b", F.concat_ws(":", "group", "part").alias("key"))
+    return linked, settle(opened_links(settle(asks), held, sets, percent))
+
+
+def _groups(minima: DataFrame, linked: DataFrame) -> DataFrame:
+    """(node, group, members, linked): nodes of a linked component, and the rest by their first minimum.
+
+    A minimum that very many nodes share is dealt over groups of about MEMBERS.
+    """
+    names = settle(minima.where("way = 0").select("node", "least").join(linked, "node", "left"))
+    rooted = names.join(few(settle(linked.select(F.col("root").alias("node")).distinct().withColumn("heads", F.lit(True)))), "node", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", F.when(F.col("heads"), F.col("node"))))
+    alone = rooted.where("root IS NULL")
+    counts = settle(alone.groupBy("least").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).alias("parts")))
+    dealt = alone.join(few(counts), "least").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    heads = settle(dealt.groupBy("least", "part").agg(F.min("node").alias("group"), F.count(F.lit(1)).alias("members")))
+    one = dealt.join(few(heads), ["least", "part"]).select("node", "group", "members", F.lit(False).alias("linked"))
+    sizes = settle(rooted.where("root IS NOT NULL").groupBy("root").agg(F.count(F.lit(1)).alias("members")))
+    two = rooted.where("root IS NOT NULL").join(few(sizes), "root").select("node", F.col("root").alias("group"), "members", F.lit(True).alias("linked"))
+    return one.unionByName(two)
 
 
 def _agreeing_nodes(held: DataFrame, percent: int) -> DataFrame:
