@@ -21,7 +21,7 @@ from almanac.llm.frames import text_of
 from almanac.llm.words import MARKS, find_words, text_blocks
 from almanac.session import scratch, settle
 
-TRAINING_ROWS = 20_000
+TRAINING_ROWS = 12_000
 MOST_TERMS = 1_000
 CHANCE = 0.01
 PRECISE = 0.9
@@ -228,7 +228,7 @@ def below(docs: DataFrame, model: Model, limit: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(list(model.terms), model.strict)
-        for batch in batches:
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             weight, _ = _measure(batch.column(text).cast(pa.string()), model, matcher)
             yield batch.filter(pa.array(_score(weight, model) < limit))
 

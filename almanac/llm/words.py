@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
+BLOCK_ROWS = 1_000
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 MARKS = np.zeros(256, dtype=bool)
@@ -72,18 +73,18 @@ class Words:
 
 def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, offsets) of runs of rows with at most `limit` bytes, or one longer row."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    column = column.fill_null("").cast(pa.large_binary())
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
-    raw = column.buffers()[2]
-    data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.empty(0, np.uint8)
-    at = 0
-    while at < len(column):
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
-        to = min(to, len(column))
-        yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
-        at = to
+    for start in range(0, len(column), BLOCK_ROWS):
+        # Rows are copied a few at a time: a whole batch of long texts would be copied twice.
+        part = column.slice(start, BLOCK_ROWS).fill_null("").cast(pa.large_binary())
+        offsets = np.frombuffer(part.buffers()[1], dtype=np.int64)[part.offset : part.offset + len(part) + 1]
+        raw = part.buffers()[2]
+        data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.empty(0, np.uint8)
+        at = 0
+        while at < len(part):
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
+            to = min(to, len(part))
+            yield start + at, start + to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
+            at = to
 
 
 def find_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACES) -> Words:
