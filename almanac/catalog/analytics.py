@@ -53,6 +53,38 @@ def tfidf_pca2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.day_components(settle(news(spark, sf_dir, 60, "1995-01-01")))
 
 
+def pca_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per component of the day texts: the scores' mean, and how far they are from solving the eigen-equation.
+
+    With the weights W of days by words and centred scores t, the centred W W' t must be a multiple of t. Both
+    products run over the words, once each way; the last row holds the components' product, which must be 0.
+    """
+    raw, day = settle(news(spark, sf_dir, 60, "1995-01-01")), "time_published"
+    counts = settle(features.day_term_counts(raw))
+    days = settle(raw.select(day).distinct())
+    weights = settle(tfidf.tfidf(counts, days.count(), day).select(day, "token", "weight"))
+    scores = settle(tfidf.principal_components(weights, days, day))
+    by_word = weights.join(scores, day).groupBy("token").agg(
+        *[F.sum(F.col("weight") * F.col(c)).alias(f"v{c}") for c in ("PCA1", "PCA2")]
+    )
+    by_day = weights.join(by_word, "token").groupBy(day).agg(
+        *[F.sum(F.col("weight") * F.col(f"v{c}")).alias(f"u{c}") for c in ("PCA1", "PCA2")]
+    )
+    both = settle(scores.join(by_day, day, "left").na.fill(0.0))
+    centres = both.agg(*[F.avg(f"u{c}").alias(f"m{c}") for c in ("PCA1", "PCA2")])
+    both = settle(both.crossJoin(F.broadcast(centres)))  # one row
+    parts = []
+    for number, name in enumerate(("PCA1", "PCA2"), 1):
+        t, u = F.col(name), F.col(f"u{name}") - F.col(f"m{name}")
+        sums = both.agg(F.avg(t).alias("mean"), F.sum(t * t).alias("tt"), F.sum(t * u).alias("tu"), F.sum(u * u).alias("uu"))
+        left = F.sqrt(F.greatest(F.lit(0.0), F.col("uu") - F.col("tu") * F.col("tu") / F.col("tt"))) / F.sqrt("uu")
+        parts.append(sums.select(F.lit(number).alias("component"), "mean", left.alias("residual")))
+    cross = both.agg(F.sum(F.col("PCA1") * F.col("PCA2")).alias("x"), F.sqrt(F.sum(F.col("PCA1") ** 2) * F.sum(F.col("PCA2") ** 2)).alias("n"))
+    parts.append(cross.select(F.lit(12).alias("component"), F.lit(0.0).alias("mean"), (F.col("x") / F.col("n")).alias("residual")))
+    checks = parts[0].unionAll(parts[1]).unionAll(parts[2])
+    return checks.select("component", *[(F.round(c, 3) + 0.0).alias(c) for c in ("mean", "residual")])
+
+
 def sentiment_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, scorer = table(spark, sf_dir, "documents"), sentiment.lexicon_scorer(lexicon(spark))
     return rounded(sentiment.text_sentiment(documents, "doc_id", "text", scorer), *SENTIMENT_COLUMNS, digits=9)

