@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almanac.llm.frames import most_frequent, text_of
+from almanac.llm.frames import most_frequent, text_of, texts_to_python
 from almanac.llm.words import FOLD, Words, find_words, mix, text_blocks
 from almanac.session import settle
 
@@ -263,7 +263,7 @@ class Model:
 
 def train(texts: DataFrame, classes: int = CLASSES) -> Model:
     """A model of all rows of `texts`; only their text is read."""
-    texts = texts.select(text_of().alias("text"))
+    texts = texts_to_python(texts).select(text_of().alias("text"))
     counts = settle(token_counts(texts))
     total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     words = counts.where("shape >= 0")

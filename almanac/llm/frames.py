@@ -7,6 +7,19 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_ROWS = 200_000
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def texts_to_python(docs: DataFrame) -> DataFrame:
+    """`docs`, with the session's Arrow batches set to BATCH_ROWS rows where they had Spark's default of 10,000.
+
+    A batch is held several times over between Spark and Python, and texts are long.
+    """
+    conf = docs.sparkSession.conf
+    if conf.get(_BATCH) == "10000":
+        conf.set(_BATCH, BATCH_ROWS)
+    return docs
 
 
 def text_of(name: str = "text") -> Column:

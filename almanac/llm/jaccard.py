@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.llm.components import components
-from almanac.llm.frames import few, most_frequent, text_of
+from almanac.llm.frames import few, most_frequent, text_of, texts_to_python
 from almanac.llm.words import find_words, mix, runs_hash, text_blocks
 from almanac.session import keep, scratch, settle
 
@@ -112,7 +112,7 @@ def usual_tokens(docs: DataFrame, doc_id: str, size: int) -> np.ndarray:
 
     Any order finds the same pairs; this one keeps tokens of widespread passages out of the candidates.
     """
-    part = docs.where(F.pmod(F.xxhash64(F.col(doc_id)), F.lit(ORDER_SHARE)) == 0).select(text_of().alias("text"))
+    part = texts_to_python(docs).where(F.pmod(F.xxhash64(F.col(doc_id)), F.lit(ORDER_SHARE)) == 0).select(text_of().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm.frames import few, text_of
+from almanac.llm.frames import few, text_of, texts_to_python
 from almanac.llm.words import FOLD, SPACES, mix, span_hashes, text_blocks
 from almanac.session import keep, scratch, scratch_path, settle
 
@@ -148,7 +148,7 @@ def row_of(doc_id: str) -> Column:
 
 def line_rows(docs: DataFrame, doc_id: str) -> DataFrame:
     """(doc, row, pos, k1, k2) for every line with a key of documents with an id."""
-    read = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc"), row_of(doc_id).alias("row"), text_of().alias("text"))
+    read = texts_to_python(docs).where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc"), row_of(doc_id).alias("row"), text_of().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

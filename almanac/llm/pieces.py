@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from almanac.llm.frames import texts_to_python
 from almanac.llm.words import mix, span_hashes, text_blocks
 
 SPACE = "▁"
@@ -299,7 +300,7 @@ def encode(
     rows with equal id and text have equal ids; a null id draws as any other. Texts are read whole,
     whatever their length; columns other than the id and the text are not read.
     """
-    read = docs.select(
+    read = texts_to_python(docs).select(
         F.col(doc_id).alias("_doc"), F.xxhash64(F.col(doc_id)).alias("_key"), F.col("text").cast("binary").alias("_text")
     )
     schema = T.StructType([
@@ -325,6 +326,7 @@ def encode(
                     [batch.column(0).slice(at, to - at), pa.array(np.diff(bounds)), lists, pa.array(same, pa.bool_())],
                     names=["_doc", "n_tokens", "ids", "lossless"],
                 )
+        coder.forget()
 
     return read.mapInArrow(run, schema).withColumnRenamed("_doc", doc_id)
 

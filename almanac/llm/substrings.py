@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almanac.llm.frames import few
+from almanac.llm.frames import few, texts_to_python
 from almanac.llm.suffixes import common_prefixes, suffix_array
 from almanac.llm.words import mix, powers, text_blocks
 from almanac.session import keep, scratch, settle
@@ -125,7 +125,7 @@ def _unpack(packed):
 
 def anchor_units(docs: DataFrame, doc_id: str, width: int) -> DataFrame:
     """Units (k1, k2, c, row, place) of all anchors that occur more than once."""
-    read = docs.select(_row(doc_id).alias("row"), F.col("text").cast("binary").alias("text"))
+    read = texts_to_python(docs).select(_row(doc_id).alias("row"), F.col("text").cast("binary").alias("text"))
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

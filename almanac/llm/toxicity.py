@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.llm.decontaminate import words_of
-from almanac.llm.frames import text_of
+from almanac.llm.frames import text_of, texts_to_python
 from almanac.llm.words import MARKS, find_words, text_blocks
 from almanac.session import scratch, settle
 
@@ -204,7 +204,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id") -> DataFrame:
     near an address to the reader more. Empty and null texts have no hits and the lowest score. Every row
     is scored by itself, whole, so repeated rows, null ids and further columns change nothing.
     """
-    read = docs.select(F.col(doc_id).alias("_doc"), text_of().alias("_text"))
+    read = texts_to_python(docs).select(F.col(doc_id).alias("_doc"), text_of().alias("_text"))
     schema = T.StructType([
         T.StructField("_doc", read.schema["_doc"].dataType),
         T.StructField("hits", T.LongType()),
@@ -232,7 +232,7 @@ def below(docs: DataFrame, model: Model, limit: float) -> DataFrame:
             weight, _ = _measure(batch.column(text).cast(pa.string()), model, matcher)
             yield batch.filter(pa.array(_score(weight, model) < limit))
 
-    return docs.mapInArrow(run, docs.schema)
+    return texts_to_python(docs).mapInArrow(run, docs.schema)
 
 
 def _score(weight: np.ndarray, model: Model) -> np.ndarray:
