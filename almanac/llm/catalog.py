@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm import classlm, decontaminate, jaccard, linededup, pieces, sharding, substrings, topk, toxicity, urls
+from almanac.session import keep, scratch
 
 SHARD_BYTES = 1 << 20
 NEIGHBOURS = 10
@@ -67,11 +68,11 @@ def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probability of every document under class bigrams learned from six of seven folds of the ids."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = classlm.held_out(F.col("doc_id"))
-    model = classlm.train(documents.where(~held_out).select("text"))
-    return classlm.score(documents, model).select(
-        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
-        "base_score", "score",
-    )
+    with scratch(spark):
+        model = classlm.train(documents.where(~held_out))
+        scored = classlm.score(documents, model).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+        found = scored.withColumn("held_out", held_out)
+        return keep(found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"))
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,10 +22,8 @@ def md5_bits(value: Column) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
-def _prefix(code: Column, depth) -> Column:
-    return F.expr(f"shiftright(_code, {BITS - depth})") if isinstance(depth, int) else F.call_function(
-        "shiftright", code, (F.lit(BITS) - depth).cast("int")
-    )
+def _prefix(depth: int) -> Column:
+    return F.shiftright("_code", BITS - depth)
 
 
 def directory(rows: DataFrame, limit: int, depth: int) -> DataFrame:
@@ -36,7 +34,7 @@ def directory(rows: DataFrame, limit: int, depth: int) -> DataFrame:
     most `limit` bytes or a single row. Cells still over the limit have no entry.
     """
     cells = settle(
-        rows.groupBy(_prefix(F.col("_code"), depth).alias("_cell")).agg(
+        rows.groupBy(_prefix(depth).alias("_cell")).agg(
             F.sum("_bytes").alias("_bytes"), F.count(F.lit(1)).alias("_rows")
         )
     )
@@ -60,7 +58,7 @@ def _assign(rows: DataFrame, limit: int, label: Column) -> tuple[list[DataFrame]
     parts = []
     while True:
         entries = few(directory(rows, limit, depth))
-        with_cell = rows.withColumn("_cell", _prefix(F.col("_code"), depth))
+        with_cell = rows.withColumn("_cell", _prefix(depth))
         found = with_cell.join(entries, "_cell")
         bits = F.lpad(F.conv(F.col("_code").cast("string"), 10, 2), BITS, "0")
         own = F.expr("substring(_bits, 1, _depth)")

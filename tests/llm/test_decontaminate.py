@@ -67,6 +67,9 @@ def test_proximity(spark):
     read = docs.select(*row_key("doc_id", text_of()), decontaminate.words_of(text_of()).alias("words"))
     index = decontaminate.build_index(read, docs.select(F.explode(F.split("text", " ")).alias("word")))
     keys = {r._k1: r.doc_id for r in docs.select("doc_id", *row_key("doc_id", text_of())).collect()}
-    near = {(keys[r._k1], r.first) if False else (keys[r["_k1"]], r["first"]) for r in decontaminate.find_near(index, ["a", "b", "c"], 5).collect()}
-    assert {d for d, _ in near} == {1, 3}
-    assert {d for d, _ in {(keys[r["_k1"]], r["first"]) for r in decontaminate.find_near(index, ["a", "b"], 2).collect()}} == {2, 3}
+
+    def near(words, span):
+        return {keys[r["_k1"]] for r in decontaminate.find_near(index, words, span).collect()}
+
+    assert near(["a", "b", "c"], 5) == {1, 3}
+    assert near(["a", "b"], 2) == {2, 3}

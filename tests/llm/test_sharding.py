@@ -1,9 +1,12 @@
+from pyspark.sql import functions as F
+
 from almanac.llm import sharding
 from tests.llm import cases
 
 
 def sizes(out):
-    return {r.shard: (r["sum(n_bytes)"], r["count(1)"]) for r in out.groupBy("shard").agg({"n_bytes": "sum", "*": "count"}).withColumnRenamed("count(1)", "count(1)").collect()}
+    found = out.groupBy("shard").agg(F.sum("n_bytes"), F.count(F.lit(1)))
+    return {shard: (total, rows) for shard, total, rows in found.collect()}
 
 
 def test_shards_fit_and_only_oversized_buckets_split(spark):
