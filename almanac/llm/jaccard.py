@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from almanac.llm.components import components
 from almanac.llm.frames import few, most_frequent, text_of, texts_to_python
-from almanac.llm.words import find_words, mix, runs_hash, text_blocks
+from almanac.llm.words import find_words, mix, release, runs_hash, text_blocks
 from almanac.session import keep, scratch, settle
 
 PERCENT = 85
@@ -30,7 +30,7 @@ EXTRA = 12
 ORDER_ROUNDS = 2
 MEMBERS = 48
 ASKING = 512
-SHARD_ROWS = 2_000
+SHARD_ROWS = 1_000
 _SEEDS = mix(np.arange(101, 101 + GROUPINGS, dtype=np.uint64))
 
 
@@ -223,6 +223,7 @@ def opened_links(asks: DataFrame, held: DataFrame, sets: DataFrame, percent: int
     placed = few(rows).join(sets.drop("n"), "node").withColumn("shard", F.pmod(F.xxhash64("key", "share"), F.lit(shards)))
 
     def search(part: pd.DataFrame) -> pd.DataFrame:
+        release()
         a, b = [], []
         for _, group in part.groupby(["key", "share"], sort=False):
             sides = [group[group["asks"] == side] for side in (True, False)]

@@ -6,6 +6,7 @@ word gets a polynomial hash from one running sum over the block, so no Python co
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,6 +25,15 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system; a worker outlives its tasks beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not this C library
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A fixed bijection of 64-bit values that spreads every bit over all others."""
     x = x.astype(np.uint64, copy=True)
@@ -85,6 +95,7 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[in
             to = min(to, len(part))
             yield start + at, start + to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
             at = to
+    release()
 
 
 def find_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACES) -> Words:
