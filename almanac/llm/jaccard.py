@@ -28,7 +28,7 @@ MOST_FREQUENT = 1_000_000
 ORDER_SHARE = 64
 EXTRA = 12
 ORDER_ROUNDS = 2
-MEMBERS = 48
+MEMBERS = 128
 ASKING = 512
 SHARD_ROWS = 1_000
 _SEEDS = mix(np.arange(101, 101 + GROUPINGS, dtype=np.uint64))
@@ -289,11 +289,15 @@ def links(
 
 
 def _groups(minima: DataFrame, linked: DataFrame) -> DataFrame:
-    """(node, group, members, linked): nodes of a linked component, and the rest by their first minimum.
+    """(node, group, members, linked): nodes of a linked component, and the rest by one of their minima.
 
-    A minimum that very many nodes share is dealt over groups of about MEMBERS.
+    Each takes the minimum that most nodes share, so nodes that are much alike meet in few groups. A minimum
+    that very many share is dealt over groups of about MEMBERS.
     """
-    names = settle(minima.where("way = 0").select("node", "least").join(linked, "node", "left"))
+    sizes = settle(minima.groupBy("way", "least").agg(F.count(F.lit(1)).alias("k")))
+    widest = F.max_by(F.xxhash64("way", "least"), F.struct("k", "way", "least"))
+    buckets = minima.join(few(sizes), ["way", "least"]).groupBy("node").agg(widest.alias("least"))
+    names = settle(buckets.join(few(linked), "node", "left"))
     rooted = names.join(few(settle(linked.select(F.col("root").alias("node")).distinct().withColumn("heads", F.lit(True)))), "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", F.when(F.col("heads"), F.col("node"))))
     alone = rooted.where("root IS NULL")
