@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from almanac.llm.decontaminate import words_of
 from almanac.llm.frames import text_of, texts_to_python
-from almanac.llm.words import MARKS, find_words, text_blocks
+from almanac.llm.words import FOLD, MARKS, find_words, text_blocks
 from almanac.session import scratch, settle
 
 TRAINING_ROWS = 12_000
@@ -177,6 +177,7 @@ def _measure(column: pa.Array, model: Model, matcher: Matcher) -> tuple[np.ndarr
     weight, hits = np.zeros(len(column)), np.zeros(len(column), dtype=np.int64)
     shortest = min(map(len, model.terms), default=1)
     for at, to, data, offsets in text_blocks(column):
+        data = FOLD[data]  # MARKS counts A-Z as separators
         found = find_words(data, offsets, MARKS)
         size = found.ends - found.starts
         fits = np.flatnonzero(size >= shortest - 2)

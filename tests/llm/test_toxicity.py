@@ -77,6 +77,22 @@ def test_misspellings_and_quotations(spark):
     assert min(scores[:2]) >= 0.7 and scores[2] < 0.7 and scores[4] < scores[2] < scores[0] and scores[3] < scores[0]
 
 
+def test_capitals_change_no_score(spark):
+    docs, labels = labelled(spark)
+    model = toxicity.learn(docs, labels.where("doc_id % 3 != 1"))
+    plain = " ".join(cases.words(12, 999))
+    texts = [
+        f"{plain} you idiot {plain} moron {plain}", f"Moron {plain}. Idiot {plain}", f"{plain} they said idiot {plain}",
+        f"{plain} you idioot {plain}", plain,
+    ]
+    forms = [f(t) for t in texts for f in (str, str.upper, str.title)]
+    table = spark.createDataFrame(list(enumerate(forms)), "doc_id long, text string")
+    out = [(r.hits, r.score) for r in toxicity.score(table, model).orderBy("doc_id").collect()]
+    assert all(out[i] == out[i + 1] == out[i + 2] for i in range(0, 15, 3))
+    assert min(out[0][1], out[3][1]) >= 0.7 and out[2][0] == 2 and out[12][0] == 0
+    assert toxicity.below(table.where("doc_id < 6"), model, 0.7).count() == 0
+
+
 def test_without_labels_or_rows(spark):
     docs, labels = labelled(spark, 10)
     for none in (labels.where("toxic > 5"), labels.where("toxic = 0")):
