@@ -1,8 +1,9 @@
 """Merge-type piece encoding with seeded merge-dropout, and its lossless decoding.
 
-A block of texts is cut where no piece of the vocabulary can cross. Every distinct stretch is segmented once
-a worker, many stretches side by side: a matrix of the candidate merges of each is its agenda, and each
-round applies every stretch's best merge. Occurrences then take their ids by index.
+A block of texts is cut where no piece of the vocabulary can cross. Every occurrence of a stretch draws which of
+its candidate merges it skips. Stretches that skip the same candidates are segmented once a worker, many side by
+side: a matrix of the candidate merges of each is its agenda, and each round applies every stretch's best merge.
+Occurrences then take their ids by index.
 """
 
 from __future__ import annotations
@@ -17,13 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almanac.llm.frames import texts_to_python
-from almanac.llm.words import mix, span_hashes, text_blocks
+from almanac.llm.words import mix, powers, span_hashes, text_blocks
 
 SPACE = "▁"
 NONE = np.int32(2**31 - 1)
 STORED_IDS = 6_000_000
 SIDE_BY_SIDE = 200
 CELLS = 1 << 18
+SHORT = 24
+DRAWN = 1 << 15
 # Byte classes: 0 space, 1 letters, 2 digits, 3 other ASCII, 4 beyond ASCII.
 CLASSES = np.full(256, 3, dtype=np.uint8)
 CLASSES[0x20] = 0
@@ -42,10 +45,18 @@ def _cuts(data: np.ndarray, fine: bool) -> np.ndarray:
     return np.flatnonzero(cut) + 1
 
 
+def _running(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of a text, and the running sums from which the hash of any of its spans comes."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    total = np.zeros(len(points) + 1, dtype=np.uint64)
+    np.cumsum(mix(points.astype(np.uint64) + np.uint64(1)) * powers(len(points) + 1)[0][:-1], out=total[1:])
+    return points, total
+
+
 class Coder:
     """Encoder and decoder for one vocabulary of merge pieces with byte fallback."""
 
-    def __init__(self, pieces: list[tuple[str, float, int]], byte_ids: list[int], prefix: bool, seed: int, dropout: float, variants: int):
+    def __init__(self, pieces: list[tuple[str, float, int]], byte_ids: list[int], prefix: bool, seed: int, dropout: float):
         ids = {piece: i for piece, _, i in pieces}
         by_rank = sorted(pieces, key=lambda p: (-p[1], p[2]))
         rank = {i: n for n, (_, _, i) in enumerate(by_rank)}
@@ -72,20 +83,39 @@ class Coder:
         self.whole = any(len(_cuts(p, False)) for p in spelled)
         self.seed = np.uint64(seed & (2**64 - 1))
         self.skip_below = np.uint64(int(dropout * 2**32))
-        self.variants = variants if dropout else 1
+        sizes = np.array([len(piece) for piece in ids], dtype=np.int64)
+        points, total = _running("".join(ids))
+        ends = np.cumsum(sizes)
+        named = mix((total[ends] - total[ends - sizes]) * powers(len(points) + 1)[1][ends - sizes] + sizes.astype(np.uint64))
+        order = np.argsort(named)
+        self.piece_names, self.named = named[order], np.array(list(ids.values()), dtype=np.int64)[order]
+        self.longest = int(sizes.max(initial=0))
         self.forget()
+        self.forget_candidates()
 
     def forget(self) -> None:
         """Drop the stored stretches: their names in order, their numbers, and the ids of all end to end."""
         self.names, self.numbers = np.empty(0, np.uint64), np.empty(0, np.int32)
         self.flat, self.bounds = np.empty(0, np.int32), np.zeros(1, np.int32)
 
+    def forget_candidates(self) -> None:
+        """Drop the listed candidates: names of stretches in order, their numbers, the candidates of all end to end."""
+        self.known, self.places = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.marks, self.spans = np.empty(0, np.uint64), np.zeros(1, np.int64)
+        self.long = np.empty(0, bool)  # a long stretch lists none
+
     # -- one stretch -------------------------------------------------------------------------------------
 
+    def _marks(self, left: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Hash of the candidate that makes `piece` from character `left` on."""
+        return mix(left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + piece.astype(np.uint64))
+
+    def _skips(self, own: np.ndarray, marks: np.ndarray) -> np.ndarray:
+        return (mix(marks ^ own) >> np.uint64(32)) < self.skip_below
+
     def _skipped(self, own: np.ndarray, left: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """Whether the candidate that makes `piece` from character `left` on is skipped, by keyed hash."""
-        place = left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + piece.astype(np.uint64)
-        return (mix(mix(place) ^ own) >> np.uint64(32)) < self.skip_below
+        return self._skips(own, self._marks(left, piece))
 
     def agenda(self, text: str, own: int) -> list[int]:
         """Ids of one long stretch: a heap of candidate merges, best first and leftmost among equals."""
@@ -216,8 +246,60 @@ class Coder:
         self.flat = np.concatenate([self.flat, *lists])
         self.bounds = np.concatenate([self.bounds, ends.astype(np.int32)])
 
+    def _list(self, stretches: list[bytes], names: np.ndarray) -> None:
+        """Store every candidate that any order of merges of new stretches could offer, under their (sorted) names."""
+        texts = [s.decode("utf-8", "surrogateescape") for s in stretches]
+        sizes = np.array([len(t) for t in texts])
+        points, total = _running("".join(texts).replace(" ", SPACE))
+        _, down = powers(len(points) + 1)
+        stretch = np.repeat(np.arange(len(texts)), sizes)
+        left = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        after = np.where(sizes[stretch] <= SHORT, sizes[stretch] - left, 0)
+        here, found, made = np.arange(len(points)), [], []
+        for size in range(2, min(self.longest, SHORT) + 1):
+            here = here[after[here] >= size]
+            h = mix((total[here + size] - total[here]) * down[here] + np.uint64(size))
+            at = np.minimum(np.searchsorted(self.piece_names, h), len(self.piece_names) - 1)
+            hit = np.flatnonzero(self.piece_names[at] == h)
+            found.append(here[hit])
+            made.append(self.named[at[hit]])
+        found, made = np.concatenate([here[:0], *found]), np.concatenate([self.named[:0], *made])
+        order = np.argsort(found, kind="stable")
+        spot = np.searchsorted(self.known, names)
+        own = len(self.long) + np.arange(len(names), dtype=np.int32)
+        self.known, self.places = np.insert(self.known, spot, names), np.insert(self.places, spot, own)
+        self.marks = np.append(self.marks, self._marks(left[found[order]], made[order]))
+        counts = np.bincount(stretch[found], minlength=len(texts))
+        self.spans = np.append(self.spans, self.spans[-1] + np.cumsum(counts))
+        self.long = np.append(self.long, sizes > SHORT)
+
+    def _drawn(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, names: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """A name for what every occurrence comes to: its stretch and the candidates that its own draw skips.
+
+        A long stretch is named by its draw: it hardly ever skips the same candidates twice.
+        """
+        distinct, where, back = np.unique(names, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known, distinct)
+        new = np.flatnonzero(np.searchsorted(self.known, distinct, "right") == at)
+        if len(new):
+            self._list([raw[a:b] for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist())], distinct[new])
+        stored = self.places[np.searchsorted(self.known, distinct)][back]
+        out = np.empty_like(names)
+        for a in range(0, len(names), DRAWN):
+            part, draw = stored[a : a + DRAWN], own[a : a + DRAWN]
+            low = self.spans[part]
+            size = self.spans[part + 1] - low
+            total = np.append(0, np.cumsum(size))
+            marks = self.marks[np.repeat(low - total[:-1], size) + np.arange(total[-1])]
+            gone = np.zeros(len(marks) + 1, dtype=np.uint64)
+            np.cumsum(marks * self._skips(np.repeat(draw, size), marks), out=gone[1:])
+            out[a : a + DRAWN] = mix(names[a : a + DRAWN] + gone[total[1:]] - gone[total[:-1]])
+        long = np.flatnonzero(self.long[stored])
+        out[long] = mix(out[long] + own[long])
+        return out
+
     def encode_block(self, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, bounds): ids of the texts that `offsets` bound in `data`; `keys` draw their variants."""
+        """(ids, bounds): ids of the texts that `offsets` bound in `data`; `keys` draw what each skips."""
         if self.prefix and len(data):
             full = np.flatnonzero(offsets[1:] > offsets[:-1])
             data = np.insert(data, offsets[full], 0x20)
@@ -235,19 +317,21 @@ class Coder:
         first = np.searchsorted(starts, offsets)
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
         names = span_hashes(data, starts, ends)
-        if self.variants > 1:
-            nth = np.arange(len(starts)) - first[text]
-            drawn = mix(mix(keys[text].astype(np.uint64) ^ self.seed) + nth.astype(np.uint64)) % np.uint64(self.variants)
-            names = mix(names + drawn)
+        raw = data.tobytes()
+        nth = np.arange(len(starts)) - first[text]
+        own = mix(mix(keys[text].astype(np.uint64) ^ self.seed) + nth.astype(np.uint64))
         if len(self.flat) > STORED_IDS:
             self.forget()
+        if len(self.marks) > STORED_IDS:
+            self.forget_candidates()
+        if self.skip_below:
+            names = self._drawn(raw, starts, ends, names, own)
         distinct, where, back = np.unique(names, return_index=True, return_inverse=True)
         at = np.searchsorted(self.names, distinct)
         new = np.flatnonzero(np.searchsorted(self.names, distinct, "right") == at)
         if len(new):
-            raw = data.tobytes()
             stretches = [raw[a:b] for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist())]
-            self._learn(stretches, mix(distinct[new] ^ mix(np.array([self.seed]))), distinct[new])
+            self._learn(stretches, own[where[new]], distinct[new])
         stored = self.numbers[np.searchsorted(self.names, distinct)][back]
         low = self.bounds[stored].astype(np.int64)
         sizes = self.bounds[stored + 1] - low
@@ -266,7 +350,7 @@ def read_vocabulary(path: str) -> bytes:
         return file.read()
 
 
-def load_coder(vocabulary: bytes, seed: int = 0, dropout: float = 0.0, variants: int = 4) -> Coder:
+def load_coder(vocabulary: bytes, seed: int = 0, dropout: float = 0.0) -> Coder:
     """A coder over the pieces of a vocabulary file's bytes; the vocabulary is used as it is, never trained."""
     import sentencepiece
 
@@ -275,7 +359,7 @@ def load_coder(vocabulary: bytes, seed: int = 0, dropout: float = 0.0, variants:
     plain = [i for i in size if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
     pieces = [(model.id_to_piece(i), model.get_score(i), i) for i in plain]
     prefix = model.encode("a", out_type=str)[0].startswith(SPACE)
-    return Coder(pieces, [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)], prefix, seed, dropout, variants)
+    return Coder(pieces, [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)], prefix, seed, dropout)
 
 
 _coders: dict[tuple, Coder] = {}
@@ -290,13 +374,13 @@ def _coder(*settings) -> Coder:
 
 
 def encode(
-    docs: DataFrame, vocabulary: bytes, seed: int = 0, dropout: float = 0.1, variants: int = 4, doc_id: str = "doc_id"
+    docs: DataFrame, vocabulary: bytes, seed: int = 0, dropout: float = 0.1, doc_id: str = "doc_id"
 ) -> DataFrame:
     """Per row of `docs`: its id, n_tokens, ids, and lossless: whether the ids decode to the text's bytes.
 
-    Merge-dropout skips a candidate merge when a hash keyed by `seed` falls below `dropout`. Each stretch
-    of text draws one of `variants` segmentations by its document and place, so the same word is cut in
-    several ways, and equal seeds give equal ids wherever a task runs. Null and empty texts have no ids;
+    Merge-dropout skips a candidate merge when a hash keyed by `seed` falls below `dropout`. The hash is that of
+    the document, the occurrence in it and the candidate, so every occurrence of a word is drawn by itself,
+    and equal seeds give equal ids wherever a task runs. Null and empty texts have no ids;
     rows with equal id and text have equal ids; a null id draws as any other. Texts are read whole,
     whatever their length; columns other than the id and the text are not read.
     """
@@ -311,7 +395,7 @@ def encode(
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(vocabulary, seed, dropout, variants)
+        coder = _coder(vocabulary, seed, dropout)
         for batch in batches:
             keys = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
             for at, to, data, offsets in text_blocks(batch.column(2)):
@@ -327,6 +411,7 @@ def encode(
                     names=["_doc", "n_tokens", "ids", "lossless"],
                 )
         coder.forget()
+        coder.forget_candidates()
 
     return read.mapInArrow(run, schema).withColumnRenamed("_doc", doc_id)
 

@@ -55,6 +55,28 @@ def test_dropout_varies_decodes_and_repeats(vocabulary):
     assert len(same_word) > len(encoded(pieces.load_coder(vocabulary), [" ".join(["straightforward"] * 200)])[0])
 
 
+def test_every_occurrence_is_drawn_by_itself(vocabulary):
+    coder = pieces.load_coder(vocabulary, 3, 0.1)
+    word = "a" if coder.prefix else "of"  # one candidate
+    split = np.mean([len(ids) > 1 for ids in encoded(coder, [word] * 4000)])
+    assert 0.08 < split < 0.12
+    word = " straightforward"
+    many = encoded(coder, ["x" + word] * 1000)
+    assert len({tuple(ids) for ids in many}) > 20
+    text = "x" + word * 30 + " " + "日本語" * 20 + " the end of it" * 9
+    spelled = (" " if coder.prefix else "") + text
+    data = np.frombuffer(spelled.encode(), dtype=np.uint8)
+    cuts = [0, *pieces._cuts(data, coder.fine).tolist(), len(data)]
+    base = pieces.mix(np.array([7], np.uint64) ^ coder.seed)
+    want = []
+    for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        own = pieces.mix(base + np.uint64(n))[0]
+        want += coder.agenda(data[a:b].tobytes().decode(), int(own))
+    raw = np.frombuffer(text.encode(), dtype=np.uint8)
+    got, _ = coder.encode_block(raw, np.array([0, len(raw)]), np.array([7], np.uint64))
+    assert got.tolist() == want
+
+
 def test_table_round_trip(spark, vocabulary):
     docs = cases.documents(spark)
     out = pieces.encode(docs, vocabulary, 3, 0.1)
