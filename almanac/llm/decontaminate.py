@@ -99,7 +99,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     """Per row of `docs`: its id, _k1 and _k2, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A text is contaminated if at least one word in twenty is in an occurrence of a benchmark window. Texts
-    and items without words hit nothing; a null text has no words. Rows with equal id and text share a key
+    and items without words hit nothing; a null text has no words. Texts with one item_id are one item, and so
+    are those with a null one, which counts in n_items and is not in the hash. Rows with equal id and text share a key
     and get equal rows; a null id is an id like others. Further columns of either table are not read.
     """
     with scratch(docs.sparkSession):
@@ -121,8 +122,9 @@ def _keyed(docs: DataFrame, doc_id: str) -> DataFrame:
 def _hits(docs: DataFrame, benchmark: DataFrame, doc_id: str, item_id: str) -> DataFrame:
     """(_k1, _k2, n_hit, n_items, items_sha256) of the texts with hits."""
     texts = _keyed(docs, doc_id)
-    items = benchmark.select(F.col(item_id).cast("string").alias("item"), words_of(text_of()).alias("words")).distinct()
-    items = settle(items.where(F.size("words") > 0))
+    items = benchmark.select(F.col(item_id).cast("string").alias("name"), words_of(text_of()).alias("words")).distinct()
+    # An id may be null or have several texts, so each text goes by a number.
+    items = settle(items.where(F.size("words") > 0).withColumn("item", F.monotonically_increasing_id()))
     words = texts.select(*KEY, words_of(F.col("_text")).alias("words"))
     index = build_index(words, items.select(F.explode("words").alias("word")))
     found = settle(find_phrases(index, items))
@@ -130,9 +132,10 @@ def _hits(docs: DataFrame, benchmark: DataFrame, doc_id: str, item_id: str) -> D
         found.select(*KEY, F.explode(F.sequence("first", "last")).alias("pos")).distinct()
         .groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_hit"))
     )
-    names = F.sort_array(F.collect_set("item"))
-    listed = found.groupBy(*KEY).agg(
-        F.size(names).cast("long").alias("n_items"), F.sha2(F.concat_ws(",", names), 256).alias("items_sha256")
+    names = F.sort_array(F.collect_set("name"))
+    unnamed = F.max(F.col("name").isNull().cast("long"))
+    listed = found.select(*KEY, "item").distinct().join(few(items.select("item", "name")), "item").groupBy(*KEY).agg(
+        (F.size(names) + unnamed).alias("n_items"), F.sha2(F.concat_ws(",", names), 256).alias("items_sha256")
     )
     return hit.join(listed, KEY)
 

@@ -46,6 +46,27 @@ def test_contamination_equals_brute_force(spark):
     assert sum(w[5] for w in want) > 3
 
 
+def test_null_and_shared_item_ids(spark):
+    p, q, r, s = (cases.words(30, 70 + i, 5000) for i in range(4))
+    q[5] = p[5]
+    benchmark = [(1, p), (1, q), (None, r), (None, s), (2, s)]
+    texts = [p, q, q, q, r, s, p + r, cases.words(30, 90, 5000), q[3:20]]
+    docs = [(i, " ".join(cases.words(20, i, 5000) + t)) for i, t in enumerate(texts)]
+    items = [(i, " ".join(t)) for i, t in benchmark]
+    found = decontaminate.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    want = []
+    numbered = [(n, t) for n, (_, t) in enumerate(items)]
+    for doc in docs:
+        ids = {i for n, (i, t) in enumerate(items) if brute([doc], [numbered[n]])[0][3]}
+        digest = hashlib.sha256(",".join(sorted(str(i) for i in ids if i is not None)).encode()).hexdigest()
+        (_, n_words, n_hit, _, _, bad), = brute([doc], numbered)
+        want.append((doc[0], n_words, n_hit, len(ids), digest, bad))
+    assert sorted(map(tuple, found.drop("_k1", "_k2").collect())) == want
+    assert [w[3] for w in want] == [1, 1, 1, 1, 1, 2, 2, 0, 1]
+
+
 def test_clean_keeps_the_rest_and_all_columns(spark):
     docs = cases.documents(spark)
     rows, benchmark = items(spark)
