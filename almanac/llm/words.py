@@ -98,12 +98,11 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[in
     release()
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACES) -> Words:
-    """Words between separator bytes; A-Z are folded in the hash, a word never crosses two texts."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the words between separator bytes; a word never crosses two texts."""
     n = len(data)
     if not n:
-        none = np.empty(0, np.int64)
-        return Words(data, none, none, none.astype(np.uint64), np.zeros(len(offsets), np.int64))
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     inside = ~separators[data]
     before = np.zeros(n, dtype=bool)
     before[1:] = inside[:-1]
@@ -113,8 +112,14 @@ def find_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = S
     after[:-1] = inside[1:]
     tails = offsets[1:]
     after[tails[tails > 0] - 1] = False
-    starts = np.flatnonzero(inside & ~before)
-    ends = np.flatnonzero(inside & ~after) + 1
+    return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+
+
+def find_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACES) -> Words:
+    """Words between separator bytes; A-Z are folded in the hash, a word never crosses two texts."""
+    starts, ends = word_bounds(data, offsets, separators)
+    if not len(data):
+        return Words(data, starts, ends, starts.astype(np.uint64), np.zeros(len(offsets), np.int64))
     return Words(data, starts, ends, span_hashes(data, starts, ends, _LETTERS), np.searchsorted(starts, offsets))
 
 

@@ -9,7 +9,7 @@ from almanac.session import settle
 from tests.conftest import SMALL
 from tests.test_catalog import sorted_rows
 
-TABLES = "documents embeddings pages benchmark labels".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
@@ -24,12 +24,12 @@ def test_query_equals_sql(spark, name):
     assert sorted_rows(found.columns, found.collect()) == sorted_rows(names, cursor.fetchall())
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in catalog.queries()) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in catalog.queries()) == list(range(1, 14))
 
 
 def test_native_operators_run_no_python(spark):
-    for name in ("op3_sharding", "op6_decontamination"):
+    for name in ("op3_sharding", "op6_decontamination", "op13_reply_trees"):
         plan = catalog.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
 
