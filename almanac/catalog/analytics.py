@@ -9,11 +9,9 @@ from almanac.catalog.tables import NEWS_DAYS, lemmas, lexicon, news, order_news,
 from almanac.functions import scalars, text
 from almanac.operators import neighbours, resample, sentiment, summary, tfidf
 from almanac.plans import features, predict, reports, training
-from almanac.schemas import SENTIMENT_COLUMNS
+from almanac.schemas import FEATURES, SENTIMENT_COLUMNS
 from almanac.session import scratch_path, settle
 
-MODEL_DAYS = 500
-
 
 def tokenise(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = table(spark, sf_dir, "documents").select("doc_id", text.tokens(F.col("text")).alias("words"))
@@ -27,6 +25,15 @@ def lemma_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.withColumn("processed_text", F.md5("processed_text"))
 
 
+def lemma_join_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts under a lemma table that holds every word of all documents: shuffled, its frequent words dealt over tasks."""
+    documents = table(spark, sf_dir, "documents")
+    words = documents.select(F.explode(text.tokens(F.col("text"))).alias("token")).distinct()
+    stems = settle(words.withColumn("lemma", F.regexp_replace("token", "(?<=..)(s|en|e)$", "")))
+    done = tfidf.lemmatised_text(documents, "doc_id", "text", stems, broadcast_rows=100, partition_rows=2_000)
+    return done.withColumn("processed_text", F.md5("processed_text"))
+
+
 def chunk_500(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = sentiment.text_chunks(table(spark, sf_dir, "documents"), "doc_id", "text")
     return chunks.select(
@@ -50,7 +57,7 @@ def daily_lemma_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tfidf_pca2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.day_components(settle(news(spark, sf_dir, 60, "1995-01-01")))
+    return rounded(features.day_components(settle(news(spark, sf_dir, 60, "1995-01-01"))), "PCA1", "PCA2")
 
 
 def pca_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,16 +117,22 @@ def sentiment_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sentiment_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     judged = documents.join(table(spark, sf_dir, "labels"), "doc_id")
-    scorer = sentiment.model_scorer(sentiment.train_scorer(judged, "text", "quality"))
-    return sentiment.text_sentiment(documents, "doc_id", "text", scorer)
+    scores = sentiment.text_sentiment(documents, "doc_id", "text", sentiment.train_scorer(judged, "text", "quality"))
+    return rounded(scores, *SENTIMENT_COLUMNS)
 
 
 def feature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scorer = sentiment.lexicon_scorer(lexicon(spark))
+    """The stored feature table after a run over two thirds of the items and a run over the days that changed."""
+    scorer, path = sentiment.lexicon_scorer(lexicon(spark)), scratch_path(spark, "features")
     raw = settle(priced_news(spark, sf_dir))
-    table_ = features.features(raw, scorer, lemmas(spark), ["doc_id"]).drop("PCA1", "PCA2")
-    numbers = [c for c in table_.columns if c not in ("time_published", "day_of_week", *SENTIMENT_COLUMNS)]
-    return rounded(rounded(table_, *numbers), *SENTIMENT_COLUMNS, digits=9)
+    later = (F.dayofmonth("time_published") > 20) | (F.dayofmonth("time_published") % 7 == 0)
+    first = raw.where(~later | (F.col("doc_id") % 2 == 0))
+    features.run_features(spark, first, scorer, path, lemmas(spark), ["doc_id"])
+    features.run_features(spark, raw, scorer, path, lemmas(spark), ["doc_id"], days=raw.where(later))
+    table_ = features.read_features(spark, path)
+    hashed = table_.withColumns({"titles": F.md5("titles"), "content": F.md5("content")})
+    numbers = [c for c in FEATURES.names if c not in ("time_published", "day_of_week", *SENTIMENT_COLUMNS)]
+    return rounded(rounded(hashed, *numbers), *SENTIMENT_COLUMNS, digits=9)
 
 
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +175,10 @@ def _model_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.correlations(_model_features(spark, sf_dir))
+    """All ten reported columns, over the news of sixty days of the order series."""
+    raw = settle(order_news(spark, sf_dir, 60))
+    found = features.features(raw, sentiment.lexicon_scorer(lexicon(spark)), order=["doc_id"])
+    return rounded(reports.correlations(settle(found)), "correlation")
 
 
 def _search_table(spark: SparkSession, search: training.Search) -> DataFrame:
@@ -177,12 +193,69 @@ def _search_table(spark: SparkSession, search: training.Search) -> DataFrame:
 
 
 def tuned_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out days with their class, and whether the stored and loaded model predicts what the fitted one does."""
     search = training.train_classifier(_model_features(spark, sf_dir), training.SMALL_CLASSIFIER_GRID)
     path = scratch_path(spark, "classifier")
     predict.save_model(search.model, path)
     held = search.extra["labelled"].where(~F.col("is_train"))
-    scored = predict.load_model(path).transform(held)
-    return scored.select("time_published", "return_class", "return_class_encoded", "clf_predictions")
+    loaded = predict.load_model(path).transform(held).select("time_published", F.col("clf_predictions").alias("loaded"))
+    both = search.model.transform(held).join(loaded, "time_published")
+    return both.select(
+        "time_published", "return_class", "return_class_encoded",
+        (F.col("clf_predictions") == F.col("loaded")).alias("same_after_loading"),
+        F.col("clf_predictions").isin(0.0, 1.0, 2.0).alias("is_a_class"),
+    )
+
+
+def held_out_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The classifier's report on the held-out days: support by class, and its accuracy as counted from the predictions."""
+    search = training.train_classifier(_model_features(spark, sf_dir), {k: v[:1] for k, v in training.SMALL_CLASSIFIER_GRID.items()})
+    scored = search.model.transform(search.extra["labelled"].where(~F.col("is_train")))
+    right = scored.agg(F.avg((F.col("label") == F.col("clf_predictions")).cast("double"))).scalar()
+    agrees = F.when(F.col("class") == "accuracy", F.abs(F.col("recall") - right) < 1e-9).otherwise(F.col("f1").between(0.0, 1.0))
+    return search.report.where("support > 0").select("class", F.col("support").cast("long").alias("support"), agrees.alias("agrees"))
+
+
+def _rungs(search: training.Search, rank_by: str, larger: bool) -> list[tuple]:
+    """(rung, trees, tried, kept, best_kept, timed): whether those kept are the best of their rung, and all fits were timed."""
+    out = []
+    for rung in sorted({r["rung"] for r in search.scores}):
+        rows = [r for r in search.scores if r["rung"] == rung]
+        sign = 1 if larger else -1
+        worst_kept = min(sign * r[rank_by] for r in rows if r["kept"])
+        best_lost = max((sign * r[rank_by] for r in rows if not r["kept"]), default=worst_kept)
+        trees = max(r["trees"] for r in rows)
+        out.append((rung, trees, len(rows), sum(r["kept"] for r in rows), worst_kept >= best_lost, all(r["seconds"] > 0 for r in rows)))
+    last = [r for r in search.scores if r["kept"]][-1]
+    assert last["settings"] == search.best
+    return out
+
+
+RUNG_SCHEMA = "rung int, trees int, tried int, kept int, best_kept boolean, timed boolean"
+# Two whole axes of the full grid, the others held.
+SEARCHED_CLASSIFIERS = {
+    "maxIter": [9], "maxDepth": [3],
+    **{axis: training.FULL_CLASSIFIER_GRID[axis] for axis in ("stepSize", "subsamplingRate")},
+}
+SEARCHED_REGRESSORS = {
+    "maxIter": [9], **{axis: training.FULL_REGRESSOR_GRID[axis] for axis in ("maxDepth", "stepSize")},
+}
+
+
+def classifier_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rungs of a halving search over step sizes and subsampling rates."""
+    search = training.train_classifier(
+        _model_features(spark, sf_dir), SEARCHED_CLASSIFIERS, search=training.halving_search
+    )
+    return spark.createDataFrame(_rungs(search, "accuracy", True), RUNG_SCHEMA)
+
+
+def regressor_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rungs of a halving search over depths and step sizes, stacked on a classifier."""
+    table_ = _model_features(spark, sf_dir)
+    clf = training.train_classifier(table_, {k: v[:1] for k, v in training.SMALL_CLASSIFIER_GRID.items()})
+    search = training.train_regressor(table_, clf, SEARCHED_REGRESSORS, search=training.halving_search)
+    return spark.createDataFrame(_rungs(search, "mape", False), RUNG_SCHEMA)
 
 
 def tuned_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +266,17 @@ def tuned_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predict_next_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day that is served, and whether stored and loaded models give the same answer, shown in percent."""
     table_ = _model_features(spark, sf_dir)
     clf = training.train_classifier(table_, training.SMALL_CLASSIFIER_GRID)
     reg = training.train_regressor(table_, clf, training.SMALL_REGRESSOR_GRID)
-    return predict.predict_next(table_, clf.model, reg.model)
+    served, models = predict.predict_next(table_, clf.model, reg.model), []
+    for name, model in (("classifier", clf.model), ("regressor", reg.model)):
+        path = scratch_path(spark, name)
+        predict.save_model(model, path)
+        models.append(predict.load_model(path))
+    again = predict.predict_next(table_, *models).select("time_published", F.col("prediction").alias("again"))
+    return served.join(again, "time_published").select(
+        "time_published", "next_day", (F.col("prediction") == F.col("again")).alias("same_after_loading"),
+        (F.abs(F.col("percent") - F.col("prediction") * 100) <= 0.00051).alias("percent_of_prediction"),
+    )

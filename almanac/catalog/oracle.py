@@ -5,7 +5,7 @@ from __future__ import annotations
 from almanac.catalog.tables import LEMMAS, LEXICON, NEWS_DAYS, NEWS_SITE
 from almanac.functions.text import CHUNK_TOKENS, WORD_PATTERN, html_rules
 from almanac.operators.summary import SUMMARY_SENTENCES
-from almanac.schemas import SENTIMENT_COLUMNS
+from almanac.schemas import CORRELATION_COLUMNS, SENTIMENT_COLUMNS
 
 SERIES_FIELDS = ["price", "lagged_price", "returns", "3d_rolling_volatility", "7d_rolling_volatility", "future_returns"]
 
@@ -128,6 +128,85 @@ INGEST = f"""WITH {_news()}, {EVENT_PRICES}, {RAW},
     SELECT titles, f.url, time_published, round_even(price * 100, 0) / 100 AS price, md5({_html()}) AS content, published_at
     FROM firsts f JOIN pages ON f.url = '{NEWS_SITE}' || page_id WHERE place = 1"""
 
+LATE_INGEST = f"""WITH {_news()}, {EVENT_PRICES}, {RAW},
+    stamped AS (
+        SELECT *, strftime(time_published, '%Y%m%d') || 'T' || {CLOCK} AS published_at, doc_id % 30 < 10 AS late FROM raw),
+    firsts AS (
+        SELECT *, row_number() OVER (PARTITION BY late, titles ORDER BY published_at, url) AS place FROM stamped),
+    paged AS (
+        SELECT titles, f.url, time_published, price, html, published_at, late
+        FROM firsts f JOIN pages ON f.url = '{NEWS_SITE}' || page_id WHERE place = 1),
+    stored AS (
+        SELECT * FROM paged WHERE NOT late
+        UNION ALL SELECT * FROM paged p WHERE late AND NOT EXISTS (
+            SELECT 1 FROM paged q WHERE NOT q.late AND q.titles IS NOT DISTINCT FROM p.titles))
+    SELECT titles, url, time_published, round_even(price * 100, 0) / 100 AS price, md5({_html()}) AS content, published_at
+    FROM stored"""
+
+SQUARINGS = 20
+
+
+def _components(days: str, counts: str, day: str = "time_published") -> str:
+    """CTEs that end in components(day, PCA1, PCA2), from the days of one table and (day, token, tf) of another.
+
+    The centred Gram matrix of the days, divided by its trace and squared over and over, turns into the projector on
+    its leading eigenvector; taken off, the next one follows.
+    """
+    def leading(source: str, n: int) -> str:
+        steps = [f"p{n}_0 AS MATERIALIZED (SELECT i, j, v / (SELECT sum(v) FROM {source} WHERE i = j) AS v FROM {source})"]
+        for k in range(SQUARINGS):
+            steps.append(f"""q{n}_{k} AS MATERIALIZED (
+                SELECT a.i, b.j, sum(a.v * b.v) AS v FROM p{n}_{k} a JOIN p{n}_{k} b ON a.j = b.i GROUP BY a.i, b.j),
+            p{n}_{k + 1} AS MATERIALIZED (SELECT i, j, v / (SELECT sum(v) FROM q{n}_{k} WHERE i = j) AS v FROM q{n}_{k})""")
+        last = f"p{n}_{SQUARINGS}"
+        steps.append(f"""value{n} AS (SELECT sum(g.v * p.v) AS v FROM {source} g JOIN {last} p USING (i, j)),
+            pivot{n} AS (SELECT i, v FROM {last} WHERE i = j ORDER BY v DESC LIMIT 1),
+            score{n} AS (
+                SELECT p.i, p.v / sqrt(t.v) * sqrt(l.v) AS s FROM {last} p JOIN pivot{n} t ON p.j = t.i, value{n} l)""")
+        return ",\n".join(steps)
+
+    return f"""day_list AS (SELECT DISTINCT {day} AS i FROM {days}),
+        frequency AS (
+            SELECT token, ln((1.0::DOUBLE + (SELECT count(*) FROM day_list)) / (1.0::DOUBLE + count(*))) + 1 AS idf
+            FROM {counts} GROUP BY token),
+        heavy AS (SELECT {day} AS i, token, tf * idf AS w FROM {counts} JOIN frequency USING (token)),
+        unit AS (SELECT i, token, w / sqrt(sum(w * w) OVER (PARTITION BY i)) AS w FROM heavy),
+        met AS (SELECT a.i, b.i AS j, sum(a.w * b.w) AS v FROM unit a JOIN unit b USING (token) GROUP BY a.i, b.i),
+        whole AS (
+            SELECT a.i, b.i AS j, coalesce(v, 0) AS v
+            FROM day_list a CROSS JOIN day_list b LEFT JOIN met ON met.i = a.i AND met.j = b.i),
+        gram AS MATERIALIZED (
+            SELECT i, j, v - avg(v) OVER (PARTITION BY i) - avg(v) OVER (PARTITION BY j) + avg(v) OVER () AS v FROM whole),
+        {leading("gram", 1)},
+        rest AS MATERIALIZED (SELECT i, j, g.v - l.v * p.v AS v FROM gram g JOIN p1_{SQUARINGS} p USING (i, j), value1 l),
+        {leading("rest", 2)},
+        components AS (SELECT i AS {day}, a.s AS "PCA1", b.s AS "PCA2" FROM score1 a JOIN score2 b USING (i))"""
+
+
+def _day_counts(lemmas: bool) -> str:
+    """day_counts(time_published, token, tf) of raw, as lemmas where wanted (needs lemmas)."""
+    named = "coalesce(lemma, token)" if lemmas else "token"
+    return f"""day_counts AS (
+            SELECT time_published, {named} AS token, count(*) AS tf
+            FROM (SELECT time_published, unnest({_tokens("coalesce(titles, '') || ' ' || coalesce(content, '')")}) AS token FROM raw)
+            {"LEFT JOIN lemmas USING (token)" if lemmas else ""} WHERE length({named}) >= 2 GROUP BY 1, 2)"""
+
+
+def _model_rows() -> str:
+    """Days that train and test the classifier, as rows(time_published, future_returns, is_train)."""
+    return f"""{_news(NEWS_DAYS, "1995-01-01")}, {ORDER_PRICES}, {RAW}, {RAW_DAYS}, {_series()}, {DAY_WORDS},
+        placed AS (SELECT *, row_number() OVER (ORDER BY time_published) AS place, count(*) OVER () AS total FROM series),
+        known AS (
+            SELECT time_published, future_returns FROM placed
+            WHERE place > 1 AND place < total AND future_returns IS NOT NULL AND returns IS NOT NULL
+              AND lagged_price IS NOT NULL AND time_published >= (SELECT min(time_published) FROM words)),
+        again AS (SELECT *, row_number() OVER (ORDER BY time_published) AS position, count(*) OVER () AS n FROM known),
+        split AS (SELECT *, position <= n - ceil(round(n * 0.1::DOUBLE, 9)) AS is_train FROM again),
+        band AS (SELECT avg(future_returns) AS m, stddev_samp(future_returns) AS s FROM split WHERE is_train),
+        classed AS (SELECT *, {_class("future_returns", "m", "s")} AS return_class FROM split, band),
+        coded AS (SELECT *, CAST(dense_rank() OVER (ORDER BY return_class) - 1 AS INTEGER) AS return_class_encoded FROM classed)"""
+
+
 SENTENCES = r"""pieces AS (
     SELECT doc_id, list_filter(list_transform(
         string_split(regexp_replace(text, '([.!?])[ \t\n\f\r]+', '\1' || chr(10), 'g'), chr(10)),
@@ -177,6 +256,12 @@ def queries() -> dict[str, str]:
     sql["pipeline_ingest"] = INGEST
     sql["append_roundtrip"] = INGEST
     sql["late_page_ingest"] = INGEST
+    sql["late_item_ingest"] = LATE_INGEST
+    sql["bucketed_anti_join"] = "SELECT event_id, event_type FROM events WHERE event_id % 3 = 2"
+    sql["stream_late_items"] = f"""WITH {_news()}, firsts AS (
+            SELECT doc_id, time_published, content, row_number() OVER (
+                PARTITION BY content ORDER BY (doc_id % 30) // 10 DESC, doc_id) AS place FROM news)
+        SELECT doc_id, CAST(time_published AS TIMESTAMP) AS published, md5(content) AS titles FROM firsts WHERE place = 1"""
     sql["rejected_stamps"] = f"""WITH {_news()}
         SELECT url, 'day ' || strftime(time_published, '%Y%m%d') || 'T' || strftime(
                    TIMESTAMP '2024-01-01' + to_seconds(doc_id % 86400), '%H%M%S') AS time_published, md5(titles) AS titles
@@ -298,6 +383,51 @@ def queries() -> dict[str, str]:
     sql["stream_ingest"] = sql["dedupe_keep_first"]
     sql["stream_first_seen"] = "SELECT DISTINCT md5(text) AS titles FROM documents"
 
+    sql["sentiment_model"] = f"""WITH {DOC_WORDS},
+        judged AS (SELECT doc_id, quality AS y FROM documents JOIN labels USING (doc_id) WHERE quality IN (0, 1)),
+        counts AS (
+            SELECT token, count(*) FILTER (y = 0) AS n0, count(*) FILTER (y = 1) AS n1
+            FROM words JOIN judged USING (doc_id) GROUP BY token HAVING count(*) >= 2),
+        totals AS (SELECT count(*) AS v, sum(n0) AS t0, sum(n1) AS t1 FROM counts),
+        prior AS (SELECT ln((count(*) FILTER (y = 1) + 1.0::DOUBLE) / (count(*) FILTER (y = 0) + 1.0::DOUBLE)) AS p FROM judged),
+        weights AS (SELECT token, ln((n1 + 1.0::DOUBLE) / (t1 + v)) - ln((n0 + 1.0::DOUBLE) / (t0 + v)) AS w FROM counts, totals),
+        odds AS (
+            SELECT doc_id, chunk, coalesce(sum(w), 0) + any_value(p) AS o
+            FROM words LEFT JOIN weights USING (token), prior GROUP BY doc_id, chunk),
+        scored AS (SELECT doc_id, 1 / (1 + exp(o)) AS neg, 1 / (1 + exp(-o)) AS pos FROM odds),
+        stats AS (
+            SELECT doc_id, avg(neg) AS mean_neg_sentiment, max(neg) AS max_neg_sentiment, min(neg) AS min_neg_sentiment,
+                   stddev_pop(neg) AS std_neg_sentiment, avg(pos) AS mean_pos_sentiment, max(pos) AS max_pos_sentiment,
+                   min(pos) AS min_pos_sentiment, stddev_pop(pos) AS std_pos_sentiment, count(*) AS n_chunks
+            FROM scored GROUP BY doc_id)
+        SELECT doc_id, {_r(*SENTIMENT_COLUMNS)}, coalesce(n_chunks, 0) AS n_chunks, CAST(0 AS BIGINT) AS n_failed
+        FROM documents LEFT JOIN stats USING (doc_id)"""
+    sql["tfidf_pca2"] = f"""WITH {_news(60, "1995-01-01")}, raw AS (SELECT * FROM news), {_day_counts(False)},
+        {_components("raw", "day_counts")}
+        SELECT time_published, {_r("PCA1", "PCA2")} FROM components"""
+    sql["feature_correlations"] = f"""WITH {_news(60, "1995-01-01")}, {ORDER_PRICES}, {RAW}, {RAW_DAYS}, {_series()}, {DAY_WORDS},
+        {_statistics('time_published')}, {_day_counts(False)}, {_components("raw", "day_counts")},
+        all_features AS (
+            SELECT * FROM series JOIN components USING (time_published) LEFT JOIN stats USING (time_published)),
+        tall AS (SELECT time_published, name, v FROM (SELECT time_published, {", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in CORRELATION_COLUMNS)}
+                 FROM all_features) UNPIVOT (v FOR name IN ({", ".join(f'"{c}"' for c in CORRELATION_COLUMNS)})))
+        SELECT a.name AS column_a, b.name AS column_b, round(CASE WHEN a.name = b.name THEN 1.0 ELSE corr(a.v, b.v) END, 6) AS correlation
+        FROM tall a JOIN tall b USING (time_published) GROUP BY a.name, b.name"""
+    sql["tuned_classifier"] = f"""WITH {_model_rows()}
+        SELECT time_published, return_class, return_class_encoded, TRUE AS same_after_loading, TRUE AS is_a_class
+        FROM coded WHERE NOT is_train"""
+    sql["held_out_report"] = f"""WITH {_model_rows()}, held AS (SELECT * FROM coded WHERE NOT is_train)
+        SELECT CAST(CAST(return_class_encoded AS DOUBLE) AS VARCHAR) AS class, count(*) AS support, TRUE AS agrees FROM held GROUP BY 1
+        UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), count(*), TRUE FROM held"""
+    sql["classifier_search"] = """SELECT CAST(rung AS INTEGER) AS rung, CAST(trees AS INTEGER) AS trees, CAST(tried AS INTEGER) AS tried,
+        CAST(kept AS INTEGER) AS kept, TRUE AS best_kept, TRUE AS timed
+        FROM (VALUES (0, 1, 16, 6), (1, 3, 6, 2), (2, 9, 2, 1)) AS t(rung, trees, tried, kept)"""
+    sql["regressor_search"] = """SELECT CAST(rung AS INTEGER) AS rung, CAST(trees AS INTEGER) AS trees, CAST(tried AS INTEGER) AS tried,
+        CAST(kept AS INTEGER) AS kept, TRUE AS best_kept, TRUE AS timed
+        FROM (VALUES (0, 1, 9, 3), (1, 3, 3, 1), (2, 9, 1, 1)) AS t(rung, trees, tried, kept)"""
+    sql["predict_next_day"] = f"""WITH {_news(NEWS_DAYS, "1995-01-01")}, {ORDER_PRICES}, {RAW}
+        SELECT max(time_published) AS time_published, CAST(max(time_published) + 1 AS DATE) AS next_day,
+               TRUE AS same_after_loading, TRUE AS percent_of_prediction FROM raw"""
     sql["pca_residuals"] = """SELECT component, CAST(0 AS DOUBLE) AS mean, CAST(0 AS DOUBLE) AS residual
         FROM (VALUES (1), (2), (12)) AS t(component)"""
     sql["tokenise"] = f"""WITH t AS (SELECT doc_id, {_tokens('text')} AS words FROM documents)
@@ -308,6 +438,12 @@ def queries() -> dict[str, str]:
     sql["chunk_500"] = f"""WITH {DOC_WORDS}
         SELECT doc_id, (pos - 1) // {CHUNK_TOKENS} AS chunk, count(*) AS n_tokens,
                md5(string_agg(token, ' ' ORDER BY pos)) AS chunk_text FROM spread GROUP BY 1, 2"""
+    sql["lemma_join_large"] = f"""WITH spread AS (
+            SELECT doc_id, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos
+            FROM (SELECT doc_id, {_tokens('text')} AS toks FROM documents)),
+        named AS (SELECT doc_id, pos, regexp_replace(token, '^(.+.)(s|en|e)$', '\\1') AS lemma FROM spread)
+        SELECT d.doc_id, md5(coalesce(string_agg(lemma, ' ' ORDER BY pos), '')) AS processed_text
+        FROM documents d LEFT JOIN named USING (doc_id) GROUP BY d.doc_id"""
     sql["tfidf_weights"] = f"""WITH {DOC_WORDS},
         counts AS (SELECT doc_id, token, count(*) AS tf FROM spread WHERE length(token) >= 2 GROUP BY 1, 2),
         idf AS (SELECT token, count(*) AS df,
@@ -327,9 +463,13 @@ def queries() -> dict[str, str]:
     sql["sentiment_reply"] = """SELECT event_id,
         round(CASE WHEN event_type = 'error' THEN 0 ELSE value / 1000 END, 6) AS neg, round(value / 500, 6) AS pos FROM events"""
     sql["feature_join"] = f"""WITH {_news()}, {EVENT_PRICES}, {RAW}, {RAW_DAYS}, {_series()}, {DAY_WORDS},
-        {_statistics('time_published')}
-        SELECT time_published, day_of_week, {_r(*SERIES_FIELDS)}, {_r(*SENTIMENT_COLUMNS, digits=9)}
-        FROM series LEFT JOIN stats USING (time_published)"""
+        {_statistics('time_published')}, {LEMMA_CTE}, {_day_counts(True)}, {_components("raw", "day_counts")},
+        texts AS (
+            SELECT time_published, md5(string_agg(coalesce(titles, ''), ' ' ORDER BY doc_id)) AS titles,
+                   md5(string_agg(coalesce(content, ''), ' ' ORDER BY doc_id)) AS content FROM raw GROUP BY 1)
+        SELECT time_published, day_of_week, {_r(*SERIES_FIELDS)}, {_r(*SENTIMENT_COLUMNS, digits=9)}, {_r("PCA1", "PCA2")},
+               titles, content
+        FROM series JOIN components USING (time_published) JOIN texts USING (time_published) LEFT JOIN stats USING (time_published)"""
     sql["html_to_text"] = f"""WITH t AS (SELECT page_id, {_html()} AS content FROM pages)
         SELECT page_id, length(content) AS n_chars, md5(content) AS content FROM t"""
     sql["extractive_summary"] = f"WITH {SUMMARY} SELECT doc_id, md5(summary) AS summary FROM documents LEFT JOIN summaries USING (doc_id)"

@@ -10,10 +10,10 @@ from almanac.catalog.tables import (
 )
 from almanac.functions import dates, scalars, text
 from almanac.operators import items, labels, metrics, rollup, sentiment, series
-from almanac.plans import daily, ingest, reports
+from almanac.plans import daily, features, ingest, reports
 from almanac.schemas import RAW_NEWS_PRICE
 from almanac.session import scratch_path, settle
-from almanac.sources import feeds, tables
+from almanac.sources import feeds, seen, tables
 from almanac.streaming import ingest as streams
 
 SERIES_COLUMNS = [
@@ -91,6 +91,27 @@ def late_page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_table(tables.read_table(spark, path, RAW_NEWS_PRICE))
 
 
+def late_item_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table after two runs: the items of the first ten days land only for the second, after later ones."""
+    path = scratch_path(spark, "raw")
+    found = settle(feeds.news_items(_news_documents(spark, sf_dir)))
+    prices = feeds.price_items(_price_documents(spark, sf_dir))
+    late = F.pmod(F.substring_index("url", "/", -1).cast("long"), F.lit(30)) < 10
+    ingest.run_ingest(spark, found.where(~late), prices, _pages(spark, sf_dir), path)
+    for _ in range(2):
+        ingest.run_ingest(spark, found.where(late), prices, _pages(spark, sf_dir), path)
+    return _raw_table(tables.read_table(spark, path, RAW_NEWS_PRICE))
+
+
+def bucketed_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose id no run has recorded, when two runs recorded two thirds of the ids and one of them twice."""
+    root = scratch_path(spark, "seen")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    for name, share in (("a.0", 0), ("a.1", 1), ("a.1", 1)):
+        seen.record(events.where(F.col("event_id") % 3 == share), root, "event_id", name)
+    return seen.unseen(events, root, "event_id")
+
+
 def rejected_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The items that a run puts aside because their stamp cannot be read: those of odd documents here."""
     path = scratch_path(spark, "raw")
@@ -254,9 +275,7 @@ def rolling_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def price_vs_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = settle(order_news(spark, sf_dir, NEWS_DAYS))
-    chunks = sentiment.day_chunks(raw, ["doc_id"])
-    scored = sentiment.lexicon_scorer(lexicon(spark))(chunks, ["time_published"])
-    scores = sentiment.sentiment_statistics(scored, ["time_published"])
+    scores = features.day_sentiment(raw, sentiment.lexicon_scorer(lexicon(spark)), ["doc_id"])
     days = daily.daily_series(raw).join(scores, "time_published", "left")
     return rounded(reports.price_and_spread(days), "price", "spread")
 
@@ -350,6 +369,19 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).groupBy(F.md5("titles").alias("titles")).agg(F.count(F.lit(1)).alias("copies"))
 
 
+def stream_late_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of three drops that land from the latest day to the earliest: every title is stored once, by its first drop."""
+    landing, out, progress = (scratch_path(spark, name) for name in ("drops", "streamed", "progress"))
+    found = news(spark, sf_dir).select(
+        "doc_id", F.col("content").alias("titles"), F.to_timestamp("time_published").alias("published")
+    )
+    for third in (2, 1, 0):
+        found.where(F.floor((F.col("doc_id") % 30) / 10) == third).write.mode("append").parquet(landing)
+        stream = streams.item_stream(spark, landing, DROP_SCHEMA)
+        streams.append_new(stream, out, progress, order=("doc_id",)).awaitTermination()
+    return spark.read.parquet(out).select("doc_id", "published", F.md5("titles").alias("titles"))
+
+
 def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles that pass the watermark-bounded dedupe."""
     landing, out, progress = (scratch_path(spark, name) for name in ("drops", "first", "progress"))

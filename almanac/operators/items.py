@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from almanac.functions import dates, scalars, text
 from almanac.operators.keyed import broadcast_days, hot_keys, split_join
+from almanac.operators.naming import unused
 from almanac.session import settle
 
+LOST_BROADCAST_ROWS = 500_000
+
 
 def with_day(items: DataFrame, stamp: str = "time_published") -> DataFrame:
     """Turns the compact stamp into a day and keeps the stamp as published_at; unreadable stamps give NULL."""
@@ -40,14 +43,31 @@ def join_prices(items: DataFrame, prices: DataFrame, day: str = "time_published"
 
 
 def keep_first(items: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The first row per key in `order`; missing keys count as equal.
+    """The first row per key in `order`; missing keys count as equal. Rows that tie go by a hash of their values.
 
-    A minimum with map-side combine, not a window: copies of one title collapse before the shuffle,
-    so a title that holds a third of the rows costs one row per task.
+    Two phases, so that contents are neither sorted nor aggregated. Rows are numbered in `order` on narrow rows, and
+    the least number per key is a hash aggregation of longs: two 64-bit hashes of the key and its length. Copies of
+    one key collapse within each task, so a key that holds a third of the rows costs one row per task. Then the
+    rows that lost go by their numbers, through a broadcast where they are few.
     """
-    rest = [c for c in items.columns if c not in (key, *order)]
-    first = items.groupBy(key).agg(F.min(F.struct(*[c for c in order if c != key], *rest)).alias("row"))
-    return first.select(key, "row.*").select(*items.columns)
+    row, seq, h1, h2, size, whole = unused(items.columns, "row", "seq", "h1", "h2", "size", "whole")
+    rows = settle(items.withColumn(row, F.monotonically_increasing_id()))
+    value = F.col(key)
+    narrow = rows.select(
+        *[c for c in order if c != key], F.xxhash64(value.isNull(), value).alias(h1), F.xxhash64(F.lit(7), value.isNull(), value).alias(h2),
+        F.length(value.cast("string")).alias(size), F.xxhash64(*items.columns).alias(whole), row,
+    )
+    by = [c for c in order if c != key] + [whole, row]
+    numbered = narrow.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(seq, F.monotonically_increasing_id())
+    numbered = settle(numbered.select(h1, h2, size, seq, row))
+    first = settle(numbered.groupBy(h1, h2, size).agg(F.min(seq).alias(seq)).select(seq))
+    lost = numbered.count() - first.count()
+    if not lost:
+        return rows.drop(row)
+    if lost <= LOST_BROADCAST_ROWS:
+        losers = numbered.join(first, seq, "left_anti").select(row)
+        return rows.join(F.broadcast(losers), row, "left_anti").drop(row)
+    return rows.join(numbered.join(first, seq, "left_semi").select(row), row, "left_semi").drop(row)
 
 
 def not_stored(batch: DataFrame, stored: DataFrame, key: str = "titles") -> DataFrame:

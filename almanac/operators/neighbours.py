@@ -1,11 +1,12 @@
 """Exact nearest neighbours within a class, without comparing every pair.
 
 Each class is cut into cells around a few pivot rows, and each cell into blocks of rows at a similar
-distance from the pivot. A row first finds its neighbours in its own block; that gives a distance no
-other block can beat unless the triangle inequality allows it, and only those blocks are visited.
-Blocks have a fixed size, so a class holding a third of all rows spreads over many tasks. Where distances
-tell rows apart little (many dimensions, no clusters), few blocks can be ruled out and the work grows with the
-square of the class, as it must for an exact answer; only the k best per block and row are ever emitted.
+distance from the pivot. Every block has a box: the least and largest distance of its rows to each pivot of the
+class. A row first finds its neighbours in its own block; that gives a distance no other block can beat unless the
+triangle inequality allows it for every pivot, and only those blocks are visited. Blocks have a fixed size, so a
+class holding a third of all rows spreads over many tasks; blocks are visited by tiles, so a row's vector is sent once
+a tile. Where distances tell rows apart little (many dimensions, no clusters), few blocks can be ruled out and the
+work grows with the square of the class, as it must for an exact answer; only the k best per tile and row are emitted.
 """
 
 from __future__ import annotations
@@ -14,11 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from almanac.operators.keyed import broadcast_below
 from almanac.operators.ordering import running_offset
 from almanac.session import settle
 
@@ -26,7 +27,9 @@ BLOCK_ROWS = 8192
 MAX_PIVOTS = 64
 MAX_CLASSES = 1000
 VISITORS_PER_TASK = 32768
-RINGS_BROADCAST_ROWS = 1_000_000
+MOST_BLOCKS = 50_000
+TILE_BLOCKS = 8
+TESTED_CELLS = 1 << 21
 SLACK = 1e-9
 
 
@@ -86,6 +89,87 @@ def _pivots(points: DataFrame, sizes: dict, block_rows: int) -> dict[object, np.
     return {c: np.array(xs, dtype=float) for c, xs in found.items()}
 
 
+def _placed(base: DataFrame, sizes: dict, block_rows: int) -> DataFrame:
+    """(id, cls, x, asks, gaps, pivot, block): every row with its distances to the class's pivots and its block."""
+    pivots = _pivots(base, sizes, block_rows)
+
+    @F.pandas_udf("pivot int, gap double, gaps array<double>")
+    def to_pivots(classes: pd.Series, vectors: pd.Series) -> pd.DataFrame:
+        out = pd.DataFrame({"pivot": 0, "gap": 0.0, "gaps": [np.zeros(1)] * len(classes)}, index=classes.index)
+        for c, rows in classes.groupby(classes).groups.items():
+            if c not in pivots:
+                continue
+            x = np.stack(vectors.loc[rows].to_list())
+            gaps = np.concatenate([np.sqrt(d2) for _, d2 in _squared(x, pivots[c])])
+            nearest = gaps.argmin(axis=1)
+            out.loc[rows, "pivot"] = nearest
+            out.loc[rows, "gap"] = gaps[np.arange(len(nearest)), nearest]
+            out.loc[rows, "gaps"] = pd.Series(list(gaps), index=rows)
+        return out
+
+    celled = settle(base.withColumn("p", to_pivots("cls", "x")).select("*", "p.*").drop("p").withColumn("one", F.lit(1)))
+    ringed = running_offset(celled, ["cls", "pivot"], ["gap", "id"], "one")
+    return settle(ringed.withColumn("block", F.floor(F.col("offset") / block_rows)).drop("offset", "one", "gap"))
+
+
+def _boxes(members: DataFrame) -> dict[object, tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple]]]:
+    """By class: numbers of its blocks, least and largest distances to every pivot, and the blocks' (pivot, block).
+
+    At most MOST_BLOCKS blocks plus MAX_PIVOTS a class, of two distances a pivot each.
+    """
+    ends = [how(F.get("gaps", F.lit(i))).alias(f"{name}{i}") for i in range(MAX_PIVOTS) for name, how in (("lo", F.min), ("hi", F.max))]
+    rows = members.groupBy("cls", "pivot", "block").agg(*ends).collect()
+    found: dict[object, list] = {}
+    for number, row in enumerate(sorted(rows, key=lambda r: (str(r["cls"]), r["pivot"], r["block"]))):
+        width = sum(row[f"lo{i}"] is not None for i in range(MAX_PIVOTS))
+        lo, hi = ([row[f"{name}{i}"] for i in range(width)] for name in ("lo", "hi"))
+        found.setdefault(row["cls"], []).append((number, lo, hi, (row["pivot"], row["block"])))
+    return {
+        c: (np.array([b[0] for b in blocks]), np.array([b[1] for b in blocks]), np.array([b[2] for b in blocks]), [b[3] for b in blocks])
+        for c, blocks in found.items()
+    }
+
+
+def _visits(asking: DataFrame, boxes: dict, id_type: str) -> DataFrame:
+    """(id, tile, blocks): the blocks besides its own that may hold a nearer row, by tiles; no vector goes along.
+
+    `asking` is (id, cls, nb, limit, gaps). A block is left out where one pivot says that all its rows are farther
+    away than `limit`.
+    """
+    held = asking.sparkSession.sparkContext.broadcast({c: box[:3] for c, box in boxes.items()})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            frame = batch.to_pandas()
+            ids, tiles, lists = [], [], []
+            for c, rows in frame.groupby("cls", sort=False):
+                numbers, lo, hi = held.value[c]
+                step = max(1, TESTED_CELLS // lo.size)
+                for at in range(0, len(rows), step):
+                    part = rows.iloc[at : at + step]
+                    gaps = np.stack(part["gaps"].to_list())[:, None, :]
+                    bound = np.maximum(lo - gaps, gaps - hi).max(axis=2)
+                    near = (bound <= part["limit"].to_numpy()[:, None]) & (numbers != part["nb"].to_numpy()[:, None])
+                    own = part["id"].to_numpy()
+                    for row, place in enumerate(near):
+                        blocks = numbers[place]
+                        for tile, members in zip(*_by_tile(blocks)):
+                            ids.append(own[row])
+                            tiles.append(tile)
+                            lists.append(members)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, batch.schema.field("id").type), pa.array(tiles, pa.int32()), pa.array(lists, pa.list_(pa.int32()))],
+                names=["id", "tile", "blocks"],
+            )
+
+    return asking.mapInArrow(run, f"id {id_type}, tile int, blocks array<int>")
+
+
+def _by_tile(blocks: np.ndarray) -> tuple[list[int], list[list[int]]]:
+    tiles, starts = np.unique(blocks // TILE_BLOCKS, return_index=True)
+    return tiles.tolist(), [part.tolist() for part in np.split(blocks, starts[1:])] if len(blocks) else []
+
+
 def nearest_in_class(
     points: DataFrame, id: str, cls: str, vector: str, k: int = 5, queries: DataFrame | None = None,
     block_rows: int = BLOCK_ROWS,
@@ -106,6 +190,7 @@ def nearest_in_class(
     base = settle(base)
     sizes = class_sizes(base, "cls")
     id_type = base.schema["id"].dataType.simpleString()
+    block_rows = max(block_rows, sum(sizes.values()) // MOST_BLOCKS)
 
     def at_home(rows: pd.DataFrame) -> pd.DataFrame:
         asking = rows[rows["asks"]]
@@ -118,59 +203,35 @@ def nearest_in_class(
         # Every class is one block: nothing else to visit.
         return _ranked(base.groupBy("cls").applyInPandas(at_home, found_schema), k)
 
-    pivots = _pivots(base, sizes, block_rows)
-
-    @F.pandas_udf("pivot int, gap double, gaps array<double>")
-    def to_pivots(classes: pd.Series, vectors: pd.Series) -> pd.DataFrame:
-        out = pd.DataFrame({"pivot": 0, "gap": 0.0, "gaps": [np.zeros(1)] * len(classes)}, index=classes.index)
-        for c, rows in classes.groupby(classes).groups.items():
-            if c not in pivots:
-                continue
-            x = np.stack(vectors.loc[rows].to_list())
-            gaps = np.concatenate([np.sqrt(d2) for _, d2 in _squared(x, pivots[c])])
-            nearest = gaps.argmin(axis=1)
-            out.loc[rows, "pivot"] = nearest
-            out.loc[rows, "gap"] = gaps[np.arange(len(nearest)), nearest]
-            out.loc[rows, "gaps"] = pd.Series(list(gaps), index=rows)
-        return out
-
-    celled = base.withColumn("p", to_pivots("cls", "x")).select("*", "p.*").drop("p").withColumn("one", F.lit(1))
-    celled = settle(celled)
-    ringed = running_offset(celled, ["cls", "pivot"], ["gap", "id"], "one")
-    block = ["cls", "pivot", "block"]
-    members = settle(ringed.withColumn("block", F.floor(F.col("offset") / block_rows)).drop("offset", "one"))
-
-    home = settle(members.groupBy(*block).applyInPandas(at_home, found_schema))
+    members = _placed(base, sizes, block_rows)
+    home = settle(members.groupBy("cls", "pivot", "block").applyInPandas(at_home, found_schema))
     reach = home.groupBy("id").agg(F.max("d2").alias("far"), F.count(F.lit(1)).alias("seen")).select(
         "id", F.when(F.col("seen") >= k, F.sqrt("far")).alias("reach")
     )
-    rings = members.groupBy(*block).agg(F.min("gap").alias("lo"), F.max("gap").alias("hi"))
-    rings = broadcast_below(rings, RINGS_BROADCAST_ROWS).withColumnRenamed("cls", "of").withColumnRenamed("pivot", "at")
-    rings = rings.withColumnRenamed("block", "to")
-    asking = members.where("asks").join(reach, "id", "left")
-    limit = F.coalesce(F.col("reach") * (1 + SLACK) + SLACK, F.lit(float("inf")))
-    visits = (
-        asking.select("id", "x", "cls", "pivot", "block", limit.alias("limit"), F.posexplode("gaps").alias("at_pivot", "away"))
-        .join(
-            rings,
-            (F.col("cls") == F.col("of")) & (F.col("at_pivot") == F.col("at"))
-            & (F.col("lo") - F.col("away") <= F.col("limit")) & (F.col("away") - F.col("hi") <= F.col("limit"))
-            & ~((F.col("pivot") == F.col("at")) & (F.col("block") == F.col("to"))),
-        )
-        .select("id", "x", "cls", F.col("at").alias("pivot"), F.col("to").alias("block"))
-    )
-    # A block that very many rows visit is visited in shares, each by a task of its own.
+    boxes = _boxes(members)
+    numbered = [(c, int(p), int(b), int(n)) for c, box in boxes.items() for n, (p, b) in zip(box[0], box[3])]
+    cls_type = base.schema["cls"].dataType.simpleString()
+    names = members.sparkSession.createDataFrame(numbered, f"cls {cls_type}, pivot int, block long, nb int")
+    members = settle(members.join(F.broadcast(names), ["cls", "pivot", "block"]).drop("pivot", "block"))
+    limit = F.coalesce(F.col("reach") * (1 + SLACK) + SLACK, F.lit(float("inf"))).alias("limit")
+    asking = members.where("asks").join(reach, "id", "left").select("id", "cls", "nb", limit, "gaps")
+    visits = settle(_visits(asking, boxes, id_type))
+    # A tile that very many rows visit is visited in shares, each by a task of its own.
     shares = members.where("asks").count() // VISITORS_PER_TASK + 1
     visits = visits.withColumn("share", F.pmod(F.xxhash64("id"), F.lit(shares)).cast("int"))
-    keys, host_keys = [*block, "share"], [f"host_{c}" for c in (*block, "share")]
-    tasks = visits.select(*[F.col(c).alias(h) for c, h in zip(keys, host_keys)]).distinct()
-    hosts = members.select(F.col("id").alias("member"), F.col("x").alias("member_x"), *block)
-    hosts = hosts.join(tasks, [F.col(c) == F.col(f"host_{c}") for c in block]).select("member", "member_x", *host_keys)
-
-    def elsewhere(visitors: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        return _closest(visitors, rows.rename(columns={"member": "id", "member_x": "x"}), k)
-
-    away = visits.groupBy(*keys).cogroup(hosts.groupBy(*host_keys)).applyInPandas(elsewhere, found_schema)
+    tasks = visits.select("tile", "share").distinct()
+    hosts = members.select(F.col("id").alias("member"), F.col("x").alias("member_x"), "nb", F.floor(F.col("nb") / TILE_BLOCKS).alias("tile"))
+    hosts = hosts.join(tasks, "tile").select(F.col("tile").alias("host"), F.col("share").alias("host_share"), "nb", "member", "member_x")
+    visitors = visits.join(members.select("id", "x"), "id")
+
+    def elsewhere(visiting: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.rename(columns={"member": "id", "member_x": "x"})
+        wanted = visiting[["id", "x"]].join(visiting["blocks"].explode().rename("nb"))
+        found = [_closest(asking, rows[rows["nb"] == nb], k) for nb, asking in wanted.groupby("nb")]
+        best = pd.concat(found, ignore_index=True).sort_values(["d2", "neighbour"], kind="stable")
+        return best.groupby("id", sort=False).head(k)
+
+    away = visitors.groupBy("tile", "share").cogroup(hosts.groupBy("host", "host_share")).applyInPandas(elsewhere, found_schema)
     return _ranked(home.unionByName(away), k)
 
 

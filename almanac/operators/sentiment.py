@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, IDF
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from almanac.functions import text
@@ -20,6 +18,8 @@ from almanac.session import settle
 
 LEXICON_BROADCAST_ROWS = 1_000_000
 OFFSETS_BROADCAST_ROWS = 500_000
+LEAST_COUNT = 2
+MOST_WORDS = 1_000_000
 ITEM_ORDER = ["published_at", "url", "titles"]
 
 # A scorer takes (…keys, chunk, words) rows and returns (…keys, chunk, neg, pos, failed) rows.
@@ -32,34 +32,41 @@ def text_chunks(df: DataFrame, doc: str, content: str, size: int = text.CHUNK_TO
     return words.select(doc, F.posexplode(text.token_chunks(F.col("words"), size)).alias("chunk", "words"))
 
 
-def day_chunks(
-    raw: DataFrame,
-    order: list[str] | None = None,
-    day: str = "time_published",
-    content: str = "content",
-    size: int = text.CHUNK_TOKENS,
-) -> DataFrame:
-    """(day, chunk, words): chunks of the joined text of each day, without building that text.
+def _day_words(raw: DataFrame, order: list[str], day: str, content: str) -> tuple[DataFrame, DataFrame]:
+    """(items, offsets): every item's words, and how many words its day holds before it.
 
-    Every item learns where its words start within the day, cuts them at the chunk borders, and the
-    cuts of a chunk are put together. The largest group is one chunk. Items that are equal in `order` follow
-    each other by an id given to every row; each keeps its own words.
+    Tokenised once; the offsets are worked out on narrow rows. Items that are equal in `order` follow each other by an
+    id given to every row, so each keeps its own words.
     """
-    order = order or ITEM_ORDER
     ranks = [f"rank_{i}" for i in range(len(order))]
     items = raw.where(F.col(day).isNotNull()).select(
         day,
         *[F.col(source).alias(rank) for source, rank in zip(order, ranks)],
         text.tokens(text_or_empty(F.col(content))).alias("words"),
     )
-    # Tokenised once; the id belongs to the written row, so a task that runs again gives the same one.
+    # The id belongs to the written row, so a task that runs again gives the same one.
     items = settle(items.withColumn("item", F.monotonically_increasing_id()))
     sized = items.select(day, *ranks, "item", F.size("words").cast("long").alias("n"))
     placed = running_offset(sized, [day], [*ranks, "item"], "n").where(F.col("n") > 0)
+    return items, settle(placed.select("item", "n", "offset"))
+
+
+def day_chunks(
+    raw: DataFrame,
+    order: list[str] | None = None,
+    day: str = "time_published",
+    content: str = "content",
+    size: int = text.CHUNK_TOKENS,
+) -> DataFrame:
+    """(day, chunk, words): chunks of the joined text of each day, without building that text.
+
+    Every item learns where its words start within the day, cuts them at the chunk borders, and the
+    cuts of a chunk are put together. The largest group is one chunk.
+    """
+    items, offsets = _day_words(raw, order or ITEM_ORDER, day, content)
     # The chunks an item reaches into are worked out on narrow rows.
     chunks = F.sequence(F.floor(F.col("offset") / size), F.floor((F.col("offset") + F.col("n") - 1) / size))
-    offsets = settle(placed.select("item", "n", "offset", chunks.alias("chunks")))
-    offsets = broadcast_below(offsets, OFFSETS_BROADCAST_ROWS)
+    offsets = broadcast_below(offsets.withColumn("chunks", chunks), OFFSETS_BROADCAST_ROWS)
     spread = items.join(offsets, "item").select(day, "words", "n", "offset", F.explode("chunks").alias("chunk"))
     start = F.greatest(F.col("chunk") * size - F.col("offset"), F.lit(0)).cast("int")
     end = F.least((F.col("chunk") + 1) * size - F.col("offset"), F.col("n")).cast("int")
@@ -70,21 +77,49 @@ def day_chunks(
     return grouped.select(day, "chunk", F.flatten(F.col("cuts")["part"]).alias("words"))
 
 
-def lexicon_scorer(lexicon: DataFrame) -> Scorer:
-    """Share of a chunk's words that a (token, neg, pos) word list weighs as negative and positive."""
+def day_chunk_words(
+    raw: DataFrame,
+    order: list[str] | None = None,
+    day: str = "time_published",
+    content: str = "content",
+    size: int = text.CHUNK_TOKENS,
+) -> DataFrame:
+    """(day, chunk, token), one row a word: the chunk of a word is its place in the day's joined text over `size`.
 
-    def score(chunks: DataFrame, keys: list[str]) -> DataFrame:
-        words = chunks.select(*keys, "chunk", F.explode("words").alias("token"))
-        met = lookup_join(words, lexicon.select("token", "neg", "pos"), "token", LEXICON_BROADCAST_ROWS)
+    For scorers that add up words: no chunk is ever put together.
+    """
+    items, offsets = _day_words(raw, order or ITEM_ORDER, day, content)
+    offsets = broadcast_below(offsets.select("item", "offset"), OFFSETS_BROADCAST_ROWS)
+    words = items.join(offsets, "item").select(day, "offset", F.posexplode("words").alias("pos", "token"))
+    return words.select(day, F.floor((F.col("offset") + F.col("pos")) / size).alias("chunk"), "token")
+
+
+class WordScorer:
+    """A scorer that adds up what a (token, neg, pos) table says of each word, and finishes the sums.
 
-        def share(name: str):
-            return F.coalesce(F.sum(name), F.lit(0.0)) / F.count(F.lit(1))
+    `finish` makes the scores (neg, pos) from the sums of neg and pos and the number of words. Sums need no chunk in
+    one place: `sums` takes rows of words and combines them within each task before anything is shuffled.
+    """
+
+    def __init__(self, weights: DataFrame, finish: Callable[[Column, Column, Column], tuple[Column, Column]]):
+        self.weights, self.finish = weights.select("token", "neg", "pos"), finish
 
-        return met.groupBy(*keys, "chunk").agg(
-            share("neg").alias("neg"), share("pos").alias("pos"), F.lit(False).alias("failed")
+    def sums(self, words: DataFrame, keys: list[str]) -> DataFrame:
+        """(…keys, chunk, neg, pos, failed) from rows (…keys, chunk, token)."""
+        met = lookup_join(words, self.weights, "token", LEXICON_BROADCAST_ROWS)
+        summed = met.groupBy(*keys, "chunk").agg(
+            *[F.coalesce(F.sum(name), F.lit(0.0)).alias(f"sum_{name}") for name in ("neg", "pos")], F.count(F.lit(1)).alias("n_words")
         )
+        neg, pos = self.finish(F.col("sum_neg"), F.col("sum_pos"), F.col("n_words"))
+        return summed.select(*keys, "chunk", neg.alias("neg"), pos.alias("pos"), F.lit(False).alias("failed"))
 
-    return score
+    def __call__(self, chunks: DataFrame, keys: list[str]) -> DataFrame:
+        return self.sums(chunks.select(*keys, "chunk", F.explode("words").alias("token")), keys)
+
+
+def lexicon_scorer(lexicon: DataFrame) -> WordScorer:
+    """Share of a chunk's words that a (token, neg, pos) word list weighs as negative and positive."""
+    return WordScorer(lexicon, lambda neg, pos, n: (neg / n, pos / n))
 
 
 def pandas_scorer(model: Callable[[pd.Series], pd.DataFrame]) -> Scorer:
@@ -114,25 +149,43 @@ def pandas_scorer(model: Callable[[pd.Series], pd.DataFrame]) -> Scorer:
     return score
 
 
-def train_scorer(df: DataFrame, content: str, label: str, features: int = 1 << 18) -> PipelineModel:
-    """Logistic regression on hashed word counts; label 0 is negative, 1 positive."""
-    words = df.select(text.tokens(F.col(content)).alias("words"), F.col(label).cast("double").alias("label"))
-    stages = [
-        HashingTF(inputCol="words", outputCol="tf", numFeatures=features),
-        IDF(inputCol="tf", outputCol="features"),
-        LogisticRegression(regParam=0.01, maxIter=20),
-    ]
-    return Pipeline(stages=stages).fit(words)
-
+def vocabulary(words: DataFrame, least: int = LEAST_COUNT, most: int = MOST_WORDS) -> DataFrame:
+    """(token, n0, n1), settled: occurrences of every word in texts of either label, from rows (label, token).
 
-def model_scorer(model: PipelineModel) -> Scorer:
-    def score(chunks: DataFrame, keys: list[str]) -> DataFrame:
-        scored = model.transform(chunks).withColumn("p", vector_to_array("probability"))
-        return scored.select(
-            *keys, "chunk", F.col("p")[0].alias("neg"), F.col("p")[1].alias("pos"), F.lit(False).alias("failed")
-        )
-
-    return score
+    Every word has its own row. Words with at least `least` occurrences count; where these are more than `most`,
+    the threshold rises to the lowest that leaves no more, found from how many words have each count.
+    """
+    ones = F.count(F.when(F.col("label") == 1, 1))
+    counts = settle(words.groupBy("token").agg((F.count(F.lit(1)) - ones).alias("n0"), ones.alias("n1")))
+    n = F.col("n0") + F.col("n1")
+    if counts.where(n >= least).count() > most:
+        sizes = counts.groupBy(n.alias("n")).count().withColumn("held", F.sum("count").over(W.orderBy(F.desc("n"))))
+        least = sizes.where(F.col("held") <= most).agg(F.coalesce(F.min("n"), F.lit(1 << 62))).first()[0]
+    return counts.where(n >= least)
+
+
+def train_scorer(
+    df: DataFrame, content: str, label: str, least: int = LEAST_COUNT, most: int = MOST_WORDS
+) -> WordScorer:
+    """Multinomial naive Bayes over an exact vocabulary; label 0 is negative, 1 positive.
+
+    One pass over the words of the labelled texts. A word adds the logarithm of its share in either label's words,
+    one added to every count; words outside the vocabulary add nothing. The scores are the two probabilities.
+    """
+    rows = df.where(F.col(label).isin(0, 1)).select(F.col(label).cast("int").alias("label"), text.tokens(F.col(content)).alias("words"))
+    rows = settle(rows)
+    counts = vocabulary(rows.select("label", F.explode("words").alias("token")), least, most)
+    totals = counts.agg(F.count(F.lit(1)), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("n0", "n1")]).first()
+    texts = rows.agg(*[F.count(F.when(F.col("label") == i, 1)) for i in (0, 1)]).first()
+    shares = [F.log((F.col(c) + 1.0) / F.lit(float(totals[i] + totals[0]))) for i, c in ((1, "n0"), (2, "n1"))]
+    weights = settle(counts.select("token", shares[0].alias("neg"), shares[1].alias("pos")))
+    prior = math.log((texts[1] + 1) / (texts[0] + 1))
+
+    def finish(neg: Column, pos: Column, n: Column) -> tuple[Column, Column]:
+        odds = pos - neg + F.lit(prior)
+        return 1 / (1 + F.exp(odds)), 1 / (1 + F.exp(-odds))
+
+    return WordScorer(weights, finish)
 
 
 def sentiment_statistics(scored: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,28 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from almanac.functions import text
-from almanac.operators.keyed import HOT_SHARE, broadcast_days, lookup_join, split_join
-from almanac.session import settle, settle_partitioned
+from almanac.operators.keyed import PARTITION_ROWS, broadcast_days, dealt, lookup_join, split_join
+from almanac.session import settle
 
 LEMMA_BROADCAST_ROWS = 1_000_000
 VOCABULARY_BROADCAST_ROWS = 2_000_000
 COMPONENTS = 2
-SMALL_DOCS = 2048
-SPARSE_COLUMN = 24
+MOST_DOCS = 100_000
+CHUNK_DOCS = 1024
 PRODUCT_TASKS = 512
-EXTRA_DIRECTIONS = 6
-MAX_ROUNDS = 40
-TOLERANCE = 1e-10
+EXTRA_DIRECTIONS = 30
+BASIS_BLOCKS = 6
+MAX_ROUNDS = 100
+TOLERANCE = 1e-9
 
 
 def token_rows(df: DataFrame, doc: str, content: str) -> DataFrame:
@@ -61,10 +62,17 @@ def term_counts(df: DataFrame, doc: str, content: str, lemmas: DataFrame | None
     return counts.where(F.length("token") >= text.MIN_TERM_LENGTH)
 
 
-def lemmatised_text(df: DataFrame, doc: str, content: str, lemmas: DataFrame) -> DataFrame:
-    """(doc, processed_text): the words of a document replaced by their lemmas, in order; empty without words."""
+def lemmatised_text(
+    df: DataFrame, doc: str, content: str, lemmas: DataFrame, broadcast_rows: int = LEMMA_BROADCAST_ROWS,
+    partition_rows: int = PARTITION_ROWS,
+) -> DataFrame:
+    """(doc, processed_text): the words of a document replaced by their lemmas, in order; empty without words.
+
+    A lemma table of at most `broadcast_rows` rows is broadcast. A larger one meets the words in a shuffle, where a
+    word with more than `partition_rows` occurrences is dealt over several tasks.
+    """
     words = _by_document(df.select(doc, content), doc).select(doc, F.posexplode_outer(text.tokens(F.col(content))).alias("pos", "token"))
-    met = lookup_join(words, lemmas.select("token", "lemma"), "token", LEMMA_BROADCAST_ROWS)
+    met = lookup_join(words, lemmas.select("token", "lemma"), "token", broadcast_rows, limit=partition_rows)
     named = met.select(
         doc, F.struct("pos", F.coalesce("lemma", "token").alias("word")).alias("w")
     )
@@ -77,21 +85,17 @@ def idf(df: Column, n_docs: Column | int) -> Column:
     return F.log((n_docs + F.lit(1.0)) / (df + 1.0)) + 1.0
 
 
-def frequent_tokens(frequencies: DataFrame, n_docs: Column | int, share: float = HOT_SHARE) -> DataFrame:
-    """Tokens of more than `share` of the documents: at most 1/share times the mean document vocabulary."""
-    return frequencies.where(F.col("df") > n_docs * F.lit(share)).select("token")
-
-
-def with_idf(counts: DataFrame, frequencies: DataFrame, n_docs: Column | int) -> DataFrame:
+def with_idf(counts: DataFrame, frequencies: DataFrame, n_docs: Column | int, limit: int = PARTITION_ROWS) -> DataFrame:
     """Adds df and idf to count rows; `frequencies` is (token, df), materialised.
 
-    A vocabulary that is counted to be small is broadcast. A large one meets the rows of rare words in
-    a shuffle join and those of frequent words, which could swamp a task, in a broadcast.
+    A vocabulary that is counted to be small is broadcast. A large one is met in a shuffle join, in which the rows of
+    words that could swamp a task are dealt over several; how many rows a word has is its document frequency.
     """
     lookup = frequencies.withColumn("idf", idf(F.col("df"), n_docs))
     if frequencies.limit(VOCABULARY_BROADCAST_ROWS + 1).count() <= VOCABULARY_BROADCAST_ROWS:
         return counts.join(F.broadcast(lookup), "token")
-    return split_join(counts, lookup, "token", frequent_tokens(frequencies, n_docs))
+    sizes = frequencies.select(F.col("token").alias("key"), F.col("df").alias("count"))
+    return split_join(counts, lookup, "token", dealt(sizes, sizes.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0], limit))
 
 
 def tfidf(counts: DataFrame, n_docs: Column | int, doc: str, frequencies: DataFrame | None = None) -> DataFrame:
@@ -118,153 +122,108 @@ def tfidf(counts: DataFrame, n_docs: Column | int, doc: str, frequencies: DataFr
 def principal_components(weights: DataFrame, docs: DataFrame, doc: str, k: int = COMPONENTS) -> DataFrame:
     """(doc, PCA1 … PCAk): scores of the mean-centred weight matrix on its leading components.
 
-    Works on the sparse (doc, token, weight) rows over the whole vocabulary; the dense matrix never
-    exists. Each component's sign makes its largest absolute score positive. Up to SMALL_DOCS documents
-    (years of days) the product of the matrix with its transpose is small and gives the exact answer in
-    one pass; beyond that a block power iteration is used.
+    Works on the sparse (doc, token, weight) rows over the whole vocabulary; the dense matrix never exists. A
+    randomized block iteration: each round is one pass over the words, in which every task multiplies its words'
+    columns and their transposes with a broadcast block of document vectors; the driver holds the block and the basis
+    that the rounds have spanned, one row a document. Rounds end when the scores stand still or the basis is
+    closed, and raise when they do not. Documents are days as a rule; beyond MOST_DOCS the block is refused. Each
+    component's sign makes its largest absolute score positive.
     """
-    docs = settle(docs.select(doc).distinct())
-    if docs.limit(SMALL_DOCS + 1).count() <= SMALL_DOCS:
-        return _components_by_products(weights, docs, doc, k)
-    return _components_by_iteration(weights, docs, doc, k)
-
-
-def _components_by_products(weights: DataFrame, docs: DataFrame, doc: str, k: int) -> DataFrame:
     spark = docs.sparkSession
+    docs = settle(docs.select(doc).distinct())
+    if docs.limit(MOST_DOCS + 1).count() > MOST_DOCS:
+        raise ValueError(f"more than {MOST_DOCS} documents: a block of their vectors is not broadcast")
     names = sorted(row[0] for row in docs.collect())
     n = len(names)
     index = spark.createDataFrame(list(enumerate(names)), f"i int, {doc} {docs.schema[doc].dataType.simpleString()}")
     cells = weights.join(F.broadcast(index), doc).select("token", "i", F.col("weight").alias("w"))
-    # A column has at most one cell per document.
-    columns = cells.groupBy("token").agg(F.collect_list("i").alias("at"), F.collect_list("w").alias("w"))
+    # A word's column has at most one cell per document.
+    columns = settle(cells.groupBy("token").agg(F.collect_list("i").alias("at"), F.collect_list("w").alias("w")).drop("token"))
+    scores = _leading_scores(lambda block: _gram_times(columns, block), n, k)
+    rows = [(i, *map(float, scores[i])) for i in range(n)]
+    placed = spark.createDataFrame(rows, "i int, " + ", ".join(f"PCA{j + 1} double" for j in range(k)))
+    return index.join(F.broadcast(placed), "i").select(doc, *[f"PCA{j + 1}" for j in range(k)])
+
+
+def _gram_times(columns: DataFrame, block: np.ndarray) -> np.ndarray:
+    """The matrix times its transpose times `block`, in one pass over the words' columns."""
+    n, width = block.shape
+    held = columns.sparkSession.sparkContext.broadcast(block)
 
-    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((n, n))
-        flat = total.reshape(-1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        u = held.value
+        total = np.zeros((n, width))
         for batch in batches:
-            sizes = batch["at"].map(len)
-            for size, group in batch.groupby(sizes):
-                at, w = np.stack(group["at"].to_list()), np.stack(group["w"].to_list())
-                if size <= SPARSE_COLUMN:
-                    cells = at[:, :, None].astype(np.int64) * n + at[:, None, :]
-                    np.add.at(flat, cells.ravel(), (w[:, :, None] * w[:, None, :]).ravel())
-                else:
-                    dense = np.zeros((len(group), n))
-                    np.put_along_axis(dense, at, w, axis=1)
-                    total += dense.T @ dense
-        if total.any():
-            yield pd.DataFrame({"i": np.arange(n), "v": list(total)})
-
-    def added(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"i": rows["i"].iloc[:1], "v": [np.sum(np.stack(rows["v"].to_list()), axis=0)]})
-
-    schema = "i int, v array<double>"
-    # Every task returns up to n x n numbers, so their number is limited; the words are spread over all of them.
-    parts = columns.coalesce(PRODUCT_TASKS).mapInPandas(products, schema).groupBy("i").applyInPandas(added, schema)
-    gram = np.zeros((n, n))
+            at, w = batch.column(0).flatten().to_numpy(), batch.column(1).flatten().to_numpy()
+            sizes = np.diff(batch.column(0).offsets.to_numpy())
+            starts = np.cumsum(sizes) - sizes
+            if len(at):
+                loads = np.repeat(np.add.reduceat(w[:, None] * u[at], starts, axis=0), sizes, axis=0) * w[:, None]
+                for j in range(width):
+                    total[:, j] += np.bincount(at, weights=loads[:, j], minlength=n)
+        for chunk in range(0, n if total.any() else 0, CHUNK_DOCS):
+            part = total[chunk : chunk + CHUNK_DOCS].ravel()
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([part])], names=["chunk", "part"])
+
+    def added(rows: pa.Table) -> pa.Table:
+        whole = np.sum([x.values.to_numpy() for x in rows["part"].combine_chunks()], axis=0)
+        return pa.table({"chunk": rows["chunk"][:1], "part": pa.array([whole], pa.list_(pa.float64()))})
+
+    schema = "chunk int, part array<double>"
+    # Every task returns up to a block of numbers, so their number is limited.
+    parts = columns.coalesce(PRODUCT_TASKS).mapInArrow(run, schema).groupBy("chunk").applyInArrow(added, schema)
+    out = np.zeros((n, width))
     for row in parts.collect():
-        gram[row["i"]] = row["v"]
-    centred = gram - gram.mean(axis=0) - gram.mean(axis=1)[:, None] + gram.mean() if n else gram
-    values, vectors = np.linalg.eigh(centred)
-    scores = np.zeros((n, k))
-    found = vectors[:, ::-1][:, :k] * np.sqrt(np.maximum(values[::-1][:k], 0.0))
-    scores[:, : found.shape[1]] = found
-    if n:
-        largest = scores[np.abs(scores).argmax(axis=0), np.arange(k)]
-        scores *= np.where(largest < 0, -1.0, 1.0)
-    rows = [(i, *map(float, scores[i])) for i in range(n)]
-    fields = ", ".join(f"PCA{j + 1} double" for j in range(k))
-    placed = spark.createDataFrame(rows, f"i int, {fields}")
-    return index.join(F.broadcast(placed), "i").select(doc, *[f"PCA{j + 1}" for j in range(k)])
+        part = np.array(row["part"]).reshape(-1, width)
+        out[row["chunk"] : row["chunk"] + len(part)] = part
+    held.unpersist()
+    return out
 
 
-def _per_doc(df: DataFrame, doc: str) -> DataFrame:
-    return broadcast_days(df, doc) if isinstance(df.schema[doc].dataType, DateType) else df
-
-
-def _combine(block: DataFrame, doc: str, names: list[str], means: np.ndarray, rotation: np.ndarray) -> DataFrame:
-    """Centre the columns of a block and multiply it by a small matrix."""
-    columns = []
-    for j in range(rotation.shape[1]):
-        terms = [(F.col(n) - float(means[i])) * float(rotation[i, j]) for i, n in enumerate(names)]
-        columns.append(sum(terms[1:], terms[0]).alias(f"u{j}"))
-    return block.select(doc, *columns)
-
-
-def _moments(block: DataFrame, names: list[str], others: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Column means of `names` and the centred product names' x others."""
-    pairs = [(a, b) for a in names for b in others]
-    row = block.agg(
-        *[F.avg(n) for n in names],
-        *[F.covar_pop(a, b) * F.count(F.lit(1)) for a, b in pairs],
-    ).first()
-    means = np.array(row[: len(names)], dtype=float)
-    return means, np.array(row[len(names):], dtype=float).reshape(len(names), len(others))
-
-
-def _components_by_iteration(weights: DataFrame, docs: DataFrame, doc: str, k: int) -> DataFrame:
-    """Each round multiplies a block of document columns by the matrix and its transpose through two
-    joins and two aggregations; the driver only sees the small moment matrices of the block. Centring
-    the document columns is the same as centring the matrix."""
-    names = [f"u{j}" for j in range(k + EXTRA_DIRECTIONS)]
-    n = docs.count()
-    weights = settle(weights.select(doc, "token", "weight"))
-    frequent = settle(frequent_tokens(weights.groupBy("token").agg(F.count(F.lit(1)).alias("df")), n))
-    # Frequent words always meet a broadcast; the rest is laid out by word once, for all rounds.
-    common = settle(weights.join(F.broadcast(frequent), "token", "left_semi"))
-    rare = settle_partitioned(weights.join(F.broadcast(frequent), "token", "left_anti").repartition("token"))
-
-    unit = [(F.xxhash64(F.lit(j), F.col(doc)) / F.lit(float(2**63))).alias(f"u{j}") for j in range(len(names))]
-    block = docs.select(doc, *unit)
-    means, gram = _moments(block, names, names)
-    rotation = _whitening(gram)
-    zeros = docs.select(doc, *[F.lit(0.0).alias(f"PCA{j + 1}") for j in range(k)])
-    if rotation.shape[1] == 0:
-        return zeros
-    block = _combine(block, doc, names, means, rotation)
-
-    previous = None
-    for _ in range(MAX_ROUNDS):
-        us = [f"u{j}" for j in range(rotation.shape[1])]
-        ys = [f"y{j}" for j in range(rotation.shape[1])]
-        side = _per_doc(block, doc)
-        met = common.join(side, doc).unionByName(rare.join(side, doc))
-        loads = met.groupBy("token").agg(*[F.sum(F.col("weight") * F.col(u)).alias(f"z_{u}") for u in us])
-        few = F.broadcast(loads.join(F.broadcast(frequent), "token", "left_semi"))
-        back = common.join(few, "token").unionByName(rare.join(loads, "token"))
-        image = back.groupBy(doc).agg(
-            *[F.sum(F.col("weight") * F.col(f"z_{u}")).alias(y) for u, y in zip(us, ys)]
-        )
-        both = settle(
-            block.join(image, doc, "left").select(doc, *us, *[F.coalesce(y, F.lit(0.0)).alias(y) for y in ys])
-        )
-        _, projected = _moments(both, us, ys)
-        values, vectors = np.linalg.eigh((projected + projected.T) / 2)
-        values, vectors = np.maximum(values[::-1], 0.0), vectors[:, ::-1]
-        scores = _combine(both, doc, us, np.zeros(len(us)), vectors[:, :k] * np.sqrt(values[:k]))
-        if previous is not None and len(previous) == len(values[:k]):
-            if np.all(np.abs(values[:k] - previous) <= TOLERANCE * values[0]):
-                break
-        previous = values[:k]
-        means, gram = _moments(both, ys, ys)
-        rotation = _whitening(gram)
-        if rotation.shape[1] == 0:
-            return zeros
-        block = _combine(both, doc, ys, means, rotation)
-
-    found = [name for name in scores.columns if name != doc]
-    signs = scores.agg(*[F.max_by(F.signum(u), F.abs(u)).alias(u) for u in found]).first()
-    return scores.select(
-        doc,
-        *[
-            (F.col(f"u{j}") * float(signs[j] or 1.0) if j < len(found) else F.lit(0.0)).alias(f"PCA{j + 1}")
-            for j in range(k)
-        ],
-    )
+def _orthonormal(block: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """The directions of a block that `basis` lacks."""
+    scale = np.linalg.norm(block, axis=0).max(initial=0.0)
+    for _ in range(2):
+        block = block - basis @ (basis.T @ block)
+    left, values, _ = np.linalg.svd(block, full_matrices=False)
+    return left[:, values > max(scale, 1e-300) * 1e-11]
 
 
-def _whitening(gram: np.ndarray) -> np.ndarray:
-    """A matrix that makes a block orthonormal, without directions that are numerically zero."""
-    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
-    keep = values > max(values.max(), 0.0) * 1e-13
-    return vectors[:, keep] / np.sqrt(values[keep])
+def _leading_scores(times: Callable[[np.ndarray], np.ndarray], n: int, k: int) -> np.ndarray:
+    """Leading scores of a centred Gram matrix that is known by its product with a block of vectors.
+
+    The basis grows by the images of its newest block. Once it holds BASIS_BLOCKS blocks it goes on from its best
+    directions, so its size does not depend on the number of rounds.
+    """
+    if n < 2:
+        return np.zeros((n, k))
+    centred = lambda block: block - block.mean(axis=0)
+    width = k + EXTRA_DIRECTIONS
+    basis = np.zeros((n, 0))
+    images = np.zeros((n, 0))
+    block = _orthonormal(centred(np.random.default_rng(20).standard_normal((n, width))), basis)
+    scores = np.zeros((n, k))
+    for _ in range(MAX_ROUNDS):
+        closed = not block.shape[1]
+        if not closed:
+            basis, images = np.hstack([basis, block]), np.hstack([images, centred(times(block))])
+        if not basis.shape[1]:
+            return scores
+        inner = basis.T @ images
+        values, vectors = np.linalg.eigh((inner + inner.T) / 2)
+        values, vectors = np.maximum(values[::-1], 0.0), vectors[:, ::-1]
+        found = basis @ vectors[:, :k] * np.sqrt(values[:k])
+        found[:, values[:k] <= values[0] * 1e-12] = 0.0
+        largest = found[np.abs(found).argmax(axis=0), np.arange(found.shape[1])]
+        found = np.pad(found * np.where(largest < 0, -1.0, 1.0), ((0, 0), (0, k - found.shape[1])))
+        moved, scores = np.abs(found - scores).max(initial=0.0), found
+        off = images @ vectors[:, :k] - basis @ vectors[:, :k] * values[:k]
+        still = moved <= TOLERANCE * np.abs(scores).max(initial=0.0) and np.abs(off).max(initial=0.0) <= np.sqrt(TOLERANCE) * values[0]
+        if closed or still or basis.shape[1] >= n - 1:
+            return scores
+        block = _orthonormal(images[:, -block.shape[1] :], basis)
+        if basis.shape[1] >= BASIS_BLOCKS * width:
+            best = vectors[:, : 2 * width]
+            # The residuals of the best directions all lie in the span of the new block.
+            basis, images = basis @ best, images @ best
+    raise RuntimeError(f"the leading components still move after {MAX_ROUNDS} rounds")

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.functions.scalars import text_or_empty
 from almanac.functions.text import combined_text
-from almanac.operators import sentiment, tfidf
+from almanac.operators import rollup, sentiment, series, tfidf
 from almanac.operators.keyed import broadcast_days
 from almanac.plans.daily import daily_series
 from almanac.schemas import FEATURES
-from almanac.session import settle
+from almanac.session import scratch, settle
+from almanac.sources import tables
 
 
 def day_term_counts(raw: DataFrame, lemmas: DataFrame | None = None, day: str = "time_published") -> DataFrame:
@@ -22,18 +23,34 @@ def day_term_counts(raw: DataFrame, lemmas: DataFrame | None = None, day: str =
     return tfidf.term_counts(texts, day, "text", lemmas)
 
 
+def components_of(counts: DataFrame, days: DataFrame, day: str = "time_published") -> DataFrame:
+    """(day, PCA1, PCA2) of settled term counts; `days` lists the days, those without words included."""
+    return tfidf.principal_components(tfidf.tfidf(counts, days.count(), day), days, day)
+
+
 def day_components(raw: DataFrame, lemmas: DataFrame | None = None, day: str = "time_published") -> DataFrame:
     """(day, PCA1, PCA2)."""
-    counts = settle(day_term_counts(raw, lemmas, day))
     days = settle(raw.select(day).where(F.col(day).isNotNull()).distinct())
-    return tfidf.principal_components(tfidf.tfidf(counts, days.count(), day), days, day)
+    return components_of(settle(day_term_counts(raw, lemmas, day)), days, day)
 
 
 def day_sentiment(
     raw: DataFrame, scorer: sentiment.Scorer, order: list[str] | None = None, day: str = "time_published"
 ) -> DataFrame:
-    """(day, eight statistics, n_chunks, n_failed) of each day's joined content."""
-    return sentiment.sentiment_statistics(scorer(sentiment.day_chunks(raw, order, day), [day]), [day])
+    """(day, eight statistics, n_chunks, n_failed) of each day's joined content.
+
+    A scorer that adds up words gets them as rows, so only sums are shuffled; any other gets whole chunks.
+    """
+    if isinstance(scorer, sentiment.WordScorer):
+        scored = scorer.sums(sentiment.day_chunk_words(raw, order, day), [day])
+    else:
+        scored = scorer(sentiment.day_chunks(raw, order, day), [day])
+    return sentiment.sentiment_statistics(scored, [day])
+
+
+def _joined(numbers: DataFrame, components: DataFrame, scores: DataFrame, day: str) -> DataFrame:
+    joined = numbers.join(broadcast_days(components, day), day).join(broadcast_days(scores, day), day, "left")
+    return joined.select(*[day if c == "time_published" else c for c in FEATURES.names])
 
 
 def features(
@@ -44,8 +61,44 @@ def features(
     day: str = "time_published",
 ) -> DataFrame:
     """The feature table, one row per day; days without words have NULL sentiment."""
-    numbers = daily_series(raw, day)
-    components = day_components(raw, lemmas, day)
-    scores = day_sentiment(raw, scorer, order, day)
-    joined = numbers.join(broadcast_days(components, day), day).join(broadcast_days(scores, day), day, "left")
-    return joined.select(*[day if c == "time_published" else c for c in FEATURES.names])
+    return _joined(daily_series(raw, day), day_components(raw, lemmas, day), day_sentiment(raw, scorer, order, day), day)
+
+
+def run_features(
+    spark: SparkSession,
+    raw: DataFrame,
+    scorer: sentiment.Scorer,
+    path: str,
+    lemmas: DataFrame | None = None,
+    order: list[str] | None = None,
+    days: DataFrame | None = None,
+) -> None:
+    """Write the feature table of the raw table to `path`; with `days`, only the text of those days is read.
+
+    What comes from the text of one day alone is kept by day beside the table: -prices, -texts (joined titles and
+    content), -sentiment and -counts (words). The days in `days` (a table with the column time_published: those
+    whose raw rows have changed) are replaced there, and all other days are taken as stored. Returns and components
+    depend on all days: they are worked out anew from the narrow tables, so a partial run gives what a full one gives.
+    """
+    day = "time_published"
+    with scratch(spark):
+        some = raw.where(F.col(day).isNotNull())
+        if days is not None:
+            some = some.join(broadcast_days(days.select(day).distinct(), day), day, "left_semi")
+        some = settle(some)
+        tables.replace_days(rollup.daily_price(some, day), f"{path}-prices")
+        tables.replace_days(rollup.daily_text(some, order, day), f"{path}-texts")
+        tables.replace_days(day_sentiment(some, scorer, order, day), f"{path}-sentiment")
+        tables.replace_days(day_term_counts(some, lemmas, day), f"{path}-counts")
+        prices, scores, counts = (tables.read_table(spark, f"{path}-{name}").drop("month") for name in ("prices", "sentiment", "counts"))
+        numbers = settle(series.with_returns(prices, day))
+        tables.replace_days(_joined(numbers, components_of(counts, numbers.select(day), day), scores, day), path)
+
+
+def read_features(spark: SparkSession, path: str, texts: bool = True) -> DataFrame:
+    """The stored feature table, with the joined titles and content of every day where `texts` are wanted."""
+    stored = tables.read_table(spark, path).select(*FEATURES.names)
+    if not texts:
+        return stored
+    joined = tables.read_table(spark, f"{path}-texts").drop("month")
+    return joined.join(broadcast_days(stored, "time_published"), "time_published").select(*FEATURES.names, "titles", "content")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from almanac.functions import dates, scalars
 from almanac.operators import series
-from almanac.plans.training import CLASSIFIER_FEATURES, carried, with_classifier
+from almanac.plans.training import carried, with_classifier
+from almanac.schemas import CLASSIFIER_FEATURES, REGRESSOR_FEATURES
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -24,10 +25,15 @@ def predict_next(
 ) -> DataFrame:
     """(day, next_day, prediction, percent) from the latest day's features; always one row for a table with rows.
 
-    Features that the day lacks are carried from earlier days, and count as 0 where no day has them.
+    Features that the day lacks are carried from earlier days; raises where no day has one, as any stand-in would
+    lie outside what the models were trained on.
     """
     latest = series.last_row(carried(features, day), [c for c in features.columns if c != day], day)
-    latest = latest.na.fill(0, [c for c in CLASSIFIER_FEATURES if c in features.columns])
+    needed = [c for c in dict.fromkeys([*CLASSIFIER_FEATURES, *REGRESSOR_FEATURES]) if c != "clf_predictions"]
+    row = latest.first()
+    missing = [c for c in needed if row[day] is not None and row[c] is None]
+    if missing:
+        raise ValueError(f"no day has the features {missing}")
     predicted = reg.transform(with_classifier(latest, clf, day))
     return predicted.select(
         day,

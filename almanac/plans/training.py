@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from itertools import product
@@ -41,6 +43,13 @@ SMALL_CLASSIFIER_GRID = {"maxIter": [5], "maxDepth": [3], "stepSize": [0.05, 0.1
 SMALL_REGRESSOR_GRID = {"maxIter": [10], "maxDepth": [3], "stepSize": [0.04, 0.1]}
 SEED = 42
 PARALLEL_FITS = 6
+# Shares of a candidate's trees after which a halving search compares, and the share that goes on.
+RUNGS = (1 / 9, 1 / 3, 1.0)
+KEPT_SHARE = 1 / 3
+
+Fold = tuple[DataFrame, DataFrame]
+Build = Callable[[dict], Estimator]
+Score = Callable[[DataFrame], DataFrame]
 
 
 @dataclass
@@ -80,34 +89,65 @@ def regressor(settings: dict) -> Estimator:
     return Pipeline(stages=stages)
 
 
-def grid_search(
-    folds: list[tuple[DataFrame, DataFrame]],
-    build: Callable[[dict], Estimator],
-    grid: dict[str, list],
-    score: Callable[[DataFrame], DataFrame],
-    rank_by: str,
-    larger_is_better: bool,
-) -> tuple[list[dict], dict]:
-    """Mean score over the folds for every candidate, and the best candidate.
+def _fold_scores(folds: list[Fold], build: Build, score: Score, tried: list[dict]) -> list[dict]:
+    """Per candidate the mean of every score over the folds, and of the seconds that a fit took.
 
-    The loop is over settings and folds only, a few at a time; every fit and every score is a
-    distributed job. `score` is any function from scored rows to a one-row frame.
+    The loop is over settings and folds only, a few at a time; every fit and every score is a distributed job.
     """
-    def run(task: tuple[dict, tuple[DataFrame, DataFrame]]) -> dict:
+    def run(task: tuple[dict, Fold]) -> dict:
         settings, (train, test) = task
-        return score(build(settings).fit(train).transform(test)).first().asDict()
+        start = time.perf_counter()
+        model = build(settings).fit(train)
+        seconds = time.perf_counter() - start
+        return {**score(model.transform(test)).first().asDict(), "seconds": seconds}
 
-    tried = candidates(grid)
     results = in_threads(run, [(settings, fold) for settings in tried for fold in folds])
-    rows = []
-    for i, settings in enumerate(tried):
-        found = results[i * len(folds):(i + 1) * len(folds)]
-        rows.append({"settings": settings, **{name: _mean([r[name] for r in found]) for name in found[0]}})
-    ranked = [r for r in rows if r[rank_by] is not None]
-    if not ranked:
+    found = [results[i * len(folds):(i + 1) * len(folds)] for i in range(len(tried))]
+    return [{name: _mean([r[name] for r in rows]) for name in rows[0]} for rows in found]
+
+
+def _best_first(rows: list[dict], rank_by: str, larger_is_better: bool) -> list[dict]:
+    """Rows with a score, the best first; equal ones keep their order."""
+    known = [r for r in rows if r[rank_by] is not None]
+    if not known:
         raise ValueError(f"no candidate could be scored by {rank_by}")
-    best = (max if larger_is_better else min)(ranked, key=lambda r: r[rank_by])
-    return rows, best["settings"]
+    return sorted(known, key=lambda r: -r[rank_by] if larger_is_better else r[rank_by])
+
+
+def grid_search(
+    folds: list[Fold], build: Build, grid: dict[str, list], score: Score, rank_by: str, larger_is_better: bool
+) -> tuple[list[dict], dict]:
+    """Mean score over the folds for every candidate, and the best candidate.
+
+    `score` is any function from scored rows to a one-row frame.
+    """
+    tried = candidates(grid)
+    rows = [{"settings": settings, **found} for settings, found in zip(tried, _fold_scores(folds, build, score, tried))]
+    return rows, _best_first(rows, rank_by, larger_is_better)[0]["settings"]
+
+
+def halving_search(
+    folds: list[Fold], build: Build, grid: dict[str, list], score: Score, rank_by: str, larger_is_better: bool
+) -> tuple[list[dict], dict]:
+    """Like `grid_search`, by successive halving: every candidate is boosted a little, the best third goes on.
+
+    A rung stops the boosting after a share of each candidate's own trees (RUNGS); the last one runs to the end. The
+    rows hold every candidate of every rung: rung, trees, whether it went on (kept), its scores and seconds a fit.
+    The best is the best of those that ran to the end.
+    """
+    left, rows = candidates(grid), []
+    for rung, share in enumerate(RUNGS):
+        tried = [{**settings, "maxIter": max(1, math.ceil(settings["maxIter"] * share))} for settings in left]
+        found = _fold_scores(folds, build, score, tried)
+        here = [
+            {"settings": full, "rung": rung, "trees": short["maxIter"], **scores}
+            for full, short, scores in zip(left, tried, found)
+        ]
+        ranked = _best_first(here, rank_by, larger_is_better)
+        kept = ranked[: 1 if rung == len(RUNGS) - 1 else math.ceil(len(left) * KEPT_SHARE)]
+        left = [r["settings"] for r in kept]
+        rows += [{**r, "kept": r["settings"] in left} for r in here]
+    return rows, left[0]
 
 
 def _mean(values: list) -> float | None:
@@ -150,10 +190,13 @@ def time_folds(df: DataFrame, order: str, count: int = series.FOLDS) -> list[tup
 
 
 def train_classifier(
-    features: DataFrame, grid: dict[str, list], day: str = "time_published", strict: bool = True
+    features: DataFrame, grid: dict[str, list], day: str = "time_published", strict: bool = True,
+    search: Callable = grid_search,
 ) -> Search:
     """Labels, rebalances, searches, refits and reports on the last tenth of the days.
 
+    `search` is `grid_search`, which tries every candidate to the end, or `halving_search`.
+
     With `strict`, class thresholds come from training days only and rebalancing happens inside each
     training fold. Without it both use all rows first, so the scores look better than they are.
     """
@@ -177,14 +220,14 @@ def train_classifier(
     def score(df: DataFrame) -> DataFrame:
         return metrics.accuracy(df, "label", "clf_predictions")
 
-    scores, best = grid_search(folds, classifier, grid, score, "accuracy", True)
+    scores, best = search(folds, classifier, grid, score, "accuracy", True)
     model = Pipeline(stages=[classifier(best)]).fit(balanced)
     scored = model.transform(held)
     return Search(
         scores, best, model,
         report=metrics.class_report(scored, "label", "clf_predictions"),
         evaluation=score(scored).first(),
-        extra={"labelled": labelled},
+        extra={"labelled": labelled, "folds": folds},
     )
 
 
@@ -217,6 +260,7 @@ def train_regressor(
     grid: dict[str, list],
     day: str = "time_published",
     strict: bool = True,
+    search: Callable = grid_search,
 ) -> Search:
     """Searches for the lowest MAPE on the first nine tenths, refits, evaluates on the rest.
 
@@ -232,9 +276,7 @@ def train_regressor(
         first_held = held.agg(F.min(day)).scalar()
         train = settle(train.where(F.col(day) < first_held))
     folds = time_folds(train, day)
-    scores, best = grid_search(
-        folds, regressor, grid, lambda df: regression_scores(df, day), "mape", False
-    )
+    scores, best = search(folds, regressor, grid, lambda df: regression_scores(df, day), "mape", False)
     model = regressor(best).fit(train)
     predicted = model.transform(held)
     level = metrics.direction_of_level(predicted, "future_returns", "prediction")

@@ -6,10 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_scopes: list[list[str]] = []
+# Open scratch scopes, innermost last. Every thread has its own, so queries in several threads do not meet.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def build_session(app: str = "almanac", master: str | None = None, **conf: str) -> SparkSession:
@@ -46,8 +48,8 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; the innermost open scratch scope owns it."""
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    if _scopes.get():
+        _scopes.get()[-1].append(path)
     return path
 
 
@@ -57,17 +59,31 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
     A frame that reads them lazily must have been written before the end.
     """
-    _scopes.append([])
+    made: list[str] = []
+    token = _scopes.set((*_scopes.get(), made))
     try:
         yield
     finally:
-        for path in _scopes.pop():
-            _delete(spark, path)
+        _scopes.reset(token)
+        for path in made:
+            delete(spark, path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def _at(spark: SparkSession, path: str) -> tuple:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the cluster's storage with all it holds."""
+    system, place = _at(spark, path)
+    system.delete(place, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of the cluster's storage; none where there is no such folder."""
+    system, place = _at(spark, path)
+    return sorted(status.getPath().getName() for status in system.listStatus(place)) if system.exists(place) else []
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -84,16 +100,8 @@ def settle(df: DataFrame) -> DataFrame:
 
 def keep(df: DataFrame) -> DataFrame:
     """Settle a frame so that it outlives the innermost scratch scope; the one around it owns the copy."""
-    if not _scopes:
-        return settle(df)
-    inner = _scopes.pop()
+    token = _scopes.set(_scopes.get()[:-1])
     try:
         return settle(df)
     finally:
-        _scopes.append(inner)
-
-
-def settle_partitioned(df: DataFrame) -> DataFrame:
-    """Like `settle`, but keeps the partitioning of the frame for later joins."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+        _scopes.reset(token)

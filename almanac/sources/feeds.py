@@ -16,9 +16,13 @@ SNAPSHOT_SCHEMA = "fgi struct<now: struct<value: int, valueText: string>>"
 PAGE_LIMIT = 1000
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Landed JSON documents, one file each, in column `raw`, with the time they landed."""
-    files = spark.read.text(path, wholetext=True).withColumnRenamed("value", "raw")
+def read_documents(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
+    """Landed JSON documents, one file each, in column `raw`, with the time they landed.
+
+    `since` (a timestamp as text) leaves files that landed before it unread.
+    """
+    landed = spark.read.option("modifiedAfter", since) if since else spark.read
+    files = landed.text(path, wholetext=True).withColumnRenamed("value", "raw")
     return files.select("raw", F.col("_metadata.file_modification_time").alias("landed"))
 
 

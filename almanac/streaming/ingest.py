@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from almanac.operators.items import keep_first, not_stored
-from almanac.sources.tables import stored_table
+from almanac.operators.items import keep_first
+from almanac.session import children, scratch, settle
+from almanac.sources import seen
 
 
 def item_stream(spark: SparkSession, path: str, schema: StructType | str, files_per_batch: int | None = None) -> DataFrame:
@@ -33,21 +33,27 @@ def append_new(
 ) -> StreamingQuery:
     """Appends the first item per key that the table does not hold yet, then stops.
 
-    The table itself is the state, so nothing is dropped for being late and copies of one key collapse
-    before they are shuffled. A batch owns one folder, named after the query's progress and the batch, and
-    rewrites it when it is repeated after a failure. A query that has lost its progress is another query:
-    its batches are held against all folders, so every item is stored once.
+    The keys that are stored are the state, at `path`-seen in buckets by hash: a batch reads those that its own keys
+    fall into, nothing is dropped for being late, and copies of one key collapse before they are shuffled. A
+    batch owns one folder of rows and one of keys, named after the query's progress and the batch, and rewrites
+    both when it is repeated after a failure. A query that has lost its progress is another query: its batches are
+    held against all others, so every item is stored once.
     """
+    spark, root = stream.sparkSession, f"{path}-seen"
+    # Rows whose keys were not recorded: a batch was lost between the two, or the table is older than the buckets.
+    recorded = seen.recorded(spark, root)
+    for name in children(spark, path):
+        own = name.removeprefix("batch=")
+        if own != name and own not in recorded and "_SUCCESS" in children(spark, f"{path}/{name}"):
+            seen.record(spark.read.parquet(f"{path}/{name}"), root, key, own)
+    seen.compact(spark, root)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = keep_first(batch, key, list(order))
-        own = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}.{batch_id}"
-        stored = stored_table(spark, path)
-        if stored is not None:
-            others = stored.where(F.col("batch") != own)
-            fresh = not_stored(fresh, others.select(F.col(key).cast("string").alias(key)), key)
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={own}")
+        own = f"{batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}.{batch_id}"
+        with scratch(batch.sparkSession):
+            fresh = seen.unseen(settle(keep_first(batch, key, list(order))), root, key, but=own)
+            fresh.write.mode("overwrite").parquet(f"{path}/batch={own}")
+            seen.record(batch.sparkSession.read.parquet(f"{path}/batch={own}"), root, key, own)
 
     return (
         stream.writeStream.foreachBatch(store)

@@ -47,6 +47,36 @@ def test_neighbours_match_brute_force_with_one_class_much_larger(spark, monkeypa
         assert [d for d, _ in mine] == pytest.approx([d for d, _ in ranked])
 
 
+def test_boxes_over_all_pivots_leave_fewer_visits(spark, monkeypatch):
+    rows, df = points(spark, {"a": 600}, seed=5, clusters=12)
+    counted = {}
+    plan = neighbours._visits
+
+    def visits(asking, boxes, id_type, name):
+        found = plan(asking, boxes, id_type)
+        counted[name] = found.agg(F.sum(F.size("blocks"))).first()[0] or 0
+        assert not {"x", "vector"} & set(found.columns)
+        return found
+
+    def own_ring_only(asking, boxes, id_type):
+        """The same boxes, each open on every pivot but the block's own."""
+        wide = {}
+        for c, (numbers, lo, hi, names) in boxes.items():
+            own = np.arange(lo.shape[1])[None, :] == np.array([p for p, _ in names])[:, None]
+            wide[c] = (numbers, np.where(own, lo, 0.0), np.where(own, hi, np.inf), names)
+        return visits(asking, wide, id_type, "ring")
+
+    results = []
+    for how in (lambda *a: visits(*a, "box"), own_ring_only):
+        monkeypatch.setattr(neighbours, "_visits", how)
+        results.append(sorted(tuple(r) for r in neighbours.nearest_in_class(df, "id", "label", "x", 4, block_rows=16).collect()))
+    wanted = brute_force(rows, 4)
+    assert results[0] == results[1] and len(results[0]) == 4 * len(rows)
+    assert all(wanted[i][place - 1][1] == j for i, j, place, _ in results[0])
+    blocks = 600 // 16
+    assert counted["box"] < 0.75 * counted["ring"] and counted["box"] < 600 * blocks / 8
+
+
 def test_neighbours_of_some_rows_search_all_rows(spark):
     rows, df = points(spark, {"a": 120, "b": 50}, seed=1)
     asked = df.where("id % 17 = 0").select("id")
@@ -139,6 +169,46 @@ def test_training_saving_and_prediction(spark, feature_table):
     assert training.train_regressor(feature_table, loaded[0], grid).evaluation["n"] == 12
 
 
+def test_halving_keeps_what_the_whole_search_finds(spark):
+    """Candidates whose score is known: more trees come nearer to a candidate's own value."""
+    class Model:
+        def __init__(self, settings):
+            self.settings = settings
+
+        def fit(self, train):
+            return self
+
+        def transform(self, test):
+            return spark.createDataFrame([(self.settings["maxDepth"] - 1.0 / self.settings["maxIter"],)], "score double")
+
+    folds = [(None, None)] * 2
+    grid = {"maxIter": [18], "maxDepth": [3, 1, 9, 5, 7, 2, 6, 4, 0, 8]}
+    rows, best = training.halving_search(folds, Model, grid, lambda df: df, "score", True)
+    whole, best_of_all = training.grid_search(folds, Model, grid, lambda df: df, "score", True)
+    assert best == best_of_all == {"maxIter": 18, "maxDepth": 9}
+    assert [(r["rung"], r["trees"]) for r in rows].count((0, 2)) == 10
+    assert [sum(r["rung"] == i for r in rows) for i in range(3)] == [10, 4, 2]
+    assert [sum(r["rung"] == i and r["kept"] for r in rows) for i in range(3)] == [4, 2, 1]
+    assert all(r["seconds"] >= 0 for r in rows) and len(whole) == 10
+    lowest, worst = training.halving_search(folds, Model, grid, lambda df: df, "score", False)
+    assert worst["maxDepth"] == 0
+
+
+@pytest.mark.filterwarnings("ignore")
+def test_halving_search_of_classifiers(feature_table):
+    grid = {"maxIter": [6], "maxDepth": [2], "stepSize": [0.1, 0.3], "subsamplingRate": [0.5, 1.0]}
+    search = training.train_classifier(feature_table, grid, search=training.halving_search)
+    assert [sum(r["rung"] == i for r in search.scores) for i in range(3)] == [4, 2, 1]
+    assert search.best in training.candidates(grid) and search.evaluation["accuracy"] > 0.5
+
+
+@pytest.mark.filterwarnings("ignore")
+def test_prediction_without_a_feature_raises(spark, feature_table):
+    empty = feature_table.withColumn("PCA2", F.lit(None).cast("double"))
+    with pytest.raises(ValueError, match="PCA2"):
+        predict.predict_next(empty, None, None)
+
+
 @pytest.mark.filterwarnings("ignore")
 def test_loose_mode_balances_before_the_folds(feature_table):
     grid = {"maxIter": [2], "maxDepth": [2], "stepSize": [0.1]}
