@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.llm.frames import few, folded, row_key, text_of
+from almanac.operators.naming import unused
 from almanac.session import keep, scratch, settle
 
 WINDOW = 13
@@ -141,9 +142,13 @@ def _hits(docs: DataFrame, benchmark: DataFrame, doc_id: str, item_id: str) -> D
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The rows of `docs` that are not contaminated, all columns kept."""
+    """The rows of `docs` that are not contaminated, all columns kept.
+
+    Texts and items are judged as `contamination` says. Null and empty texts stay, rows with equal id and text stay or
+    go together, an empty table stays empty, and no name of a column matters but those of the id and the text.
+    """
     bad = contamination(docs, benchmark, doc_id).where("contaminated").select(*KEY).distinct()
-    key = [c.alias(f"_row{c_i}") for c_i, c in enumerate(row_key(F.col(doc_id), text_of()))]
-    keyed = docs.select("*", *key)
-    bad = few(settle(bad)).select(F.col("_k1").alias("_row0"), F.col("_k2").alias("_row1"))
-    return keyed.join(bad, ["_row0", "_row1"], "left_anti").drop("_row0", "_row1")
+    names = unused(docs.columns, "k1", "k2")
+    keyed = docs.select("*", *[c.alias(name) for name, c in zip(names, row_key(F.col(doc_id), text_of()))])
+    bad = few(settle(bad.toDF(*names)))
+    return keyed.join(bad, names, "left_anti").drop(*names)

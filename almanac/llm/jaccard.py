@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from almanac.llm.components import components
 from almanac.llm.frames import few, most_frequent, text_of, texts_to_python
 from almanac.llm.words import find_words, mix, release, runs_hash, text_blocks
+from almanac.operators.naming import unused
 from almanac.session import keep, scratch, settle
 
 PERCENT = 85
@@ -361,8 +362,9 @@ def first_of_each(docs: DataFrame, doc_id: str = "doc_id", size: int = SIZE, per
     Of several rows with one id one stays. Rows with a null id link with nothing and stay.
     """
     found = near_duplicates(docs, doc_id, size, percent)
-    gone = settle(found.where(F.col("component_id") != F.col(doc_id)).select(F.col(doc_id).alias("_gone")).distinct())
-    kept = docs.join(few(gone), docs[doc_id] == F.col("_gone"), "left_anti")
+    (name,) = unused(docs.columns, "gone")
+    gone = settle(found.where(F.col("component_id") != F.col(doc_id)).select(F.col(doc_id).alias(name)).distinct())
+    kept = docs.join(few(gone), docs[doc_id] == F.col(name), "left_anti")
     named = docs.where(F.col(doc_id).isNotNull())
     if named.groupBy(doc_id).count().where("count > 1").isEmpty():
         return kept

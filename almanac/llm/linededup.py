@@ -314,21 +314,20 @@ def _gone(docs: DataFrame, index: LineIndex, doc_id: str) -> DataFrame:
 
 def _without(docs: DataFrame, gone: DataFrame, doc_id: str, out: str) -> DataFrame:
     places = gone.agg(F.coalesce(F.sum(F.size("_gone")), F.lit(0))).first()[0]
-    plain = docs.drop("n_lines", "n_dropped", *({out} - {"text"}))
+    # The rows travel packed, so that no column of theirs meets one of this module.
+    packed = docs.select(F.struct(*docs.columns).alias("_own"), row_of(doc_id).alias("_at"), lines_of(text_of()).alias("_lines"))
     # The places of dropped lines go to the texts while they are few, else both meet by a shuffle.
-    joined = plain.join(few(gone) if places <= SENT_PLACES else gone, row_of(doc_id) == F.col("_row"), "left")
-    joined = joined.withColumn("_lines", lines_of(text_of()))
+    joined = packed.join(few(gone) if places <= SENT_PLACES else gone, F.col("_at") == F.col("_row"), "left")
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     rest = F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(
         F.transform(stay, lambda i: F.get("_lines", i))
     )
-    return (
-        joined.withColumn("_rest", rest)
-        .withColumn("n_lines", F.size("_lines").cast("long"))
-        .withColumn("n_dropped", (F.size("_lines") - F.size("_rest")).cast("long"))
-        .withColumn(out, F.array_join("_rest", "\n"))
-        .drop("_row", "_gone", "_lines", "_rest")
-    )
+    cut = joined.withColumn("_rest", rest)
+    kept = F.array_join("_rest", "\n")
+    own = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
+    columns = [(kept if c.lower() == out.lower() else F.col("_own").getField(c)).alias(c) for c in own]
+    added = [F.size("_lines").cast("long").alias("n_lines"), (F.size("_lines") - F.size("_rest")).cast("long").alias("n_dropped")]
+    return cut.select(*columns, *added, *([] if out.lower() in map(str.lower, own) else [kept.alias(out)]))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", out: str = "kept") -> DataFrame:

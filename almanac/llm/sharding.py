@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanac.llm.frames import few, text_of
-from almanac.session import settle
+from almanac.session import keep, scratch, settle
 
 BITS = 60
 DETAIL = 4
@@ -63,10 +63,7 @@ def _assign(rows: DataFrame, limit: int, label: Column) -> tuple[list[DataFrame]
         bits = F.lpad(F.conv(F.col("_code").cast("string"), 10, 2), BITS, "0")
         own = F.expr("substring(_bits, 1, _depth)")
         parts.append(
-            found.withColumn("_bits", bits)
-            .withColumn("shard", F.concat(label, own))
-            .withColumn("depth", F.length("shard"))
-            .drop("_bits", "_cell", "_depth")
+            found.withColumn("_bits", bits).withColumn("_shard", F.concat(label, own)).drop("_bits", "_cell", "_depth")
         )
         rest = with_cell.join(entries, "_cell", "left_anti").drop("_cell")
         if rest.isEmpty():
@@ -85,14 +82,18 @@ def assign_shards(df: DataFrame, key: str = "doc_id", limit: int = 1 << 20, text
     the empty text, a null text has no bytes; an empty table gives no rows; other columns are kept, and
     shard, depth and n_bytes replace columns of those names.
     """
-    plain = df.drop("shard", "depth", "n_bytes")
-    rows = plain.withColumn("_bytes", F.octet_length(text_of(text)).cast("long")).withColumn(
-        "_code", md5_bits(F.col(key))
-    )
+    with scratch(df.sparkSession):
+        return keep(_sharded(df, key, limit, text))
+
+
+def _sharded(df: DataFrame, key: str, limit: int, text: str) -> DataFrame:
+    # The rows travel packed, so that no column of theirs meets one of this module.
+    own = F.struct(*df.drop("shard", "depth", "n_bytes").columns)
+    rows = df.select(own.alias("_row"), F.octet_length(text_of(text)).cast("long").alias("_bytes"), md5_bits(F.col(key)).alias("_code"))
     parts, rest = _assign(rows, limit, F.lit(""))
     if rest is not None:
         label = F.lpad(F.conv(F.col("_code").cast("string"), 10, 2), BITS, "0")
-        content = F.to_json(F.struct(*plain.columns), {"ignoreNullFields": "false"})
+        content = F.to_json("_row", {"ignoreNullFields": "false"})
         rows = rest.withColumn("_label", label).withColumn("_code", md5_bits(F.concat_ws(":", "_label", content)))
         more, rest = _assign(rows, limit, F.col("_label"))
         parts += more
@@ -101,7 +102,7 @@ def assign_shards(df: DataFrame, key: str = "doc_id", limit: int = 1 << 20, text
         rows = settle(rest.withColumn("_label", label).withColumn("_place", F.monotonically_increasing_id()))
         rows = rows.withColumn("_code", md5_bits(F.concat_ws(":", "_label", "_place")))
         parts += _assign(rows, limit, F.col("_label"))[0]
-    columns = [*plain.columns, F.col("_bytes").alias("n_bytes"), "shard", "depth"]
+    columns = ["_row.*", F.col("_bytes").alias("n_bytes"), F.col("_shard").alias("shard"), F.length("_shard").alias("depth")]
     return reduce(DataFrame.unionAll, [p.select(*columns) for p in parts])
 
 
