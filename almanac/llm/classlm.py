@@ -1,7 +1,10 @@
 """Brown class-based bigrams: exchange clustering of words, class transitions, word emissions.
 
-The clustered items are the most frequent words, buckets of all other words by their last two bytes, and the
-end of a text. Item bigrams are counted over the whole training corpus; their number is bounded by the items.
+Two rounds of exchange. The first clusters the most frequent words, buckets of all other words by their last two
+bytes, and the end of a text; item bigrams are counted over the whole training corpus. In the second every other listed
+word leaves its bucket: it goes to the class with the highest gain of the same likelihood, from the classes that stand
+before and after it anywhere in the corpus. Transitions and emissions are then counted anew. Only words beyond the
+listed ones, and words that training never saw, have the class of their bucket.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ SHAPES = 512
 ROUNDS = 12
 BLOCKS = 16
 LISTED = 1_000_000
+WORDS_A_TASK = 20_000
 PENDING = 2_000_000
 BETA = 5.0
 END = np.uint64(0x5EED0FE2D0FE2D01)
@@ -247,12 +251,143 @@ def cluster(bigrams: DataFrame, items: int, classes: int = CLASSES, rounds: int
     return assigned, n
 
 
+def _find(names: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, there): where each hash stands among sorted names, and whether it does."""
+    if not len(names):
+        return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+    at = np.minimum(np.searchsorted(names, hashes), len(names) - 1)
+    return at, names[at] == hashes
+
+
+def _classes_of(hashes: np.ndarray, shapes: np.ndarray, own: tuple[np.ndarray, np.ndarray], buckets: np.ndarray) -> np.ndarray:
+    """Class of every word: its own where it has one, else that of its bucket."""
+    at, there = _find(own[0], hashes)
+    return np.where(there, own[1][at] if len(own[1]) else 0, buckets[shapes])
+
+
+def neighbour_classes(texts: DataFrame, own: tuple[np.ndarray, np.ndarray], buckets: np.ndarray, classes: int) -> DataFrame:
+    """(code, n): how often each class stands before and after each listed word.
+
+    A code is the word's place * 2 * classes, plus the class before it, or `classes` plus the one after it.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast((own, buckets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, buckets = sent.value
+        names, counts, held = [], [], 0
+
+        def rows() -> pa.RecordBatch:
+            name, count = _merged(names, counts)
+            return pa.RecordBatch.from_arrays([pa.array(name), pa.array(count)], ["code", "n"])
+
+        for batch in batches:
+            for _, _, data, offsets in text_blocks(batch.column(0)):
+                found = find_words(data, offsets)
+                place, there = _find(own[0], found.hashes)
+                k = np.where(there, own[1][place] if len(own[1]) else 0, buckets[_shapes(found)])
+                row = np.concatenate([[classes - 1], _with_ends(k, found.bounds, classes - 1)])
+                word = np.concatenate([[-1], _with_ends(np.where(there, place, -1), found.bounds, -1)])
+                after, before = np.flatnonzero(word[:-1] >= 0), np.flatnonzero(word[1:] >= 0) + 1
+                codes = np.concatenate([
+                    word[before] * (2 * classes) + row[before - 1], word[after] * (2 * classes) + classes + row[after + 1],
+                ])
+                name, count = np.unique(codes, return_counts=True)
+                names.append(name)
+                counts.append(count)
+                held += len(name)
+                if held > PENDING:
+                    name, count = _merged(names, counts)
+                    names, counts, held = [name], [count], len(name)
+                    if held > PENDING // 2:
+                        yield rows()
+                        names, counts, held = [], [], 0
+        if names:
+            yield rows()
+
+    return texts.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def _gains(before: np.ndarray, after: np.ndarray, own: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Gain of every class for words that stand in class `own` by now, as in `exchange`, many words at once.
+
+    A word's own class is judged without the word's share in it.
+    """
+    n = n.astype(float)
+    rows, columns, here = n.sum(1), n.sum(0), np.diag(n)
+    gains = np.empty((len(own), len(n)))
+    for b in range(len(n)):
+        mine = (own == b)[:, None]
+        right = np.maximum(n[b] - mine * after, 0)
+        left = np.maximum(n[:, b] - mine * before, 0)
+        gain = (_bits(right + after) - _bits(right)).sum(1) + (_bits(left + before) - _bits(left)).sum(1)
+        a, c = after[:, b], before[:, b]
+        stay = np.maximum(here[b] - mine[:, 0] * (a + c), 0)
+        gain += _bits(stay + a + c) + _bits(stay) - _bits(stay + a) - _bits(stay + c)
+        total_a, total_c = after.sum(1), before.sum(1)
+        low, high = np.maximum(rows[b] - mine[:, 0] * total_a, 0), np.maximum(columns[b] - mine[:, 0] * total_c, 0)
+        gains[:, b] = gain - _bits(low + total_a) + _bits(low) - _bits(high + total_c) + _bits(high)
+    gains[:, -1] = -np.inf  # the class of ends takes no word
+    return gains
+
+
+def place_words(counted: DataFrame, own: np.ndarray, fixed: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Class of every listed word: the best by exchange gain, but for the `fixed` ones.
+
+    The words of a range of places are judged by one task; a class of one byte a word comes back.
+    """
+    classes = len(n)
+    sent = counted.sparkSession.sparkContext.broadcast((own, n))
+
+    def judge(rows: pa.Table) -> pa.Table:
+        own, n = sent.value
+        code, count = rows["code"].to_numpy(), rows["n"].to_numpy()
+        part = int(rows["part"][0].as_py())
+        mine = own[part * WORDS_A_TASK : (part + 1) * WORDS_A_TASK]
+        cells = np.bincount(code - part * WORDS_A_TASK * 2 * classes, count, len(mine) * 2 * classes).reshape(len(mine), 2 * classes)
+        best = np.empty(len(mine), dtype=np.uint8)
+        for at in range(0, len(mine), 1000):
+            before, after = cells[at : at + 1000, :classes], cells[at : at + 1000, classes:]
+            best[at : at + 1000] = _gains(before, after, mine[at : at + 1000], n).argmax(1)
+        return pa.table({"part": pa.array([part], pa.int64()), "best": pa.array([best.tobytes()], pa.binary())})
+
+    part = F.floor(F.col("code") / (WORDS_A_TASK * 2 * classes)).alias("part")
+    found = counted.select(part, "code", "n").groupBy("part").applyInArrow(judge, "part long, best binary")
+    out = own.copy()
+    for r in found.collect():
+        at = r["part"] * WORDS_A_TASK
+        best = np.frombuffer(r["best"], np.uint8)
+        out[at : at + len(best)] = np.where(fixed[at : at + len(best)], own[at : at + len(best)], best)
+    return out
+
+
+def class_bigrams(texts: DataFrame, own: tuple[np.ndarray, np.ndarray], buckets: np.ndarray, classes: int) -> np.ndarray:
+    """How often each class follows each, text ends included."""
+    sent = texts.sparkSession.sparkContext.broadcast((own, buckets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, buckets = sent.value
+        total = np.zeros(classes * classes, dtype=np.int64)
+        for batch in batches:
+            for _, _, data, offsets in text_blocks(batch.column(0)):
+                found = find_words(data, offsets)
+                k = _classes_of(found.hashes, _shapes(found), own, buckets)
+                row = np.concatenate([[classes - 1], _with_ends(k, found.bounds, classes - 1)])
+                total += np.bincount(row[:-1] * classes + row[1:], minlength=classes * classes)
+        yield pa.RecordBatch.from_arrays([pa.array([total])], ["n"])
+
+    parts = texts.mapInArrow(run, "n array<long>").select(F.posexplode("n").alias("cell", "n")).groupBy("cell").agg(F.sum("n").alias("n"))
+    out = np.zeros(classes * classes, dtype=np.int64)
+    for r in parts.collect():
+        out[r["cell"]] = r["n"]
+    return out.reshape(classes, classes)
+
+
 @dataclass
 class Model:
-    """What scoring needs: item classes, class transitions, and the sizes of classes and of the corpus."""
+    """What scoring needs: words' and buckets' classes, class transitions, and the sizes of classes and of the corpus."""
 
-    frequent: np.ndarray
-    classes: np.ndarray
+    own: tuple[np.ndarray, np.ndarray]  # sorted hashes of the words with a class of their own, and the classes
+    buckets: np.ndarray  # class of each bucket of spellings
     transitions: np.ndarray  # log10 P(class after | class before)
     emissions: np.ndarray  # log10 of 1 / (tokens + types + 1) of each class; 0 for the class of ends
     tokens: int
@@ -261,42 +396,55 @@ class Model:
     listed: tuple[np.ndarray, np.ndarray]
 
 
-def train(texts: DataFrame, classes: int = CLASSES) -> Model:
-    """A model of all rows of `texts`; only their text is read."""
+def train(texts: DataFrame, classes: int = CLASSES, listed: int = LISTED, frequent: int = FREQUENT) -> Model:
+    """A model of all rows of `texts`; only their text is read.
+
+    Null and empty texts are one end each, repeated rows count each, no rows give a model without words. The `listed`
+    most frequent words have a class of their own, the `frequent` first of them by rounds of exchange.
+    """
     texts = texts_to_python(texts).select(text_of().alias("text"))
     counts = settle(token_counts(texts))
     total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     words = counts.where("shape >= 0")
-    top = most_frequent(words, "c", LISTED).select("h", "c").toArrow()
-    names, sizes = top["h"].to_numpy().view(np.uint64), top["c"].to_numpy()
-    order = np.lexsort((names, -sizes))[:FREQUENT]
-    frequent = np.sort(np.append(names[order], np.uint64(0)))
+    top = most_frequent(words, "c", listed).select("h", "c", "shape").toArrow()
+    names, sizes, shapes = top["h"].to_numpy().view(np.uint64), top["c"].to_numpy(), top["shape"].to_numpy()
+    first = np.lexsort((names, -sizes))[:frequent]
+    core = np.sort(np.append(names[first], np.uint64(0)))
     order = np.argsort(names)
-    listed = names[order], sizes[order]
-    items = len(frequent) + SHAPES + 1
-    assigned, n = cluster(settle(item_bigrams(texts, frequent)), items, classes)
-    sent = texts.sparkSession.sparkContext.broadcast((frequent, assigned))
-
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, classes_of = sent.value
+    names, sizes, shapes = names[order], sizes[order], shapes[order]
+    items = len(core) + SHAPES + 1
+    assigned, n = cluster(settle(item_bigrams(texts, core)), items, classes)
+    buckets = assigned[len(core) : -1].astype(np.uint8)
+    at, fixed = _find(core, names)
+    own = names, np.where(fixed, assigned[at], buckets[shapes]).astype(np.uint8)
+    own = names, place_words(settle(neighbour_classes(texts, own, buckets, classes)), own[1], fixed, n)
+    n = class_bigrams(texts, own, buckets, classes)
+    sent = texts.sparkSession.sparkContext.broadcast((own, buckets))
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h, shape, c = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            at = np.minimum(np.searchsorted(known, h.view(np.uint64)), len(known) - 1)
-            k = classes_of[np.where(known[at] == h.view(np.uint64), at, len(known) + shape)]
+            k = _classes_of(h.view(np.uint64), shape, *sent.value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(classes)), pa.array(np.bincount(k, c, classes).astype(np.int64)), pa.array(np.bincount(k, minlength=classes))],
                 ["k", "tokens", "types"],
             )
 
-    sized = words.mapInArrow(sizes, "k long, tokens long, types long").groupBy("k").agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types"))
-    held = np.zeros(classes)
+    sized = words.mapInArrow(held, "k long, tokens long, types long").groupBy("k").agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types"))
+    mass = np.zeros(classes)
     for r in sized.collect():  # one row a class
-        held[r["k"]] = r["tokens"] + r["types"]
-    emissions = -np.log10(held + 1)
+        mass[r["k"]] = r["tokens"] + r["types"]
+    emissions = -np.log10(mass + 1)
     emissions[-1] = 0.0
     share = (n.sum(0) + 1.0) / (n.sum() + classes)
     transitions = np.log10((n + BETA * share[None, :]) / (n.sum(1, keepdims=True) + BETA))
-    return Model(frequent, assigned, transitions, emissions, int(total), int(types), counts, listed)
+    return Model(own, buckets, transitions, emissions, int(total), int(types), counts, (names, sizes))
+
+
+def own_share(model: Model) -> float:
+    """Share of the training tokens that are words with a class of their own."""
+    words = model.tokens - (model.counts.where("shape < 0").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0])
+    return float(model.listed[1].sum()) / max(words, 1)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id") -> DataFrame:
@@ -308,7 +456,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id") -> DataFrame:
     join. Rows with equal id and text score alike; null ids are ids like others; further columns are not read.
     """
     spark = docs.sparkSession
-    parts = model.frequent, model.classes, model.transitions, model.emissions, model.listed
+    parts = model.own, model.buckets, model.transitions, model.emissions, model.listed
     sent = spark.sparkContext.broadcast(parts)
     floor = -np.log10(model.tokens + model.types + 1)
     ends = model.counts.where("shape < 0").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
@@ -316,17 +464,16 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id") -> DataFrame:
     kind = read.schema["doc"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, classes, transitions, emissions, (names, counts) = sent.value
+        own, buckets, transitions, emissions, (names, counts) = sent.value
         last = len(transitions) - 1
         for batch in batches:
             for at, to, data, offsets in text_blocks(batch.column(2)):
                 found = find_words(data, offsets)
                 text = np.repeat(np.arange(to - at), np.diff(found.bounds))
-                k = classes[_items(found, frequent)]
+                k = _classes_of(found.hashes, _shapes(found), own, buckets)
                 row = _with_ends(k, found.bounds, last)
                 steps = transitions[np.r_[last, row[:-1]], row]
-                spot = np.minimum(np.searchsorted(names, found.hashes), max(len(names) - 1, 0))
-                here = names[spot] == found.hashes if len(names) else np.zeros(len(k), bool)
+                spot, here = _find(names, found.hashes)
                 c = np.where(here, counts[spot], 0) if len(names) else np.zeros(len(k))
                 logs = np.log10(c + 1.0)
                 size = np.diff(found.bounds)
