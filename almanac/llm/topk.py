@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +10,8 @@ from pyspark.sql import functions as F
 from almanac.session import keep, scratch, settle
 
 BITS = 64
+CHUNK_MASKS = 4_096
+SENT_CHUNKS = 256
 
 
 def sign_code(vector: str, bits: int = BITS) -> Column:
@@ -34,8 +35,27 @@ def _segment(code: Column, i, width: int) -> Column:
     return F.call_function("shiftrightunsigned", code, (F.lit(width) * i).cast("int")).bitwiseAND((1 << width) - 1)
 
 
-def _masks(width: int, radius: int) -> list[int]:
-    return [sum(1 << b for b in chosen) for chosen in combinations(range(width), radius)]
+def _wider_masks(masks: DataFrame, width: int) -> DataFrame:
+    """(mask, top) with one bit more, from those with one bit less; `top` is the highest bit, -1 for none."""
+    more = masks.where(F.col("top") < width - 1).select("mask", F.explode(F.sequence(F.col("top") + 1, F.lit(width - 1))).alias("top"))
+    return settle(more.select(F.col("mask").bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("top"))).alias("mask"), "top"))
+
+
+def _probes(pending: DataFrame, places: Column, masks: DataFrame, width: int) -> DataFrame:
+    """(q, seg, value): the buckets whose segment differs from the query's in the bits of a mask.
+
+    Masks go to the queries in chunks, and a query's chunks go to tasks of their own, so neither the masks of a wide
+    segment nor the probes of a query pass through one task or the driver.
+    """
+    chunks = -(-masks.count() // CHUNK_MASKS)
+    chunked = masks.select("mask", F.pmod(F.xxhash64("mask"), F.lit(chunks)).alias("chunk"))
+    chunked = settle(chunked.groupBy("chunk").agg(F.collect_list("mask").alias("masks")))
+    numbers = F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))
+    asked = pending.select("q", F.explode(places).alias("seg")).select("q", "seg", F.explode(numbers).alias("chunk"))
+    asked = asked.repartition(pending.sparkSession.sparkContext.defaultParallelism, "q", "seg", "chunk")
+    sent = F.broadcast(chunked) if chunks <= SENT_CHUNKS else chunked
+    opened = asked.join(sent, "chunk").select("q", "seg", F.explode("masks").alias("mask"))
+    return opened.select("q", "seg", _segment(F.col("q"), F.col("seg"), width).bitwiseXOR(F.col("mask")).alias("value"))
 
 
 def build_index(coded: DataFrame, k: int) -> DataFrame:
@@ -82,11 +102,11 @@ def _found(codes: DataFrame, queries: DataFrame, k: int, segments: int | None) -
     best = spark.createDataFrame([], "q long, distance int, id " + codes.schema["id"].dataType.simpleString())
     done = best
     by_distance = Window.partitionBy("q").orderBy("distance", "id")
+    masks = spark.createDataFrame([(0, -1)], "mask long, top int")
     for radius in range(width + 1):
-        masks = F.array(*[F.lit(m).cast("long") for m in _masks(width, radius)])
-        probes = pending.select("q", F.explode(places).alias("seg")).withColumn(
-            "value", F.explode(F.transform(masks, lambda m: _segment(F.col("q"), F.col("seg"), width).bitwiseXOR(m)))
-        )
+        if radius:
+            masks = _wider_masks(masks, width)
+        probes = _probes(pending, places, masks, width)
         apart = F.col("q").bitwiseXOR(F.col("code"))
         nearest = F.array_min(F.array(*[F.bit_count(_segment(apart, F.lit(i), width)) * parts + i for i in range(parts)]))
         # A code is taken in the first bucket that leads to it, so no later step has to drop repeats.

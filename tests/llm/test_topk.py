@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -36,6 +37,25 @@ def test_neighbours_equal_brute_force(spark, segments):
     assert sorted(map(tuple, got.collect())) == brute(rows, [r for r in rows if r[0] is not None and r[0] % 10 == 0], 5)
 
 
+def test_masks_of_a_wide_segment_are_made_by_tasks(spark):
+    masks = spark.createDataFrame([(0, -1)], "mask long, top int")
+    for radius in range(1, 6):
+        masks = topk._wider_masks(masks, 32)
+        assert masks.count() == math.comb(32, radius) == masks.select("mask").distinct().count()
+    assert masks.where("bit_count(mask) != 5 OR mask < 0 OR mask >= 4294967296").isEmpty()
+
+
+def test_wide_segments_reach_radius_five(spark):
+    draw = random.Random(6)
+    rows = [(1, 0)]
+    for i in range(2, 12):
+        low, high = draw.sample(range(32), 5), draw.sample(range(32, 63), 6)
+        rows.append((i, sum(1 << b for b in low + high)))
+    codes = spark.createDataFrame(rows, "id long, code long")
+    asked = codes.where("id = 1")
+    assert sorted(map(tuple, topk.top_k(codes, asked, 3, 2).collect())) == brute(rows, rows[:1], 3)
+
+
 def test_few_rows_and_none(spark):
     codes = spark.createDataFrame([(1, 5), (2, 6)], "id long, code long")
     assert sorted(map(tuple, topk.top_k(codes, codes, 10, 8).collect())) == [(1, 1, 2, 2), (2, 1, 1, 2)]
