@@ -27,6 +27,7 @@ from almanac.session import keep, scratch, settle
 SPAN = 400
 K = 32
 WIDTHS = (50, 7, 1)
+MOST_TASKS = 20_000
 SHARD_CONTEXTS = 2_000
 MOST_CONTEXTS = 10_000
 FILTERED_ANCHORS = 4_000_000
@@ -247,7 +248,8 @@ def _search(docs: DataFrame, doc_id: str, contexts: DataFrame, width: int) -> Da
     shards = max(1, -(-rows.count() // SHARD_CONTEXTS))
     sharded = rows.withColumn("shard", F.pmod(F.col("k2"), F.lit(shards)))
     schema = "k1 long, k2 long, c long, spans array<struct<a: long, b: long>>"
-    return sharded.groupBy("shard").applyInPandas(lambda part: search(part), schema)
+    # A task a shard: the work is in Python, which a plan that merges tasks by their bytes does not see.
+    return sharded.repartition(min(shards, MOST_TASKS), "shard").groupBy("shard").applyInPandas(lambda part: search(part), schema)
 
 
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -255,7 +257,8 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     parts = []
     units = anchor_units(docs, doc_id, WIDTHS[0])
     for level, width in enumerate(WIDTHS):
-        whole = settle(units.groupBy(*KEY, "c").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "place")).alias("one")))
+        one = F.struct(F.min("row").alias("row"), F.min_by("place", "row").alias("place"))
+        whole = settle(units.groupBy(*KEY, "c").agg(F.count(F.lit(1)).alias("copies"), one.alias("one")))
         keys = whole.groupBy(*KEY).agg(F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("n")).where("n > 1")
         keys = settle(keys)
         shared = settle(whole.join(keys.drop("n"), KEY))
