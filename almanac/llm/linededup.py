@@ -264,12 +264,12 @@ class LineIndex:
     def _probed(self, rows: DataFrame, name: str) -> DataFrame:
         """Rows whose key the shards' filters of that name may hold.
 
-        The filters go to all tasks only while they have at most PROBED_FILTER_BYTES together; beyond, every
-        row meets the exact table, with the same result.
+        The filters go to all tasks while they have at most PROBED_FILTER_BYTES together; beyond, the keys go to
+        the shard of their filter.
         """
         size = self.filters.agg(F.coalesce(F.sum(F.octet_length(name)), F.lit(0))).first()[0]
         if size > PROBED_FILTER_BYTES:
-            return rows
+            return rows.join(self._routed(rows, name), KEY, "left_semi")
         sent = {r["shard"]: bytes(r[name]) for r in self.filters.select("shard", name).collect()}
         cells, shards = self.spark.sparkContext.broadcast(sent), self.shards
 
@@ -290,6 +290,26 @@ class LineIndex:
 
         return rows.mapInArrow(probe, rows.schema)
 
+    def _routed(self, rows: DataFrame, name: str) -> DataFrame:
+        """(k1, k2), settled: the distinct keys of `rows` that the filter of their shard may hold.
+
+        A key that many lines share is one row before it is shuffled. Where there are more keys than the index is
+        laid out for, a shard's keys go to several tasks, each with a copy of its filter.
+        """
+        keys = settle(rows.select(*KEY).distinct().withColumn("shard", self._shard()))
+        shares = 1 + keys.count() // (self.shards * 2 * SHARD_KEYS)
+        keys = keys.withColumn("share", F.pmod(F.col("k1"), F.lit(shares)).cast("int"))
+        sent = self.filters.select("shard", name, F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
+
+        def probe(have: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
+            if not len(have) or not len(part):
+                return part[KEY].iloc[:0]
+            found = CuckooFilter.from_bytes(have[name].iloc[0])
+            return part.loc[found.contains(part["k1"].to_numpy().view(np.uint64)), KEY]
+
+        by = ["shard", "share"]
+        return settle(sent.groupBy(*by).cogroup(keys.groupBy(*by)).applyInPandas(probe, "k1 long, k2 long"))
+
     def repeated(self, rows: DataFrame) -> DataFrame:
         """(row, gone): places of the lines of `rows` that a document with a smaller id holds too."""
         shared = settle(self.counts.where("first < last").select(*KEY, "first"))
