@@ -22,7 +22,6 @@ from almanac.llm.words import FOLD, MARKS, find_words, text_blocks
 from almanac.session import scratch, settle
 
 TRAINING_ROWS = 12_000
-MOST_TERMS = 1_000
 CHANCE = 0.01
 PRECISE = 0.9
 SHORTEST, LONGEST = 3, 10
@@ -289,11 +288,12 @@ def _learned(docs: DataFrame, labels: DataFrame, doc_id: str, rows: int) -> Mode
     used = settle(words.groupBy("word").agg(*counts))
     stems = once.select("_toxic", F.explode(F.array_distinct(F.flatten(F.transform(
         F.filter(F.array_distinct("words"), lambda w: F.length(w) >= SHORTEST),
-        lambda w: F.flatten(F.transform(
+        lambda w: F.concat(F.array(w), F.flatten(F.transform(
+            # The whole word, and its beginnings up to LONGEST letters.
             F.sequence(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.length(w))),
             lambda k: F.when(k < F.length(w), F.array(F.substring(w, F.lit(1), k), F.concat(F.substring(w, F.lit(1), k), F.lit("+"))))
-            .otherwise(F.array(F.substring(w, F.lit(1), k))),
-        )),
+            .otherwise(F.array(w)),
+        ))),
     )))).alias("stem"))
     stats = settle(stems.groupBy("stem").agg(*counts).where("t >= 3"))
     often = max(stats.count(), 1)
@@ -304,7 +304,8 @@ def _learned(docs: DataFrame, labels: DataFrame, doc_id: str, rows: int) -> Mode
     begun: set[str] = set()
     bases: set[str] = set()
     longest_first = F.desc(F.length(F.rtrim(F.col("stem"), F.lit("+"))))
-    for r in listed.orderBy(F.desc("t"), longest_first, F.length("stem"), "stem").limit(MOST_TERMS).collect():
+    # All that pass the bound; they come from the bounded sample.
+    for r in listed.orderBy(F.desc("t"), longest_first, F.length("stem"), "stem").collect():
         stem = r["stem"].removesuffix("+")
         if stem not in begun and not any(stem[:k] in bases for k in range(SHORTEST, len(stem) + 1)):
             terms[r["stem"]] = round(r["t"] / r["n"], 6)

@@ -77,6 +77,26 @@ def test_misspellings_and_quotations(spark):
     assert min(scores[:2]) >= 0.7 and scores[2] < 0.7 and scores[4] < scores[2] < scores[0] and scores[3] < scores[0]
 
 
+def test_every_term_within_the_bound_stays_and_long_words_stay_whole(spark):
+    """Forty insults of thirteen letters, each in a few toxic texts only."""
+    draw = random.Random(9)
+    insults = ["".join(draw.choice("bcdfghklmnprstvw") + draw.choice("aeiou") for _ in range(6)) + "x" for _ in range(40)]
+    rows, labels = [], []
+    for i in range(1600):
+        ws, toxic = cases.words(30, i, 3000), i % 4 == 0
+        if toxic:
+            ws[7] = insults[(i // 4) % 40]
+        rows.append((i, " ".join(ws)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert set(insults) <= set(model.terms)
+    plain = " ".join(cases.words(12, 999))
+    wrong = [w[:4] + "q" + w[5:] for w in insults]
+    texts = spark.createDataFrame([(i, f"{plain} {w} {plain}") for i, w in enumerate(wrong)], "doc_id long, text string")
+    assert toxicity.score(texts, model).where("hits = 0").isEmpty()
+
+
 def test_capitals_change_no_score(spark):
     docs, labels = labelled(spark)
     model = toxicity.learn(docs, labels.where("doc_id % 3 != 1"))
