@@ -23,7 +23,7 @@ from almanac.llm.words import mix, powers, release, span_hashes, text_blocks
 
 SPACE = "▁"
 NONE = np.int32(2**31 - 1)
-STORED_IDS = 3_000_000
+STORED_IDS = 1_000_000
 SIDE_BY_SIDE = 200
 CELLS = 1 << 18
 SHORT = 24
@@ -31,6 +31,8 @@ PIECE_BITS = 24
 CANDIDATE_BITS = PIECE_BITS + 8
 DRAWN = 1 << 15
 MET = 1 << 22
+LISTED_BYTES = 1 << 17
+BLOCK_BYTES = 1 << 19
 # Byte classes: 0 space, 1 letters, 2 digits, 3 other ASCII, 4 beyond ASCII.
 CLASSES = np.full(256, 3, dtype=np.uint8)
 CLASSES[0x20] = 0
@@ -361,8 +363,10 @@ class Coder:
         single = new & (often == 1) & ~self.met[met]
         self.met[met] = True
         new = np.flatnonzero(new & ~single)
-        if len(new):
-            self._list([raw[a:b] for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist())], distinct[new])
+        # Listed some bytes at a time: every substring of a stretch is looked at.
+        share = np.cumsum(ends[where[new]] - starts[where[new]]) // LISTED_BYTES
+        for part in np.split(new, np.flatnonzero(np.diff(share)) + 1) if len(new) else []:
+            self._list([raw[a:b] for a, b in zip(starts[where[part]].tolist(), ends[where[part]].tolist())], distinct[part])
         alone = single[back]
         every = mix(names + own)
         names, own = names[~alone], own[~alone]
@@ -516,7 +520,7 @@ def encode(
         coder = _coder(vocabulary, seed, dropout)
         for batch in batches:
             keys = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            for at, to, data, offsets in text_blocks(batch.column(2)):
+            for at, to, data, offsets in text_blocks(batch.column(2), BLOCK_BYTES):
                 ids, bounds = coder.encode_block(data, offsets, keys[at:to])
                 same = coder.lossless(ids, bounds, data, offsets)
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
