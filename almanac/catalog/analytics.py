@@ -232,18 +232,15 @@ def _rungs(search: training.Search, rank_by: str, larger: bool) -> list[tuple]:
 
 
 RUNG_SCHEMA = "rung int, trees int, tried int, kept int, best_kept boolean, timed boolean"
-# Two whole axes of the full grid, the others held.
-SEARCHED_CLASSIFIERS = {
-    "maxIter": [9], "maxDepth": [3],
-    **{axis: training.FULL_CLASSIFIER_GRID[axis] for axis in ("stepSize", "subsamplingRate")},
-}
+# Whole axes of the full grids, the others held.
+SEARCHED_CLASSIFIERS = {"maxIter": [9], "maxDepth": [3], "stepSize": training.FULL_CLASSIFIER_GRID["stepSize"]}
 SEARCHED_REGRESSORS = {
     "maxIter": [9], **{axis: training.FULL_REGRESSOR_GRID[axis] for axis in ("maxDepth", "stepSize")},
 }
 
 
 def classifier_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rungs of a halving search over step sizes and subsampling rates."""
+    """Rungs of a halving search over all step sizes."""
     search = training.train_classifier(
         _model_features(spark, sf_dir), SEARCHED_CLASSIFIERS, search=training.halving_search
     )
@@ -251,7 +248,7 @@ def classifier_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def regressor_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rungs of a halving search over depths and step sizes, stacked on a classifier."""
+    """Rungs of a halving search over all depths and step sizes, stacked on a classifier."""
     table_ = _model_features(spark, sf_dir)
     clf = training.train_classifier(table_, {k: v[:1] for k, v in training.SMALL_CLASSIFIER_GRID.items()})
     search = training.train_regressor(table_, clf, SEARCHED_REGRESSORS, search=training.halving_search)
@@ -270,12 +267,12 @@ def predict_next_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     table_ = _model_features(spark, sf_dir)
     clf = training.train_classifier(table_, training.SMALL_CLASSIFIER_GRID)
     reg = training.train_regressor(table_, clf, training.SMALL_REGRESSOR_GRID)
-    served, models = predict.predict_next(table_, clf.model, reg.model), []
+    served, models = settle(predict.predict_next(table_, clf.model, reg.model)), []
     for name, model in (("classifier", clf.model), ("regressor", reg.model)):
         path = scratch_path(spark, name)
         predict.save_model(model, path)
         models.append(predict.load_model(path))
-    again = predict.predict_next(table_, *models).select("time_published", F.col("prediction").alias("again"))
+    again = settle(predict.predict_next(table_, *models).select("time_published", F.col("prediction").alias("again")))
     return served.join(again, "time_published").select(
         "time_published", "next_day", (F.col("prediction") == F.col("again")).alias("same_after_loading"),
         (F.abs(F.col("percent") - F.col("prediction") * 100) <= 0.00051).alias("percent_of_prediction"),

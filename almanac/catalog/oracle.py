@@ -421,7 +421,7 @@ def queries() -> dict[str, str]:
         UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), count(*), TRUE FROM held"""
     sql["classifier_search"] = """SELECT CAST(rung AS INTEGER) AS rung, CAST(trees AS INTEGER) AS trees, CAST(tried AS INTEGER) AS tried,
         CAST(kept AS INTEGER) AS kept, TRUE AS best_kept, TRUE AS timed
-        FROM (VALUES (0, 1, 16, 6), (1, 3, 6, 2), (2, 9, 2, 1)) AS t(rung, trees, tried, kept)"""
+        FROM (VALUES (0, 1, 4, 2), (1, 3, 2, 1), (2, 9, 1, 1)) AS t(rung, trees, tried, kept)"""
     sql["regressor_search"] = """SELECT CAST(rung AS INTEGER) AS rung, CAST(trees AS INTEGER) AS trees, CAST(tried AS INTEGER) AS tried,
         CAST(kept AS INTEGER) AS kept, TRUE AS best_kept, TRUE AS timed
         FROM (VALUES (0, 1, 9, 3), (1, 3, 3, 1), (2, 9, 1, 1)) AS t(rung, trees, tried, kept)"""

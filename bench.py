@@ -20,9 +20,10 @@ HEADLINE = [
     "lemma_join", "chunk_500", "tfidf_weights", "sentiment_stats", "daily_sentiment", "feature_join",
     "html_to_text", "extractive_summary", "knn_same_class", "smote_resample", "stream_ingest",
     "daily_lemma_counts", "sentiment_model", "summary_sentiment", "price_vs_spread", "late_page_ingest",
+    "late_item_ingest", "bucketed_anti_join", "tfidf_pca2", "feature_correlations", "lemma_join_large",
 ]
 # The operators on training text, where they are present.
-TEXT_OPERATORS = tuple(f"op{n}_" for n in range(1, 11))
+TEXT_OPERATORS = tuple(f"op{n}_" for n in range(1, 14))
 
 
 def main() -> None:
