@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from almanac.llm import decontaminate, jaccard, linededup, pieces, toxicity
 from almanac.llm.catalog import DROPOUT, SEED, TOXIC, VOCABULARY
-from almanac.session import settle
+from almanac.session import keep, scratch
 
 SHINGLE_WORDS = 5
 ALIKE_PERCENT = 80
@@ -61,8 +61,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder before the next."""
+    """All stages over documents, each written to the shared folder before the next; only the last one's rows stay."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with scratch(spark):
+        for _, stage in STAGES[:-1]:
+            with scratch(spark):
+                docs = keep(stage(spark, docs, sf_dir))
+        return keep(STAGES[-1][1](spark, docs, sf_dir))
