@@ -131,9 +131,11 @@ class Coder:
         every = [raw.get(i, b"") for i in range(max(raw) + 1)]
         self.spelling = np.frombuffer(b"".join(every), dtype=np.uint8)
         self.spelled_to = np.cumsum([0, *map(len, every)]).astype(np.int32)
-        spelled = [np.frombuffer(raw[i], dtype=np.uint8) for i in ids.values()]
-        self.fine = not any(len(_cuts(p, True)) for p in spelled)
-        self.whole = any(len(_cuts(p, False)) for p in spelled)
+        spelled = [raw[i] for i in ids.values()]
+        heads = np.cumsum([0, *map(len, spelled)])
+        joined = np.frombuffer(b"".join(spelled), dtype=np.uint8)
+        self.fine, self.whole = (bool(len(np.setdiff1d(_cuts(joined, how), heads))) for how in (True, False))
+        self.fine = not self.fine
         self.seed = np.uint64(seed & (2**64 - 1))
         self.skip_below = np.uint64(int(dropout * 2**32))
         sizes = np.array([len(piece) for piece in ids], dtype=np.int64)
@@ -472,8 +474,8 @@ def read_vocabulary(path: str) -> bytes:
         return file.read()
 
 
-def load_coder(vocabulary: bytes, seed: int = 0, dropout: float = 0.0) -> Coder:
-    """A coder over the pieces of a vocabulary file's bytes; the vocabulary is used as it is, never trained."""
+def parse_vocabulary(vocabulary: bytes) -> tuple[list[tuple[str, float, int]], list[int], bool]:
+    """(pieces, byte ids, whether texts get a space before) of a vocabulary file's bytes; it is never trained."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_proto=vocabulary)
@@ -481,7 +483,12 @@ def load_coder(vocabulary: bytes, seed: int = 0, dropout: float = 0.0) -> Coder:
     plain = [i for i in size if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
     pieces = [(model.id_to_piece(i), model.get_score(i), i) for i in plain]
     prefix = model.encode("a", out_type=str)[0].startswith(SPACE)
-    return Coder(pieces, [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)], prefix, seed, dropout)
+    return pieces, [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)], prefix
+
+
+def load_coder(vocabulary: bytes, seed: int = 0, dropout: float = 0.0) -> Coder:
+    """A coder over the pieces of a vocabulary file's bytes."""
+    return Coder(*parse_vocabulary(vocabulary), seed, dropout)
 
 
 _coders: dict[tuple, Coder] = {}
@@ -516,8 +523,10 @@ def encode(
         T.StructField("lossless", T.BooleanType()),
     ])
 
+    parsed = parse_vocabulary(vocabulary)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(vocabulary, seed, dropout)
+        coder = Coder(*parsed, seed, dropout)
         for batch in batches:
             keys = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
             for at, to, data, offsets in text_blocks(batch.column(2), BLOCK_BYTES):
@@ -528,8 +537,8 @@ def encode(
                     [batch.column(0).slice(at, to - at), pa.array(np.diff(bounds)), lists, pa.array(same)],
                     names=["_doc", "n_tokens", "ids", "lossless"],
                 )
-        coder.forget()
-        coder.forget_candidates()
+        # Other stages run in this worker; it keeps nothing of this one.
+        del coder
         release()
 
     return read.mapInArrow(run, schema).withColumnRenamed("_doc", doc_id)
