@@ -545,7 +545,11 @@ def encode(
 
 
 def decode(encoded: DataFrame, vocabulary: bytes, ids: str = "ids") -> DataFrame:
-    """`encoded` with a column text: the decoded ids; null ids give a null text."""
+    """`encoded` with a column text: the decoded ids; null ids give a null text, no ids an empty one.
+
+    Lists of any length are decoded whole, repeated rows alike; text replaces a column of that name, all others stay. No
+    rows give no rows.
+    """
 
     @F.pandas_udf(T.BinaryType())
     def texts(column):

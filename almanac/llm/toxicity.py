@@ -223,7 +223,11 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id") -> DataFrame:
 
 
 def below(docs: DataFrame, model: Model, limit: float) -> DataFrame:
-    """The rows of `docs` that score below `limit`, all columns kept."""
+    """The rows of `docs` that score below `limit`, all columns kept.
+
+    Rows are scored as `score` says, each by itself: null and empty texts have the lowest score, repeated rows stay or go
+    together, ids are not read, and no name of a column matters but that of the text. No rows give no rows.
+    """
     text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
