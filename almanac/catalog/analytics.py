@@ -78,8 +78,8 @@ def pca_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.sum(F.col("weight") * F.col(f"v{c}")).alias(f"u{c}") for c in ("PCA1", "PCA2")]
     )
     both = settle(scores.join(by_day, day, "left").na.fill(0.0))
-    centres = both.agg(*[F.avg(f"u{c}").alias(f"m{c}") for c in ("PCA1", "PCA2")])
-    both = settle(both.crossJoin(F.broadcast(centres)))  # one row
+    centres = both.agg(*[F.avg(f"u{c}").alias(f"m{c}") for c in ("PCA1", "PCA2")]).select(F.struct("mPCA1", "mPCA2")).scalar()
+    both = settle(both.withColumn("centres", centres).select("*", "centres.*").drop("centres"))
     parts = []
     for number, name in enumerate(("PCA1", "PCA2"), 1):
         t, u = F.col(name), F.col(f"u{name}") - F.col(f"m{name}")

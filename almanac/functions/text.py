@@ -45,10 +45,6 @@ def token_chunks(words: Column, size: int = CHUNK_TOKENS) -> Column:
     return F.when(F.size(words) > 0, slices).otherwise(F.array().cast("array<array<string>>"))
 
 
-def chunk_texts(words: Column, size: int = CHUNK_TOKENS) -> Column:
-    return F.transform(token_chunks(words, size), token_text)
-
-
 def sentences(text: Column) -> Column:
     """Sentences in order: a break follows . ! or ? and white space, or a line end."""
     broken = F.regexp_replace(text, r"([.!?])[ \t\n\f\r]+", "$1\n")
