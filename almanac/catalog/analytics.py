@@ -166,7 +166,30 @@ def smote_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def smote_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resample.smote(table(spark, sf_dir, "embeddings"), "vec_id", "label", "embedding")
+    """Per class how many rows are new, lie on the segment between their two rows, and have a near row as the second."""
+    points = table(spark, sf_dir, "embeddings")
+    grown = settle(resample.smote(points, "vec_id", "label", "embedding", trace=True).where("is_synthetic"))
+    ends = points.select("vec_id", F.col("label").alias("of"), F.col("embedding").cast("array<double>").alias("x"))
+    both = grown.join(ends.toDF("from_id", "of", "a"), "from_id").join(ends.toDF("to_id", "to_of", "b"), "to_id")
+    near = neighbours.nearest_in_class(points, "vec_id", "label", "embedding").select(
+        F.col("id").alias("from_id"), F.col("neighbour").alias("to_id"), F.lit(True).alias("is_near")
+    )
+
+    def dot(p, q):
+        return F.aggregate(F.zip_with(p, q, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
+
+    def gap(p, q):
+        return F.zip_with(p, q, lambda x, y: y - x)
+
+    moved, whole = gap(F.col("a"), F.col("embedding")), gap(F.col("a"), F.col("b"))
+    step = F.try_divide(dot(moved, whole), dot(whole, whole))
+    off = F.zip_with(moved, whole, lambda m, w: F.abs(m - step * w))
+    on = (F.array_max(off) < 1e-9) & step.between(0.0, 1.0) & (F.col("of") == F.col("label")) & (F.col("to_of") == F.col("label"))
+    judged = both.withColumn("on", on).join(near, ["from_id", "to_id"], "left")
+    return judged.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n_synthetic"), F.count(F.when(F.col("on"), 1)).alias("n_on_segment"),
+        F.count(F.when(F.col("is_near"), 1)).alias("n_near"), F.countDistinct("from_id").alias("n_from"),
+    )
 
 
 def _model_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,17 +204,6 @@ def feature_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(reports.correlations(settle(found)), "correlation")
 
 
-def _search_table(spark: SparkSession, search: training.Search) -> DataFrame:
-    rows = [
-        {"settings": str(r["settings"]), "is_best": r["settings"] == search.best,
-         **{k: float(v) if v is not None else None for k, v in r.items() if k != "settings"}}
-        for r in search.scores
-    ]
-    names = [k for k in rows[0] if k not in ("settings", "is_best")]
-    schema = "settings string, is_best boolean, " + ", ".join(f"{n} double" for n in names)
-    return spark.createDataFrame(rows, schema)
-
-
 def tuned_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out days with their class, and whether the stored and loaded model predicts what the fitted one does."""
     search = training.train_classifier(_model_features(spark, sf_dir), training.SMALL_CLASSIFIER_GRID)
@@ -256,10 +268,16 @@ def regressor_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tuned_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of a whole search, whether the one with the lowest error was taken, and the days it is evaluated on."""
     table_ = _model_features(spark, sf_dir)
-    clf = training.train_classifier(table_, training.SMALL_CLASSIFIER_GRID)
+    clf = training.train_classifier(table_, {k: v[:1] for k, v in training.SMALL_CLASSIFIER_GRID.items()})
     search = training.train_regressor(table_, clf, training.SMALL_REGRESSOR_GRID)
-    return _search_table(spark, search)
+    lowest = min(r["mape"] for r in search.scores)
+    rows = [
+        (float(r["settings"]["stepSize"]), (r["settings"] == search.best) == (r["mape"] == lowest), int(search.evaluation["n"]))
+        for r in search.scores
+    ]
+    return spark.createDataFrame(rows, "step double, lowest_is_best boolean, held_days long")
 
 
 def predict_next_day(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -428,6 +428,12 @@ def queries() -> dict[str, str]:
     sql["predict_next_day"] = f"""WITH {_news(NEWS_DAYS, "1995-01-01")}, {ORDER_PRICES}, {RAW}
         SELECT max(time_published) AS time_published, CAST(max(time_published) + 1 AS DATE) AS next_day,
                TRUE AS same_after_loading, TRUE AS percent_of_prediction FROM raw"""
+    sql["tuned_regressor"] = f"""WITH {_model_rows()}
+        SELECT step, TRUE AS lowest_is_best, (SELECT count(*) FROM split WHERE NOT is_train) AS held_days
+        FROM (VALUES (0.04::DOUBLE), (0.1::DOUBLE)) AS t(step)"""
+    sql["smote_rows"] = """WITH sizes AS (SELECT label, count(*) AS m FROM embeddings GROUP BY 1),
+        needed AS (SELECT label, m, (SELECT max(m) FROM sizes) - m AS n FROM sizes)
+        SELECT label, n AS n_synthetic, n AS n_on_segment, n AS n_near, least(n, m) AS n_from FROM needed WHERE n > 0"""
     sql["pca_residuals"] = """SELECT component, CAST(0 AS DOUBLE) AS mean, CAST(0 AS DOUBLE) AS residual
         FROM (VALUES (1), (2), (12)) AS t(component)"""
     sql["tokenise"] = f"""WITH t AS (SELECT doc_id, {_tokens('text')} AS words FROM documents)

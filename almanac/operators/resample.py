@@ -17,19 +17,23 @@ DRAW_BLOCK = 1024
 
 
 def smote(
-    df: DataFrame, id: str, cls: str, vector: str, k: int = NEIGHBOURS, seed: int = 42, fewer: bool = False
+    df: DataFrame, id: str, cls: str, vector: str, k: int = NEIGHBOURS, seed: int = 42, fewer: bool = False, trace: bool = False
 ) -> DataFrame:
     """(id, cls, vector, is_synthetic): the rows of `df` plus new ones until every class is as large as the largest.
 
     The new rows are dealt evenly over a class's own rows, in hash order. Each lies at a hashed point on the segment
     from its row to one of that row's k nearest rows of the class. A class needs more than k rows;
-    `fewer=True` lowers k for a smaller class, leaves a class of one row as it is, and warns.
+    `fewer=True` lowers k for a smaller class, leaves a class of one row as it is, and warns. `trace=True` adds the two
+    rows that a new one lies between (from_id, to_id).
     """
     rows = settle(df.select(id, cls, F.col(vector).cast("array<double>").alias(vector)).where(F.col(cls).isNotNull()))
     sizes = class_sizes(rows, cls)
     target = max(sizes.values(), default=0)
     small = {c: m for c, m in sizes.items() if m < target}
     kept = rows.withColumn("is_synthetic", F.lit(False))
+    if trace:
+        none = F.lit(None).cast(rows.schema[id].dataType)
+        kept = kept.withColumns({"from_id": none, "to_id": none})
     tight = {c: m for c, m in small.items() if m <= k}
     if tight and not fewer:
         raise ValueError(f"classes with too few rows for {k} neighbours: {tight}")
@@ -68,5 +72,6 @@ def smote(
         cls,
         F.zip_with("start", "end", lambda a, b: a + F.col("step") * (b - a)).alias(vector),
         F.lit(True).alias("is_synthetic"),
+        *([F.col(id).alias("from_id"), F.col("neighbour").alias("to_id")] if trace else []),
     )
     return kept.unionByName(new)
