@@ -2,6 +2,7 @@ import warnings
 from datetime import date, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +78,32 @@ def test_boxes_over_all_pivots_leave_fewer_visits(spark, monkeypatch):
     assert counted["box"] < 0.75 * counted["ring"] and counted["box"] < 600 * blocks / 8
 
 
+def test_visitors_meet_their_tile_in_every_partition(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "VISITORS_PER_TASK", 40)
+    monkeypatch.setattr(neighbours, "TILE_BLOCKS", 2)
+    rows, df = points(spark, {"a": 200, "b": 90}, seed=3)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # tasks are not merged into one
+    try:
+        found = neighbours.nearest_in_class(df, "id", "label", "x", 4, block_rows=16).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    wanted = brute_force(rows, 4)
+    assert {(r["id"], r["place"]): r["neighbour"] for r in found} == {(i, p): j for i, v in wanted.items() for p, (_, j) in enumerate(v, 1)}
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e160])
+def test_closest_of_copies_and_of_values_beyond_a_matrix_product(scale):
+    x = np.array([[0.0, 1.0]] * 6 + [[3.0, 4.0], [0.0, 1.0 + 1e-9], [np.nan, 0.0]])
+    if scale > 1:
+        x[6:8] *= scale
+    frame = pd.DataFrame({"id": range(9), "x": list(x)})
+    found = neighbours._closest(frame, frame.sample(frac=1, random_state=1), 3)
+    near = {i: found[found["id"] == i]["neighbour"].tolist() for i in range(9)}
+    assert near[0] == [1, 2, 3] and near[5] == [0, 1, 2] and near[8] == []
+    assert near[7] == ([0, 1, 2] if scale == 1 else [])
+
+
 def test_neighbours_of_some_rows_search_all_rows(spark):
     rows, df = points(spark, {"a": 120, "b": 50}, seed=1)
     asked = df.where("id % 17 = 0").select("id")
