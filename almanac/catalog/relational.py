@@ -12,7 +12,7 @@ from almanac.functions import dates, scalars, text
 from almanac.operators import items, labels, metrics, rollup, sentiment, series
 from almanac.plans import daily, features, ingest, reports
 from almanac.schemas import RAW_NEWS_PRICE
-from almanac.session import scratch_path, settle
+from almanac.session import children, scratch_path, settle
 from almanac.sources import feeds, seen, tables
 from almanac.streaming import ingest as streams
 
@@ -359,12 +359,13 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two drops stored in batches of one file, then again by a query that has lost its progress."""
+    """Two drops stored in two batches of files, then again by a query that has lost its progress."""
     landing, out = scratch_path(spark, "drops"), scratch_path(spark, "streamed")
     for drop in _two_drops(spark, sf_dir):
-        drop.coalesce(1).write.mode("append").parquet(landing)
+        drop.write.mode("append").parquet(landing)
+    files = sum(name.endswith(".parquet") for name in children(spark, landing))
     for _ in range(2):
-        stream = streams.item_stream(spark, landing, DROP_SCHEMA, files_per_batch=1)
+        stream = streams.item_stream(spark, landing, DROP_SCHEMA, files_per_batch=-(-files // 2))
         streams.append_new(stream, out, scratch_path(spark, "progress"), order=("doc_id",)).awaitTermination()
     return spark.read.parquet(out).groupBy(F.md5("titles").alias("titles")).agg(F.count(F.lit(1)).alias("copies"))
 

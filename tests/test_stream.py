@@ -1,5 +1,6 @@
 from datetime import datetime
 
+from almanac.catalog import relational
 from almanac.operators.items import keep_first
 from almanac.session import scratch_path
 from almanac.streaming import ingest
@@ -65,3 +66,11 @@ def test_watermark_dedupe(spark):
         writer = stream.writeStream.option("path", out).option("checkpointLocation", progress)
         writer.format("parquet").trigger(availableNow=True).start().awaitTermination()
     assert sorted(r["titles"] for r in spark.read.parquet(out).collect()) == ["a", "b"]
+
+
+def test_restart_lands_drops_in_several_files(spark, monkeypatch):
+    batches = []
+    monkeypatch.setattr(ingest, "item_stream", lambda *a, how=ingest.item_stream, files_per_batch: batches.append(files_per_batch) or how(*a, files_per_batch))
+    found = relational.stream_restart(spark, "/root/testdata/sf0.001").collect()
+    assert batches[0] > 1 and batches == batches[:1] * 2
+    assert {r["copies"] for r in found} == {1}
