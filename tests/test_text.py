@@ -66,6 +66,77 @@ def test_components_match_svd(spark, n):
     assert found.mean(axis=0) == pytest.approx([0, 0], abs=1e-9)
 
 
+@pytest.mark.parametrize("n", [40, 3000])
+def test_products_of_documents_are_added_up_once(spark, monkeypatch, n):
+    df = spark.createDataFrame(corpus(n, seed=3), "doc int, text string")
+    weights = settle(tfidf.tfidf(settle(tfidf.term_counts(df, "doc", "text")), n, "doc"))
+    passes = []
+    monkeypatch.setattr(tfidf, "_gram_times", lambda *a, how=tfidf._gram_times: passes.append(1) or how(*a))
+    once = tfidf.principal_components(weights, df, "doc").orderBy("doc").toPandas().to_numpy()
+    assert not passes
+    monkeypatch.setattr(tfidf, "GRAM_DOCS", 0)
+    again = tfidf.principal_components(weights, df, "doc").orderBy("doc").toPandas().to_numpy()
+    assert passes
+    np.testing.assert_allclose(once, again, atol=1e-6)
+
+
+def test_products_of_wide_and_narrow_words():
+    dense = np.where(np.random.default_rng(4).random((90, 100)) < np.linspace(0, 0.2, 90)[:, None], 1.5, 0.0) + 0.0
+    total, cells = np.zeros((100, 100)), [np.flatnonzero(word) for word in dense]
+    at = np.concatenate(cells).astype(np.int32)
+    tfidf._add_products(total, at, np.full(len(at), 1.5), np.array([len(c) for c in cells]))
+    np.testing.assert_allclose(total, dense.T @ dense)
+
+
+@pytest.mark.parametrize("limit", [0, 1, 25, 10**6])
+def test_document_weights_equal_weights_of_counts(spark, monkeypatch, limit):
+    texts = [*corpus(40), (3, "gamma rare_once x gamma"), (None, "alpha rare_once beta"), (90, None), (91, "")]
+    df = spark.createDataFrame(texts, "doc int, text string")
+    counts, frequencies = settle(tfidf.term_counts(df, "doc", "text")), tfidf.document_frequencies(df, "text")
+    wanted = {(r["doc"], r["token"]): tuple(r) for r in tfidf.tfidf(counts, 44, "doc", frequencies).select("doc", "token", "tf", "df", "weight").collect()}
+    monkeypatch.setattr(tfidf, "VOCABULARY_BROADCAST_ROWS", limit)
+    for found in (tfidf.document_weights(df, "doc", "text"), tfidf.tfidf(counts, 44, "doc", frequencies)):
+        rows = found.select("doc", "token", "tf", "df", "weight").collect()
+        assert len(rows) == len(wanted)
+        assert all(tuple(r)[:4] == wanted[r["doc"], r["token"]][:4] and r["weight"] == pytest.approx(wanted[r["doc"], r["token"]][4]) for r in rows)
+
+
+@pytest.mark.parametrize("limit", [0, 1, 25])
+def test_summaries_do_not_depend_on_what_is_broadcast(spark, monkeypatch, limit):
+    texts = [(i, ". ".join(t.split()[j] + " " + " ".join(t.split()[j : j + 3]) for j in range(0, len(t.split()), 3))) for i, t in corpus(30, seed=5)]
+    df = spark.createDataFrame([*texts, (3, "one more. text of three"), (None, "Some words. Others"), (90, None)], "doc int, text string")
+    wanted = sorted(map(str, summary.summaries(df, "doc", "text").collect()))
+    monkeypatch.setattr(tfidf, "VOCABULARY_BROADCAST_ROWS", limit)
+    assert sorted(map(str, summary.summaries(df, "doc", "text").collect())) == wanted
+
+
+def test_texts_are_dealt_by_their_size(spark, monkeypatch):
+    monkeypatch.setattr(tfidf, "TASK_BYTES", 64)
+    df = spark.createDataFrame([(i, "word " * 20) for i in range(40)], "doc int, text string")
+    assert tfidf.by_document(df, "doc", "text").rdd.getNumPartitions() == 63
+    assert tfidf.document_weights(df, "doc", "text").rdd.getNumPartitions() == 63
+
+
+def test_each_word_of_a_document_asks_for_its_lemma_once(spark, monkeypatch):
+    texts = [(1, "cats and cats dogs cats"), (2, ""), (3, None), (None, "cats 7"), (4, "dogs; CATS"), (5, "cats")]
+    df = spark.createDataFrame(texts, "doc int, text string")
+    lemmas = spark.createDataFrame([("cats", "cat"), ("and", "and"), ("dogs", None)], "token string, lemma string")
+    asked = []
+    monkeypatch.setattr(tfidf, "split_join", lambda facts, *a, **k: asked.append(facts.count()) or split_join(facts, *a, **k))
+    few, many = (sorted(map(str, tfidf.lemmatised_text(df, "doc", "text", lemmas, broadcast_rows=n, partition_rows=1).collect())) for n in (10, 0))
+    assert few == many and asked == [8]
+    assert "Row(doc=1, processed_text='cat and cat dogs cat')" in many and "Row(doc=3, processed_text='')" in many
+
+
+def test_cuts_of_a_chunk_travel_as_text(spark, monkeypatch):
+    raw = spark.createDataFrame([(i, date(2024, 1, 1), f"w{i}a w{i}b, W{i}c") for i in range(5)], "doc_id int, time_published date, content string")
+    gathered = []
+    monkeypatch.setattr(F, "collect_list", lambda c, how=F.collect_list: gathered.append(c) or how(c))
+    chunks = sentiment.day_chunks(raw, ["doc_id"], size=4)
+    assert chunks._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1 and gathered
+    assert [w for r in chunks.orderBy("chunk").collect() for w in r["words"]] == [f"w{i}{c}" for i in range(5) for c in "abc"]
+
+
 @pytest.mark.parametrize("n, spread", [(400, 1.0), (400, 0.001), (30, 0.5)])
 def test_block_iteration_with_close_values(n, spread):
     draw = np.random.default_rng(n)
