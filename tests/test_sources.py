@@ -3,6 +3,7 @@ import os
 from datetime import date
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from almanac import session
@@ -70,6 +71,15 @@ def test_replace_days_keeps_other_months(spark):
     assert sorted(r["price"] for r in tables.read_table(spark, path).collect()) == [1.0, 3.0]
 
 
+def test_a_first_write_of_days_is_the_only_one(spark, monkeypatch):
+    path = scratch_path(spark, "days")
+    first = spark.createDataFrame([(date(2023, 1, 1), 1.0)], "time_published date, price double")
+    written, parquet = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: written.append(path) or parquet(self, path, *a, **k))
+    tables.replace_days(first, path)
+    assert written == [path]
+
+
 def test_replace_days_keeps_other_days_of_the_month(spark):
     path = scratch_path(spark, "days")
     first = spark.createDataFrame([(date(2023, 1, d), float(d)) for d in (1, 2, 3)], "time_published date, price double")

@@ -381,3 +381,33 @@ def test_a_partial_feature_run_equals_a_full_one(spark):
     numbers = [c for c in FEATURES.names if c != "time_published"]
     np.testing.assert_allclose(whole[numbers].to_numpy(float), partial[numbers].to_numpy(float), atol=1e-7)
     assert len(whole) == 12
+
+
+def test_a_feature_run_cuts_each_text_into_words_once(spark, monkeypatch):
+    raw = spark.createDataFrame(
+        [(START, "a title", "alpha beta", 1.0, 1), (START + timedelta(days=1), None, None, 2.0, 2), (None, "x", "beta", 1.0, 3)],
+        "time_published date, titles string, content string, price double, n int",
+    )
+    scorer = sentiment.lexicon_scorer(spark.createDataFrame([("alpha", 0.0, 1.0)], "token string, neg double, pos double"))
+    cut, tokens = [], sentiment.text.tokens
+    monkeypatch.setattr(sentiment.text, "tokens", lambda column: cut.append(column) or tokens(column))
+    path = scratch_path(spark, "features")
+    features.run_features(spark, settle(raw), scorer, path, order=["n"])
+    assert len(cut) == 1
+    counts = {(r["time_published"], r["token"]): r["tf"] for r in spark.read.parquet(f"{path}-counts").collect()}
+    assert counts == {(START, w): 1 for w in ("title", "alpha", "beta")}
+
+
+def test_words_of_days_meet_in_one_shuffle(spark):
+    counts = settle(spark.createDataFrame(
+        [(START + timedelta(days=i % 5), f"w{i % 7}", 1 + i % 3) for i in range(35)], "day date, token string, tf long"
+    ))
+    weights = tfidf.tfidf(counts, 5, "day")
+    columns = weights.groupBy("token").agg(F.collect_list("weight"))
+    plan = columns._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(token") == 2 and "SortMergeJoin" not in plan
+    rows = settle(tfidf.with_idf(counts, settle(counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))), 5))
+    want = {(r["day"], r["token"]): (r["df"], r["tf"] * r["idf"]) for r in rows.collect()}
+    norm = {d: sum(w**2 for (e, _), (_, w) in want.items() if e == d) ** 0.5 for d, _ in want}
+    found = {(r["day"], r["token"]): (r["df"], r["weight"]) for r in weights.collect()}
+    assert found == {k: (n, pytest.approx(w / norm[k[0]])) for k, (n, w) in want.items()}
