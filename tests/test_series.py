@@ -1,3 +1,4 @@
+import hashlib
 from datetime import date, timedelta
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from almanac.operators import labels, metrics, rollup, series
 from almanac.plans import daily, reports
 from almanac.schemas import SERIES
+from almanac.session import settle
 
 START = date(2024, 1, 1)
 
@@ -176,6 +178,23 @@ def test_a_day_too_large_for_one_row_raises_and_its_items_stay_readable(spark):
     assert rollup.daily_text(raw, ["n"]).columns == ["time_published", "titles", "content"]
 
 
+def test_parts_hold_the_joined_text_of_days_of_any_size(spark):
+    d1, d2 = START, START + timedelta(days=1)
+    rows = [(d1, f"t{i}", "x€" * (i % 40), 1.0, i // 2) for i in range(400)] + [(d2, None, None, 1.0, 1), (None, "q", "q", 1.0, 5)]
+    # Places that are missing or shared, and rows that come twice, in other partitions than they belong to.
+    rows += [(d1, "b", None, 1.0, None), (d1, None, "a", 1.0, None), (d1, "t7", "z", 1.0, 3), (d1, "t7", "z", 1.0, 3)]
+    raw = spark.createDataFrame(rows[::-1], RAW).repartition(5)
+    want = sorted(map(tuple, rollup.daily_text(raw, ["n"]).collect()))
+    for part_bytes in (1, 300, 1 << 30):
+        parts = settle(rollup.daily_text(raw, ["n"], cell_chars=1, part_bytes=part_bytes))
+        assert (parts.count() > 800) == (part_bytes == 1)
+        assert sorted(map(tuple, rollup.whole_text(parts).collect())) == want
+        hashed = [(d, *(hashlib.md5(text.encode()).hexdigest() for text in texts)) for d, *texts in want]
+        assert sorted(map(tuple, rollup.text_digests(parts).collect())) == hashed
+    with pytest.raises(ValueError, match="its parts"):
+        rollup.whole_text(parts, cell_chars=2000)
+
+
 def test_daily_table_has_one_row_per_day(spark):
     raw = spark.createDataFrame([(START + timedelta(days=i % 4), f"t{i}", "c", float(i), i) for i in range(12)], RAW)
     out = daily.daily_table(raw, ["n"])

@@ -80,6 +80,20 @@ def test_a_first_write_of_days_is_the_only_one(spark, monkeypatch):
     assert written == [path]
 
 
+def test_replace_days_by_day_leaves_other_days_where_they_are(spark):
+    path = scratch_path(spark, "wide")
+    rows = [(date(2023, 1, 1 + i % 3), i, "a" * i) for i in range(9)]
+    first = spark.createDataFrame(rows, "time_published date, part int, text string")
+    tables.replace_days(first, path, by_day=True)
+    files = lambda: {f for f in spark.read.parquet(path).inputFiles() if "2023-01-02" not in f}
+    before = files()
+    for _ in range(2):
+        tables.replace_days(first.where("part = 4").withColumn("text", F.lit("b")), path, by_day=True)
+    assert files() == before
+    found = sorted((r["time_published"], r["part"], r["text"]) for r in tables.read_table(spark, path).collect())
+    assert found == sorted([r for r in rows if r[0].day != 2] + [(date(2023, 1, 2), 4, "b")])
+
+
 def test_replace_days_keeps_other_days_of_the_month(spark):
     path = scratch_path(spark, "days")
     first = spark.createDataFrame([(date(2023, 1, d), float(d)) for d in (1, 2, 3)], "time_published date, price double")

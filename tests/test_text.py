@@ -1,13 +1,14 @@
 import math
 from collections import Counter, defaultdict
 from datetime import date, timedelta
+from functools import partial
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from almanac.operators import keyed, sentiment, summary, tfidf
+from almanac.operators import keyed, rollup, sentiment, summary, tfidf
 from almanac.operators.keyed import broadcast_days, hot_keys, lookup_join, split_join
 from almanac.operators.ordering import running_offset
 from almanac.plans import features
@@ -383,6 +384,35 @@ def test_a_partial_feature_run_equals_a_full_one(spark):
     assert len(whole) == 12
 
 
+def test_a_feature_run_stores_days_that_do_not_fit_a_cell(spark, monkeypatch):
+    rows = [(START + timedelta(days=i % 3), f"title {i}", text, 1.0 + i % 5, i) for i, text in corpus(60, seed=7, low=1)]
+    raw = settle(spark.createDataFrame(rows, "time_published date, titles string, content string, price double, n int"))
+    scorer = sentiment.lexicon_scorer(spark.createDataFrame([("alpha", 0.0, 1.0)], "token string, neg double, pos double"))
+    want = rollup.daily_text(raw, ["n"]).withColumns({c: F.md5(c) for c in ("titles", "content")})
+    want = sorted(map(tuple, want.collect()))
+    monkeypatch.setattr(rollup, "daily_text", partial(rollup.daily_text, cell_chars=10))
+    path = scratch_path(spark, "features")
+    features.run_features(spark, raw.where("n < 40"), scorer, path, order=["n"])
+    features.run_features(spark, raw, scorer, path, order=["n"], days=raw.where("n >= 40"))
+    found = features.read_features(spark, path, digests=True)
+    assert found.columns == [*FEATURES.names, "titles", "content"]
+    assert sorted(map(tuple, found.select("time_published", "titles", "content").collect())) == want
+
+
+def test_offsets_in_blocks_leave_the_words_in_place(spark, monkeypatch):
+    rows = [(START + timedelta(days=i % 3), text if i % 7 else None, i // 2) for i, text in corpus(90, seed=5, low=1)]
+    raw = spark.createDataFrame(rows, "time_published date, content string, n int").repartition(3)
+    items = sentiment.day_words(raw, ["n"])
+    monkeypatch.setattr(sentiment, "OFFSETS_BROADCAST_ROWS", 1)
+    monkeypatch.setattr(sentiment, "OFFSETS_BLOCK_BITS", 3)
+    placed = sentiment.day_chunk_words(raw, ["n"], size=4, items=items)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning(item" not in plan
+    monkeypatch.setattr(sentiment, "PACKED_OFFSETS_ROWS", 1)
+    shuffled = sentiment.day_chunk_words(raw, ["n"], size=4, items=items)
+    assert sorted(map(tuple, placed.collect())) == sorted(map(tuple, shuffled.collect()))
+
+
 def test_a_feature_run_cuts_each_text_into_words_once(spark, monkeypatch):
     raw = spark.createDataFrame(
         [(START, "a title", "alpha beta", 1.0, 1), (START + timedelta(days=1), None, None, 2.0, 2), (None, "x", "beta", 1.0, 3)],
